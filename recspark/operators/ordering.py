@@ -7,12 +7,12 @@ tell streams apart.  Positions count from 0.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..plans.ranges import BUCKET, KeyRanges, col, default_ranges, key_ranges
+from ..plans.ranges import BUCKET, KeyRanges, add_range, add_ranges, col, column_ranges, default_ranges, key_ranges, literal_array
 from ..schema import TIME_FIELD
 
 # A stream up to this many rows is ordered by one task (the sort spills); a larger one is cut
@@ -41,7 +41,7 @@ def has_hot_stream(df: DataFrame, by: Sequence[str], max_group_rows: int) -> boo
 
 def range_counts(df: DataFrame, ranges: KeyRanges) -> list[int]:
     """Rows per range, one number each."""
-    rows = df.groupBy(ranges.bucket().alias(BUCKET)).count().collect()
+    rows = add_range(df, ranges).groupBy(BUCKET).count().collect()
     counts = [0] * ranges.count
     for r in rows:
         counts[r[BUCKET]] = r["count"]
@@ -50,9 +50,9 @@ def range_counts(df: DataFrame, ranges: KeyRanges) -> list[int]:
 
 def _positions_in_ranges(df: DataFrame, ranges: KeyRanges, starts: Sequence[int], seq: str) -> DataFrame:
     w = Window.partitionBy(BUCKET).orderBy(*[col(c) for c in ranges.order_by])
-    start = F.get(F.array(*[F.lit(s).cast("long") for s in starts]), F.col(BUCKET))
+    start = F.get(literal_array(starts, "bigint"), F.col(BUCKET))
     return (
-        df.withColumn(BUCKET, ranges.bucket())
+        add_range(df, ranges)
         .withColumn(seq, F.row_number().over(w) - 1 + start)
         .drop(BUCKET)
     )
@@ -89,7 +89,7 @@ def with_seq(
         return df.withColumn(seq, (F.row_number().over(w) - 1).cast("long"))
 
     ranges = key_ranges(df, order_by, n_ranges)
-    keyed = df.withColumn(STREAM, stream_key(by)).withColumn(BUCKET, ranges.bucket())
+    keyed = add_range(df.withColumn(STREAM, stream_key(by)), ranges)
     earlier = earlier_ranges(keyed, [F.count(F.lit(1)).alias("n")], {"n": F.sum})
     w = Window.partitionBy(STREAM, BUCKET).orderBy(*order)
     return (
@@ -137,34 +137,48 @@ def positions_between(
     return _positions_in_ranges(part, ranges, starts, seq).where(col(seq).between(lo, hi - 1))
 
 
-def values_at(df: DataFrame, name: str, ranks: Iterable[int], n_ranges: int | None = None) -> dict[int, float]:
-    """The values at given ranks of a numeric column, sorted ascending.
+def values_at(df: DataFrame, ranks: Mapping[str, Iterable[int]], n_ranges: int | None = None) -> dict[tuple[str, int], float]:
+    """The values at given ranks of double columns, each sorted ascending: ``{(column, rank): value}``.
 
-    Only the ranges that hold a wanted rank are looked at value by value, and equal values
-    are counted before they are shuffled.
+    Nulls are left out.  Three passes over all columns together: cut points, rows per range,
+    and the distinct values of those ranges that hold a wanted rank.  Equal values are counted
+    before they are shuffled.
     """
-    ranks = sorted(set(ranks))
-    ranges = key_ranges(df, [name], n_ranges)
-    counts = range_counts(df, ranges)
-    starts = _starts(counts)
-    hit = [i for i, (s, c) in enumerate(zip(starts, counts)) if any(s <= r < s + c for r in ranks)]
-    start = F.get(F.array(*[F.lit(s).cast("long") for s in starts]), F.col(BUCKET))
-    upto = Window.partitionBy(BUCKET).orderBy(col(name))
-    wanted = F.array(*[F.lit(r).cast("long") for r in ranks])
+    names = list(ranks)
+    ranges = column_ranges(df, names, n_ranges)
+    numbered = add_ranges(df, {f"__r{i}": r for i, r in enumerate(ranges)})
+    cells = numbered.select(
+        F.inline(
+            F.array(
+                *[F.struct(F.lit(i).alias("c"), col(n).alias("v"), F.col(f"__r{i}").alias(BUCKET)) for i, n in enumerate(names)]
+            )
+        )
+    ).where(F.col("v").isNotNull())
+
+    counts = [[0] * r.count for r in ranges]
+    for row in cells.groupBy("c", BUCKET).count().collect():
+        counts[row["c"]][row[BUCKET]] = row["count"]
+    starts = [_starts(c) for c in counts]
+    wanted = [sorted(set(ranks[n])) for n in names]
+    holds = F.lit(False)
+    for i in range(len(names)):
+        hit = [b for b, (s, c) in enumerate(zip(starts[i], counts[i])) if any(s <= r < s + c for r in wanted[i])]
+        holds = holds | ((F.col("c") == i) & F.col(BUCKET).isin(hit))
+
+    def table(lists):
+        return F.get(F.array(*[literal_array(xs, "bigint") for xs in lists]), F.col("c"))
+
+    upto = Window.partitionBy("c", BUCKET).orderBy("v")
+    end = F.sum("count").over(upto) + F.get(table(starts), F.col(BUCKET))
     rows = (
-        df.where(ranges.within(hit[0], hit[-1]))
-        .withColumn(BUCKET, ranges.bucket())
-        .where(F.col(BUCKET).isin(hit))
-        .groupBy(BUCKET, col(name))
+        cells.where(holds)
+        .groupBy("c", BUCKET, "v")
         .count()
-        .withColumn("end", F.sum("count").over(upto) + start)
-        .select(
-            col(name).alias("v"),
-            F.explode(F.filter(wanted, lambda r: (r >= F.col("end") - F.col("count")) & (r < F.col("end")))).alias("r"),
-        )
+        .withColumn("end", end)
+        .select("c", "v", F.explode(F.filter(table(wanted), lambda r: (r >= F.col("end") - F.col("count")) & (r < F.col("end")))).alias("r"))
         .collect()
     )
-    return {r["r"]: r["v"] for r in rows}
+    return {(names[r["c"]], r["r"]): r["v"] for r in rows}
 
 
 def batches(df: DataFrame, n: int, order_by=TIME_FIELD, by=None, **opts) -> DataFrame:

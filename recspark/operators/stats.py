@@ -8,7 +8,7 @@ from math import ceil, floor
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.fields import channel_list, in_range
-from ..plans.ranges import BUCKET, col, key_ranges
+from ..plans.ranges import BUCKET, add_range, col, key_ranges
 from ..schema import TIME_FIELD, is_array, is_numeric
 from .ordering import (
     MAX_GROUP_ROWS,
@@ -104,24 +104,22 @@ def describe(
         ]
     ).first()
 
+    spots = {f.name: [p * (basic[f"count{i}"] - 1) for p in quantiles] for i, f in enumerate(used) if basic[f"count{i}"]}
+    ranks = {name: {r for s in at for r in (floor(s), ceil(s))} for name, at in spots.items()}
+    values = values_at(df.select(*[solid[name].alias(name) for name in ranks]), ranks, n_ranges) if ranks else {}
+
+    def quantile(name: str, spot: float) -> float:
+        a, b = values[name, floor(spot)], values[name, ceil(spot)]
+        return a + (b - a) * (spot - floor(spot))
+
     rows = []
     for i, f in enumerate(used):
-        total = basic[f"count{i}"]
-        marks = _quantiles(df.select(solid[f.name].alias("v")).dropna(), total, quantiles, n_ranges)
-        rows.append((f.name, total, basic[f"avg{i}"], basic[f"stddev_samp{i}"], basic[f"min{i}"], *marks, basic[f"max{i}"]))
+        marks = [quantile(f.name, s) for s in spots[f.name]] if f.name in spots else [None] * len(names)
+        rows.append((f.name, basic[f"count{i}"], basic[f"avg{i}"], basic[f"stddev_samp{i}"], basic[f"min{i}"], *marks, basic[f"max{i}"]))
     doubles = ["mean", "std", "min", *names, "max"]
     return df.sparkSession.createDataFrame(rows, "field string, count long, " + ", ".join(f"{c} double" for c in doubles))
 
 
-def _quantiles(values: DataFrame, total: int, quantiles: Sequence[float], n_ranges: int | None) -> list[float | None]:
-    """Quantiles of column ``v``, interpolated between the two ranks around each."""
-    if not total:
-        return [None] * len(quantiles)
-    spots = [p * (total - 1) for p in quantiles]
-    at = values_at(values, "v", {r for s in spots for r in (floor(s), ceil(s))}, n_ranges)
-    return [at[floor(s)] + (at[ceil(s)] - at[floor(s)]) * (s - floor(s)) for s in spots]
-
-
 def batch_stats(df: DataFrame, n: int, field: str, order_by=TIME_FIELD, by=None, **opts) -> DataFrame:
     """Per ``n``-record batch: ``[by..., batch, count, total, mean, std]``.
 
@@ -180,7 +178,7 @@ def running_stats(
         return df.select("*", *_running_columns(**{k: a.over(w) for k, a in parts.items()}))
 
     ranges = key_ranges(df, order_by, n_ranges)
-    keyed = df.withColumn(STREAM, stream_key(by) if by else F.lit(0)).withColumn(BUCKET, ranges.bucket())
+    keyed = add_range(df.withColumn(STREAM, stream_key(by) if by else F.lit(0)), ranges)
     w = Window.partitionBy(STREAM, BUCKET).orderBy(*order).rowsBetween(*so_far)
     earlier = earlier_ranges(
         keyed, [a.alias(f"__{k}") for k, a in parts.items()],

@@ -15,7 +15,7 @@ cuts gives the same answer.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from itertools import groupby
 from math import isnan
@@ -32,6 +32,12 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def literal_array(values: Sequence, element: str) -> Column:
+    """A constant array; one literal however long, since Spark folds it when it plans."""
+    text = ",".join("" if v is None else str(v) for v in values)
+    return F.split(F.lit(text), ",").try_cast(f"array<{element}>") if values else F.array().cast(f"array<{element}>")
+
+
 def default_ranges(df: DataFrame) -> int:
     shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(1, min(MAX_RANGES, shuffles))
@@ -79,32 +85,23 @@ class KeyRanges:
     def _depth(self) -> int:
         return max((len(c) for c in self.cuts), default=1)
 
-    def _key(self) -> Column:
-        parts = [_as_number(n, t) for n, t in self.keys[: self._depth()]]
-        return parts[0] if len(parts) == 1 else F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])
-
-    def _cut(self, cut: tuple) -> Column:
-        depth = self._depth()
-        parts = []
-        for i, (_, dtype) in enumerate(self.keys[:depth]):
-            ktype = dtype if isinstance(dtype, T.NumericType) else T.LongType()
-            # a shorter cut starts at the smallest next key, and nulls sort first
-            parts.append(F.lit(cut[i] if i < len(cut) else None).cast(ktype))
-        return parts[0] if depth == 1 else F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])
-
-    def bucket(self) -> Column:
-        """Range number of a row: how many cuts are not above its key (binary search)."""
-        if not self.cuts:
-            return F.lit(0)
-        cuts = F.array(*[self._cut(c) for c in self.cuts])
-        steps = [1 << i for i in reversed(range(len(self.cuts).bit_length()))]
-        key = self._key()
-        found = F.aggregate(
-            F.array(*[F.lit(s) for s in steps]),
-            F.lit(0),
-            lambda at, step: F.when(F.get(cuts, at + step - 1) <= key, at + step).otherwise(at),
-        )
-        return F.coalesce(found, F.lit(0))  # never null, and known to be
+    def key_columns(self) -> list[Column]:
+        return [_as_number(n, t) for n, t in self.keys[: self._depth()]]
+
+    def points(self) -> list[Column]:
+        """The cuts as one constant array per key column; null where a cut is shorter."""
+        types = [t.simpleString() if isinstance(t, T.NumericType) else "bigint" for _, t in self.keys]
+        return [
+            literal_array([c[i] if i < len(c) else None for c in self.cuts], types[i]) for i in range(self._depth())
+        ]
+
+    def cut_is_at_or_below(self, i: Column, points: Sequence[Column], keys: Sequence[Column]) -> Column:
+        """Is cut ``i`` not above a row's key?  Column by column; nulls sort first."""
+        held = F.lit(True)
+        for values, key in reversed(list(zip(points, keys))):
+            cut = F.get(values, i)
+            held = cut.isNull() | (cut < key) | ((cut == key) & held)
+        return held
 
     def within(self, first: int, last: int) -> Column:
         """Rows of ranges ``first``..``last``; the leading column's bounds reach the scan."""
@@ -114,14 +111,47 @@ class KeyRanges:
         name, dtype = self.keys[0]
         if first > 0:
             cond = cond & (col(name) >= _native_literal(self.cuts[first - 1][0], dtype))
+            if self._depth() > 1:
+                cond = cond & self.cut_is_at_or_below(F.lit(first - 1), self.points(), self.key_columns())
         if last < len(self.cuts):
-            upto = col(name) <= _native_literal(self.cuts[last][0], dtype)
+            above = self.cut_is_at_or_below(F.lit(last), self.points(), self.key_columns())
+            upto = (col(name) <= _native_literal(self.cuts[last][0], dtype)) & ~above
             cond = cond & (upto if first > 0 else upto | col(name).isNull())
-        if first > 0 or last < len(self.cuts):
-            cond = cond & self.bucket().between(first, last)
         return cond
 
 
+def add_range(df: DataFrame, ranges: KeyRanges, name: str = BUCKET) -> DataFrame:
+    """Add the range number of each row: how many cuts are not above its key."""
+    return add_ranges(df, {name: ranges})
+
+
+def add_ranges(df: DataFrame, ranges: Mapping[str, KeyRanges]) -> DataFrame:
+    """Add several range numbers at once, by binary search.
+
+    Each halving step is a projection of its own, which keeps the search inside generated
+    code; as one nested expression it would double in size with every step.
+    """
+    cut = {name: r for name, r in ranges.items() if r.cuts}
+    keys = {name: [f"__key{i}_{name}" for i in range(len(r.key_columns()))] for name, r in cut.items()}
+    out = df.select(
+        "*",
+        *[F.lit(0).alias(name) for name in ranges],
+        *[c.alias(k) for name, r in cut.items() for c, k in zip(r.key_columns(), keys[name])],
+    )
+    points = {name: r.points() for name, r in cut.items()}
+    step = 1 << max((len(r.cuts) for r in cut.values()), default=0).bit_length() >> 1
+    while step:
+        moved = {}
+        for name, r in cut.items():
+            if step <= len(r.cuts):
+                at = F.col(name)
+                up = (at <= len(r.cuts) - step) & r.cut_is_at_or_below(at + (step - 1), points[name], [F.col(k) for k in keys[name]])
+                moved[name] = at + F.when(up, F.lit(step)).otherwise(F.lit(0))
+        out = out.withColumns(moved)
+        step >>= 1
+    return out.drop(*[k for ks in keys.values() for k in ks])
+
+
 def key_ranges(df: DataFrame, order_by: Sequence[str], n_ranges: int | None = None) -> KeyRanges:
     """Cut the order key of ``df`` into about ``n_ranges`` ranges of equal row counts."""
     n = min(MAX_RANGES, n_ranges or default_ranges(df))
@@ -150,6 +180,24 @@ def key_ranges(df: DataFrame, order_by: Sequence[str], n_ranges: int | None = No
     return KeyRanges(tuple(order_by), tuple(keys), tuple(sorted(cuts)))
 
 
+def column_ranges(df: DataFrame, names: Sequence[str], n_ranges: int | None = None) -> list[KeyRanges]:
+    """Cut each numeric column by its own quantiles, all in one pass."""
+    n = min(MAX_RANGES, n_ranges or default_ranges(df))
+    if n < 2:
+        return [KeyRanges((c,), ((c, df.schema[c].dataType),), ()) for c in names]
+    row = df.agg(*[_sketch(col(c), n).alias(f"q{i}") for i, c in enumerate(names)]).first()
+    return [
+        KeyRanges((c,), ((c, df.schema[c].dataType),), tuple((v,) for v in sorted({v for v in row[f"q{i}"] or [] if not _is_nan(v)})))
+        for i, c in enumerate(names)
+    ]
+
+
+def _sketch(value: Column, pieces: int) -> Column:
+    """The ``pieces - 1`` evenly spaced quantiles of a column, approximately."""
+    grid = literal_array([i / pieces for i in range(1, pieces)], "double")
+    return F.percentile_approx(value, grid, F.lit(max(1_000, 20 * pieces)))
+
+
 def _is_nan(value) -> bool:
     return isinstance(value, float) and isnan(value)
 
@@ -157,16 +205,11 @@ def _is_nan(value) -> bool:
 def _quantiles(df: DataFrame, keys, heavy):
     """Evenly spaced values of the last key within each heavy prefix: [(prefix, values)]."""
     target = _as_number(*keys[-1])
-
-    def sketch(pieces):
-        grid = [F.lit(i / pieces) for i in range(1, pieces)]
-        return F.percentile_approx(target, F.array(*grid), F.lit(max(1_000, 20 * pieces)))
-
     if len(keys) == 1:
         pieces = heavy[0][1]
         if pieces < 2:
             return [((), [])]
-        return [((), df.agg(sketch(pieces).alias("q")).first()["q"] or [])]
+        return [((), df.agg(_sketch(target, pieces).alias("q")).first()["q"] or [])]
 
     # Heavy prefixes are at most as many as the ranges, so this table is small by construction.
     # Grids come in powers of two, hence a few sketches serve every prefix.
@@ -177,18 +220,10 @@ def _quantiles(df: DataFrame, keys, heavy):
     table = df.sparkSession.createDataFrame([(*p, s) for p, s in sizes.items()], schema)
     on = [_as_number(*k) == F.col(n) for k, n in zip(keys, names)]
     classes = sorted(set(sizes.values()))
-    per_class = [F.when(F.col("__size") == s, target) for s in classes]
     rows = (
         df.join(F.broadcast(table), on)
         .groupBy(*names)
-        .agg(
-            *[
-                F.percentile_approx(
-                    masked, F.array(*[F.lit(i / s) for i in range(1, s)]), F.lit(max(1_000, 20 * s))
-                ).alias(f"q{s}")
-                for s, masked in zip(classes, per_class)
-            ]
-        )
+        .agg(*[_sketch(F.when(F.col("__size") == s, target), s).alias(f"q{s}") for s in classes])
         .collect()
     )
     out = []

@@ -286,6 +286,7 @@ def stream_recordings(spark: SparkSession, path: str, split_bytes: int = SPLIT_B
     arrow = to_arrow_schema(full)
     files = (
         spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
         .option("maxFilesPerTrigger", max_files)
         .option("pathGlobFilter", f"*{SUFFIX}")
         .load(path)

@@ -51,7 +51,9 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 def _checked(df: DataFrame, f: T.StructField) -> Column:
     if f.name not in df.columns:
         return now().alias(f.name, metadata=f.metadata)
-    c = col(f.name).cast(f.dataType)
+    # element nulls are checked here, whatever the input's type says about them
+    dtype = T.ArrayType(f.dataType.elementType) if is_array(f) else f.dataType
+    c = col(f.name).cast(dtype)
     problem = F.when(c.isNull(), F.lit(f"{f.name}: records hold no nulls"))
     if is_array(f):
         problem = problem.when(F.size(c) != element_count(f), F.lit(f"{f.name}: wrong array length"))
@@ -64,7 +66,7 @@ def _checked(df: DataFrame, f: T.StructField) -> Column:
         else:
             outside = (c < 0) | (c.cast("decimal(20,0)") > top)
         problem = problem.when(outside, F.lit(f"{f.name}: value does not fit {src}"))
-    checked = F.when(problem.isNotNull(), F.raise_error(problem).cast(f.dataType)).otherwise(c)
+    checked = F.when(problem.isNotNull(), F.raise_error(problem).cast(dtype)).otherwise(c)
     return checked.alias(f.name, metadata=f.metadata)
 
 

@@ -1,0 +1,31 @@
+"""Run all queries against their SQL: python tests/check_suite.py [sf_dir] [name...]"""
+
+import sys
+import time
+from pathlib import Path
+
+sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
+
+from oracle import differences, tables  # noqa: E402
+from pyspark.sql import SparkSession  # noqa: E402
+
+import __spark_entry__ as e  # noqa: E402
+
+sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+spark = (
+    SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+    .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "8g").getOrCreate()
+)
+spark.sparkContext.setLogLevel("OFF")
+con, sql, bad = tables(sf), e.oracle_sql(), 0
+for name, q in e.queries().items():
+    if sys.argv[2:] and name not in sys.argv[2:]:
+        continue
+    t = time.time()
+    try:
+        msg = differences(q(spark, sf), con, sql[name]) if name in sql else "no SQL"
+    except Exception as ex:
+        msg = f"{type(ex).__name__}: {str(ex)[:600]}"
+    bad += bool(msg)
+    print(f"{name:32s} {time.time() - t:6.2f}s {msg or 'ok'}", flush=True)
+print("failures:", bad)

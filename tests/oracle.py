@@ -1,0 +1,38 @@
+"""Compare a Spark result with DuckDB's on the same Parquet tables."""
+
+from pathlib import Path
+
+import duckdb
+import pandas as pd
+
+# Spark type -> DuckDB type
+SAME = {
+    "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT", "double": "DOUBLE",
+    "float": "FLOAT", "string": "VARCHAR", "boolean": "BOOLEAN",
+}
+
+
+def tables(sf_dir):
+    con = duckdb.connect()
+    for p in sorted(Path(sf_dir).glob("*.parquet")):
+        con.execute(f"CREATE VIEW {p.stem} AS SELECT * FROM '{p}'")
+    return con
+
+
+def rows(pdf):
+    pdf = pdf[sorted(pdf.columns)]
+    return sorted(tuple("null" if pd.isna(v) else repr(v.item() if hasattr(v, "item") else v) for v in r) for r in pdf.itertuples(index=False))
+
+
+def differences(df, con, sql):
+    """Empty if names, types, and values agree."""
+    got = {f.name: SAME.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema}
+    rel = con.sql(sql)
+    want = dict(zip(rel.columns, map(str, rel.types)))
+    if got != want:
+        return f"schema: {got} but SQL gives {want}"
+    a, b = rows(df.toPandas()), rows(rel.df())
+    if a != b:
+        only_a, only_b = list(set(a) - set(b))[:3], list(set(b) - set(a))[:3]
+        return f"{len(a)} rows and {len(b)} rows; only here {only_a}, only in SQL {only_b}"
+    return ""
