@@ -92,7 +92,8 @@ def read_range(fs, rng: ByteRange, schema: T.StructType, out: pa.Schema) -> Iter
                 break
             if s.kind != DATA:
                 continue
-            if [(x.name, x.dataType) for x in s.schema if x.name in wanted.names] != [(x.name, x.dataType) for x in wanted]:
+            here = {f.name: f.dataType for f in s.schema}
+            if any(here.get(f.name) != f.dataType for f in wanted):
                 raise ValueError(f"{rng.path}: its schema differs from the one read: {s.schema.simpleString()}")
             width = s.dtype.itemsize
             first = max(0, -(-(rng.lo - s.start) // width))

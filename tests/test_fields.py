@@ -1,0 +1,117 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from recspark.functions import fields as fn
+from recspark.schema import named_bits, record_schema
+
+STATUS = record_schema([("Counter", "UInt32"), ("StatusReg", "UInt8", ["tx", "rx", "4", "errFlag"])])
+MULTI = record_schema(
+    [
+        ("Counter", "Int8", 2), ("BitReg", "UInt8", [f"f{i}" for i in range(8)]), ("Voltage", "Float"),
+        ("Current", "Float"), ("ADC ch0", "Int16"), ("Pressure", "Double"), ("Note", "Char", 4), ("Ok", "Bool"),
+    ]
+)
+
+
+@pytest.fixture
+def status(spark):
+    return spark.createDataFrame([(0.0, 42, 0)], STATUS)
+
+
+@pytest.fixture
+def multi(spark):
+    rows = [
+        (
+            float(t), [t % 128, (t + 20) % 128], t % 256, 12 + 2.5 * math.sin(0.05 * t), 3.2 + 0.8 * math.sin(0.08 * t),
+            int(5000 * math.sin(0.02 * t) + 500), 101.3 + 1.2 * math.sin(0.03 * t), "n", True,
+        )
+        for t in range(50)
+    ]
+    return spark.createDataFrame(rows, MULTI)
+
+
+def test_set_and_read_named_bits(status):
+    df = fn.set_bit(fn.set_bit(status, "tx", True), "errFlag", True)
+    row = df.select(
+        "Counter", "StatusReg", fn.bit(df, "tx").alias("tx"), fn.bit(df, "rx").alias("rx"), fn.bit_value(df, "errFlag").alias("e")
+    ).first()
+    assert tuple(row) == (42, 65, True, False, 1.0)
+    assert named_bits(df.schema["StatusReg"]) == {"tx": 0, "rx": 1, "errFlag": 6}
+    assert fn.set_bit(df, "tx", False).first()["StatusReg"] == 64
+    assert fn.set_bit(df, "rx", 0.5).first()["StatusReg"] == 67
+
+
+@pytest.mark.parametrize("src, pos", [("Int8", 7), ("Int16", 15), ("Int32", 31), ("Int64", 63), ("UInt64", 63), ("UInt32", 31)])
+def test_top_bit_of_a_word(spark, src, pos):
+    schema = record_schema([("W", src, [str(pos), "top"])])
+    df = spark.createDataFrame([(0.0, 0)], schema)
+    on = fn.set_bit(df, "top", True)
+    assert on.select(fn.bit(on, "top")).first()[0] is True
+    assert fn.set_bit(on, "top", False).first()["W"] == 0
+
+
+def test_expand_bits_adds_named_bits_only(status):
+    df = fn.expand_bits(fn.set_bit(status, "errFlag", True))
+    assert df.columns == ["TimeStamp", "Counter", "StatusReg", "tx", "rx", "errFlag"]
+    assert tuple(df.first())[2:] == (64, 0, 0, 1)
+
+
+def test_value_and_set_value(spark):
+    schema = record_schema([("TestInt", "Int32"), ("TestDbl", "Double"), ("Arr", "Int16", 3)])
+    df = spark.createDataFrame([(0.0, 42, 3.14159, [1, 2, 3])], schema)
+    row = df.select(
+        fn.value(df, "TestInt").alias("a"), fn.value(df, "TestDbl").alias("b"), fn.value(df, "Arr", 2).alias("c"),
+        fn.value(df, "TestInt", as_type="UInt8").alias("d"), fn.value(df, "TestDbl", as_type="Int32").alias("e"),
+        fn.value(df, "Arr", 1, "Float").alias("f"),
+    ).first()
+    assert tuple(row) == (42.0, 3.14159, 3.0, 42, 3, 2.0)
+    out = fn.set_value(fn.set_value(df, "TestInt", 7), "Arr", 9, index=1)
+    assert out.schema == df.schema
+    assert tuple(out.first()) == (0.0, 7, 3.14159, [1, 9, 3])
+    with pytest.raises(IndexError):
+        fn.value(df, "TestInt", 1)
+
+
+def test_value_out_of_range_is_null(spark):
+    df = spark.createDataFrame([(0.0, -1, 300)], record_schema([("A", "Int32"), ("B", "Int32")]))
+    row = df.select(
+        fn.value(df, "A", as_type="UInt32"), fn.value(df, "A", as_type="UInt64"), fn.value(df, "B", as_type="Int8"),
+        fn.value(df, "B", as_type="UInt8"), fn.value(df, "B", as_type="Int16"),
+    ).first()
+    assert tuple(row) == (None, None, None, None, 300)
+
+
+def test_clear_zeroes_every_field(multi):
+    assert fn.clear(multi).schema == multi.schema
+    assert tuple(fn.clear(multi).first()) == (0.0, [0, 0], 0, 0.0, 0.0, 0, 0.0, "", False)
+
+
+def test_sixteen_channels(multi):
+    long = fn.channels(multi, keep=["TimeStamp"])
+    names = ["TimeStamp", "Counter[0]", "Counter[1]", "BitReg", *[f"f{i}" for i in range(8)], "Voltage", "Current", "ADC ch0", "Pressure"]
+    assert [t.name for t in fn.channel_list(multi.schema)] == names
+    assert long.count() == 50 * 16
+    at5 = {r["channel"]: r["y"] for r in long.where("TimeStamp = 5").collect()}
+    assert list(sorted(at5)) == sorted(names)
+    assert (at5["Counter[1]"], at5["BitReg"], at5["f0"], at5["f1"], at5["f2"]) == (25.0, 5.0, 1.0, 0.0, 1.0)
+    assert [t.name for t in fn.channel_list(multi.schema) if t.digital] == [f"f{i}" for i in range(8)]
+
+
+def test_explode_elements(multi):
+    rows = fn.explode_elements(multi.where("TimeStamp = 3"), "Counter", ["TimeStamp"]).collect()
+    assert [tuple(r) for r in rows] == [(3.0, 0, 3), (3.0, 1, 23)]
+
+
+def test_select_and_range(multi):
+    df = fn.in_range(fn.select_fields(multi, ["TimeStamp", "ADC ch0"]), 10, 12)
+    assert df.columns == ["TimeStamp", "ADC ch0"]
+    assert [r[0] for r in df.orderBy("TimeStamp").collect()] == [10.0, 11.0, 12.0]
+
+
+def test_selected_fields_reach_the_scan(spark, tmp_path):
+    spark.range(10).select(F.col("id").cast("double").alias("TimeStamp"), "id", F.lit(1).alias("unused")).write.parquet(str(tmp_path / "t"))
+    df = fn.in_range(fn.select_fields(spark.read.parquet(str(tmp_path / "t")), ["TimeStamp"]), 2, 4)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "unused" not in plan and "GreaterThanOrEqual(TimeStamp,2.0)" in plan

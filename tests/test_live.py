@@ -1,0 +1,151 @@
+import json
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from recspark.operators import ordering as od, stats as st
+from recspark.schema import record_schema
+from recspark.sources import exchange as ex, recordings as rec, streams as sm
+from recspark.streaming import live
+
+SCHEMA = record_schema([("Val", "Int32"), ("stream", "Char", 4), ("y", "Double")])
+ORDER = ["TimeStamp", "Val"]
+
+
+def rows(spark, lo, hi):
+    return spark.range(lo, hi).select(
+        F.col("id").cast("double").alias("TimeStamp"), F.col("id").cast("int").alias("Val"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 2).cast("string"))).alias("stream"),
+        (F.col("id") * 0.5).alias("y"),
+    )
+
+
+@pytest.fixture
+def root(spark, tmp_path):
+    """A stream published in three parts, the last one out of order."""
+    root = str(tmp_path / "streams")
+    sm.register_stream(spark, root, "s", SCHEMA)
+    for lo, hi in ((0, 100), (200, 300), (100, 200)):
+        sm.publish(rows(spark, lo, hi).coalesce(1), root, "s")
+    return root
+
+
+def test_unknown_stream_is_refused(spark, root):
+    with pytest.raises(ConnectionError):
+        sm.read_stream(spark, root, "nope")
+
+
+def test_every_record_arrives_once(spark, root, tmp_path):
+    seen = []
+    query = live.for_each_batch(sm.read_stream(spark, root, "s", 1), lambda b, i: seen.append((i, [r["Val"] for r in b.collect()])), str(tmp_path / "c"))
+    assert live.drain(query) and not query.isActive
+    assert sorted(v for _, vs in seen for v in vs) == list(range(300)) and len(seen) == 3
+    # a restart goes on from the checkpoint
+    sm.publish(rows(spark, 300, 310), root, "s")
+    again = []
+    live.drain(live.for_each_batch(sm.read_stream(spark, root, "s"), lambda b, i: again.extend(r["Val"] for r in b.collect()), str(tmp_path / "c"), available_now=True))
+    assert sorted(again) == list(range(300, 310))
+
+
+def test_stream_that_starts_empty(spark, tmp_path):
+    root = str(tmp_path / "streams")
+    sm.register_stream(spark, root, "s", SCHEMA)
+    query = live.for_each_batch(sm.read_stream(spark, root, "s"), lambda b, i: None, str(tmp_path / "c"), available_now=True)
+    assert live.drain(query, timeout=60)
+
+
+def test_one_stream_to_two_sinks(spark, root, tmp_path):
+    out = str(tmp_path / "out")
+    sinks = [live.binary_sink(f"{out}/bin", "Run"), live.csv_sink(f"{out}/csv")]
+    live.drain(live.record_to(sm.read_stream(spark, root, "s", 1), sinks, str(tmp_path / "c"), available_now=True))
+    binary = rec.read_recordings(spark, f"{out}/bin")
+    assert sorted(r["Val"] for r in binary.collect()) == list(range(300))
+    csv = spark.read.option("header", True).csv(f"{out}/csv/*")
+    assert sorted(int(r["Val"]) for r in csv.collect()) == list(range(300))
+
+
+def test_a_retried_batch_replaces_its_output(spark, tmp_path):
+    out = str(tmp_path / "bin")
+    sink = live.binary_sink(out)
+    for _ in range(2):
+        sink(sm.conform(rows(spark, 0, 10), SCHEMA), 0)
+    assert rec.read_recordings(spark, out).count() == 10
+
+
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_latest_records_kept_live(spark, root, tmp_path, limit):
+    out = str(tmp_path / "out")
+    sdf = sm.read_stream(spark, root, "s", 1)
+    live.drain(live.latest_stream(sdf, 7, out, str(tmp_path / "c"), "stream", ORDER, available_now=True, max_group_rows=limit))
+    got = sorted(tuple(r) for r in live.read_result(spark, out).select("stream", "Val", "seq").collect())
+    want = od.latest(rows(spark, 0, 300), 7, ORDER, "stream").select("stream", "Val", "seq")
+    assert got == sorted(tuple(r) for r in want.collect())
+    assert len(live._versions(out)) == live.KEEP_VERSIONS
+
+
+def test_late_records_still_count(spark, root, tmp_path):
+    """The part published last is older than the one before; positions must not be off."""
+    out = str(tmp_path / "out")
+    live.drain(live.latest_stream(sm.read_stream(spark, root, "s", 1), 1000, out, str(tmp_path / "c"), "stream", ORDER, available_now=True))
+    got = sorted(tuple(r) for r in live.read_result(spark, out).select("Val", "seq").collect())
+    assert got == sorted(tuple(r) for r in od.with_seq(rows(spark, 0, 300), ORDER, "stream").select("Val", "seq").collect())
+
+
+def test_running_summary_and_rate_kept_live(spark, root, tmp_path):
+    sdf = sm.read_stream(spark, root, "s", 1)
+    live.drain(live.keep_result(st.running_summary(sdf, "y", "stream"), str(tmp_path / "a"), str(tmp_path / "ca"), available_now=True))
+    live.drain(live.keep_result(live.live_rate(sdf, 10), str(tmp_path / "b"), str(tmp_path / "cb"), available_now=True))
+    got = {r["stream"]: tuple(r)[1:] for r in live.read_result(spark, str(tmp_path / "a")).collect()}
+    assert got == {r["stream"]: tuple(r)[1:] for r in st.running_summary(rows(spark, 0, 300), "y", "stream").collect()}
+    rate = sorted(tuple(r) for r in live.read_result(spark, str(tmp_path / "b")).collect())
+    assert rate == sorted(tuple(r) for r in st.rate(rows(spark, 0, 300), 10).collect())
+
+
+def test_code_per_record_with_hooks(spark, root, tmp_path):
+    out = tmp_path / "seen"
+    out.mkdir()
+    state = {}
+
+    def start(partition, epoch):
+        state["f"] = open(f"{out}/{epoch}-{partition}", "w")
+
+    query = live.for_each_record(
+        sm.read_stream(spark, root, "s", 1), lambda r: print(json.dumps(r["Val"]), file=state["f"]), str(tmp_path / "c"),
+        start, lambda error: state["f"].close(), available_now=True,
+    )
+    live.drain(query)
+    assert sorted(int(x) for p in out.iterdir() for x in p.read_text().split()) == list(range(300))
+
+
+def test_progress_callbacks(spark, root, tmp_path):
+    counts = []
+
+    def fails(progress):
+        raise RuntimeError("not the stream's problem")
+
+    off = [live.on_progress(spark, lambda p: counts.append(p.numInputRows)), live.on_progress(spark, fails)]
+    live.drain(live.for_each_batch(sm.read_stream(spark, root, "s", 1), lambda b, i: b.count() and None, str(tmp_path / "c"), available_now=True))
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    for stop in off:
+        stop()
+    assert sum(counts) >= 300 and len([c for c in counts if c]) == 3
+
+
+def test_halt_stops_at_once(spark, tmp_path):
+    schema = record_schema([("Sample", "Float"), ("Index", "UInt32")])
+    sdf = ex.producer_stream(spark, schema, lambda i: {"Sample": [math.sin(0.01 * x) for x in i], "Index": i}, 100)
+    query = live.for_each_batch(sdf, lambda b, i: None, str(tmp_path / "c"))
+    assert query.isActive
+    live.halt(query)
+    assert not query.isActive
+
+
+def test_recordings_read_live(spark, tmp_path):
+    path, out = str(tmp_path / "rec"), str(tmp_path / "out")
+    rec.write_recordings(sm.conform(rows(spark, 0, 200), SCHEMA).repartition(2), path, "Live")
+    sdf = rec.stream_recordings(spark, path, split_bytes=500, max_files=1)
+    live.drain(live.for_each_batch(sdf, lambda b, i: b.write.mode("overwrite").parquet(f"{out}/b={i}"), str(tmp_path / "c"), available_now=True))
+    got = spark.read.parquet(out)
+    assert sorted(r["Val"] for r in got.collect()) == list(range(200))
+    assert got.groupBy("_file").agg((F.max("_pos") + 1 - F.count("*")).alias("gap")).where("gap <> 0").count() == 0

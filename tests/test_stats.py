@@ -1,0 +1,134 @@
+import math
+import statistics
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from recspark.operators import stats as st, status as sx
+from recspark.schema import record_schema
+
+ORDER = ["TimeStamp", "Val"]
+NAN = float("nan")
+
+
+def signal(spark, n):
+    return (
+        spark.range(n)
+        .select(
+            F.col("id").cast("double").alias("TimeStamp"), F.col("id").alias("Val"), (F.sin(F.col("id") * 0.01) * 5 + 12).alias("y"),
+            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 5)).alias("stream"),
+        )
+        .repartition(5, F.hash("Val"))
+    )
+
+
+def values(n):
+    return [12 + 5 * math.sin(0.01 * i) for i in range(n)]
+
+
+def test_field_stats_over_scalars_and_arrays(spark):
+    schema = record_schema([("A", "Int8", 2), ("V", "Float"), ("Note", "Char", 3), ("Ok", "Bool")])
+    df = spark.createDataFrame([(1.0, [1, 2], 0.5, "x", True), (3.0, [5, 8], 1.5, "y", False)], schema)
+    got = {r["field"]: tuple(r)[1:] for r in st.field_stats(df).collect()}
+    assert got == {"TimeStamp": (2, 2.0, 1.0, 3.0), "A": (4, 4.0, 1.0, 8.0), "V": (2, 1.0, 0.5, 1.5)}
+
+
+def test_field_stats_nan_wins(spark):
+    df = spark.createDataFrame([(0.0, NAN, [1.0, NAN]), (1.0, 2.0, [3.0, 4.0])], record_schema([("V", "Double"), ("A", "Double", 2)]))
+    got = {r["field"]: tuple(r)[1:] for r in st.field_stats(df).collect()}
+    for f, n in (("V", 2), ("A", 4)):
+        assert got[f][0] == n and all(math.isnan(x) for x in got[f][1:])
+
+
+def test_field_stats_by_stream_and_empty(spark):
+    df = signal(spark, 100)
+    got = st.field_stats(df, "stream", ["Val"])
+    assert {r["stream"]: r["count"] for r in got.collect()}["hot"] == 34
+    empty = st.field_stats(df.limit(0), fields=["Val"]).first()
+    assert tuple(empty) == ("Val", 0, None, None, None)
+
+
+@pytest.mark.parametrize("n_ranges", [1, 4, 64])
+def test_describe_is_exact(spark, n_ranges):
+    rng = np.random.default_rng(7)
+    a, b = rng.normal(size=997), np.where(rng.random(997) < 0.4, 3.0, rng.integers(0, 9, 997))
+    schema = record_schema([("a", "Double"), ("b", "Double"), ("c", "Double")])
+    df = spark.createDataFrame([(float(i), float(x), float(y), NAN) for i, (x, y) in enumerate(zip(a, b))], schema)
+    got = {r["field"]: r for r in st.describe(df, ["a", "b", "c"], n_ranges=n_ranges).collect()}
+    for name, xs in (("a", a), ("b", b)):
+        want = (997, xs.mean(), xs.std(ddof=1), xs.min(), *np.quantile(xs, [0.25, 0.5, 0.75]), xs.max())
+        assert tuple(got[name])[1:] == pytest.approx(want, rel=1e-12)
+    assert tuple(got["c"])[1:] == (0, None, None, None, None, None, None, None)
+
+
+def test_batch_stats(spark):
+    got = st.batch_stats(signal(spark, 1_050), 200, "y", ORDER).orderBy("batch").collect()
+    ys = values(1_050)
+    for r in got:
+        part = ys[r["batch"] * 200 : r["batch"] * 200 + 200]
+        assert (r["count"], r["total"]) == (len(part), r["batch"] * 200 + len(part))
+        assert r["mean"] == pytest.approx(statistics.fmean(part))
+        assert r["std"] == pytest.approx(statistics.pstdev(part))
+    assert len(got) == 6
+
+
+def check_running(rows, by):
+    seen = {}
+    for r in sorted(rows, key=lambda r: r["Val"]):
+        xs = seen.setdefault(r["stream"] if by else 0, [])
+        xs.append(r["y"])
+        assert r["count"] == len(xs) and r["min"] == min(xs) and r["max"] == max(xs)
+        assert r["mean"] == pytest.approx(statistics.fmean(xs))
+
+
+@pytest.mark.parametrize("by, limit", [(None, 0), ("stream", 0), ("stream", 10**9)])
+def test_running_stats(spark, by, limit):
+    rows = st.running_stats(signal(spark, 900), "y", ORDER, by, n_ranges=7, max_group_rows=limit).collect()
+    assert len(rows) == 900
+    check_running(rows, by)
+
+
+def test_running_stats_pass_over_nan_for_min_and_max(spark):
+    df = spark.createDataFrame([(0.0, NAN), (1.0, 2.0), (2.0, 5.0), (3.0, NAN)], record_schema([("y", "Double")]))
+    rows = st.running_stats(df, "y", "TimeStamp", n_ranges=3).orderBy("TimeStamp").collect()
+    assert [(r["min"], r["max"]) for r in rows] == [(math.inf, -math.inf), (2.0, 2.0), (2.0, 5.0), (2.0, 5.0)]
+    assert all(math.isnan(r["mean"]) for r in rows)
+
+
+def test_running_summary(spark):
+    ys = values(300)
+    assert tuple(st.running_summary(signal(spark, 300), "y").first()) == pytest.approx((300, statistics.fmean(ys), min(ys), max(ys)))
+    assert tuple(st.running_summary(signal(spark, 0), "y").first()) == (0, 0.0, 0.0, 0.0)
+
+
+def test_rate(spark):
+    got = st.rate(signal(spark, 25), 10).orderBy("TimeStamp").collect()
+    assert [tuple(r) for r in got] == [(0.0, 10, 1.0), (10.0, 10, 1.0), (20.0, 5, 0.5)]
+
+
+def test_visible_range_pads(spark):
+    schema = record_schema([("a", "Double"), ("flat", "Double"), ("zero", "Int32"), ("w", "UInt8", ["bit"])])
+    df = spark.createDataFrame([(float(i), float(i), 40.0, 0, i % 2) for i in range(11)], schema)
+    got = {r["channel"]: tuple(r)[1:] for r in st.visible_range(df, 2, 6, skip=["TimeStamp"]).collect()}
+    assert got == {
+        "a": pytest.approx((1.8, 6.2)), "flat": pytest.approx((38.0, 42.0)), "zero": (-1.0, 1.0), "w": pytest.approx((-0.05, 1.05)),
+    }
+    assert st.visible_range(df, 100, 200).count() == 0
+
+
+def test_stream_status(spark):
+    df = spark.createDataFrame([(float(v), v, "a") for v in (1, 2, 3, 4)] + [(1.0, 1, "b")], "TimeStamp double, Val int, stream string")
+    got = {r["stream"]: (r["total_written"], r["size"], r["overwritten"]) for r in sx.stream_status(df, 3).collect()}
+    assert got == {"a": (4, 3, 1), "b": (1, 1, 0)}
+
+
+def test_consumer_lag_and_write_space(spark):
+    status = spark.createDataFrame([("a", 10, 8), ("b", 5, 8), ("c", 1, 8)], "stream string, total_written long, capacity long")
+    cursors = spark.createDataFrame(
+        [("a", "x", 7), ("a", "y", 10), ("a", "ui", None), ("b", "ui", None)], "stream string, consumer string, cursor long"
+    )
+    lag = {(r["stream"], r["consumer"]): r["lag"] for r in sx.consumer_lag(status, cursors).collect()}
+    assert lag == {("a", "x"): 3, ("a", "y"): 0, ("a", "ui"): None, ("b", "ui"): None}
+    space = {r["stream"]: (r["max_lag"], r["free"]) for r in sx.write_space(status, cursors).collect()}
+    assert space == {"a": (3, 5), "b": (0, 8), "c": (0, 8)}
