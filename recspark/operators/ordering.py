@@ -7,12 +7,12 @@ tell streams apart.  Positions count from 0.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..plans.ranges import BUCKET, KeyRanges, add_range, add_ranges, col, column_ranges, default_ranges, key_ranges, literal_array
+from ..plans.ranges import BUCKET, KeyRanges, add_range, col, default_ranges, key_ranges, literal_array
 from ..schema import TIME_FIELD
 
 # A stream up to this many rows is ordered by one task (the sort spills); a larger one is cut
@@ -137,50 +137,6 @@ def positions_between(
     return _positions_in_ranges(part, ranges, starts, seq).where(col(seq).between(lo, hi - 1))
 
 
-def values_at(df: DataFrame, ranks: Mapping[str, Iterable[int]], n_ranges: int | None = None) -> dict[tuple[str, int], float]:
-    """The values at given ranks of double columns, each sorted ascending: ``{(column, rank): value}``.
-
-    Nulls are left out.  Three passes over all columns together: cut points, rows per range,
-    and the distinct values of those ranges that hold a wanted rank.  Equal values are counted
-    before they are shuffled.
-    """
-    names = list(ranks)
-    ranges = column_ranges(df, names, n_ranges)
-    numbered = add_ranges(df, {f"__r{i}": r for i, r in enumerate(ranges)})
-    cells = numbered.select(
-        F.inline(
-            F.array(
-                *[F.struct(F.lit(i).alias("c"), col(n).alias("v"), F.col(f"__r{i}").alias(BUCKET)) for i, n in enumerate(names)]
-            )
-        )
-    ).where(F.col("v").isNotNull())
-
-    counts = [[0] * r.count for r in ranges]
-    for row in cells.groupBy("c", BUCKET).count().collect():
-        counts[row["c"]][row[BUCKET]] = row["count"]
-    starts = [_starts(c) for c in counts]
-    wanted = [sorted(set(ranks[n])) for n in names]
-    holds = F.lit(False)
-    for i in range(len(names)):
-        hit = [b for b, (s, c) in enumerate(zip(starts[i], counts[i])) if any(s <= r < s + c for r in wanted[i])]
-        holds = holds | ((F.col("c") == i) & F.col(BUCKET).isin(hit))
-
-    def table(lists):
-        return F.get(F.array(*[literal_array(xs, "bigint") for xs in lists]), F.col("c"))
-
-    upto = Window.partitionBy("c", BUCKET).orderBy("v")
-    end = F.sum("count").over(upto) + F.get(table(starts), F.col(BUCKET))
-    rows = (
-        cells.where(holds)
-        .groupBy("c", BUCKET, "v")
-        .count()
-        .withColumn("end", end)
-        .select("c", "v", F.explode(F.filter(table(wanted), lambda r: (r >= F.col("end") - F.col("count")) & (r < F.col("end")))).alias("r"))
-        .collect()
-    )
-    return {(names[r["c"]], r["r"]): r["v"] for r in rows}
-
-
 def batches(df: DataFrame, n: int, order_by=TIME_FIELD, by=None, **opts) -> DataFrame:
     """Add ``seq`` and the number of the ``n``-record batch each record falls in."""
     if n < 1:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.fields import channel_list, in_range
-from ..plans.ranges import BUCKET, add_range, col, key_ranges
+from ..plans.ranges import BUCKET, add_range, col, key_ranges, literal_array
 from ..schema import TIME_FIELD, is_array, is_numeric
 from .ordering import (
     MAX_GROUP_ROWS,
@@ -18,7 +19,6 @@ from .ordering import (
     earlier_ranges,
     has_hot_stream,
     stream_key,
-    values_at,
 )
 
 NAN = float("nan")
@@ -82,42 +82,102 @@ def describe(
     df: DataFrame,
     fields: Sequence[str] | None = None,
     quantiles: Sequence[float] = QUARTILES,
-    n_ranges: int | None = None,
+    accuracy: int = 10_000,
+    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Count, mean, sample deviation, min, exact quantiles (linear) and max of each field.
 
     ``[field, count, mean, std, min, p25, p50, p75, max]``; NaN counts as missing.  Spark's
-    ``percentile`` keeps all distinct values of a field in one task, so the quantiles are
-    looked up by rank instead.
+    ``percentile`` keeps all distinct values of a field in one task.  Here a sketch brackets
+    each quantile within a few parts in ``accuracy``, and only values in a bracket are ranked.
     """
     used = [f for f in _fields(df, fields, ()) if not is_array(f)]
-    names = [f"p{round(p * 100):d}" for p in quantiles]
-    solid = {}
-    for f in used:
-        x = col(f.name).cast("double")
-        solid[f.name] = F.when(~F.isnan(x), x)
-    basic = df.agg(
-        *[
-            agg(x).alias(f"{agg.__name__}{i}")
-            for i, x in enumerate(solid.values())
-            for agg in (F.count, F.avg, F.stddev_samp, F.min, F.max)
-        ]
-    ).first()
+    doubles = {f.name: col(f.name).cast("double") for f in used}
+    df = df.select(*[F.when(~F.isnan(x), x).alias(n) for n, x in doubles.items()])
+    slack = 3 / accuracy
+    grid = [min(1.0, max(0.0, p + d)) for p in quantiles for d in (-slack, slack)]
+    aggs = []
+    for i, name in enumerate(df.columns):
+        x = col(name)
+        aggs += [agg(x).alias(f"{agg.__name__}{i}") for agg in (F.count, F.avg, F.stddev_samp, F.min, F.max)]
+        aggs.append(F.percentile_approx(x, literal_array(grid, "double"), F.lit(accuracy)).alias(f"q{i}"))
+    basic = df.agg(*aggs).first()
+
+    spots, brackets = {}, {}
+    for i, name in enumerate(df.columns):
+        total, lo, hi = basic[f"count{i}"], basic[f"min{i}"], basic[f"max{i}"]
+        for k, p in enumerate(quantiles if total else ()):
+            spots[name, p] = p * (total - 1)
+            # few rows need no bracket, and then it would not be sure to hold both ranks
+            brackets[name, p] = (name, lo, hi) if total < 10 * accuracy else (name, *basic[f"q{i}"][2 * k : 2 * k + 2])
+    values = _ranked(df, {key: (floor(s), ceil(s)) for key, s in spots.items()}, brackets, accuracy, max_group_rows)
 
-    spots = {f.name: [p * (basic[f"count{i}"] - 1) for p in quantiles] for i, f in enumerate(used) if basic[f"count{i}"]}
-    ranks = {name: {r for s in at for r in (floor(s), ceil(s))} for name, at in spots.items()}
-    values = values_at(df.select(*[solid[name].alias(name) for name in ranks]), ranks, n_ranges) if ranks else {}
+    rows = []
+    for i, name in enumerate(df.columns):
+        marks = []
+        for p in quantiles:
+            spot = spots.get((name, p))
+            a, b = (None, None) if spot is None else (values[name, floor(spot)], values[name, ceil(spot)])
+            marks.append(None if spot is None else a + (b - a) * (spot - floor(spot)))
+        rows.append((name, basic[f"count{i}"], basic[f"avg{i}"], basic[f"stddev_samp{i}"], basic[f"min{i}"], *marks, basic[f"max{i}"]))
+    names = ["mean", "std", "min", *[f"p{round(p * 100):d}" for p in quantiles], "max"]
+    return df.sparkSession.createDataFrame(rows, "field string, count long, " + ", ".join(f"{c} double" for c in names))
+
+
+def _ranked(df: DataFrame, ranks: dict, brackets: dict, accuracy: int, max_group_rows: int) -> dict[tuple[str, int], float]:
+    """Values at ranks, looked for inside each quantile's bracket: ``{(column, rank): value}``.
+
+    A bracket that still holds many rows is narrowed by another sketch; a rank outside its
+    bracket is looked for again among all values of the column.
+    """
+    spans = sorted(set(brackets.values()))
+    if not spans:
+        return {}
+    inside = [col(n).between(lo, hi) for n, lo, hi in spans]
+    below = df.agg(
+        *[F.count_if(col(n) < lo).alias(f"b{j}") for j, (n, lo, _) in enumerate(spans)],
+        *[F.count_if(hit).alias(f"n{j}") for j, hit in enumerate(inside)],
+    ).first()
 
-    def quantile(name: str, spot: float) -> float:
-        a, b = values[name, floor(spot)], values[name, ceil(spot)]
-        return a + (b - a) * (spot - floor(spot))
+    grids = {}
+    for key, span in brackets.items():
+        j = spans.index(span)
+        if below[f"n{j}"] > max_group_rows:
+            at = [(r - below[f"b{j}"]) / below[f"n{j}"] for r in ranks[key]]
+            grids[key] = [min(1.0, max(0.0, x)) for x in (min(at) - 3 / accuracy, max(at) + 3 / accuracy)]
+    if grids:
+        sketches = [
+            F.percentile_approx(F.when(inside[spans.index(brackets[key])], col(key[0])), literal_array(g, "double"), F.lit(accuracy))
+            for key, g in grids.items()
+        ]
+        found = df.agg(*[q.alias(f"q{i}") for i, q in enumerate(sketches)]).first()
+        narrow = brackets | {key: (key[0], *found[f"q{i}"]) for i, key in enumerate(grids)}
+        if narrow != brackets:
+            return _ranked(df, ranks, narrow, accuracy, max_group_rows)
 
-    rows = []
-    for i, f in enumerate(used):
-        marks = [quantile(f.name, s) for s in spots[f.name]] if f.name in spots else [None] * len(names)
-        rows.append((f.name, basic[f"count{i}"], basic[f"avg{i}"], basic[f"stddev_samp{i}"], basic[f"min{i}"], *marks, basic[f"max{i}"]))
-    doubles = ["mean", "std", "min", *names, "max"]
-    return df.sparkSession.createDataFrame(rows, "field string, count long, " + ", ".join(f"{c} double" for c in doubles))
+    cells = df.where(reduce(Column.__or__, inside)).select(
+        F.explode(F.array(*[F.when(hit, F.struct(F.lit(j).alias("j"), col(n).alias("v"))) for j, (hit, (n, _, _)) in enumerate(zip(inside, spans))])).alias("x")
+    )
+    wanted = [sorted({r for key, rs in ranks.items() if brackets[key] == s for r in rs}) for s in spans]
+    here = F.get(F.array(*[literal_array(w, "bigint") for w in wanted]), F.col("j"))
+    start = F.get(literal_array([below[f"b{j}"] for j in range(len(spans))], "bigint"), F.col("j"))
+    upto = Window.partitionBy("j").orderBy("v")
+    found = (
+        cells.where(F.col("x").isNotNull())
+        .groupBy("x.j", "x.v")  # equal values are counted before they are shuffled
+        .count()
+        .withColumn("end", F.sum("count").over(upto) + start)
+        .select("j", "v", F.explode(F.filter(here, lambda r: (r >= F.col("end") - F.col("count")) & (r < F.col("end")))).alias("r"))
+        .collect()
+    )
+    values = {(spans[r["j"]][0], r["r"]): r["v"] for r in found}
+    lost = {key: rs for key, rs in ranks.items() if any((key[0], r) not in values for r in rs)}
+    if lost:
+        whole = {key: (key[0], float("-inf"), float("inf")) for key in lost}
+        if all(brackets[key] == whole[key] for key in lost):
+            raise RuntimeError(f"the rows changed between passes: no value at {lost}")
+        values |= _ranked(df, lost, whole, accuracy, max_group_rows)
+    return values
 
 
 def batch_stats(df: DataFrame, n: int, field: str, order_by=TIME_FIELD, by=None, **opts) -> DataFrame:

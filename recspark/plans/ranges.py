@@ -15,7 +15,7 @@ cuts gives the same answer.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import groupby
 from math import isnan
@@ -34,8 +34,17 @@ def col(name: str) -> Column:
 
 def literal_array(values: Sequence, element: str) -> Column:
     """A constant array; one literal however long, since Spark folds it when it plans."""
-    text = ",".join("" if v is None else str(v) for v in values)
-    return F.split(F.lit(text), ",").try_cast(f"array<{element}>") if values else F.array().cast(f"array<{element}>")
+    if not values:
+        return F.array().cast(f"array<{element}>")
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{element}>")
+
+
+def _smallest(dtype: T.DataType) -> str:
+    """The least non-null value of a key type, as text."""
+    if isinstance(dtype, T.DecimalType):
+        return "-" + "9" * (dtype.precision - dtype.scale)
+    bits = {T.ByteType(): 8, T.ShortType(): 16, T.IntegerType(): 32}.get(dtype, 64)
+    return "-Infinity" if isinstance(dtype, (T.FloatType, T.DoubleType)) else str(-(2 ** (bits - 1)))
 
 
 def default_ranges(df: DataFrame) -> int:
@@ -89,18 +98,21 @@ class KeyRanges:
         return [_as_number(n, t) for n, t in self.keys[: self._depth()]]
 
     def points(self) -> list[Column]:
-        """The cuts as one constant array per key column; null where a cut is shorter."""
-        types = [t.simpleString() if isinstance(t, T.NumericType) else "bigint" for _, t in self.keys]
+        """The cuts as one constant array per key column; a shorter cut starts at the least value."""
         return [
-            literal_array([c[i] if i < len(c) else None for c in self.cuts], types[i]) for i in range(self._depth())
+            literal_array(
+                [c[i] if i < len(c) else _smallest(t) for c in self.cuts],
+                t.simpleString() if isinstance(t, T.NumericType) else "bigint",
+            )
+            for i, (_, t) in enumerate(self.keys[: self._depth()])
         ]
 
     def cut_is_at_or_below(self, i: Column, points: Sequence[Column], keys: Sequence[Column]) -> Column:
-        """Is cut ``i`` not above a row's key?  Column by column; nulls sort first."""
-        held = F.lit(True)
+        """Is cut ``i`` not above a row's key?  Column by column; null for a null key."""
+        held = None
         for values, key in reversed(list(zip(points, keys))):
             cut = F.get(values, i)
-            held = cut.isNull() | (cut < key) | ((cut == key) & held)
+            held = cut <= key if held is None else (cut < key) | ((cut == key) & held)
         return held
 
     def within(self, first: int, last: int) -> Column:
@@ -115,41 +127,28 @@ class KeyRanges:
                 cond = cond & self.cut_is_at_or_below(F.lit(first - 1), self.points(), self.key_columns())
         if last < len(self.cuts):
             above = self.cut_is_at_or_below(F.lit(last), self.points(), self.key_columns())
-            upto = (col(name) <= _native_literal(self.cuts[last][0], dtype)) & ~above
+            upto = (col(name) <= _native_literal(self.cuts[last][0], dtype)) & ~F.coalesce(above, F.lit(False))
             cond = cond & (upto if first > 0 else upto | col(name).isNull())
         return cond
 
 
 def add_range(df: DataFrame, ranges: KeyRanges, name: str = BUCKET) -> DataFrame:
-    """Add the range number of each row: how many cuts are not above its key."""
-    return add_ranges(df, {name: ranges})
-
-
-def add_ranges(df: DataFrame, ranges: Mapping[str, KeyRanges]) -> DataFrame:
-    """Add several range numbers at once, by binary search.
+    """Add the range number of each row: how many cuts are not above its key.
 
-    Each halving step is a projection of its own, which keeps the search inside generated
-    code; as one nested expression it would double in size with every step.
+    Each halving step of the binary search is a projection of its own, which keeps the search
+    inside generated code; as one nested expression it would double in size with every step.
     """
-    cut = {name: r for name, r in ranges.items() if r.cuts}
-    keys = {name: [f"__key{i}_{name}" for i in range(len(r.key_columns()))] for name, r in cut.items()}
-    out = df.select(
-        "*",
-        *[F.lit(0).alias(name) for name in ranges],
-        *[c.alias(k) for name, r in cut.items() for c, k in zip(r.key_columns(), keys[name])],
-    )
-    points = {name: r.points() for name, r in cut.items()}
-    step = 1 << max((len(r.cuts) for r in cut.values()), default=0).bit_length() >> 1
+    if not ranges.cuts:
+        return df.withColumn(name, F.lit(0))
+    keys = [f"__key{i}" for i in range(len(ranges.key_columns()))]
+    out = df.select("*", F.lit(0).alias(name), *[c.alias(k) for c, k in zip(ranges.key_columns(), keys)])
+    points, n, at = ranges.points(), len(ranges.cuts), F.col(name)
+    step = 1 << n.bit_length() >> 1
     while step:
-        moved = {}
-        for name, r in cut.items():
-            if step <= len(r.cuts):
-                at = F.col(name)
-                up = (at <= len(r.cuts) - step) & r.cut_is_at_or_below(at + (step - 1), points[name], [F.col(k) for k in keys[name]])
-                moved[name] = at + F.when(up, F.lit(step)).otherwise(F.lit(0))
-        out = out.withColumns(moved)
+        up = (at <= n - step) & ranges.cut_is_at_or_below(at + (step - 1), points, [F.col(k) for k in keys])
+        out = out.withColumn(name, at + F.when(up, F.lit(step)).otherwise(F.lit(0)))
         step >>= 1
-    return out.drop(*[k for ks in keys.values() for k in ks])
+    return out.drop(*keys)
 
 
 def key_ranges(df: DataFrame, order_by: Sequence[str], n_ranges: int | None = None) -> KeyRanges:
@@ -180,18 +179,6 @@ def key_ranges(df: DataFrame, order_by: Sequence[str], n_ranges: int | None = No
     return KeyRanges(tuple(order_by), tuple(keys), tuple(sorted(cuts)))
 
 
-def column_ranges(df: DataFrame, names: Sequence[str], n_ranges: int | None = None) -> list[KeyRanges]:
-    """Cut each numeric column by its own quantiles, all in one pass."""
-    n = min(MAX_RANGES, n_ranges or default_ranges(df))
-    if n < 2:
-        return [KeyRanges((c,), ((c, df.schema[c].dataType),), ()) for c in names]
-    row = df.agg(*[_sketch(col(c), n).alias(f"q{i}") for i, c in enumerate(names)]).first()
-    return [
-        KeyRanges((c,), ((c, df.schema[c].dataType),), tuple((v,) for v in sorted({v for v in row[f"q{i}"] or [] if not _is_nan(v)})))
-        for i, c in enumerate(names)
-    ]
-
-
 def _sketch(value: Column, pieces: int) -> Column:
     """The ``pieces - 1`` evenly spaced quantiles of a column, approximately."""
     grid = literal_array([i / pieces for i in range(1, pieces)], "double")

@@ -415,7 +415,7 @@ def stream_records(spark, sf):
     """A live read, published into a second stream batch by batch."""
     out, ckpt = work_dir(spark, "live"), work_dir(spark, "checkpoint")
     sm.register_stream(spark, out, "copy", EVENT_RECORD)
-    query = live.for_each_batch(_live(spark, sf), lambda b, i: sm.publish(b, out, "copy"), ckpt, available_now=True)
+    query = live.for_each_batch(_live(spark, sf), lambda b, i: sm.publish(b, out, "copy", batch=i), ckpt, available_now=True)
     live.drain(query)
     return sm.read_table(spark, out, "copy")
 

@@ -227,16 +227,28 @@ SECTIONS = T.StructType(
 )
 
 
-def sections(spark: SparkSession, path: str, files_per_task: int = 64) -> DataFrame:
+def _found_files(reader, path: str) -> DataFrame:
+    """Paths and lengths as Spark's file source lists them; contents are not read."""
+    return (
+        reader.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .option("recursiveFileLookup", True)
+        .load(path)
+        .select("path", "length")
+    )
+
+
+def sections(spark: SparkSession, path: str) -> DataFrame:
     """Section inventory of recordings, one row per section, without reading data bodies."""
-    files = spark.createDataFrame([(f.path, f.size) for f in list_files(path)], "path string, size long")
-    n = max(1, files.count() // files_per_task)
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    out = to_arrow_schema(SECTIONS)
 
     def inspect(batches):
-        fs, _ = open_fs(path)
         for batch in batches:
             rows = []
-            for file, size in zip(batch.column("path").to_pylist(), batch.column("size").to_pylist()):
+            for uri, size in zip(batch.column("path").to_pylist(), batch.column("length").to_pylist()):
+                fs, file = open_fs(uri)
                 with fs.open_input_file(file) as f:
                     rows += [
                         {
@@ -254,10 +266,7 @@ def sections(spark: SparkSession, path: str, files_per_task: int = 64) -> DataFr
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=out)
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    out = to_arrow_schema(SECTIONS)
-    return files.repartition(n).mapInArrow(inspect, SECTIONS)
+    return _found_files(spark.read, path).mapInArrow(inspect, SECTIONS)
 
 
 def register(spark: SparkSession) -> None:
@@ -285,14 +294,7 @@ def stream_recordings(spark: SparkSession, path: str, split_bytes: int = SPLIT_B
     schema, _ = first_schema(path)
     full = T.StructType([*schema.fields, *FILE_COLUMNS])
     arrow = to_arrow_schema(full)
-    files = (
-        spark.readStream.format("binaryFile")
-        .schema("path string, modificationTime timestamp, length long, content binary")
-        .option("maxFilesPerTrigger", max_files)
-        .option("pathGlobFilter", f"*{SUFFIX}")
-        .load(path)
-        .select("path", "length")
-    )
+    files = _found_files(spark.readStream.option("maxFilesPerTrigger", max_files).option("pathGlobFilter", f"*{SUFFIX}"), path)
     ranges = files.withColumn(
         "lo", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0).cast("long")), F.lit(split_bytes).cast("long")))
     )

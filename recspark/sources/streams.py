@@ -115,15 +115,22 @@ def stream_path(root: str, name: str) -> str:
     return f"{root}/{quote(name, safe='')}"
 
 
-def publish(df: DataFrame, root: str, name: str) -> int:
-    """Append records to a registered stream; returns how many were committed."""
-    spark = df.sparkSession
-    schema = stream_schema(spark, root, name)
+def publish(df: DataFrame, root: str, name: str, batch: int | None = None) -> int:
+    """Append records to a registered stream; returns how many were committed.
+
+    With the id of a micro-batch, publishing it again after a failure adds nothing.
+    """
+    schema = stream_schema(df.sparkSession, root, name)
     if schema is None:
         raise LookupError(f"stream {name!r} is not registered")
+    path = stream_path(root, name)
+    if batch is not None:
+        path = f"{path}/batch-{batch:012d}"
+        if _exists(f"{path}/_SUCCESS"):
+            return 0
     seen = Observation()
     rows = conform(df, schema).observe(seen, F.count(F.lit(1)).alias("n"))
-    rows.write.mode("append").parquet(stream_path(root, name))
+    rows.write.mode("append" if batch is None else "overwrite").parquet(path)
     return seen.get["n"]
 
 
@@ -139,7 +146,8 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     schema = _known(spark, root, name)
     if not _exists(stream_path(root, name)):
         return spark.createDataFrame([], schema)
-    return with_fields(spark.read.schema(schema).parquet(stream_path(root, name)), schema)
+    table = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(stream_path(root, name))
+    return with_fields(table, schema)
 
 
 def read_stream(spark: SparkSession, root: str, name: str, max_files: int = 1_000) -> DataFrame:
@@ -148,8 +156,8 @@ def read_stream(spark: SparkSession, root: str, name: str, max_files: int = 1_00
     path = stream_path(root, name)
     if not _exists(path):
         spark.createDataFrame([], schema).write.mode("append").parquet(path)
-    live = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
-    return with_fields(live, schema)
+    files = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", max_files)
+    return with_fields(files.parquet(path), schema)
 
 
 def with_fields(df: DataFrame, schema: T.StructType) -> DataFrame:

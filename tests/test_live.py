@@ -73,6 +73,16 @@ def test_a_retried_batch_replaces_its_output(spark, tmp_path):
     assert rec.read_recordings(spark, out).count() == 10
 
 
+def test_a_batch_published_twice_counts_once(spark, root):
+    sm.register_stream(spark, root, "t", SCHEMA)
+    assert [sm.publish(rows(spark, 0, 10), root, "t", batch=4) for _ in range(2)] == [10, 0]
+    sm.publish(rows(spark, 10, 15), root, "t")
+    assert sm.read_table(spark, root, "t").count() == 15
+    seen = []
+    live.drain(live.for_each_batch(sm.read_stream(spark, root, "t"), lambda b, i: seen.append(b.count()), f"{root}-c", available_now=True))
+    assert sum(seen) == 15
+
+
 @pytest.mark.parametrize("limit", [0, 10**9])
 def test_latest_records_kept_live(spark, root, tmp_path, limit):
     out = str(tmp_path / "out")

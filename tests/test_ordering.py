@@ -56,6 +56,14 @@ def test_nan_and_null_times_keep_their_rows(spark):
     assert [r["Val"] for r in od.latest(df, 2, ORDER, n_ranges=4).collect()] == [3, 4]
 
 
+def test_null_tie_breakers_keep_their_rows(spark):
+    df = spark.range(100).select(F.lit(1.0).alias("TimeStamp"), F.when(F.col("id") > 0, F.col("id")).alias("Val"))
+    got = od.with_seq(df, ORDER, n_ranges=8)
+    assert got.where("seq <> coalesce(Val, 0)").count() == 0
+    for lo, n in ((0, 5), (0, 100), (10, 20), (95, 5)):
+        assert sorted(r["seq"] for r in od.slice_records(df, lo, n, ORDER, n_ranges=8).collect()) == list(range(lo, lo + n))
+
+
 def test_empty_stream(spark):
     df = stream(spark, 0)
     assert od.with_seq(df, ORDER).count() == 0

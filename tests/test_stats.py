@@ -49,19 +49,25 @@ def test_field_stats_by_stream_and_empty(spark):
     assert tuple(empty) == ("Val", 0, None, None, None)
 
 
-@pytest.mark.parametrize("n_ranges", [1, 4, 64])
-def test_describe_is_exact(spark, n_ranges):
+@pytest.mark.parametrize("accuracy, limit", [(10, 10**6), (60, 20), (100_000, 10**6)])
+def test_describe_is_exact(spark, accuracy, limit):
     rng = np.random.default_rng(7)
     a, b = rng.normal(size=997), np.where(rng.random(997) < 0.4, 3.0, rng.integers(0, 9, 997))
     schema = record_schema([("a", "Double"), ("b", "Double"), ("c", "Double")])
     df = spark.createDataFrame([(float(i), float(x), float(y), NAN) for i, (x, y) in enumerate(zip(a, b))], schema)
-    got = {r["field"]: r for r in st.describe(df, ["a", "b", "c"], n_ranges=n_ranges).collect()}
+    got = {r["field"]: r for r in st.describe(df, ["a", "b", "c"], accuracy=accuracy, max_group_rows=limit).collect()}
     for name, xs in (("a", a), ("b", b)):
         want = (997, xs.mean(), xs.std(ddof=1), xs.min(), *np.quantile(xs, [0.25, 0.5, 0.75]), xs.max())
         assert tuple(got[name])[1:] == pytest.approx(want, rel=1e-12)
     assert tuple(got["c"])[1:] == (0, None, None, None, None, None, None, None)
 
 
+def test_ranks_outside_their_bracket_are_still_found(spark):
+    df = spark.range(1_000).select(F.col("id").cast("double").alias("v"))
+    got = st._ranked(df, {("v", 0.5): (499, 500), ("v", 0.25): (249, 250)}, {("v", 0.5): ("v", 0.0, 10.0), ("v", 0.25): ("v", 240.0, 260.0)}, 100, 10**6)
+    assert {got["v", r] for r in (249, 250, 499, 500)} == {249.0, 250.0, 499.0, 500.0}
+
+
 def test_batch_stats(spark):
     got = st.batch_stats(signal(spark, 1_050), 200, "y", ORDER).orderBy("batch").collect()
     ys = values(1_050)
