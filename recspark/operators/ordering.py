@@ -33,10 +33,10 @@ def stream_key(by: Sequence[str]) -> Column:
     return F.struct(*[col(b).alias(f"b{i}") for i, b in enumerate(by)])
 
 
-def has_hot_stream(df: DataFrame, by: Sequence[str], max_group_rows: int) -> bool:
-    """Does a single stream exceed what one task should order?  Counts are combined map-side."""
-    top = df.groupBy(*[col(b) for b in by]).count().agg(F.max("count")).first()[0]
-    return (top or 0) > max_group_rows
+def stream_sizes(df: DataFrame, by: Sequence[str]) -> tuple[int, int]:
+    """Rows of the largest stream, and of all streams.  Counts are combined map-side."""
+    row = df.groupBy(*[col(b) for b in by]).count().agg(F.max("count"), F.sum("count")).first()
+    return row[0] or 0, row[1] or 0
 
 
 def range_counts(df: DataFrame, ranges: KeyRanges) -> list[int]:
@@ -84,11 +84,12 @@ def with_seq(
         return _positions_in_ranges(df, ranges, _starts(range_counts(df, ranges)), seq)
 
     order = [col(c) for c in order_by]
-    if not has_hot_stream(df, by, max_group_rows):
+    largest, total = stream_sizes(df, by)
+    if largest <= max_group_rows:
         w = Window.partitionBy(*[col(b) for b in by]).orderBy(*order)
         return df.withColumn(seq, (F.row_number().over(w) - 1).cast("long"))
 
-    ranges = key_ranges(df, order_by, n_ranges)
+    ranges = key_ranges(df, order_by, n_ranges, total)
     keyed = add_range(df.withColumn(STREAM, stream_key(by)), ranges)
     earlier = earlier_ranges(keyed, [F.count(F.lit(1)).alias("n")], {"n": F.sum})
     w = Window.partitionBy(STREAM, BUCKET).orderBy(*order)
@@ -157,7 +158,7 @@ def latest(
     if not by:
         return positions_between(df, n, None, order_by, n_ranges=n_ranges, from_end=True).orderBy("seq")
 
-    slices = (n_ranges or default_ranges(df)) if has_hot_stream(df, by, max_group_rows) else 1
+    slices = (n_ranges or default_ranges(df)) if stream_sizes(df, by)[0] > max_group_rows else 1
     totals = df.groupBy(stream_key(by).alias(STREAM)).agg(F.count(F.lit(1)).alias("__total"))
     return (
         newest(df, n, order_by, by, slices)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from math import ceil, floor
+from math import ceil, floor, sqrt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.fields import channel_list, in_range
-from ..plans.ranges import BUCKET, add_range, col, key_ranges, literal_array
+from ..plans.ranges import BUCKET, SAMPLE_ROWS, add_range, col, key_ranges, literal_array, sample_for_sketch
 from ..schema import TIME_FIELD, is_array, is_numeric
 from .ordering import (
     MAX_GROUP_ROWS,
@@ -17,8 +17,8 @@ from .ordering import (
     as_list,
     batches,
     earlier_ranges,
-    has_hot_stream,
     stream_key,
+    stream_sizes,
 )
 
 NAN = float("nan")
@@ -88,28 +88,23 @@ def describe(
     """Count, mean, sample deviation, min, exact quantiles (linear) and max of each field.
 
     ``[field, count, mean, std, min, p25, p50, p75, max]``; NaN counts as missing.  Spark's
-    ``percentile`` keeps all distinct values of a field in one task.  Here a sketch brackets
-    each quantile within a few parts in ``accuracy``, and only values in a bracket are ranked.
+    ``percentile`` keeps all distinct values of a field in one task.  Here a field of more than
+    ``max_group_rows`` values is searched in ever narrower brackets around each quantile, and
+    only the values in the last bracket are ranked.
     """
     used = [f for f in _fields(df, fields, ()) if not is_array(f)]
     doubles = {f.name: col(f.name).cast("double") for f in used}
     df = df.select(*[F.when(~F.isnan(x), x).alias(n) for n, x in doubles.items()])
-    slack = 3 / accuracy
-    grid = [min(1.0, max(0.0, p + d)) for p in quantiles for d in (-slack, slack)]
-    aggs = []
-    for i, name in enumerate(df.columns):
-        x = col(name)
-        aggs += [agg(x).alias(f"{agg.__name__}{i}") for agg in (F.count, F.avg, F.stddev_samp, F.min, F.max)]
-        aggs.append(F.percentile_approx(x, literal_array(grid, "double"), F.lit(accuracy)).alias(f"q{i}"))
+    aggs = [
+        agg(col(name)).alias(f"{agg.__name__}{i}")
+        for i, name in enumerate(df.columns)
+        for agg in (F.count, F.avg, F.stddev_samp, F.min, F.max)
+    ]
     basic = df.agg(*aggs).first()
 
-    spots, brackets = {}, {}
-    for i, name in enumerate(df.columns):
-        total, lo, hi = basic[f"count{i}"], basic[f"min{i}"], basic[f"max{i}"]
-        for k, p in enumerate(quantiles if total else ()):
-            spots[name, p] = p * (total - 1)
-            # few rows need no bracket, and then it would not be sure to hold both ranks
-            brackets[name, p] = (name, lo, hi) if total < 10 * accuracy else (name, *basic[f"q{i}"][2 * k : 2 * k + 2])
+    spots = {(n, p): p * (basic[f"count{i}"] - 1) for i, n in enumerate(df.columns) if basic[f"count{i}"] for p in quantiles}
+    brackets = {(n, p): (n, basic[f"min{i}"], basic[f"max{i}"]) for i, n in enumerate(df.columns) for p in quantiles}
+    brackets = {key: brackets[key] for key in spots}
     values = _ranked(df, {key: (floor(s), ceil(s)) for key, s in spots.items()}, brackets, accuracy, max_group_rows)
 
     rows = []
@@ -124,36 +119,38 @@ def describe(
     return df.sparkSession.createDataFrame(rows, "field string, count long, " + ", ".join(f"{c} double" for c in names))
 
 
-def _ranked(df: DataFrame, ranks: dict, brackets: dict, accuracy: int, max_group_rows: int) -> dict[tuple[str, int], float]:
+def _ranked(
+    df: DataFrame, ranks: dict, brackets: dict, accuracy: int, max_group_rows: int, slack: float | None = None
+) -> dict[tuple[str, int], float]:
     """Values at ranks, looked for inside each quantile's bracket: ``{(column, rank): value}``.
 
-    A bracket that still holds many rows is narrowed by another sketch; a rank outside its
-    bracket is looked for again among all values of the column.
+    A bracket that holds many rows is narrowed by a sketch first, with ``slack`` on both sides
+    for its error.  A rank that ended up outside is looked for again with more slack.
     """
     spans = sorted(set(brackets.values()))
     if not spans:
         return {}
+    slack = slack or 3 / accuracy + 2 / sqrt(SAMPLE_ROWS)  # of the sketch, and four deviations of the sample
     inside = [col(n).between(lo, hi) for n, lo, hi in spans]
     below = df.agg(
         *[F.count_if(col(n) < lo).alias(f"b{j}") for j, (n, lo, _) in enumerate(spans)],
         *[F.count_if(hit).alias(f"n{j}") for j, hit in enumerate(inside)],
     ).first()
 
-    grids = {}
-    for key, span in brackets.items():
-        j = spans.index(span)
-        if below[f"n{j}"] > max_group_rows:
+    held = {key: below[f"n{spans.index(span)}"] for key, span in brackets.items()}
+    wide = [key for key, n in held.items() if n > max_group_rows]
+    if wide:
+        sample = sample_for_sketch(df, min(held[key] for key in wide), seed=len(spans))
+        sketches = []
+        for i, key in enumerate(wide):
+            j = spans.index(brackets[key])
             at = [(r - below[f"b{j}"]) / below[f"n{j}"] for r in ranks[key]]
-            grids[key] = [min(1.0, max(0.0, x)) for x in (min(at) - 3 / accuracy, max(at) + 3 / accuracy)]
-    if grids:
-        sketches = [
-            F.percentile_approx(F.when(inside[spans.index(brackets[key])], col(key[0])), literal_array(g, "double"), F.lit(accuracy))
-            for key, g in grids.items()
-        ]
-        found = df.agg(*[q.alias(f"q{i}") for i, q in enumerate(sketches)]).first()
-        narrow = brackets | {key: (key[0], *found[f"q{i}"]) for i, key in enumerate(grids)}
+            grid = [min(1.0, max(0.0, x)) for x in (min(at) - slack, max(at) + slack)]
+            sketches.append(F.percentile_approx(F.when(inside[j], col(key[0])), literal_array(grid, "double"), F.lit(accuracy)).alias(f"q{i}"))
+        found = sample.agg(*sketches).first()
+        narrow = brackets | {key: (key[0], *(found[f"q{i}"] or brackets[key][1:])) for i, key in enumerate(wide)}
         if narrow != brackets:
-            return _ranked(df, ranks, narrow, accuracy, max_group_rows)
+            return _ranked(df, ranks, narrow, accuracy, max_group_rows, slack)
 
     cells = df.where(reduce(Column.__or__, inside)).select(
         F.explode(F.array(*[F.when(hit, F.struct(F.lit(j).alias("j"), col(n).alias("v"))) for j, (hit, (n, _, _)) in enumerate(zip(inside, spans))])).alias("x")
@@ -174,9 +171,9 @@ def _ranked(df: DataFrame, ranks: dict, brackets: dict, accuracy: int, max_group
     lost = {key: rs for key, rs in ranks.items() if any((key[0], r) not in values for r in rs)}
     if lost:
         whole = {key: (key[0], float("-inf"), float("inf")) for key in lost}
-        if all(brackets[key] == whole[key] for key in lost):
+        if slack >= 1:
             raise RuntimeError(f"the rows changed between passes: no value at {lost}")
-        values |= _ranked(df, lost, whole, accuracy, max_group_rows)
+        values |= _ranked(df, lost, whole, accuracy, max_group_rows, slack * 4)
     return values
 
 
@@ -233,11 +230,12 @@ def running_stats(
     parts = _running_parts(col(field).cast("double"))
     so_far = (Window.unboundedPreceding, Window.currentRow)
 
-    if by and not has_hot_stream(df, by, max_group_rows):
+    largest, total = stream_sizes(df, by) if by else (None, None)
+    if by and largest <= max_group_rows:
         w = Window.partitionBy(*[col(b) for b in by]).orderBy(*order).rowsBetween(*so_far)
         return df.select("*", *_running_columns(**{k: a.over(w) for k, a in parts.items()}))
 
-    ranges = key_ranges(df, order_by, n_ranges)
+    ranges = key_ranges(df, order_by, n_ranges, total)
     keyed = add_range(df.withColumn(STREAM, stream_key(by) if by else F.lit(0)), ranges)
     w = Window.partitionBy(STREAM, BUCKET).orderBy(*order).rowsBetween(*so_far)
     earlier = earlier_ranges(

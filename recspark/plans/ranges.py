@@ -3,7 +3,8 @@
 Spark rows have no order, and a window without partitions pulls a whole stream into one
 task.  Here the order key is cut into ranges of about equal row counts:
 
-1. one pass over the key columns finds the cut points (quantile sketches, merged map-side);
+1. a count and a pass over the key columns find the cut points (quantile sketches, over a sample
+   of a large stream so that what reaches the merging task stays small);
 2. the cuts become literals, so every later pass puts a row into the same range;
 3. work inside a range is an ordinary partitioned window, and per-range totals of the
    earlier ranges supply the rest.
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BUCKET = "__range"
 MAX_RANGES = 20_000  # also bounds what is collected: one cut and one count per range
+SAMPLE_ROWS = 2_000_000  # at most about this many rows feed a sketch, over all tasks
 HEAVY = 4  # a value found at this many neighbouring cut points is cut by the next column
 
 
@@ -151,8 +153,13 @@ def add_range(df: DataFrame, ranges: KeyRanges, name: str = BUCKET) -> DataFrame
     return out.drop(*keys)
 
 
-def key_ranges(df: DataFrame, order_by: Sequence[str], n_ranges: int | None = None) -> KeyRanges:
-    """Cut the order key of ``df`` into about ``n_ranges`` ranges of equal row counts."""
+def sample_for_sketch(df: DataFrame, total: int, seed: int = 0) -> DataFrame:
+    """``df`` itself, or a random part of it if it is large.  For estimates only."""
+    return df if total <= SAMPLE_ROWS else df.sample(SAMPLE_ROWS / total, seed)
+
+
+def key_ranges(df: DataFrame, order_by: Sequence[str], n_ranges: int | None = None, total: int | None = None) -> KeyRanges:
+    """Cut the order key of ``df`` (of ``total`` rows) into about ``n_ranges`` ranges of equal row counts."""
     n = min(MAX_RANGES, n_ranges or default_ranges(df))
     keys = []
     for name in order_by:
@@ -163,6 +170,7 @@ def key_ranges(df: DataFrame, order_by: Sequence[str], n_ranges: int | None = No
     if not keys:
         raise ValueError(f"the first order column must be a number, date or timestamp: {list(order_by)}")
 
+    df = sample_for_sketch(df, df.count() if total is None else total)
     cuts: set[tuple] = set()
     heavy: list[tuple[tuple, int]] = [((), n)]  # key prefix, pieces wanted
     for depth in range(len(keys)):
@@ -182,7 +190,7 @@ def key_ranges(df: DataFrame, order_by: Sequence[str], n_ranges: int | None = No
 def _sketch(value: Column, pieces: int) -> Column:
     """The ``pieces - 1`` evenly spaced quantiles of a column, approximately."""
     grid = literal_array([i / pieces for i in range(1, pieces)], "double")
-    return F.percentile_approx(value, grid, F.lit(max(1_000, 20 * pieces)))
+    return F.percentile_approx(value, grid, F.lit(max(1_000, 10 * pieces)))
 
 
 def _is_nan(value) -> bool:

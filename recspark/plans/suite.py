@@ -389,7 +389,7 @@ def producer_rows(spark, sf):
         return pd.DataFrame({"TimeStamp": index * 0.5, "Sample": np.sin(0.01 * index).astype("f4"), "Index": index})
 
     n = events(spark, sf).count()
-    return ex.from_producer(spark, schema, sine, n).select("TimeStamp", F.round(F.col("Sample").cast("double"), 4).alias("Sample"), "Index")
+    return ex.from_producer(spark, schema, sine, n).select("TimeStamp", "Sample", "Index")
 
 
 def record_producer(spark, sf):

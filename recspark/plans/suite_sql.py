@@ -174,7 +174,7 @@ SELECT * FROM (
     "csv_roundtrip": f"""
 SELECT {E} AS "TimeStamp", event_id, user_id, event_type, round(value, 6) AS value, {WORD} AS status FROM events""",
     "producer_rows": """
-SELECT i * 0.5::DOUBLE AS "TimeStamp", round(CAST(CAST(sin(0.01::DOUBLE * i) AS FLOAT) AS DOUBLE), 4) AS "Sample", i AS "Index"
+SELECT i * 0.5::DOUBLE AS "TimeStamp", CAST(sin(0.01::DOUBLE * i) AS FLOAT) AS "Sample", i AS "Index"
 FROM (SELECT unnest(range((SELECT count(*) FROM events))) AS i)""",
     "record_producer": """
 SELECT CAST(event_id AS DOUBLE) AS "TimeStamp", event_id, event_id / 2.0::DOUBLE AS half FROM events WHERE event_id % 3 <> 0""",

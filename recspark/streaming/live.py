@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from ..operators.ordering import MAX_GROUP_ROWS, STREAM, as_list, has_hot_stream, newest, stream_key
+from ..operators.ordering import MAX_GROUP_ROWS, STREAM, as_list, newest, stream_key, stream_sizes
 from ..plans.ranges import col, default_ranges
 from ..schema import TIME_FIELD
 from ..sources.exchange import write_csv
@@ -149,7 +149,7 @@ def latest_stream(
 
     def merge(batch: DataFrame, i: int) -> None:
         spark = batch.sparkSession
-        slices = default_ranges(batch) if has_hot_stream(batch, by, max_group_rows) else 1
+        slices = default_ranges(batch) if stream_sizes(batch, by)[0] > max_group_rows else 1
         written = batch.groupBy(stream_key(by).alias(STREAM)).agg(F.count(F.lit(1)).alias("__total"))
         if i - 1 in _versions(path):
             kept = spark.read.parquet(_version(path, i - 1))

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from recspark.operators import ordering as od
 from recspark.operators import stats as st
+from recspark.plans import ranges
 from recspark.plans.ranges import key_ranges
 from recspark.schema import record_schema
 
@@ -37,6 +38,14 @@ def test_equal_times_are_cut_by_the_next_column(spark, stamp):
     assert od.with_seq(df, ORDER, n_ranges=32).where("seq <> Val").count() == 0
 
 
+def test_cuts_from_a_sample_give_the_same_positions(spark, monkeypatch):
+    monkeypatch.setattr(ranges, "SAMPLE_ROWS", 300)
+    df = stream(spark, 10_000, stamp=lambda c: F.when(c < 5_000, 1.0).otherwise(c.cast("double")))
+    cut = key_ranges(df, ORDER, 16)
+    assert cut.count > 8 and max(od.range_counts(df, cut)) < 3_000
+    assert od.with_seq(df, ORDER, n_ranges=16).where("seq <> Val").count() == 0
+
+
 @pytest.mark.parametrize("dtype", ["int", "bigint", "float", "decimal(20,0)", "date", "timestamp", "timestamp_ntz"])
 def test_positions_by_other_key_types(spark, dtype):
     time = {"date": F.date_add(F.lit("2024-01-01"), F.col("Val"))}.get(
