@@ -1,6 +1,6 @@
 """Seconds per headline query: one JSON line.
 
-BENCH_SF_DIR (default sf0.1) names the tables, BENCH_CPUS the cores.  Each query runs once to
+BENCH_SF_DIR (default sf0.1) names the tables, BENCH_CPUS the cores.  All queries run once to
 warm up and then BENCH_RUNS times; the median counts.  Results go to Spark's ``noop`` sink,
 which computes every row and keeps none.
 """
@@ -41,14 +41,13 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")
-    seconds = {}
-    for name in HEADLINE:
-        times = []
-        for _ in range(1 + runs):
+    times = {name: [] for name in HEADLINE}
+    for _ in range(1 + runs):
+        for name in HEADLINE:
             start = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            times.append(time.perf_counter() - start)
-        seconds[name] = round(statistics.median(times[1:]), 3)
+            times[name].append(time.perf_counter() - start)
+    seconds = {name: round(statistics.median(ts[1:]), 3) for name, ts in times.items()}
     total = round(sum(seconds.values()), 3)
     print(json.dumps({"metric": "total_seconds", "value": total, "unit": "sec", "queries": seconds, "sf": Path(sf_dir).name.removeprefix("sf")}))
     spark.stop()

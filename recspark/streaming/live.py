@@ -24,16 +24,31 @@ log = logging.getLogger(__name__)
 BatchFn = Callable[[DataFrame, int], None]
 
 
-def for_each_batch(
-    sdf: DataFrame, fn: BatchFn, checkpoint: str, available_now: bool = False, mode: str = "append"
-) -> StreamingQuery:
-    """Run ``fn(batch, id)`` on every micro-batch; a retried batch comes with the same id."""
-    writer = sdf.writeStream.foreachBatch(fn).outputMode(mode).option("checkpointLocation", checkpoint)
+def _start(writer, checkpoint: str, available_now: bool, interval: str | None) -> StreamingQuery:
+    writer = writer.option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
+    elif interval:
+        writer = writer.trigger(processingTime=interval)
     return writer.start()
 
 
+def for_each_batch(
+    sdf: DataFrame,
+    fn: BatchFn,
+    checkpoint: str,
+    available_now: bool = False,
+    interval: str | None = None,
+    mode: str = "append",
+) -> StreamingQuery:
+    """Run ``fn(batch, id)`` on every micro-batch; a retried batch comes with the same id.
+
+    With ``available_now`` the query ends by itself when it has read what is there; otherwise a
+    micro-batch starts every ``interval``, or as soon as the last one is done.
+    """
+    return _start(sdf.writeStream.foreachBatch(fn).outputMode(mode), checkpoint, available_now, interval)
+
+
 class _RecordHandler:
     def __init__(self, process, on_start, on_stop):
         self.process, self.on_start, self.on_stop = process, on_start, on_stop
@@ -55,13 +70,11 @@ def for_each_record(
     on_start: Callable[[int, int], None] | None = None,
     on_stop: Callable[[Exception | None], None] | None = None,
     available_now: bool = False,
+    interval: str | None = None,
 ) -> StreamingQuery:
     """Run ``process(row)`` on every record, with hooks around each partition of a micro-batch."""
     handler = _RecordHandler(process, on_start, on_stop)
-    writer = sdf.writeStream.foreach(handler).option("checkpointLocation", checkpoint)
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+    return _start(sdf.writeStream.foreach(handler), checkpoint, available_now, interval)
 
 
 def binary_sink(path: str, alias: str = "") -> BatchFn:
@@ -72,7 +85,7 @@ def csv_sink(path: str) -> BatchFn:
     return lambda batch, i: write_csv(batch, f"{path}/batch-{i:012d}", mode="overwrite")
 
 
-def record_to(sdf: DataFrame, sinks: Sequence[BatchFn], checkpoint: str, available_now: bool = False) -> StreamingQuery:
+def record_to(sdf: DataFrame, sinks: Sequence[BatchFn], checkpoint: str, **trigger) -> StreamingQuery:
     """Send every record of a stream to all sinks.
 
     The input of a micro-batch is computed once.  Sinks name their output by batch id, so a
@@ -87,7 +100,7 @@ def record_to(sdf: DataFrame, sinks: Sequence[BatchFn], checkpoint: str, availab
         finally:
             batch.unpersist()
 
-    return for_each_batch(sdf, run, checkpoint, available_now)
+    return for_each_batch(sdf, run, checkpoint, **trigger)
 
 
 # ---- results kept up to date -----------------------------------------------------------
@@ -125,9 +138,9 @@ def read_result(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(_version(path, versions[-1]))
 
 
-def keep_result(result: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+def keep_result(result: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Keep a streaming aggregate's full result at ``path``."""
-    return for_each_batch(result, lambda df, i: _store_version(df, path, i), checkpoint, available_now, mode="complete")
+    return for_each_batch(result, lambda df, i: _store_version(df, path, i), checkpoint, mode="complete", **trigger)
 
 
 def latest_stream(
@@ -137,8 +150,8 @@ def latest_stream(
     checkpoint: str,
     by: str | Sequence[str] = "stream",
     order_by: str | Sequence[str] = TIME_FIELD,
-    available_now: bool = False,
     max_group_rows: int = MAX_GROUP_ROWS,
+    **trigger,
 ) -> StreamingQuery:
     """Keep the last ``n`` records of each stream, with their positions, at ``path``.
 
@@ -166,7 +179,7 @@ def latest_stream(
         )
         _store_version(out, path, i)
 
-    return for_each_batch(sdf, merge, checkpoint, available_now)
+    return for_each_batch(sdf, merge, checkpoint, **trigger)
 
 
 def live_rate(sdf: DataFrame, seconds: float, delay: str = "1 minute", by: str | Sequence[str] | None = None) -> DataFrame:
@@ -220,29 +233,25 @@ def on_progress(spark: SparkSession, fn: Callable) -> Callable[[], None]:
     return lambda: spark.streams.removeListener(listener)
 
 
-def drain(query: StreamingQuery, timeout: float | None = None) -> bool:
-    """Wait until a query has read everything available, then stop it; did it finish in time?
+def drain(query: StreamingQuery, again: Callable[[], StreamingQuery] | None = None) -> None:
+    """Let a query read everything available, then stop it.
 
-    For a query started with ``available_now`` this waits for its own end.
+    A source that never pauses never runs dry.  For such a one pass ``again``, which starts the
+    same query, on the same checkpoint, with ``available_now``: the query is stopped, and
+    ``again`` reads on up to what is there now.
     """
-    if timeout is None:
-        if query.isActive:
-            query.processAllAvailable()
-        query.stop()
-        _raise(query)
-        return True
-    done = query.awaitTermination(timeout)
-    if not done:
+    if again is not None:
         query.stop()
-    return bool(done)
+        query = again()
+    if query.isActive:
+        query.processAllAvailable()
+    query.stop()
+    failure = query.exception()
+    if failure is not None:
+        raise failure
 
 
 def halt(query: StreamingQuery) -> None:
     """Stop now; what has not been read stays for the next start from the checkpoint."""
     query.stop()
 
-
-def _raise(query: StreamingQuery) -> None:
-    failure = query.exception()
-    if failure is not None:
-        raise failure

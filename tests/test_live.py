@@ -39,7 +39,8 @@ def test_unknown_stream_is_refused(spark, root):
 def test_every_record_arrives_once(spark, root, tmp_path):
     seen = []
     query = live.for_each_batch(sm.read_stream(spark, root, "s", 1), lambda b, i: seen.append((i, [r["Val"] for r in b.collect()])), str(tmp_path / "c"))
-    assert live.drain(query) and not query.isActive
+    live.drain(query)
+    assert not query.isActive
     assert sorted(v for _, vs in seen for v in vs) == list(range(300)) and len(seen) == 3
     # a restart goes on from the checkpoint
     sm.publish(rows(spark, 300, 310), root, "s")
@@ -48,11 +49,30 @@ def test_every_record_arrives_once(spark, root, tmp_path):
     assert sorted(again) == list(range(300, 310))
 
 
+def test_draining_a_source_that_never_pauses(spark, root, tmp_path):
+    seen = []
+
+    def start(**trigger):
+        fn = lambda b, i: seen.extend(r["Val"] for r in b.collect())
+        return live.for_each_batch(sm.read_stream(spark, root, "s", 1), fn, str(tmp_path / "c"), **trigger)
+
+    live.drain(start(interval="1 hour"), again=lambda: start(available_now=True))
+    assert sorted(seen) == list(range(300))
+
+
+def test_a_failing_query_is_reported(spark, root, tmp_path):
+    def fails(batch, i):
+        raise ValueError("broken sink")
+
+    with pytest.raises(Exception, match="broken sink"):
+        live.drain(live.for_each_batch(sm.read_stream(spark, root, "s"), fails, str(tmp_path / "c"), available_now=True))
+
+
 def test_stream_that_starts_empty(spark, tmp_path):
     root = str(tmp_path / "streams")
     sm.register_stream(spark, root, "s", SCHEMA)
     query = live.for_each_batch(sm.read_stream(spark, root, "s"), lambda b, i: None, str(tmp_path / "c"), available_now=True)
-    assert live.drain(query, timeout=60)
+    live.drain(query)
 
 
 def test_one_stream_to_two_sinks(spark, root, tmp_path):
