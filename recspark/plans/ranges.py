@@ -58,13 +58,22 @@ def _sortable(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
 
 
+def local_seconds(c: Column) -> Column:
+    """Seconds since 1970 of a timestamp without zone, as an exact decimal.
+
+    The difference of two such timestamps knows no time zone; functions that go through the
+    session's zone are an hour off where its clock changes.
+    """
+    return (c - F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")).cast("interval second").cast("decimal(18,6)")
+
+
 def _as_number(name: str, dtype: T.DataType) -> Column:
     """A numeric column in the order of ``name``."""
     c = col(name)
     if isinstance(dtype, T.TimestampType):
         return F.unix_micros(c)
     if isinstance(dtype, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), c)
+        return (local_seconds(c) * 1_000_000).cast("bigint")
     if isinstance(dtype, T.DateType):
         return F.unix_date(c)
     return c

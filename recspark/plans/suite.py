@@ -19,6 +19,7 @@ from ..schema import field, record_schema
 from ..sources import exchange as ex, recordings as rec, streams as sm
 from ..streaming import live
 from ..workspace import work_dir
+from .ranges import local_seconds
 
 ORDER = ["TimeStamp", "event_id"]
 STATUS_BITS = {"tx": 0, "rx": 1, "errFlag": 6}
@@ -46,8 +47,7 @@ LINE_RECORD = record_schema(
 
 
 def _epoch(name: str):
-    start = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
-    return F.timestamp_diff("MICROSECOND", start, F.col(name).cast("timestamp_ntz")) / F.lit(1e6)
+    return local_seconds(F.col(name).cast("timestamp_ntz")).cast("double")
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:

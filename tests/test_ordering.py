@@ -57,6 +57,17 @@ def test_positions_by_other_key_types(spark, dtype):
     assert sorted(r["Val"] for r in got.collect()) == list(range(100, 150))
 
 
+def test_local_times_know_no_time_zone(spark):
+    texts = ["2024-03-10 02:30:00.123456", "2024-11-03 01:30:00", "1960-01-01 00:00:00.000001"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = [str(r[0]) for r in df.select(ranges.local_seconds(F.col("t"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == ["1710037800.123456", "1730597400.000000", "-315619199.999999"]
+
+
 def test_nan_and_null_times_keep_their_rows(spark):
     df = spark.createDataFrame([(float("nan"), 4), (None, 0), (1.0, 1), (2.0, 2), (float("inf"), 3)], "TimeStamp double, Val int")
     got = od.with_seq(df, ORDER, n_ranges=4)
