@@ -172,13 +172,14 @@ def latest(
 def newest(df: DataFrame, n: int, order_by: Sequence[str], by: Sequence[str], slices: int = 1) -> DataFrame:
     """The last ``n`` records of each stream, ranked from the newest (1) in ``__rank``.
 
-    Tasks drop what cannot be among the last ``n`` before the shuffle.  With ``slices`` a
-    stream is first ranked in that many parts, each of which leaves at most ``n`` candidates.
+    Tasks drop what cannot be among the last ``n`` before the shuffle, so a stream sends at
+    most ``n`` records per task.  With ``slices`` the tasks' candidates are first ranked in that
+    many groups of tasks, each of which leaves at most ``n``.
     """
     order = [col(c).desc() for c in order_by]
     out = df.withColumn(STREAM, stream_key(by))
     if slices > 1:
-        part = F.pmod(F.xxhash64(*[col(c) for c in order_by]), F.lit(slices))
+        part = F.pmod(F.spark_partition_id(), F.lit(slices))
         w = Window.partitionBy(STREAM, "__slice").orderBy(*order)
         out = out.withColumn("__slice", part).withColumn("__rank", F.row_number().over(w))
         out = out.where(F.col("__rank") <= n).drop("__slice", "__rank")
