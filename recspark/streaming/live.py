@@ -138,9 +138,21 @@ def read_result(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(_version(path, versions[-1]))
 
 
-def keep_result(result: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Keep a streaming aggregate's full result at ``path``."""
-    return for_each_batch(result, lambda df, i: _store_version(df, path, i), checkpoint, mode="complete", **trigger)
+def keep_result(
+    result: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None, **trigger
+) -> StreamingQuery:
+    """Keep a streaming aggregate's full result at ``path``.
+
+    Every micro-batch commits all state partitions, so an aggregate of few groups is best kept
+    in few of them; their number is fixed when the checkpoint is new.
+    """
+    conf, key = result.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    conf.set(key, str(state_partitions or before))
+    try:  # the query takes its settings when it starts
+        return for_each_batch(result, lambda df, i: _store_version(df, path, i), checkpoint, mode="complete", **trigger)
+    finally:
+        conf.set(key, before)
 
 
 def latest_stream(
