@@ -221,3 +221,17 @@ def test_snapshot_to_pandas(spark, tmp_path):
     assert list(ex.to_frame(str(tmp_path / "rec"), 2, spark=spark)["SensorValue"]) == [18, 19]
     with pytest.raises(TypeError):
         ex.to_frame(42)
+
+
+def test_arrays_of_wide_and_flag_types(spark, tmp_path):
+    schema = record_schema([("U", "UInt64", 2), ("B", "Bool", 3), ("U2", "UInt16", 2), ("C", "Char"), ("D", "Double", 2)])
+    rows = [(0.0, [Decimal(2**64 - 1), Decimal(0)], [True, False, True], [65535, 0], "é", [0.5, -1.0]), (1.0, [Decimal(7), Decimal(8)], [False] * 3, [1, 2], "", [1.0, 2.0])]
+    df = spark.createDataFrame(rows, schema)
+    rec.write_recordings(df, str(tmp_path / "rec"))
+    back = rec.read_recordings(spark, str(tmp_path / "rec")).orderBy("TimeStamp").collect()
+    assert [tuple(r)[:6] for r in back] == rows
+    # the same records through a named stream
+    root = str(tmp_path / "s")
+    sm.register_stream(spark, root, "wide", schema)
+    assert sm.publish(df, root, "wide") == 2
+    assert [tuple(r) for r in sm.read_table(spark, root, "wide").orderBy("TimeStamp").collect()] == rows
