@@ -2,20 +2,43 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+def _local_only(path: str) -> bool:
+    return "://" not in path and not path.startswith(("hdfs:", "dbfs:")) or path.startswith("file:")
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder, not yet created, under the cluster's shared ``spark.checkpoint.dir``.
+    """A fresh folder, not yet created, that the driver and all executors share.
 
-    Only a local session without that setting falls back to a temporary folder.
+    It lies under ``spark.checkpoint.dir``; where that is unset, under the warehouse.  A cluster
+    whose warehouse is a local path has no shared folder to offer, so it must set the former.
+    The folder goes when the Python driver ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local") and _local_only(base):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="recspark-")
-    return f"{base.rstrip('/')}/recspark/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/recspark/{label}-{uuid.uuid4().hex}"
+    atexit.register(_drop, spark, path)
+    return path
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    sc = spark.sparkContext
+    if getattr(sc, "_jsc", None) is None or sc._jsc.sc().isStopped():
+        return
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: computed once, without lineage, safe from lost executors."""
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,7 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from recspark.workspace import work_dir
+from recspark.workspace import work_dir, written
 
 
 def session(conf, master, checkpoint=None):
@@ -19,6 +19,15 @@ def test_folders_lie_under_the_shared_setting(spark):
 def test_a_cluster_needs_a_shared_folder():
     assert work_dir(session({"spark.checkpoint.dir": "hdfs://n/c/"}, "yarn"), "x").startswith("hdfs://n/c/recspark/x-")
     assert work_dir(session({}, "yarn", "hdfs://n/d"), "x").startswith("hdfs://n/d/recspark/x-")
-    with pytest.raises(RuntimeError):
-        work_dir(session({}, "yarn"), "x")
-    assert "/recspark-" in work_dir(session({}, "local[2]"), "x")
+    for local in ("/w", "file:/w"):
+        with pytest.raises(RuntimeError):
+            work_dir(session({"spark.sql.warehouse.dir": local}, "yarn"), "x")
+        assert work_dir(session({"spark.sql.warehouse.dir": local}, "local[2]"), "x").startswith(f"{local}/recspark/x-")
+    for shared in ("hdfs:/w", "s3a://b/w"):
+        assert work_dir(session({"spark.sql.warehouse.dir": shared}, "yarn"), "x").startswith(f"{shared}/recspark/x-")
+
+
+def test_a_written_table_reads_back(spark):
+    df = spark.createDataFrame([(1, "a"), (None, None)], "n int, t string")
+    assert sorted(map(str, written(df, "t").collect())) == sorted(map(str, df.collect()))
+    assert written(df.limit(0), "t").schema == df.schema
