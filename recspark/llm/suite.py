@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import mixing, rules
+from . import bpe, mixing, rules, simhash
 
 QUERIES = {
+    "op6_byte_bpe": bpe.op6_byte_bpe,
+    "op8_simhash": simhash.op8_simhash,
     "op9_pareto_mix": mixing.op9_pareto_mix,
     "op10_host_rules": rules.op10_host_rules,
 }
