@@ -185,12 +185,8 @@ def _runs(max_bits: int, run: int):
             cut = np.searchsorted(keys, keys[-1])  # the last run may go on in the next batch
             found = list(several(keys[:cut], prints[:cut]))
             if len(keys) - cut > 1 << 16:  # a long run: compare what is here, and hand its rows on
-                found += [(0, *x[1:]) for x in several(keys[cut:-run], prints[cut:-run]) if x[0] == 0]
-                found.append((1, keys[cut:-run], prints[cut:-run]))
+                found += [x for x in several(keys[cut:-run], prints[cut:-run]) if x[0] == 0]
                 cut, long = len(keys) - run, keys[-1]
-                yield from out(found)
-                keys, prints = keys[cut:], prints[cut:]
-                continue
             edge = (keys[:cut] == first) | (keys[:cut] == long)
             if edge.any():
                 found.append((1, keys[:cut][edge], prints[:cut][edge]))
