@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, mixing, rules, simhash
+from . import bpe, chat, mixing, rules, simhash, urls
 
 QUERIES = {
+    "op3_url_filter": urls.op3_url_filter,
+    "op5_chat_format": chat.op5_chat_format,
     "op6_byte_bpe": bpe.op6_byte_bpe,
     "op8_simhash": simhash.op8_simhash,
     "op9_pareto_mix": mixing.op9_pareto_mix,
@@ -12,6 +14,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_url_filter": urls.ORACLE,
+    "op5_chat_format": chat.ORACLE,
     "op9_pareto_mix": mixing.ORACLE,
     "op10_host_rules": rules.ORACLE,
 }
