@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, mixing, rules, simhash, urls
+from . import bpe, chat, mixing, rules, simhash, sketches, urls
 
 QUERIES = {
+    "op2_document_sketch": sketches.op2_document_sketch,
     "op3_url_filter": urls.op3_url_filter,
     "op5_chat_format": chat.op5_chat_format,
     "op6_byte_bpe": bpe.op6_byte_bpe,
