@@ -42,7 +42,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     Large-star and small-star steps in turn (Kiveris and others, 2014): each ties a node's neighbours to the
     smallest of them, so depth shrinks with every round and a hub costs one row for each of its edges.  The
     smallest neighbours are written before they are joined, so a join on a hub splits like any skewed join.
-    Nulls and loops tie nothing.  Only nodes with an edge to another node are returned.
+    Nulls and loops tie nothing.  Only nodes that are not their own root are returned.
     """
     now = written(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges"

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, mixing, rules, simhash, sketches, urls
+from . import bpe, chat, lines, mixing, rules, simhash, sketches, urls
 
 QUERIES = {
     "op2_document_sketch": sketches.op2_document_sketch,
     "op3_url_filter": urls.op3_url_filter,
+    "op4_line_dedup": lines.op4_line_dedup,
     "op5_chat_format": chat.op5_chat_format,
     "op6_byte_bpe": bpe.op6_byte_bpe,
     "op8_simhash": simhash.op8_simhash,
