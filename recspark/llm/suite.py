@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, lines, mixing, rules, simhash, sketches, urls
+import corpus_pipeline
+
+from . import bpe, chat, lines, mixing, perplexity, rules, simhash, sketches, toxicity, urls
 
 QUERIES = {
+    "op1_perplexity": perplexity.op1_perplexity,
     "op2_document_sketch": sketches.op2_document_sketch,
     "op3_url_filter": urls.op3_url_filter,
     "op4_line_dedup": lines.op4_line_dedup,
     "op5_chat_format": chat.op5_chat_format,
     "op6_byte_bpe": bpe.op6_byte_bpe,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op8_simhash": simhash.op8_simhash,
     "op9_pareto_mix": mixing.op9_pareto_mix,
     "op10_host_rules": rules.op10_host_rules,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
