@@ -121,6 +121,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
     """``df`` with the column ``ids``, array<int>: the token ids of the whole text, without special tokens.
 
     ``pattern`` cuts the text into pre-tokens, each of which is merged separately.  A null or empty text has no ids.
+    A column that is already called ``ids`` is replaced.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,7 +135,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
                     yield pa.RecordBatch.from_arrays([*batch.slice(at, len(parts)).columns, _lists(parts)], names=names)
                     at, parts, total = i + 1, [], 0
 
-    _refuse(df, ids)
+    df = _without(df, ids)
     position = df.columns.index(text)
     names = [*df.columns, ids]
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)]))
@@ -151,15 +152,15 @@ def decode(df: DataFrame, path: str, pattern: str = "", ids: str = "ids", out: s
             texts = [codec.decode(values[a:b]) for a, b in zip(ends[:-1], ends[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names=names)
 
-    _refuse(df, out)
+    df = _without(df, out)
     position = df.columns.index(ids)
     names = [*df.columns, out]
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.BinaryType(), False)]))
 
 
-def _refuse(df: DataFrame, name: str) -> None:
-    if name.lower() in (c.lower() for c in df.columns):
-        raise ValueError(f"the table already has a column {name}: name another")
+def _without(df: DataFrame, name: str) -> DataFrame:
+    """``df`` without a column of that name, in any case: as with ``withColumn``, the new one takes its place."""
+    return df.drop(*[c for c in df.columns if c.lower() == name.lower()])
 
 
 def op6_byte_bpe(spark, sf_dir: str) -> DataFrame:

@@ -124,7 +124,7 @@ def turns_from_json(df: DataFrame, column: str, mappings=MAPPINGS, out: str = "t
     so is no layout of its own.
     """
     text = F.col(f"`{column}`")
-    mark = F.col("_fingerprint")
+    mark = F.col("__fingerprint")
     turns, name = F.lit(None).cast(_TURNS), F.lit(None).cast("string")
     for m in mappings:
         if m.list_at:
@@ -134,7 +134,7 @@ def turns_from_json(df: DataFrame, column: str, mappings=MAPPINGS, out: str = "t
             found = _pairs(m.fields, lambda f: F.get_json_object(text, f"$.{f}"))
         turns = F.when(mark == m.fingerprint, found).otherwise(turns)
         name = F.when(mark == m.fingerprint, F.lit(m.name)).otherwise(name)
-    return df.withColumn("_fingerprint", json_fingerprint(text)).withColumns({out: turns, layout: name}).drop("_fingerprint")
+    return df.withColumn("__fingerprint", json_fingerprint(text)).withColumns({out: turns, layout: name}).drop("__fingerprint")
 
 
 def turns_from_columns(df: DataFrame, keep: tuple[str, ...] = (), mappings=MAPPINGS, out: str = "turns") -> DataFrame:
@@ -196,7 +196,7 @@ def format_turns(df: DataFrame, turns: str = "turns", out: str = "formatted", ma
 
     Each span is one turn's escaped text without marks.  Null turns give a null text; no turns give an empty one.
     """
-    sizes = F.transform("_pieces", lambda p: F.length(p))
+    sizes = F.transform("__pieces", lambda p: F.length(p))
     # start of each piece: sums of the sizes before it
     ends = F.aggregate(
         sizes,
@@ -206,15 +206,15 @@ def format_turns(df: DataFrame, turns: str = "turns", out: str = "formatted", ma
     )
     tail = len(END) + 1
     spans = F.transform(
-        F.filter(F.arrays_zip(F.col(turns).alias("turn"), F.col("_ends").alias("end"), F.transform(turns, lambda t: F.length(escaped(t["text"]))).alias("n")), lambda z: z["turn"]["role"] == LEARNED),
+        F.filter(F.arrays_zip(F.col(turns).alias("turn"), F.col("__ends").alias("end"), F.transform(turns, lambda t: F.length(escaped(t["text"]))).alias("n")), lambda z: z["turn"]["role"] == LEARNED),
         lambda z: F.struct((z["end"] - tail - z["n"]).alias("from"), (z["end"] - tail).alias("to")),
     )
     return (
-        df.withColumn("_pieces", F.transform(turns, _piece))
-        .withColumn("_ends", ends)
-        .withColumn(out, F.array_join("_pieces", ""))
+        df.withColumn("__pieces", F.transform(turns, _piece))
+        .withColumn("__ends", ends)
+        .withColumn(out, F.array_join("__pieces", ""))
         .withColumn(mask, spans)
-        .drop("_pieces", "_ends")
+        .drop("__pieces", "__ends")
     )
 
 

@@ -17,6 +17,11 @@ def packed(df: DataFrame, row: str = "row") -> DataFrame:
     return df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias(row))
 
 
+def kept(df: DataFrame, keep: tuple[str, ...] | None, row: str = "row") -> Column:
+    """The columns ``keep`` of ``df``, or all of them, as one struct."""
+    return F.struct(*[df[f"`{c}`"] for c in (df.columns if keep is None else keep)]).alias(row)
+
+
 def unpacked(df: DataFrame, row: str = "row") -> DataFrame:
     return df.select(f"{row}.*")
 

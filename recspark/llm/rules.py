@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..workspace import written
-from .common import BLANK, packed, sent, unpacked, words_of
+from .common import BLANK, kept as kept_columns, packed, sent, unpacked, words_of
 
 #: A document fails below this many words, or if more than this share of its words is in repeated windows.
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
@@ -88,13 +88,13 @@ def _rejected(scored: DataFrame, max_rate: float) -> DataFrame:
     return sent(hosts.where("rejected").select(F.col("host").alias("bad_host"), F.lit(True).alias("bad")), 64)
 
 
-def judge(df: DataFrame, text: str = "text", host: str = "source", keep: tuple[str, ...] = (), max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """The columns ``keep`` of ``df``, its rule columns, and ``kept``.
+def judge(df: DataFrame, text: str = "text", host: str = "source", keep: tuple[str, ...] | None = None, max_rate: float = MAX_HOST_RATE) -> DataFrame:
+    """The columns ``keep`` of ``df`` (all by default), its rule columns, and ``kept``.
 
     ``kept`` is false if the document itself fails, else what its host gets.  An empty table gives an empty one;
     repeated rows are judged alike.
     """
-    own = df.select(F.struct(*[df[f"`{c}`"] for c in keep]).alias("row"), df[f"`{text}`"].alias("text"), df[f"`{host}`"].alias("host"))
+    own = df.select(kept_columns(df, keep), df[f"`{text}`"].alias("text"), df[f"`{host}`"].alias("host"))
     scored = written(text_stats(own, F.col("text")).drop("text"), "rules")
     out = scored.join(_rejected(scored, max_rate), F.col("host").eqNullSafe(F.col("bad_host")), "left")
     kept = ~F.col("base_failed") & F.col("bad").isNull()

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..workspace import written
+from .common import kept
 from .simhash import fingerprints
 
 #: The kernel: subsequences of three letters that span at most this many, each weighed by DECAY to the power of its span.
@@ -373,15 +374,14 @@ def _scored(df: DataFrame, model: Model, out: str) -> DataFrame:
     return df.mapInArrow(run, rest.withColumn(out, F.lit(0.0)).schema)
 
 
-def score(df: DataFrame, model: Model | None, keep: tuple[str, ...] = (), text: str = "text", out: str = "score") -> DataFrame:
-    """The columns ``keep`` of ``df`` with ``score``, the probability from 0 to 1 that the text is toxic.
+def score(df: DataFrame, model: Model | None, keep: tuple[str, ...] | None = None, text: str = "text", out: str = "score") -> DataFrame:
+    """The columns ``keep`` of ``df`` (all by default) with ``score``, the probability from 0 to 1 that the text is toxic.
 
     A null or empty text has the score of a text without any word near an insult.  Without a model all scores are 0.
     """
-    rest = [df[f"`{c}`"] for c in keep]
     if model is None:
-        return df.select(*rest, F.lit(0.0).alias(out))
-    raw = _scored(df.select(df[f"`{text}`"], F.struct(*rest).alias("row")), model, "s")
+        return df.select(kept(df, keep)).select("row.*", F.lit(0.0).alias(out))
+    raw = _scored(df.select(df[f"`{text}`"], kept(df, keep)), model, "s")
     logit = F.col("s") * model.slope + model.offset
     return raw.select("row.*", (1 / (1 + F.exp(-logit))).alias(out))
 

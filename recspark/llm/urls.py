@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..workspace import written
-from .common import components, packed
+from .common import components, kept
 
 #: Verdict and the host and path that a rule fits; fixed by the query's contract.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -94,15 +94,15 @@ def page_links(df: DataFrame, url: str = "url", html: str = "html") -> DataFrame
     return edges.where("a is not null and b is not null and a <> b").distinct()
 
 
-def judge(df: DataFrame, edges: DataFrame | None = None, rules=RULES, url: str = "url", html: str | None = "html", keep: tuple[str, ...] = ()) -> DataFrame:
-    """The columns ``keep`` of ``df`` with ``host``, ``path``, ``rule``, ``verdict``.
+def judge(df: DataFrame, edges: DataFrame | None = None, rules=RULES, url: str = "url", html: str | None = "html", keep: tuple[str, ...] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``df`` (all by default) with ``host``, ``path``, ``rule``, ``verdict``.
 
     A URL with a rule has the rule's verdict.  Any other takes what its aliases say: URLs tied by redirects (``edges``: full
     URLs ``a``, ``b``; nulls tie nothing), canonical links or refreshes in the pages' ``html``.  If an alias is explicitly
     allowed the URL is allowed; else if one is blocked it is blocked; else it is allowed.  URLs that only edges name take part
     with their rules.  A null URL, or one without ``://``, has no host, path or alias and is allowed.
     """
-    own = packed(df).select(F.struct(*[F.col(f"row.`{c}`") for c in keep]).alias("row"), F.col(f"row.`{url}`").alias("url"))
+    own = df.select(kept(df, keep), df[f"`{url}`"].alias("url"))
     own = own.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     parts = []
     if html is not None:
