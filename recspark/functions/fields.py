@@ -151,15 +151,12 @@ class Channel:
 
 
 def channel_list(schema: T.StructType, skip: Sequence[str] = ()) -> list[Channel]:
-    """The tracks of a schema: scalars, array elements, words and their named bits."""
+    """The tracks of a schema that are one value a record: scalars, words and their named bits."""
     out = []
     for f in schema:
-        if f.name in skip or not is_numeric(f):
+        if f.name in skip or not is_numeric(f) or is_array(f):
             continue
         c = col(f.name)
-        if is_array(f):
-            out += [Channel(f"{f.name}[{i}]", F.get(c, F.lit(i))) for i in range(element_count(f))]
-            continue
         out.append(Channel(f.name, c))
         out += [Channel(name, F.getbit(c, F.lit(pos)), True) for name, pos in named_bits(f).items()]
     return out
@@ -169,18 +166,26 @@ def channels(df: DataFrame, keep: Sequence[str] = (), skip: Sequence[str] = (),
     """Wide to long: one row per record and channel, ``[keep..., channel, y]``.
 
     ``keep`` columns are carried along; numeric ones among them are channels too unless
-    listed in ``skip``.
+    listed in ``skip``.  A record becomes one list of its channels, arrays of whatever length included.
     """
     tracks = [t for t in channel_list(df.schema, skip) if digital or not t.digital]
+    kind = "array<struct<channel:string,y:double>>"
+    lists = [F.array(*[F.struct(F.lit(t.name).alias("channel"), t.value.cast("double").alias("y")) for t in tracks]).cast(kind)]
+    for f in df.schema:
+        if f.name not in skip and is_numeric(f) and is_array(f):
+            name = lambda e: F.concat(e["field"], F.lit("["), e["index"].cast("string"), F.lit("]"))
+            lists.append(F.transform(array_channels(f), lambda e: F.struct(name(e).alias("channel"), e["y"].alias("y"))).cast(kind))
     kept = [f"__keep{i}" for i in range(len(keep))]
-    wide = df.select(
-        *[col(k).alias(a) for k, a in zip(keep, kept)],
-        *[t.value.cast("double").alias(t.name) for t in tracks],
-    )
-    long = wide.unpivot(kept, [col(t.name) for t in tracks], "channel", "y")
+    long = df.select(*[col(k).alias(a) for k, a in zip(keep, kept)], F.inline(F.concat(*lists)))
     return long.select(*[F.col(a).alias(k) for k, a in zip(keep, kept)], "channel", "y")
 
 
+def array_channels(f: T.StructField) -> Column:
+    """The elements of an array field as a list of ``field``, ``index``, ``y``."""
+    one = lambda y, i: F.struct(F.lit(f.name).alias("field"), i.alias("index"), y.cast("double").alias("y"))
+    return F.transform(col(f.name), one)
+
+
 def explode_elements(df: DataFrame, field: str, keep: Sequence[str] = ()) -> DataFrame:
     """One row per element of an array field: ``[keep..., index, y]``."""
     return df.select(*[col(k) for k in keep], F.posexplode(col(field)).alias("index", "y"))

@@ -49,10 +49,12 @@ def range_counts(df: DataFrame, ranges: KeyRanges) -> list[int]:
 
 
 def _positions_in_ranges(df: DataFrame, ranges: KeyRanges, starts: Sequence[int], seq: str) -> DataFrame:
+    """Range ``i`` is the ``i``-th partition, so partitions are as even as the ranges and come in order."""
     w = Window.partitionBy(BUCKET).orderBy(*[col(c) for c in ranges.order_by])
     start = F.get(literal_array(starts, "bigint"), F.col(BUCKET))
     return (
         add_range(df, ranges)
+        .repartitionById(ranges.count, F.col(BUCKET))
         .withColumn(seq, F.row_number().over(w) - 1 + start)
         .drop(BUCKET)
     )
@@ -188,21 +190,22 @@ def newest(df: DataFrame, n: int, order_by: Sequence[str], by: Sequence[str], sl
 
 
 def slice_records(df: DataFrame, offset: int, count: int, order_by=TIME_FIELD, by=None, **opts) -> DataFrame:
-    """Records at positions ``[offset, offset + count)``."""
+    """Records at positions ``[offset, offset + count)``, in order."""
     if by:
-        return with_seq(df, order_by, by, **opts).where(F.col("seq").between(offset, offset + count - 1))
-    return positions_between(df, offset, offset + count, order_by, **opts)
+        return with_seq(df, order_by, by, **opts).where(F.col("seq").between(offset, offset + count - 1)).orderBy(*[col(b) for b in as_list(by)], "seq")
+    return positions_between(df, offset, offset + count, order_by, **opts).orderBy("seq")
 
 
 def read_after(
     df: DataFrame, cursor: int, max_records: int | None = None, order_by=TIME_FIELD, by=None, **opts
 ) -> DataFrame:
-    """Records from position ``cursor`` on, at most ``max_records`` of each stream."""
+    """Records from position ``cursor`` on, at most ``max_records`` of each stream, in order."""
     end = None if max_records is None else cursor + max_records
     if by:
         out = with_seq(df, order_by, by, **opts).where(F.col("seq") >= cursor)
-        return out if end is None else out.where(F.col("seq") < end)
-    return positions_between(df, cursor, end, order_by, **opts)
+        out = out if end is None else out.where(F.col("seq") < end)
+        return out.orderBy(*[col(b) for b in as_list(by)], "seq")
+    return positions_between(df, cursor, end, order_by, **opts).orderBy("seq")
 
 
 def head(df: DataFrame, n: int = 5, order_by=TIME_FIELD) -> DataFrame:

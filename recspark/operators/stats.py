@@ -8,7 +8,7 @@ from math import ceil, floor, sqrt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions.fields import channel_list, in_range
+from ..functions.fields import array_channels, channel_list, in_range
 from ..plans.ranges import BUCKET, SAMPLE_ROWS, add_range, col, key_ranges, literal_array, sample_for_sketch
 from ..schema import TIME_FIELD, is_array, is_numeric
 from .ordering import (
@@ -41,7 +41,7 @@ def _parts(f: T.StructField) -> dict[str, Column]:
     if not is_array(f):
         x = c.cast("double")
         return {"n": F.count(x), "s": F.sum(x), "lo": F.min(x), "hi": F.max(x), "nan": F.max(F.isnan(x))}
-    xs = c.cast("array<double>")
+    xs = F.filter(c.cast("array<double>"), lambda x: x.isNotNull())  # a null element is no value
     return {
         "n": F.sum(F.size(xs)).cast("long"),
         "s": F.sum(F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)),
@@ -265,17 +265,31 @@ def running_summary(df: DataFrame, field: str, by: str | Sequence[str] | None =
     return out.select(*[col(b) for b in by], *_running_columns(**{k: F.col(f"__{k}") for k in parts}))
 
 
+def micros(time: Column) -> Column:
+    """A record time in whole microseconds."""
+    return F.round(time * 1e6).cast("long")
+
+
+def interval_micros(seconds: float) -> int:
+    """The length of an interval in microseconds, which it must fill exactly or nearly so."""
+    width = round(seconds * 1e6)
+    if width < 1:
+        raise ValueError(f"an interval lasts at least a microsecond, not {seconds} s")
+    return width
+
+
 def rate(df: DataFrame, seconds: float, by: str | Sequence[str] | None = None) -> DataFrame:
     """Records per second in tumbling event-time intervals: ``[by..., TimeStamp, count, rate]``.
 
-    ``TimeStamp`` is the start of the interval.
+    ``TimeStamp`` is the start of the interval.  Times and intervals are counted in whole microseconds, as the live rate
+    counts them.  Intervals without records have no row.
     """
-    by = as_list(by)
-    start = F.floor(col(TIME_FIELD) / F.lit(float(seconds))) * F.lit(float(seconds))
+    by, width = as_list(by), F.lit(interval_micros(seconds))
+    start = micros(col(TIME_FIELD)) - F.pmod(micros(col(TIME_FIELD)), width)
     return (
-        df.groupBy(*[col(b) for b in by], start.alias(TIME_FIELD))
+        df.groupBy(*[col(b) for b in by], start.alias("__start"))
         .agg(F.count(F.lit(1)).alias("count"))
-        .withColumn("rate", F.col("count") / F.lit(float(seconds)))
+        .select(*[col(b) for b in by], (F.col("__start") / F.lit(1e6)).alias(TIME_FIELD), "count", (F.col("count") / F.lit(float(seconds))).alias("rate"))
     )
 
 
@@ -287,29 +301,37 @@ PAD_AT_ZERO = 1.0
 def visible_range(df: DataFrame, lo, hi, on: str = TIME_FIELD, skip: Sequence[str] = ()) -> DataFrame:
     """Padded min and max of each analog channel over the records in ``[lo, hi]``.
 
-    ``[channel, y_min, y_max]``; no records in range, no rows.  The channels stay columns
-    until one row is left.
+    ``[channel, y_min, y_max]``; no records in range, no rows.  Plain fields stay columns until one row is left; the elements
+    of array fields become rows, so a plan is as large for two elements as for two thousand.
     """
+    df = in_range(df, lo, hi, on)
     tracks = [t for t in channel_list(df.schema, skip) if not t.digital]
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, t in enumerate(tracks):
-        y = t.value.cast("double")
-        aggs += [F.min(y).alias(f"lo{i}"), F.max(y).alias(f"hi{i}"), F.max(F.isnan(y)).alias(f"nan{i}")]
-    one = in_range(df, lo, hi, on).agg(*aggs).where(F.col("__n") > 0)
-    rows = one.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(t.name).alias("channel"),
-                        _nan_wins(F.col(f"lo{i}"), F.col(f"nan{i}")).alias("lo"),
-                        _nan_wins(F.col(f"hi{i}"), F.col(f"nan{i}")).alias("hi"),
-                    )
-                    for i, t in enumerate(tracks)
-                ]
+    parts = []
+    if tracks:
+        aggs = [F.count(F.lit(1)).alias("__n")]
+        for i, t in enumerate(tracks):
+            y = t.value.cast("double")
+            aggs += [F.min(y).alias(f"lo{i}"), F.max(y).alias(f"hi{i}"), F.max(F.isnan(y)).alias(f"nan{i}")]
+        one = df.agg(*aggs).where(F.col("__n") > 0)
+        fitted = [
+            F.struct(
+                F.lit(t.name).alias("channel"),
+                _nan_wins(F.col(f"lo{i}"), F.col(f"nan{i}")).alias("lo"),
+                _nan_wins(F.col(f"hi{i}"), F.col(f"nan{i}")).alias("hi"),
             )
-        )
-    )
+            for i, t in enumerate(tracks)
+        ]
+        parts.append(one.select(F.inline(F.array(*fitted))))
+    arrays = [f for f in df.schema if f.name not in skip and is_numeric(f) and is_array(f)]
+    if arrays:
+        elements = df.select(F.inline(F.concat(*[array_channels(f) for f in arrays])))
+        y = F.col("y")
+        each = elements.groupBy("field", "index").agg(F.min(y).alias("lo"), F.max(y).alias("hi"), F.max(F.isnan(y)).alias("nan"))
+        name = F.concat("field", F.lit("["), F.col("index").cast("string"), F.lit("]"))
+        parts.append(each.select(name.alias("channel"), _nan_wins(F.col("lo"), F.col("nan")).alias("lo"), _nan_wins(F.col("hi"), F.col("nan")).alias("hi")))
+    if not parts:
+        raise ValueError("no numeric field to fit")
+    rows = reduce(DataFrame.union, parts)
     pad = (
         F.when(F.col("lo") != F.col("hi"), (F.col("hi") - F.col("lo")) * PAD_SHARE)
         .when(F.col("lo") == 0.0, PAD_AT_ZERO)

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BUCKET = "__range"
 MAX_RANGES = 20_000  # also bounds what is collected: one cut and one count per range
+RANGE_ROWS = 1_000_000  # rows that a range holds on average, up to so many ranges
 SAMPLE_ROWS = 2_000_000  # at most about this many rows feed a sketch, over all tasks
 HEAVY = 4  # a value found at this many neighbouring cut points is cut by the next column
 
@@ -49,13 +50,18 @@ def _smallest(dtype: T.DataType) -> str:
     return "-Infinity" if isinstance(dtype, (T.FloatType, T.DoubleType)) else str(-(2 ** (bits - 1)))
 
 
-def default_ranges(df: DataFrame) -> int:
+def default_ranges(df: DataFrame, total: int | None = None) -> int:
+    """Ranges for ``total`` rows: by their number, and at least one for each shuffle partition."""
     shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(MAX_RANGES, shuffles))
+    return max(1, min(MAX_RANGES, max(shuffles, -(-(total or 0) // RANGE_ROWS))))
 
 
 def _sortable(dtype: T.DataType) -> bool:
-    return isinstance(dtype, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
+    return isinstance(dtype, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, *COARSE))
+
+
+#: Types that are cut by a number in their order that some of their values share, so no later column can cut further.
+COARSE = (T.StringType, T.BinaryType, T.BooleanType)
 
 
 def local_seconds(c: Column) -> Column:
@@ -76,6 +82,10 @@ def _as_number(name: str, dtype: T.DataType) -> Column:
         return (local_seconds(c) * 1_000_000).cast("bigint")
     if isinstance(dtype, T.DateType):
         return F.unix_date(c)
+    if isinstance(dtype, T.BooleanType):
+        return c.cast("bigint")
+    if isinstance(dtype, (T.StringType, T.BinaryType)):  # the first seven bytes
+        return F.conv(F.rpad(F.substring(F.hex(c), 1, 14), 14, "0"), 16, 10).cast("bigint")
     return c
 
 
@@ -132,13 +142,17 @@ class KeyRanges:
         if not self.cuts:
             return cond
         name, dtype = self.keys[0]
+        coarse = isinstance(dtype, COARSE)  # no bound on the column itself
         if first > 0:
-            cond = cond & (col(name) >= _native_literal(self.cuts[first - 1][0], dtype))
-            if self._depth() > 1:
+            if not coarse:
+                cond = cond & (col(name) >= _native_literal(self.cuts[first - 1][0], dtype))
+            if self._depth() > 1 or coarse:
                 cond = cond & self.cut_is_at_or_below(F.lit(first - 1), self.points(), self.key_columns())
         if last < len(self.cuts):
             above = self.cut_is_at_or_below(F.lit(last), self.points(), self.key_columns())
-            upto = (col(name) <= _native_literal(self.cuts[last][0], dtype)) & ~F.coalesce(above, F.lit(False))
+            upto = ~F.coalesce(above, F.lit(False)) & col(name).isNotNull()
+            if not coarse:
+                upto = upto & (col(name) <= _native_literal(self.cuts[last][0], dtype))
             cond = cond & (upto if first > 0 else upto | col(name).isNull())
         return cond
 
@@ -168,18 +182,25 @@ def sample_for_sketch(df: DataFrame, total: int, seed: int = 0) -> DataFrame:
 
 
 def key_ranges(df: DataFrame, order_by: Sequence[str], n_ranges: int | None = None, total: int | None = None) -> KeyRanges:
-    """Cut the order key of ``df`` (of ``total`` rows) into about ``n_ranges`` ranges of equal row counts."""
-    n = min(MAX_RANGES, n_ranges or default_ranges(df))
+    """Cut the order key of ``df`` (of ``total`` rows) into about ``n_ranges`` ranges of equal row counts.
+
+    Rows that are equal in all columns that can be cut stay together in one range, so an order over much data should end
+    with a column that tells rows apart.  Large inputs are sampled for the cuts; that moves the cuts and nothing else.
+    """
+    total = df.count() if total is None else total
+    n = min(MAX_RANGES, n_ranges or default_ranges(df, total))
     keys = []
     for name in order_by:
         dtype = df.schema[name].dataType
         if not _sortable(dtype):
             break
         keys.append((name, dtype))
+        if isinstance(dtype, COARSE):
+            break
     if not keys:
-        raise ValueError(f"the first order column must be a number, date or timestamp: {list(order_by)}")
+        raise ValueError(f"the first order column has no order that can be cut: {list(order_by)}")
 
-    df = sample_for_sketch(df, df.count() if total is None else total)
+    df = sample_for_sketch(df, total)
     cuts: set[tuple] = set()
     heavy: list[tuple[tuple, int]] = [((), n)]  # key prefix, pieces wanted
     for depth in range(len(keys)):

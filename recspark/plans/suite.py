@@ -9,19 +9,22 @@ from __future__ import annotations
 
 import json
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import fields as fn
 from ..operators import ordering as od, stats as st, status as sx
 from ..schema import field, record_schema
 from ..sources import exchange as ex, recordings as rec, streams as sm
+from ..sources.paths import open_fs, readable
 from ..streaming import live
 from ..workspace import work_dir
 from .ranges import local_seconds
 
 ORDER = ["TimeStamp", "event_id"]
+#: The same order by the stored column, whose bounds reach the scan; and bounds as the table stores them.
+STORED_ORDER = ["ts", "event_id"]
+FROM, UPTO = "2024-01-03 16:40:00", "2024-01-22 05:06:40"
+# Fixed fixture values: the bit layout of ``status_bits``.
 STATUS_BITS = {"tx": 0, "rx": 1, "errFlag": 6}
 
 EVENT_RECORD = record_schema(
@@ -50,6 +53,10 @@ def _epoch(name: str):
     return local_seconds(F.col(name).cast("timestamp_ntz")).cast("double")
 
 
+def _stored(time: str):
+    return F.lit(time).cast("timestamp_ntz")
+
+
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -66,6 +73,18 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     return sm.with_fields(df, EVENT_RECORD)
 
 
+def stored_events(spark: SparkSession, sf: str) -> DataFrame:
+    """``events`` with the time as stored, too."""
+    df = _table(spark, sf, "events")
+    return sm.with_fields(
+        df.select(
+            _epoch("ts").alias("TimeStamp"), "event_id", "user_id", "event_type", "value",
+            F.col("event_id").bitwiseAND(F.lit(255)).cast("short").alias("status"), "ts",
+        ),
+        EVENT_RECORD,
+    )
+
+
 def vectors(spark: SparkSession, sf: str) -> DataFrame:
     df = _table(spark, sf, "embeddings").select(F.col("vec_id").cast("double").alias("TimeStamp"), "vec_id", "embedding", "label")
     return sm.with_fields(df, VECTOR_RECORD)
@@ -108,7 +127,7 @@ def record_batches(spark, sf):
 
 
 def latest_global(spark, sf):
-    return od.latest(events(spark, sf), 2000, ORDER).select("event_id", "TimeStamp", "value", "seq")
+    return od.latest(stored_events(spark, sf), 2000, STORED_ORDER).select("event_id", "TimeStamp", "value", "seq")
 
 
 def latest_per_stream(spark, sf):
@@ -121,11 +140,11 @@ def latest_split_stream(spark, sf):
 
 
 def slice_records(spark, sf):
-    return od.slice_records(events(spark, sf), 1234, 777, ORDER).select("event_id", "value", "seq")
+    return od.slice_records(stored_events(spark, sf), 1234, 777, STORED_ORDER).select("event_id", "value", "seq")
 
 
 def read_after(spark, sf):
-    return od.read_after(events(spark, sf), 2500, order_by=ORDER).select("event_id", "value", "seq")
+    return od.read_after(stored_events(spark, sf), 2500, order_by=STORED_ORDER).select("event_id", "value", "seq")
 
 
 def read_after_per_stream(spark, sf):
@@ -214,7 +233,7 @@ def array_channels(spark, sf):
 
 
 def range_filter(spark, sf):
-    return fn.in_range(events(spark, sf), 1704300000.0, 1705900000.0).select("event_id", "TimeStamp", "value")
+    return fn.in_range(stored_events(spark, sf), _stored(FROM), _stored(UPTO), "ts").select("event_id", "TimeStamp", "value")
 
 
 # ---- statistics --------------------------------------------------------------------------
@@ -282,12 +301,18 @@ def rate_per_hour(spark, sf):
     return st.rate(events(spark, sf), 3600).select("TimeStamp", "count", _r("rate", 9))
 
 
+def rate_tenth(spark, sf):
+    """Intervals that binary fractions cannot hold: tenths of a second, over times in tenths of a second."""
+    df = events(spark, sf).withColumn("TimeStamp", F.col("event_id") / 10.0)
+    return st.rate(df, 0.1).select(F.round(F.col("TimeStamp") * 10).cast("long").alias("tenth"), "count")
+
+
 def rate_per_stream(spark, sf):
     return st.rate(events(spark, sf), 86400, "event_type").select("event_type", "TimeStamp", "count", _r("rate", 9))
 
 
 def visible_range(spark, sf):
-    out = st.visible_range(events(spark, sf), 1704300000.0, 1705900000.0)
+    out = st.visible_range(stored_events(spark, sf), _stored(FROM), _stored(UPTO), "ts", skip=["ts"])
     return out.select("channel", _r("y_min", 3), _r("y_max", 3))
 
 
@@ -319,6 +344,17 @@ def write_space(spark, sf):
     return sx.write_space(_status(spark, sf), _cursors(spark, sf), "event_type")
 
 
+def write_space_all_streams(spark, sf):
+    """All registered streams, one of them without records and one without a name."""
+    root = work_dir(spark, "streams")
+    sm.register_stream(spark, root, "silent", EVENT_RECORD)
+    df = events(spark, sf)
+    named = df.select(F.when(F.col("event_type") != "click", F.col("event_type")).alias("stream"))
+    status = sx.stream_status(named, 1500, "stream", sm.catalog(spark, root).select("stream").distinct())
+    cursors = named.groupBy("stream").agg(F.expr("count(1) div 2").alias("cursor"))
+    return sx.write_space(status, cursors, "stream").select(F.coalesce("stream", F.lit("-")).alias("stream"), "max_lag", "free")
+
+
 # ---- sources and sinks -------------------------------------------------------------------
 
 
@@ -379,17 +415,25 @@ def sections_inventory(spark, sf):
 def csv_roundtrip(spark, sf):
     path = work_dir(spark, "csv")
     ex.write_csv(events(spark, sf), path)
-    return spark.read.schema(EVENT_RECORD).option("header", True).csv(path)
+    return ex.read_csv(spark, path, EVENT_RECORD)
 
 
-def producer_rows(spark, sf):
-    schema = record_schema([("Sample", "Float"), ("Index", "UInt32")])
+def csv_text_roundtrip(spark, sf):
+    """Text with blanks at both ends, commas and quotes through CSV."""
+    path = work_dir(spark, "csv")
+    text = F.concat(F.lit('  a,"'), F.col("event_type"), F.lit("' \\ ,\" "))
+    ex.write_csv(events(spark, sf).withColumn("event_type", text), path)
+    return ex.read_csv(spark, path, EVENT_RECORD).select("event_id", "event_type")
 
-    def sine(index: np.ndarray) -> pd.DataFrame:
-        return pd.DataFrame({"TimeStamp": index * 0.5, "Sample": np.sin(0.01 * index).astype("f4"), "Index": index})
 
-    n = events(spark, sf).count()
-    return ex.from_producer(spark, schema, sine, n).select("TimeStamp", "Sample", "Index")
+def array_csv_roundtrip(spark, sf):
+    """Every array element through CSV, and whether it is the same to six decimals."""
+    path = work_dir(spark, "csv")
+    ex.write_csv(vectors(spark, sf), path)
+    back = fn.explode_elements(ex.read_csv(spark, path, VECTOR_RECORD), "embedding", ["vec_id"])
+    before = fn.explode_elements(vectors(spark, sf), "embedding", ["vec_id"]).withColumnRenamed("y", "was")
+    same = F.abs(F.col("y").cast("double") - F.col("was").cast("double")) <= 6e-7
+    return before.join(back, ["vec_id", "index"], "left").select("vec_id", "index", F.coalesce(same, F.lit(False)).alias("same"))
 
 
 def record_producer(spark, sf):
@@ -399,6 +443,13 @@ def record_producer(spark, sf):
     return ex.produce(events(spark, sf).select("event_id"), schema, step)
 
 
+def whole_recording(spark, sf):
+    """A whole recording as an Arrow table and back."""
+    path = work_dir(spark, "recording")
+    rec.write_recordings(events(spark, sf), path, "Events")
+    return spark.createDataFrame(ex.to_arrow(path, None, ["TimeStamp", "event_id"], spark).select(["event_id", "value"]))
+
+
 def snapshot_frame(spark, sf):
     pdf = ex.to_frame(events(spark, sf), 2000, ORDER)
     return spark.createDataFrame(pdf[["event_id", "value"]])
@@ -425,7 +476,7 @@ def record_to_both(spark, sf):
     sinks = [live.binary_sink(f"{out}/bin", "Events"), live.csv_sink(f"{out}/csv")]
     live.drain(live.record_to(_live(spark, sf), sinks, ckpt, available_now=True))
     binary = rec.read_recordings(spark, f"{out}/bin").select(F.lit("binary").alias("sink"), "event_id", "value", "status")
-    csv = spark.read.schema(EVENT_RECORD).option("header", True).csv(f"{out}/csv/*").select(F.lit("csv").alias("sink"), "event_id", "value", "status")
+    csv = ex.read_csv(spark, f"{out}/csv/*", EVENT_RECORD).select(F.lit("csv").alias("sink"), "event_id", "value", "status")
     return od.concat([binary, csv])
 
 
@@ -481,11 +532,11 @@ def stream_batch_stats(spark, sf):
 
 def stream_each_record(spark, sf):
     """User code per record that writes one line each; one file per partition and epoch."""
-    out, ckpt = work_dir(spark, "live"), work_dir(spark, "checkpoint")
+    out, ckpt = readable(spark, work_dir(spark, "live")), work_dir(spark, "checkpoint")
     state = {}
 
     def on_start(partition, epoch):
-        fs, root = rec.open_fs(out)
+        fs, root = open_fs(out)
         fs.create_dir(root, recursive=True)
         state["file"] = fs.open_output_stream(f"{root}/e{epoch}-p{partition}.json")
 
@@ -522,13 +573,14 @@ QUERIES = {
     for f in (
         batch_stats, batch_stats_per_stream, field_stats, field_stats_per_stream, array_stats, describe_fields,
         describe_value, running_stats, running_stats_one_stream, running_stats_split_stream, running_summary,
-        rate_per_hour, rate_per_stream, visible_range, visible_array_range, stream_status, consumer_lag, write_space,
+        rate_per_hour, rate_tenth, rate_per_stream, visible_range, visible_array_range, stream_status, consumer_lag, write_space,
+        write_space_all_streams,
         record_positions, stream_positions, split_stream_positions, record_batches, latest_global, latest_per_stream,
         latest_split_stream, slice_records, read_after, read_after_per_stream, head_records, concat_records,
         select_fields, numeric_value, set_value, set_array_value, clear_records, named_bits, expand_bits, set_bit,
         array_element, explode_elements, channels, array_channels, range_filter,
         catalog_fields, publish_roundtrip, binary_roundtrip, array_roundtrip, sections_inventory, csv_roundtrip,
-        producer_rows, record_producer, snapshot_frame,
+        csv_text_roundtrip, array_csv_roundtrip, record_producer, whole_recording, snapshot_frame,
         stream_records, record_to_both, stream_recordings, stream_running_stats, stream_rate, stream_latest,
         stream_batch_stats, stream_each_record, stream_progress,
     )

@@ -173,9 +173,16 @@ SELECT * FROM (
   UNION ALL SELECT 'Vectors', 'Data', 4, 276, count(*), count(*) * 276 FROM embeddings)""",
     "csv_roundtrip": f"""
 SELECT {E} AS "TimeStamp", event_id, user_id, event_type, round(value, 6) AS value, {WORD} AS status FROM events""",
-    "producer_rows": """
-SELECT i * 0.5::DOUBLE AS "TimeStamp", CAST(sin(0.01::DOUBLE * i) AS FLOAT) AS "Sample", i AS "Index"
-FROM (SELECT unnest(range((SELECT count(*) FROM events))) AS i)""",
+    "csv_text_roundtrip": """
+SELECT event_id, '  a,"' || event_type || ''' \\ ," ' AS event_type FROM events""",
+    "array_csv_roundtrip": f"""
+SELECT vec_id, CAST(index AS INTEGER) AS index, true AS same FROM ({ELEMENTS})""",
+    "whole_recording": "SELECT event_id, value FROM events",
+    "rate_tenth": "SELECT event_id AS tenth, count(*) AS count FROM events GROUP BY event_id",
+    "write_space_all_streams": """
+WITH s AS (SELECT CASE WHEN event_type <> 'click' THEN event_type END AS stream, count(*) AS n FROM events GROUP BY 1)
+SELECT coalesce(stream, '-') AS stream, n - n // 2 AS max_lag, greatest(1500 - (n - n // 2), 0) AS free FROM s
+UNION ALL SELECT 'silent', 0, 1500""",
     "record_producer": """
 SELECT CAST(event_id AS DOUBLE) AS "TimeStamp", event_id, event_id / 2.0::DOUBLE AS half FROM events WHERE event_id % 3 <> 0""",
     "snapshot_frame": "SELECT event_id, value FROM events ORDER BY ts DESC, event_id DESC LIMIT 2000",

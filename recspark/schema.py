@@ -15,9 +15,6 @@ from pyspark.sql import types as T
 
 TIME_FIELD = "TimeStamp"
 
-# A field name is stored in 26 bytes, the last one a terminator.
-MAX_NAME_BYTES = 25
-
 # Source type -> little-endian NumPy code.
 NUMPY_CODES = {
     "Bool": "?",
@@ -98,7 +95,6 @@ def bit_positions(bit_defs: Iterable) -> dict[str, int]:
 def field(name: str, src_type: str, count: int = 1, bits: Mapping[str, int] | None = None) -> T.StructField:
     """One record field as a ``StructField`` carrying its source type."""
     check_type(src_type)
-    name = name.encode()[:MAX_NAME_BYTES].decode(errors="ignore")
     if not name:
         raise ValueError("a field needs a name")
     if count < 1:
@@ -118,6 +114,16 @@ def field(name: str, src_type: str, count: int = 1, bits: Mapping[str, int] | No
     return T.StructField(name, spark_type, nullable=False, metadata=meta)
 
 
+def _from_spec(spec: tuple) -> T.StructField:
+    """``(name, type, shape)``: a field of ``shape`` elements (1 if left out), or a word whose bits ``shape`` names."""
+    if not 2 <= len(spec) <= 3:
+        raise ValueError(f"a field is given by name, type and shape, not by {spec!r}")
+    name, src_type, shape = (*spec, 1)[:3]
+    if isinstance(shape, (list, tuple)):
+        return field(name, src_type, bits=bit_positions(shape))
+    return field(name, src_type, int(shape))
+
+
 def record_schema(fields: Iterable, align: bool = False) -> T.StructType:
     """Field specs to a schema with ``TimeStamp`` first.
 
@@ -125,18 +131,7 @@ def record_schema(fields: Iterable, align: bool = False) -> T.StructType:
     ready ``StructField``.  ``align`` orders the fields by decreasing element size
     (stable), which puts each of them on its natural boundary in a binary record.
     """
-    out = []
-    for spec in fields:
-        if isinstance(spec, T.StructField):
-            out.append(spec)
-        elif len(spec) == 2:
-            out.append(field(*spec))
-        elif len(spec) == 3 and isinstance(spec[2], (list, tuple)):
-            out.append(field(spec[0], spec[1], bits=bit_positions(spec[2])))
-        elif len(spec) == 3:
-            out.append(field(spec[0], spec[1], int(spec[2])))
-        else:
-            raise ValueError(f"unsupported field spec: {spec!r}")
+    out = [spec if isinstance(spec, T.StructField) else _from_spec(spec) for spec in fields]
     if align:
         out.sort(key=lambda f: -type_size(source_type(f)))
     schema = T.StructType([field(TIME_FIELD, "Double"), *out])
@@ -145,6 +140,8 @@ def record_schema(fields: Iterable, align: bool = False) -> T.StructType:
     bit_names = [b for f in schema for b in named_bits(f)]
     if len(set(bit_names)) != len(bit_names):
         raise ValueError(f"bit names must be unique in a record: {bit_names}")
+    if set(bit_names) & set(schema.names):
+        raise ValueError(f"a bit may not be named like a field: {sorted(set(bit_names) & set(schema.names))}")
     return schema
 
 

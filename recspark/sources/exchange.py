@@ -6,9 +6,10 @@ from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..operators.ordering import latest
+from ..operators.ordering import as_list, latest
 from ..plans.ranges import col
 from ..schema import TIME_FIELD, element_count, is_array
 from .recordings import read_recordings
@@ -44,7 +45,30 @@ def write_csv(df: DataFrame, path: str, mode: str = "append") -> None:
     Every part file starts with its header line, and an empty input still writes one; reading
     the folder as one CSV table gives each record once.
     """
-    df.select(*csv_columns(df)).write.mode(mode).option("header", True).csv(path)
+    whole = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.select(*csv_columns(df)).write.mode(mode).options(**whole).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Records that :func:`write_csv` wrote: array fields put together again, text and values that are not finite as they were."""
+    flat = []
+    for f in sorted(schema, key=lambda f: f.name != TIME_FIELD):
+        if is_array(f):
+            flat += [T.StructField(f"{f.name}[{i}]", f.dataType.elementType) for i in range(element_count(f))]
+        else:
+            flat.append(T.StructField(f.name, f.dataType))
+    options = {
+        "header": True, "nanValue": "nan", "positiveInf": "inf", "negativeInf": "-inf", "emptyValue": "",
+        "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+    }
+    rows = spark.read.schema(T.StructType(flat)).options(**options).csv(path)
+
+    def value(f: T.StructField) -> Column:
+        if is_array(f):
+            return F.array(*[col(f"{f.name}[{i}]") for i in range(element_count(f))])
+        return F.coalesce(col(f.name), F.lit("")) if isinstance(f.dataType, T.StringType) else col(f.name)  # records hold no nulls
+
+    return rows.select(*[value(f).alias(f.name, metadata=f.metadata) for f in schema])
 
 
 Produce = Callable[[np.ndarray], pd.DataFrame | Mapping]
@@ -69,6 +93,8 @@ def produce(indexes: DataFrame, schema: T.StructType, fn: Produce, on_start=None
                 rows = pd.DataFrame(fn(block.iloc[:, 0].to_numpy()))
                 if len(rows) > len(block):
                     raise ValueError(f"the producer made {len(rows)} records for {len(block)} indexes")
+                if not len(rows):
+                    continue
                 if TIME_FIELD not in rows:
                     rows[TIME_FIELD] = time.time()
                 yield rows[names]
@@ -99,12 +125,26 @@ def producer_stream(spark: SparkSession, schema: T.StructType, fn: Produce, per_
     return produce(ticks.select("value"), schema, fn, **hooks)
 
 
-def to_frame(src: DataFrame | str, n: int = 10_000, order_by=TIME_FIELD, spark: SparkSession | None = None) -> pd.DataFrame:
-    """A snapshot as pandas: the last ``n`` records of a DataFrame or a recording, oldest first."""
+def to_frame(src: DataFrame | str, n: int | None, order_by=TIME_FIELD, spark: SparkSession | None = None) -> pd.DataFrame:
+    """A snapshot as pandas: the last ``n`` records of a DataFrame or a recording, or with None all, oldest first.
+
+    The driver holds what it returns, so the caller names the bound.
+    """
+    return _snapshot(src, n, order_by, spark).toPandas()
+
+
+def to_arrow(src: DataFrame | str, n: int | None, order_by=TIME_FIELD, spark: SparkSession | None = None) -> pa.Table:
+    """The same snapshot as an Arrow table."""
+    return _snapshot(src, n, order_by, spark).toArrow()
+
+
+def _snapshot(src: DataFrame | str, n: int | None, order_by, spark: SparkSession | None) -> DataFrame:
     if isinstance(src, str):
         src = read_recordings(spark or SparkSession.active(), src)
     if not isinstance(src, DataFrame):
         raise TypeError(f"cannot take a snapshot of {type(src).__name__}")
     if src.isStreaming:
         raise TypeError("a live stream has no snapshot; keep its latest records with latest_stream")
-    return latest(src, n, order_by).drop("seq").toPandas()
+    if n is None:
+        return src.orderBy(*[col(c) for c in as_list(order_by)])
+    return latest(src, n, order_by).drop("seq")

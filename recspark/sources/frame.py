@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import types as T
 
 from ..schema import NUMPY_CODES, TIME_FIELD, element_count, is_array, record_dtype, source_type
@@ -136,6 +137,21 @@ def _source_values(values: pa.Array, f: T.StructField) -> np.ndarray:
     return got.astype(code, copy=False)
 
 
+def _chars(column: pa.Array, n: int, name: str) -> np.ndarray:
+    """Text as ``n`` Latin-1 bytes each, filled up with NUL."""
+    letters = np.frombuffer("".join(column.to_pylist()).encode("utf-32-le"), "<u4")
+    lengths = pc.utf8_length(column).to_numpy(zero_copy_only=False)
+    if len(letters) and letters.max() > 0xFF:
+        raise ValueError(f"field {name!r}: text outside Latin-1")
+    if (letters == 0).any():
+        raise ValueError(f"field {name!r}: text with a NUL, where a stored text ends")
+    if len(lengths) and lengths.max() > n:
+        raise ValueError(f"field {name!r}: text longer than {n} characters")
+    out = np.zeros((len(lengths), n), "u1")
+    out[np.arange(n)[None, :] < lengths[:, None]] = letters
+    return out.view(f"S{n}").reshape(-1)
+
+
 def encode(batch: pa.RecordBatch, schema: T.StructType, dtype: np.dtype) -> bytes:
     """An Arrow batch as packed records."""
     rows = np.zeros(batch.num_rows, dtype)
@@ -144,10 +160,7 @@ def encode(batch: pa.RecordBatch, schema: T.StructType, dtype: np.dtype) -> byte
             raise ValueError(f"field {f.name!r}: records hold no nulls")
         n = element_count(f)
         if source_type(f) == "Char":
-            raw = [text.encode("latin-1") for text in column.to_pylist()]
-            if raw and max(map(len, raw)) > n:
-                raise ValueError(f"field {f.name!r}: text longer than {n} characters")
-            rows[f.name] = raw
+            rows[f.name] = _chars(column, n, f.name)
         elif is_array(f):
             flat = column.flatten()
             lengths = column.value_lengths().to_numpy(zero_copy_only=False)

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -23,6 +24,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 
 from ..schema import record_dtype
 from .frame import DATA, HEADER, TYPE_NAMES, check_writable, decode, encode, frame, header_section, walk
+from .paths import open_fs, readable
 
 SUFFIX = ".rec"
 SPLIT_BYTES = 128 << 20
@@ -37,15 +39,6 @@ FILE_COLUMNS = [
 ]
 
 
-def open_fs(path: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a path or URI, and the path in it."""
-    if path.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
-    if "://" in path:
-        return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), path
-
-
 def list_files(path: str) -> list[pafs.FileInfo]:
     """Data files at a path, by name; names starting with ``_`` or ``.`` are hidden."""
     fs, root = open_fs(path)
@@ -102,10 +95,13 @@ def read_range(fs, rng: ByteRange, schema: T.StructType, out: pa.Schema) -> Iter
                 n = min(BLOCK_ROWS, last - at)
                 f.seek(s.start + at * width)
                 columns = dict(zip(wanted.names, decode(f.read(n * width), s, wanted)))
-                columns["_alias"] = pa.array([s.alias] * n, pa.string())
-                columns["_file"] = pa.array([rng.path] * n, pa.string())
                 start = s.first_record + at
-                columns["_pos"] = pa.array(range(start, start + n), pa.int64())
+                if "_alias" in schema.names:
+                    columns["_alias"] = pa.repeat(pa.scalar(s.alias, pa.string()), n)
+                if "_file" in schema.names:
+                    columns["_file"] = pa.repeat(pa.scalar(rng.path, pa.string()), n)
+                if "_pos" in schema.names:
+                    columns["_pos"] = pa.array(np.arange(start, start + n))
                 yield pa.RecordBatch.from_arrays([columns[c].cast(out.field(c).type) for c in schema.names], schema=out)
 
 
@@ -197,6 +193,7 @@ class RecordSource(DataSource):
         path = self.options.get("path")
         if not path:
             raise ValueError("the records source needs a path")
+        open_fs(path)  # a path that means something else to Spark is refused at planning
         return path
 
     def schema(self):
@@ -275,12 +272,12 @@ def register(spark: SparkSession) -> None:
 
 def read_recordings(spark: SparkSession, path: str, **options) -> DataFrame:
     register(spark)
-    return spark.read.format("records").options(**options).load(path)
+    return spark.read.format("records").options(**options).load(readable(spark, path))
 
 
 def write_recordings(df: DataFrame, path: str, alias: str = "", align: bool = False, mode: str = "append") -> None:
     register(df.sparkSession)
-    df.write.format("records").options(alias=alias, align=str(align).lower()).mode(mode).save(path)
+    df.write.format("records").options(alias=alias, align=str(align).lower()).mode(mode).save(readable(df.sparkSession, path))
 
 
 def stream_recordings(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES, max_files: int = 1_000) -> DataFrame:
@@ -291,7 +288,7 @@ def stream_recordings(spark: SparkSession, path: str, split_bytes: int = SPLIT_B
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    schema, _ = first_schema(path)
+    schema, _ = first_schema(readable(spark, path))
     full = T.StructType([*schema.fields, *FILE_COLUMNS])
     arrow = to_arrow_schema(full)
     files = _found_files(spark.readStream.option("maxFilesPerTrigger", max_files).option("pathGlobFilter", f"*{SUFFIX}"), path)

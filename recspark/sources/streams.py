@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from ..plans.ranges import col
 from ..schema import TIME_FIELD, describe_fields, element_count, is_array, source_type, type_size
-from .recordings import open_fs
+from .paths import exists, write_once
 
 REGISTRY = "_registry"
 
@@ -38,8 +38,8 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The columns of ``df`` as records of ``schema``, matched by name.
 
     A missing ``TimeStamp`` becomes the current time; any other missing or extra column is
-    an error.  Nulls, values outside an unsigned type and arrays of the wrong length fail the
-    job rather than being changed.
+    an error.  Nulls, arrays of the wrong length and values that the field's type cannot hold as they are, text that is
+    too long among them, fail the job rather than being changed.  Floats may lose digits.
     """
     missing = [n for n in schema.names if n not in df.columns and n != TIME_FIELD]
     extra = [n for n in df.columns if n not in schema.names]
@@ -53,8 +53,15 @@ def _checked(df: DataFrame, f: T.StructField) -> Column:
         return now().alias(f.name, metadata=f.metadata)
     # element nulls are checked here, whatever the input's type says about them
     dtype = T.ArrayType(f.dataType.elementType) if is_array(f) else f.dataType
-    c = col(f.name).cast(dtype)
-    problem = F.when(c.isNull(), F.lit(f"{f.name}: records hold no nulls"))
+    given = col(f.name)
+    if is_array(f) and isinstance(df.schema[f.name].dataType, T.ArrayType):
+        c = F.transform(given, lambda x: x.try_cast(f.dataType.elementType))
+        changed = F.exists(F.arrays_zip(given.alias("a"), c.alias("b")), lambda z: _changed(z["a"], z["b"], f, df.schema[f.name].dataType.elementType))
+    else:
+        c = given.try_cast(dtype)
+        changed = _changed(given, c, f, df.schema[f.name].dataType)
+    problem = F.when(given.isNull(), F.lit(f"{f.name}: records hold no nulls"))
+    problem = problem.when(changed, F.lit(f"{f.name}: value does not fit {source_type(f)}"))
     if is_array(f):
         problem = problem.when(F.size(c) != element_count(f), F.lit(f"{f.name}: wrong array length"))
         problem = problem.when(F.exists(c, lambda x: x.isNull()), F.lit(f"{f.name}: records hold no nulls"))
@@ -70,16 +77,22 @@ def _checked(df: DataFrame, f: T.StructField) -> Column:
     return checked.alias(f.name, metadata=f.metadata)
 
 
-def _exists(path: str) -> bool:
-    fs, local = open_fs(path)
-    return fs.get_file_info(local).type.name != "NotFound"
+def _changed(given: Column, cast: Column, f: T.StructField, kind: T.DataType) -> Column:
+    """Does a value that is not null come out of the cast as another?"""
+    src = source_type(f)
+    lost = given.isNotNull() & cast.isNull()
+    if src == "Char":
+        return lost | (F.length(cast) > element_count(f)) | cast.contains("\0")
+    if src in ("Float", "Double", "Bool") or not isinstance(kind, T.NumericType):
+        return lost
+    return lost | F.coalesce(cast.cast("decimal(38,9)") != given.try_cast("decimal(38,9)"), given.isNotNull())
 
 
 def _registry(spark: SparkSession, root: str) -> DataFrame:
     path = f"{root}/{REGISTRY}"
-    if not _exists(path):
+    if not exists(spark, path):
         return spark.createDataFrame([], _REGISTRY_SCHEMA)
-    return spark.read.schema(_REGISTRY_SCHEMA).parquet(path)
+    return spark.read.schema(_REGISTRY_SCHEMA).json(path)
 
 
 def stream_schema(spark: SparkSession, root: str, name: str) -> T.StructType | None:
@@ -89,14 +102,16 @@ def stream_schema(spark: SparkSession, root: str, name: str) -> T.StructType | N
 
 
 def register_stream(spark: SparkSession, root: str, name: str, schema: T.StructType) -> None:
-    """Name a stream and fix its schema."""
+    """Name a stream and fix its schema.  Each stream has a file of its own in the registry, which is written once."""
     known = stream_schema(spark, root, name)
     if known is not None:
         if describe_fields(known) != describe_fields(schema):
             raise ValueError(f"stream {name!r} already has another schema")
         return
-    row = [(name, schema.json())]
-    spark.createDataFrame(row, _REGISTRY_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/{REGISTRY}")
+    write_once(spark, f"{root}/{REGISTRY}/{quote(name, safe='')}.json", json.dumps({"stream": name, "schema": schema.json()}))
+    known = stream_schema(spark, root, name)  # of another call, if that was faster
+    if known is None or describe_fields(known) != describe_fields(schema):
+        raise ValueError(f"stream {name!r} already has another schema")
 
 
 def catalog(spark: SparkSession, root: str, stream: str | None = None) -> DataFrame:
@@ -126,7 +141,7 @@ def publish(df: DataFrame, root: str, name: str, batch: int | None = None) -> in
     path = stream_path(root, name)
     if batch is not None:
         path = f"{path}/batch-{batch:012d}"
-        if _exists(f"{path}/_SUCCESS"):
+        if exists(df.sparkSession, f"{path}/_SUCCESS"):
             return 0
     seen = Observation()
     rows = conform(df, schema).observe(seen, F.count(F.lit(1)).alias("n"))
@@ -144,7 +159,7 @@ def _known(spark: SparkSession, root: str, name: str) -> T.StructType:
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """All records of a named stream so far."""
     schema = _known(spark, root, name)
-    if not _exists(stream_path(root, name)):
+    if not exists(spark, stream_path(root, name)):
         return spark.createDataFrame([], schema)
     table = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(stream_path(root, name))
     return with_fields(table, schema)
@@ -154,7 +169,7 @@ def read_stream(spark: SparkSession, root: str, name: str, max_files: int = 1_00
     """Live read of a named stream; ``max_files`` per micro-batch is the flow control."""
     schema = _known(spark, root, name)
     path = stream_path(root, name)
-    if not _exists(path):
+    if not exists(spark, path):
         spark.createDataFrame([], schema).write.mode("append").parquet(path)
     files = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", max_files)
     return with_fields(files.parquet(path), schema)

@@ -8,16 +8,19 @@ from __future__ import annotations
 
 import logging
 import re
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators.ordering import MAX_GROUP_ROWS, STREAM, as_list, newest, stream_key, stream_sizes
+from ..operators.stats import interval_micros, micros
 from ..plans.ranges import col, default_ranges
 from ..schema import TIME_FIELD
 from ..sources.exchange import write_csv
-from ..sources.recordings import open_fs, write_recordings
+from ..sources.paths import entries, exists, remove
+from ..sources.recordings import write_recordings
 
 log = logging.getLogger(__name__)
 
@@ -106,33 +109,36 @@ def record_to(sdf: DataFrame, sinks: Sequence[BatchFn], checkpoint: str, **trigg
 # ---- results kept up to date -----------------------------------------------------------
 
 _VERSION = re.compile(r"v(\d{12})$")
-KEEP_VERSIONS = 2
+#: Seconds for which a version that a newer one has replaced stays, since a reader may still be at it.
+RETAIN = 24 * 3600
 
 
 def _version(path: str, i: int) -> str:
     return f"{path}/v{i:012d}"
 
 
-def _versions(path: str) -> list[int]:
-    import pyarrow.fs as pafs
-
-    fs, root = open_fs(path)
-    found = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
-    done = [f.path for f in found if fs.get_file_info(f"{f.path}/_SUCCESS").type == pafs.FileType.File]
-    return sorted(int(m.group(1)) for m in map(_VERSION.search, done) if m)
+def _versions(spark: SparkSession, path: str) -> dict[int, float]:
+    """Finished versions in order, and when each was finished."""
+    found = {int(m.group(1)): at for name, at in entries(spark, path) if (m := _VERSION.match(name))}
+    return {i: found[i] for i in sorted(found) if exists(spark, f"{_version(path, i)}/_SUCCESS")}
 
 
 def _store_version(df: DataFrame, path: str, i: int) -> None:
+    spark = df.sparkSession
     df.write.mode("overwrite").parquet(_version(path, i))
-    fs, root = open_fs(path)
-    for old in _versions(path):
-        if old <= i - KEEP_VERSIONS:
-            fs.delete_dir(_version(root, old))
+    versions = _versions(spark, path)
+    for old, newer in zip(versions, list(versions)[1:]):
+        # replaced long ago, and not the one that the next micro-batch starts from if this one is run again
+        if old < i - 1 and versions[newer] < time.time() - RETAIN:
+            remove(spark, _version(path, old))
 
 
 def read_result(spark: SparkSession, path: str) -> DataFrame:
-    """The current version of a result kept by ``keep_result`` or ``latest_stream``."""
-    versions = _versions(path)
+    """The current version of a result kept by ``keep_result`` or ``latest_stream``.
+
+    It can be read for ``RETAIN`` seconds after a newer one has replaced it.
+    """
+    versions = list(_versions(spark, path))
     if not versions:
         raise FileNotFoundError(f"no result at {path} yet")
     return spark.read.parquet(_version(path, versions[-1]))
@@ -176,7 +182,7 @@ def latest_stream(
         spark = batch.sparkSession
         slices = default_ranges(batch) if stream_sizes(batch, by)[0] > max_group_rows else 1
         written = batch.groupBy(stream_key(by).alias(STREAM)).agg(F.count(F.lit(1)).alias("__total"))
-        if i - 1 in _versions(path):
+        if i - 1 in _versions(spark, path):
             kept = spark.read.parquet(_version(path, i - 1))
             before = kept.groupBy(stream_key(by).alias(STREAM)).agg((F.max("seq") + 1).alias("__total"))
             written = written.unionByName(before).groupBy(STREAM).agg(F.sum("__total").alias("__total"))
@@ -197,8 +203,8 @@ def latest_stream(
 def live_rate(sdf: DataFrame, seconds: float, delay: str = "1 minute", by: str | Sequence[str] | None = None) -> DataFrame:
     """Streaming ``rate``: ``[by..., TimeStamp, count, rate]``; late records count up to ``delay``."""
     by = as_list(by)
-    timed = sdf.withColumn("__ts", F.timestamp_micros(F.round(col(TIME_FIELD) * 1e6).cast("long")))
-    window = F.window("__ts", f"{round(seconds * 1e6)} microseconds")
+    timed = sdf.withColumn("__ts", F.timestamp_micros(micros(col(TIME_FIELD))))
+    window = F.window("__ts", f"{interval_micros(seconds)} microseconds")
     return (
         timed.withWatermark("__ts", delay)
         .groupBy(window.alias("__w"), *[col(b) for b in by])

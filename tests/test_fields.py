@@ -91,7 +91,7 @@ def test_clear_zeroes_every_field(multi):
 def test_sixteen_channels(multi):
     long = fn.channels(multi, keep=["TimeStamp"])
     names = ["TimeStamp", "Counter[0]", "Counter[1]", "BitReg", *[f"f{i}" for i in range(8)], "Voltage", "Current", "ADC ch0", "Pressure"]
-    assert [t.name for t in fn.channel_list(multi.schema)] == names
+    assert [t.name for t in fn.channel_list(multi.schema)] == [n for n in names if "[" not in n]
     assert long.count() == 50 * 16
     at5 = {r["channel"]: r["y"] for r in long.where("TimeStamp = 5").collect()}
     assert list(sorted(at5)) == sorted(names)

@@ -104,14 +104,20 @@ def test_a_batch_published_twice_counts_once(spark, root):
 
 
 @pytest.mark.parametrize("limit", [0, 10**9])
-def test_latest_records_kept_live(spark, root, tmp_path, limit):
+def test_latest_records_kept_live(spark, root, tmp_path, limit, monkeypatch):
     out = str(tmp_path / "out")
     sdf = sm.read_stream(spark, root, "s", 1)
     live.drain(live.latest_stream(sdf, 7, out, str(tmp_path / "c"), "stream", ORDER, available_now=True, max_group_rows=limit))
     got = sorted(tuple(r) for r in live.read_result(spark, out).select("stream", "Val", "seq").collect())
     want = od.latest(rows(spark, 0, 300), 7, ORDER, "stream").select("stream", "Val", "seq")
     assert got == sorted(tuple(r) for r in want.collect())
-    assert len(live._versions(out)) == live.KEEP_VERSIONS
+    kept = live._versions(spark, out)
+    assert len(kept) > 2  # a reader may still be at any of them
+    live._store_version(spark.range(1).toDF("seq"), out, max(kept) + 1)
+    assert len(live._versions(spark, out)) == len(kept) + 1
+    monkeypatch.setattr(live, "RETAIN", -1)
+    live._store_version(spark.range(1).toDF("seq"), out, max(kept) + 2)
+    assert list(live._versions(spark, out)) == [max(kept) + 1, max(kept) + 2]
 
 
 def test_late_records_still_count(spark, root, tmp_path):

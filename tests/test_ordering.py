@@ -1,9 +1,11 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from recspark.operators import ordering as od
 from recspark.operators import stats as st
-from recspark.plans import ranges
+from recspark.plans import ranges, suite
 from recspark.plans.ranges import key_ranges
 from recspark.schema import record_schema
 
@@ -72,7 +74,7 @@ def test_nan_and_null_times_keep_their_rows(spark):
     df = spark.createDataFrame([(float("nan"), 4), (None, 0), (1.0, 1), (2.0, 2), (float("inf"), 3)], "TimeStamp double, Val int")
     got = od.with_seq(df, ORDER, n_ranges=4)
     assert got.where("seq <> Val").count() == 0 and got.count() == 5
-    assert [r["Val"] for r in od.slice_records(df, 0, 2, ORDER, n_ranges=4).orderBy("seq").collect()] == [0, 1]
+    assert [r["Val"] for r in od.slice_records(df, 0, 2, ORDER, n_ranges=4).collect()] == [0, 1]
     assert [r["Val"] for r in od.latest(df, 2, ORDER, n_ranges=4).collect()] == [3, 4]
 
 
@@ -81,7 +83,7 @@ def test_null_tie_breakers_keep_their_rows(spark):
     got = od.with_seq(df, ORDER, n_ranges=8)
     assert got.where("seq <> coalesce(Val, 0)").count() == 0
     for lo, n in ((0, 5), (0, 100), (10, 20), (95, 5)):
-        assert sorted(r["seq"] for r in od.slice_records(df, lo, n, ORDER, n_ranges=8).collect()) == list(range(lo, lo + n))
+        assert [r["seq"] for r in od.slice_records(df, lo, n, ORDER, n_ranges=8).collect()] == list(range(lo, lo + n))
 
 
 def test_empty_stream(spark):
@@ -137,7 +139,7 @@ def test_latest_per_stream(spark, limit):
 def test_slice_of_tens(spark):
     df = spark.createDataFrame([(float(i), v) for i, v in enumerate((10, 20, 30, 40, 50))], record_schema([("Val", "Int32")]))
     assert [r["Val"] for r in od.slice_records(df, 1, 1, ORDER).collect()] == [20]
-    assert sorted(r["Val"] for r in od.slice_records(df, 3, 10, ORDER).collect()) == [40, 50]
+    assert [r["Val"] for r in od.slice_records(df, 3, 10, ORDER).collect()] == [40, 50]
     assert od.slice_records(df, 5, 3, ORDER).count() == 0
 
 
@@ -181,3 +183,45 @@ def test_latest_reads_only_the_tail(spark, tmp_path):
     stream(spark, 1_000).write.parquet(str(tmp_path / "t"))
     tail = od.latest(spark.read.parquet(str(tmp_path / "t")), 10, ORDER)
     assert "PushedFilters: [IsNotNull(TimeStamp), GreaterThanOrEqual(TimeStamp," in plan(tail)
+
+
+def test_results_come_in_order_without_adaptive_plans(spark):
+    df = stream(spark, 5_000)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert [r["seq"] for r in od.read_after(df, 3_739, order_by=ORDER, n_ranges=32).collect()] == list(range(3_739, 5_000))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_ranges_fill_as_many_even_tasks(spark):
+    df = od.with_seq(stream(spark, 64_000), ORDER, n_ranges=32)
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 32 and max(sizes) <= 1.5 * 2_000
+
+
+def test_the_number_of_ranges_follows_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(ranges, "RANGE_ROWS", 100)
+    assert ranges.default_ranges(spark.range(1), 5_000) == 50
+    assert key_ranges(stream(spark, 5_000), ORDER).count == 50
+
+
+@pytest.mark.parametrize("limit", [0, 10**9])
+def test_text_and_flags_order_streams_of_any_size(spark, limit):
+    names = ["", "a", "aaaaaaaab", "aaaaaaaac", "é", "zz", None, "☃"]
+    df = spark.range(400).select((F.col("id") % 2).alias("s"), F.get(F.array(*map(F.lit, names)), (F.hash("id") % 8 + 8) % 8).alias("t"), (F.col("id") % 3 == 0).alias("f"), "id")
+    for order in (["t", "id"], ["f", "id"], ["f", "t", "id"]):
+        got = od.with_seq(df, order, "s", max_group_rows=limit, n_ranges=6)
+        place = {None: b"", **{n: n.encode() for n in names if n is not None}}
+        rows = sorted(df.collect(), key=lambda r: [(r[c] is not None, place[r[c]] if c == "t" else r[c]) for c in order])
+        want = {r["id"]: [x["id"] for x in rows if x["s"] == r["s"]].index(r["id"]) for r in rows}
+        assert {r["id"]: r["seq"] for r in got.collect()} == want
+    assert [r["seq"] for r in od.slice_records(df, 100, 50, ["t", "id"], n_ranges=5).collect()] == list(range(100, 150))
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.01").exists(), reason="no test tables here")
+@pytest.mark.parametrize("name", ["range_filter", "visible_range", "slice_records", "read_after", "latest_global"])
+def test_time_bounds_reach_the_scan(spark, name):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    plan = suite.QUERIES[name](spark, "/root/testdata/sf0.01")._jdf.queryExecution().executedPlan().toString()
+    assert any("ThanOrEqual(ts" in line for line in plan.splitlines() if "PushedFilters" in line), plan

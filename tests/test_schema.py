@@ -4,6 +4,7 @@ from pyspark.sql import types as T
 from recspark.schema import (
     bit_positions, element_count, field, find_bit, named_bits, record_dtype, record_schema, source_type, type_size,
 )
+from recspark.sources.recordings import read_recordings, write_recordings
 
 
 def offsets(schema, align=False):
@@ -68,8 +69,17 @@ def test_bad_specs(specs):
         record_schema(specs)
 
 
-def test_long_names_keep_25_bytes():
-    assert field("x" * 40, "Int8").name == "x" * 25
+def test_long_names_stay_whole(spark, tmp_path):
+    name = "x" * 40
+    assert field(name, "Int8").name == name
+    df = spark.createDataFrame([(1.0, 5)], record_schema([(name, "Int32")]))
+    write_recordings(df, str(tmp_path / "r"))
+    assert read_recordings(spark, str(tmp_path / "r")).select(name).first()[0] == 5
+
+
+def test_a_bit_is_not_named_like_a_field():
+    with pytest.raises(ValueError):
+        record_schema([("a", "UInt8", ["b"]), ("b", "Int8")])
 
 
 def test_type_sizes():

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recspark.schema import record_schema
-from recspark.sources import exchange as ex, recordings as rec, streams as sm
+from recspark.sources import exchange as ex, paths, recordings as rec, streams as sm
 
 ENGINE = record_schema([("SensorValue", "Int32"), ("Voltage", "Double")])
 
@@ -235,3 +235,79 @@ def test_arrays_of_wide_and_flag_types(spark, tmp_path):
     sm.register_stream(spark, root, "wide", schema)
     assert sm.publish(df, root, "wide") == 2
     assert [tuple(r) for r in sm.read_table(spark, root, "wide").orderBy("TimeStamp").collect()] == rows
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_publish_changes_no_value(spark, tmp_path, ansi):
+    schema = record_schema([("a", "Int8"), ("c", "Char", 2), ("u", "UInt16"), ("xs", "Int16", 2)])
+    root = str(tmp_path / "r")
+    sm.register_stream(spark, root, "s", schema)
+    good = [1.0, 3.0, "ab", 65535, [1, -2]]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        frame = lambda row: spark.createDataFrame([tuple(row)], "TimeStamp double, a double, c string, u long, xs array<long>")
+        assert sm.publish(frame(good), root, "s") == 1
+        for at, bad in ((1, 3.9), (1, 300.0), (2, "toolong"), (2, "a\0"), (3, -1), (3, 70_000), (4, [1, 40_000]), (4, [1]), (4, [1, None]), (1, None)):
+            with pytest.raises(Exception, match="fit|nulls|length"):
+                sm.publish(frame([*good[:at], bad, *good[at + 1 :]]), root, "s")
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert sm.read_table(spark, root, "s").count() == 1
+
+
+def test_two_registrations_at_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    schema = record_schema([("a", "Int8")])
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda i: sm.register_stream(spark, str(tmp_path / "r"), f"s{i % 4}", schema), range(8)))
+    assert sm.catalog(spark, str(tmp_path / "r")).count() == 8
+
+
+def test_csv_gives_text_and_odd_numbers_back(spark, tmp_path):
+    schema = record_schema([("c", "Char", 20), ("xs", "Double", 3)])
+    rows = [(1.0, '  a, "b" ', [float("inf"), float("-inf"), 0.5]), (2.0, "", [1.0, 2.0, 3.0])]
+    ex.write_csv(spark.createDataFrame(rows, schema), str(tmp_path / "c"))
+    back = ex.read_csv(spark, str(tmp_path / "c"), schema)
+    assert sorted((r[0], r[1], r[2]) for r in back.collect()) == rows and back.schema["xs"].metadata == schema["xs"].metadata
+
+
+def test_blocks_without_records(spark):
+    schema = record_schema([("a", "Int64")])
+    out = ex.from_producer(spark, schema, ex.each_record(lambda i: None), 10)
+    assert out.count() == 0
+
+
+def test_a_whole_snapshot(spark):
+    df = spark.range(20_000).select(F.col("id").cast("double").alias("TimeStamp"), "id")
+    assert len(ex.to_frame(df, None)) == 20_000 and ex.to_arrow(df, None)["id"].to_pylist() == list(range(20_000))
+    with pytest.raises(TypeError):
+        ex.to_frame(df)
+
+
+def test_paths_mean_what_they_mean_to_spark(spark, tmp_path):
+    for path in (str(tmp_path / "x"), f"file:{tmp_path}/x", f"file://{tmp_path}/x"):
+        assert paths.open_fs(paths.readable(spark, path))[1] == f"{tmp_path}/x"
+    assert paths.open_fs("s3a://b/x")[0].type_name == "s3" if paths_s3() else True
+    for refused in ("dbfs:/x", "/bare", "viewfoo://a/b"):
+        with pytest.raises(Exception):
+            paths.open_fs(paths.readable(spark, refused) if ":" in refused else refused)
+    with pytest.raises(Exception, match="full URI"):
+        rec.register(spark)
+        spark.read.format("records").load(str(tmp_path))
+
+
+def paths_s3():
+    try:
+        paths.open_fs("s3a://b/x")
+    except Exception:
+        return False
+    return True
+
+
+def test_text_with_a_nul_is_refused(spark, tmp_path):
+    schema = record_schema([("c", "Char", 4)])
+    for bad in ("a\0b", "abcde", "☃"):
+        with pytest.raises(Exception, match="NUL|longer|Latin"):
+            rec.write_recordings(spark.createDataFrame([(1.0, bad)], schema), str(tmp_path / "n"))

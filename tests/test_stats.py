@@ -146,3 +146,37 @@ def test_consumer_lag_and_write_space(spark):
     assert lag == {("a", "x"): 3, ("a", "y"): 0, ("a", "ui"): None, ("b", "ui"): None}
     space = {r["stream"]: (r["max_lag"], r["free"]) for r in sx.write_space(status, cursors).collect()}
     assert space == {"a": (3, 5), "b": (0, 8), "c": (0, 8)}
+
+
+def test_rate_in_fractions_of_a_second(spark):
+    rows = [(i / 10,) for i in range(-5, 30)]
+    got = {round(r["TimeStamp"] * 10): r["count"] for r in st.rate(spark.createDataFrame(rows, "TimeStamp double"), 0.1).collect()}
+    assert got == {i: 1 for i in range(-5, 30)}
+    with pytest.raises(ValueError):
+        st.rate(spark.createDataFrame(rows, "TimeStamp double"), 1e-9)
+
+
+def test_null_elements_are_no_values(spark):
+    df = spark.createDataFrame([([1.0, None, 3.0],), ([5.0, 5.0, 5.0],)], "a array<double>")
+    df = df.select(F.col("a").alias("a", metadata={"src_type": "Double", "count": 3, "bits": {}}))
+    r = st.field_stats(df).first()
+    assert (r["count"], r["mean"], r["min"], r["max"]) == (5, 3.8, 1.0, 5.0)
+
+
+def test_wide_arrays_stay_small_plans(spark):
+    meta = {"src_type": "Double", "count": 2000, "bits": {}}
+    df = spark.range(50).select(F.col("id").cast("double").alias("TimeStamp"), F.transform(F.sequence(F.lit(1), F.lit(2000)), lambda i: i + F.col("id").cast("double")).alias("a", metadata=meta))
+    fitted = st.visible_range(df, 0, 100, skip=["TimeStamp"])
+    assert len(fitted._jdf.queryExecution().optimizedPlan().toString()) < 6_000
+    got = {r["channel"]: r["y_max"] for r in fitted.collect()}
+    assert len(got) == 2000 and got["a[1999]"] == pytest.approx(2049 + 49 * 0.05)
+
+
+def test_streams_without_name_or_records(spark):
+    df = spark.createDataFrame([(None,)] * 5 + [("a",)] * 2, "stream string")
+    streams = spark.createDataFrame([("a",), ("b",)], "stream string")
+    status = sx.stream_status(df, 10, streams=streams)
+    assert {(r["stream"], r["total_written"], r["size"]) for r in status.collect()} == {(None, 5, 5), ("a", 2, 2), ("b", 0, 0)}
+    cursors = spark.createDataFrame([(None, 1, "x"), ("b", 0, "y"), ("a", None, "z"), ("c", 0, "w")], "stream string, cursor long, consumer string")
+    assert {(r["consumer"], r["lag"]) for r in sx.consumer_lag(status, cursors).collect()} == {("x", 4), ("y", 0), ("z", None), ("w", 0)}
+    assert {(r["stream"], r["max_lag"], r["free"]) for r in sx.write_space(status, cursors).collect()} == {(None, 4, 6), ("a", 0, 10), ("b", 0, 10)}
