@@ -149,11 +149,14 @@ class KeyRanges:
             if self._depth() > 1 or coarse:
                 cond = cond & self.cut_is_at_or_below(F.lit(first - 1), self.points(), self.key_columns())
         if last < len(self.cuts):
+            # a null key is in the first range: "above" is null for it
             above = self.cut_is_at_or_below(F.lit(last), self.points(), self.key_columns())
-            upto = ~F.coalesce(above, F.lit(False)) & col(name).isNotNull()
+            cond = cond & ~F.coalesce(above, F.lit(False))
             if not coarse:
-                upto = upto & (col(name) <= _native_literal(self.cuts[last][0], dtype))
-            cond = cond & (upto if first > 0 else upto | col(name).isNull())
+                upto = col(name) <= _native_literal(self.cuts[last][0], dtype)
+                cond = cond & (upto if first > 0 else upto | col(name).isNull())
+            if first > 0:
+                cond = cond & col(name).isNotNull()
         return cond
 
 

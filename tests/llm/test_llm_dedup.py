@@ -151,6 +151,15 @@ def test_a_large_group_of_near_copies_is_one_class(spark):
     assert got == {(d, t) for d, t in kept_lines(rows) if t.strip()}
 
 
+def test_groups_too_large_for_a_task_are_compared_in_blocks(spark, monkeypatch):
+    base = " ".join(f"{w}{i}" for i, w in enumerate(A.split() * 3))
+    rows = [(i, t) for i, t in enumerate(variants(base, 120))]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    want = {(d, t) for d, t in kept_lines(rows) if t.strip()}
+    monkeypatch.setattr(lines, "GROUP", 10)
+    assert {(r.doc_id, r.text) for r in lines.dedup_lines(docs).collect()} == want
+
+
 def test_lines_of_odd_documents(spark):
     docs = documents(spark)
     got = lines.dedup_lines(docs)
@@ -174,15 +183,23 @@ def test_signatures_estimate_similarity():
     assert (long[0] == lines.signatures([LONG.lower() * 3])[0]).all() and long.shape == (3, lines.BANDS * lines.ROWS)
 
 
-def test_meetings_over_batches(monkeypatch):
+def test_meetings_over_batches():
     keys = np.repeat(np.arange(5), [1, 2, 3, 70_000, 4]).astype(np.int64)
     ids = np.arange(len(keys), dtype=np.int64)
     batches = [pa.RecordBatch.from_arrays([pa.array(keys[i : i + 9000]), pa.array(ids[i : i + 9000])], names=["key", "id"]) for i in range(0, len(keys), 9000)]
-    out = [x for b in lines._meetings(iter(batches)) for x in zip(*(c.to_pylist() for c in b.columns))]
+    out = {x for b in lines._meetings(iter(batches)) for x in zip(*(c.to_pylist() for c in b.columns))}
     first = {int(k): int(ids[keys == k][0]) for k in range(5)}
-    pairs = {(a, b) for kind, a, b in out if kind == 0}
-    assert {(first[int(k)], int(i)) for k, i in zip(keys, ids) if first[int(k)] != i} <= pairs
-    assert {(a, b) for kind, a, b in out if kind == 1} == {(int(k), int(i)) for k, i in zip(keys, ids) if k > 1}
+    assert out == {(first[int(k)], int(i)) for k, i in zip(keys, ids) if first[int(k)] != i}
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_roots_match_all_pairs(seed):
+    rng = random.Random(seed)
+    found = [x for k in range(rng.randrange(1, 6)) for x in variants(" ".join(rng.sample(LONG.split(), 40)), rng.randrange(1, 30), seed + k)]
+    rng.shuffle(found)
+    sets = [lines.shingles(x) for x in found]
+    links = [(i, j) for j in range(len(sets)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert lines.similar_roots(found).tolist() == list(roots(range(len(found)), links).values())
 
 
 # ---- operator 8
