@@ -493,14 +493,14 @@ def stream_recordings(spark, sf):
 def stream_running_stats(spark, sf):
     out, ckpt = work_dir(spark, "live"), work_dir(spark, "checkpoint")
     summary = st.running_summary(_live(spark, sf), "value", "event_type")
-    live.drain(live.keep_result(summary, out, ckpt, state_partitions=4, available_now=True))  # five streams
+    live.drain(live.keep_result(summary, out, ckpt, "event_type", state_partitions=4, available_now=True))  # five streams
     return live.read_result(spark, out).select("event_type", "count", _mean(), "min", "max")
 
 
 def stream_rate(spark, sf):
     out, ckpt = work_dir(spark, "live"), work_dir(spark, "checkpoint")
     hourly = live.live_rate(_live(spark, sf), 3600)
-    live.drain(live.keep_result(hourly, out, ckpt, state_partitions=4, available_now=True))  # one row per hour
+    live.drain(live.keep_result(hourly, out, ckpt, "TimeStamp", state_partitions=4, available_now=True))  # one row per hour
     return live.read_result(spark, out).select("TimeStamp", "count", _r("rate", 9))
 
 

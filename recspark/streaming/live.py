@@ -1,17 +1,18 @@
 """Live streams: recording, latest records, statistics, user code, progress, stopping.
 
-Each query takes its own checkpoint folder.  Results that a query keeps up to date are
-written as one version per micro-batch, so a retried micro-batch overwrites its own version.
+Each query takes its own checkpoint folder.  Of results that a query keeps up to date, a micro-batch writes
+what it changed as a version of its own, so a retried micro-batch overwrites its own version.
 """
 
 from __future__ import annotations
 
+import json
 import logging
 import re
 import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..operators.ordering import MAX_GROUP_ROWS, STREAM, as_list, newest, stream_key, stream_sizes
@@ -19,7 +20,7 @@ from ..operators.stats import interval_micros, micros
 from ..plans.ranges import col, default_ranges
 from ..schema import TIME_FIELD
 from ..sources.exchange import write_csv
-from ..sources.paths import entries, exists, remove
+from ..sources.paths import entries, exists, remove, write_once
 from ..sources.recordings import write_recordings
 
 log = logging.getLogger(__name__)
@@ -108,55 +109,81 @@ def record_to(sdf: DataFrame, sinks: Sequence[BatchFn], checkpoint: str, **trigg
 
 # ---- results kept up to date -----------------------------------------------------------
 
-_VERSION = re.compile(r"v(\d{12})$")
-#: Seconds for which a version that a newer one has replaced stays, since a reader may still be at it.
+# A result is a folder of versions.  ``v`` of micro-batch i holds the groups that it changed, whole; ``c`` holds all groups up
+# to i.  The current rows of a group are those of the latest version that has any.
+_VERSION = re.compile(r"([vc])(\d{12})$")
+_KEYS = "keys.json"
+#: Micro-batches after which the changes so far are put together in one version.
+COMPACT = 20
+#: Seconds for which versions that a compact one has replaced stay, since a reader may still be at them.
 RETAIN = 24 * 3600
+_FROM = "__version"
 
 
-def _version(path: str, i: int) -> str:
-    return f"{path}/v{i:012d}"
+def _version(path: str, i: int, kind: str = "v") -> str:
+    return f"{path}/{kind}{i:012d}"
 
 
-def _versions(spark: SparkSession, path: str) -> dict[int, float]:
-    """Finished versions in order, and when each was finished."""
-    found = {int(m.group(1)): at for name, at in entries(spark, path) if (m := _VERSION.match(name))}
-    return {i: found[i] for i in sorted(found) if exists(spark, f"{_version(path, i)}/_SUCCESS")}
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, str, float]]:
+    """Finished versions in order: micro-batch, kind, time of change."""
+    found = sorted((int(m.group(2)), m.group(1), at) for name, at in entries(spark, path) if (m := _VERSION.match(name)))
+    return [v for v in found if exists(spark, f"{_version(path, v[0], v[1])}/_SUCCESS")]
 
 
-def _store_version(df: DataFrame, path: str, i: int) -> None:
+def _current(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """The result as it was before a micro-batch, or as it is; None if there is none yet."""
+    held = [v for v in _versions(spark, path) if before is None or v[0] < before]
+    if not held:
+        return None
+    base = max((i for i, kind, _ in held if kind == "c"), default=-1)
+    # a compact version and the change of the same micro-batch agree on that one
+    used = [_version(path, i, kind) for i, kind, _ in held if kind == "c" and i == base or kind == "v" and i > base]
+    keys = json.loads(spark.read.text(f"{path}/{_KEYS}", wholetext=True).first()[0])
+    number = F.regexp_extract("_metadata.file_path", r"/[vc](\d{12})/[^/]*$", 1).cast("long")
+    rows = spark.read.parquet(*used).withColumn(_FROM, number)
+    group = Window.partitionBy(*[col(k) for k in keys])
+    return rows.withColumn("__last", F.max(_FROM).over(group)).where(F.col(_FROM) == F.col("__last")).drop(_FROM, "__last")
+
+
+def _store_changes(df: DataFrame, path: str, i: int, keys: Sequence[str]) -> None:
+    """Write the groups that a micro-batch changed; now and then put all changes together and drop old versions."""
     spark = df.sparkSession
+    write_once(spark, f"{path}/{_KEYS}", json.dumps(list(keys)))
     df.write.mode("overwrite").parquet(_version(path, i))
-    versions = _versions(spark, path)
-    for old, newer in zip(versions, list(versions)[1:]):
-        # replaced long ago, and not the one that the next micro-batch starts from if this one is run again
-        if old < i - 1 and versions[newer] < time.time() - RETAIN:
-            remove(spark, _version(path, old))
+    if (i + 1) % COMPACT:
+        return
+    _current(spark, path, i + 1).write.mode("overwrite").parquet(_version(path, i, "c"))
+    for old, kind, at in _versions(spark, path):
+        # what this version replaces, unless it is new or the start of this micro-batch, should that run again
+        if old <= i - COMPACT and at < time.time() - RETAIN:
+            remove(spark, _version(path, old, kind))
 
 
 def read_result(spark: SparkSession, path: str) -> DataFrame:
-    """The current version of a result kept by ``keep_result`` or ``latest_stream``.
-
-    It can be read for ``RETAIN`` seconds after a newer one has replaced it.
-    """
-    versions = list(_versions(spark, path))
-    if not versions:
+    """The current result kept by ``keep_result`` or ``latest_stream``; it can be read for ``RETAIN`` seconds and more."""
+    found = _current(spark, path)
+    if found is None:
         raise FileNotFoundError(f"no result at {path} yet")
-    return spark.read.parquet(_version(path, versions[-1]))
+    return found
 
 
 def keep_result(
-    result: DataFrame, path: str, checkpoint: str, state_partitions: int | None = None, **trigger
+    result: DataFrame, path: str, checkpoint: str, by: str | Sequence[str] = (), state_partitions: int | None = None, **trigger
 ) -> StreamingQuery:
-    """Keep a streaming aggregate's full result at ``path``.
+    """Keep a streaming aggregate's result at ``path``; ``by`` names the columns that tell its rows apart.
 
-    Every micro-batch commits all state partitions, so an aggregate of few groups is best kept
-    in few of them; their number is fixed when the checkpoint is new.
+    A micro-batch writes the rows that it changed, so its cost follows its input and not the result, and state that the
+    watermark closes is dropped.  Every micro-batch commits all state partitions, so an aggregate of few groups is best
+    kept in few of them; their number is fixed when the checkpoint is new.
     """
+    by = as_list(by)
+    if set(by) - set(result.columns):
+        raise ValueError(f"the result has no columns {sorted(set(by) - set(result.columns))}")
     conf, key = result.sparkSession.conf, "spark.sql.shuffle.partitions"
     before = conf.get(key)
     conf.set(key, str(state_partitions or before))
     try:  # the query takes its settings when it starts
-        return for_each_batch(result, lambda df, i: _store_version(df, path, i), checkpoint, mode="complete", **trigger)
+        return for_each_batch(result, lambda df, i: _store_changes(df, path, i, by), checkpoint, mode="update", **trigger)
     finally:
         conf.set(key, before)
 
@@ -173,29 +200,32 @@ def latest_stream(
 ) -> StreamingQuery:
     """Keep the last ``n`` records of each stream, with their positions, at ``path``.
 
-    A micro-batch is merged with the version before it; that holds at most ``n`` records per
-    stream, and late records find their place by the order columns.
+    A micro-batch merges the streams that it has records of with what is kept of them, and writes those alone; late records
+    find their place by the order columns.
     """
     by, order_by = as_list(by), as_list(order_by)
 
     def merge(batch: DataFrame, i: int) -> None:
         spark = batch.sparkSession
-        slices = default_ranges(batch) if stream_sizes(batch, by)[0] > max_group_rows else 1
-        written = batch.groupBy(stream_key(by).alias(STREAM)).agg(F.count(F.lit(1)).alias("__total"))
-        if i - 1 in _versions(spark, path):
-            kept = spark.read.parquet(_version(path, i - 1))
-            before = kept.groupBy(stream_key(by).alias(STREAM)).agg((F.max("seq") + 1).alias("__total"))
-            written = written.unionByName(before).groupBy(STREAM).agg(F.sum("__total").alias("__total"))
-            batch = batch.unionByName(kept.drop("seq"))
-        elif i > 0:
-            raise RuntimeError(f"version {i - 1} of {path} is gone; start over with a new checkpoint")
-        out = (
-            newest(batch, n, order_by, by, slices)
-            .join(written, STREAM)
-            .withColumn("seq", F.col("__total") - F.col("__rank"))
-            .drop(STREAM, "__rank", "__total")
-        )
-        _store_version(out, path, i)
+        batch.persist()
+        try:
+            slices = default_ranges(batch) if stream_sizes(batch, by)[0] > max_group_rows else 1
+            written = batch.groupBy(stream_key(by).alias(STREAM)).agg(F.count(F.lit(1)).alias("__total"))
+            kept, rows = _current(spark, path, i), batch
+            if kept is not None:
+                kept = kept.withColumn(STREAM, stream_key(by)).join(written.select(STREAM), STREAM, "left_semi")
+                before = kept.groupBy(STREAM).agg((F.max("seq") + 1).alias("__total"))
+                written = written.unionByName(before).groupBy(STREAM).agg(F.sum("__total").alias("__total"))
+                rows = batch.unionByName(kept.drop("seq", STREAM))
+            out = (
+                newest(rows, n, order_by, by, slices)
+                .join(written, STREAM)
+                .withColumn("seq", F.col("__total") - F.col("__rank"))
+                .drop(STREAM, "__rank", "__total")
+            )
+            _store_changes(out, path, i, by)
+        finally:
+            batch.unpersist()
 
     return for_each_batch(sdf, merge, checkpoint, **trigger)
 
