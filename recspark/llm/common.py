@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..workspace import written
@@ -52,10 +50,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     now = written(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges"
     )
-    seen = _sum(now)
     for _ in range(rounds):
-        if not seen[0]:
-            break
+        if _settled(now):
+            return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select("b", "a"))
         least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "stars")
         large = written(
@@ -64,18 +61,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         least = written(large.groupBy("a").agg(F.min("b").alias("m")), "stars")
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = written(small.union(least.select("a", "m")).distinct(), "edges")
-        before, seen = seen, _sum(now)
-        if before == seen:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-
-
-def _sum(edges: DataFrame) -> tuple:
-    """Number and digest of a set of edges."""
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return row[0], row[1]
+    raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
-Query = Callable[..., DataFrame]
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node hangs on one root that hangs on none."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("b", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1").isEmpty()
