@@ -8,6 +8,8 @@ from __future__ import annotations
 import json
 from urllib.parse import quote
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..plans.ranges import col
@@ -130,11 +132,24 @@ def stream_path(root: str, name: str) -> str:
     return f"{root}/{quote(name, safe='')}"
 
 
-def publish(df: DataFrame, root: str, name: str, batch: int | None = None) -> int:
+def _arrow(values: np.ndarray) -> pa.Array:
+    if values.dtype.kind == "S":
+        values = np.char.decode(values, "latin-1")
+    return pa.array(values.tolist() if values.ndim > 1 else np.ascontiguousarray(values))
+
+
+def publish(df, root: str, name: str, batch: int | None = None) -> int:
     """Append records to a registered stream; returns how many were committed.
 
-    With the id of a micro-batch, publishing it again after a failure adds nothing.
+    Records come as a Spark or pandas frame, an Arrow table or a structured NumPy array.  With the id of a micro-batch,
+    publishing it again after a failure adds nothing.
     """
+    if isinstance(df, np.ndarray):
+        if df.dtype.names is None:
+            raise TypeError("an array of records needs named fields")
+        df = pa.table({n: _arrow(df[n]) for n in df.dtype.names})
+    if not isinstance(df, DataFrame):
+        df = SparkSession.active().createDataFrame(df)
     schema = stream_schema(df.sparkSession, root, name)
     if schema is None:
         raise LookupError(f"stream {name!r} is not registered")

@@ -311,3 +311,20 @@ def test_text_with_a_nul_is_refused(spark, tmp_path):
     for bad in ("a\0b", "abcde", "☃"):
         with pytest.raises(Exception, match="NUL|longer|Latin"):
             rec.write_recordings(spark.createDataFrame([(1.0, bad)], schema), str(tmp_path / "n"))
+
+
+def test_publish_takes_frames_tables_and_arrays(spark, tmp_path):
+    import pandas as pd
+    import pyarrow as pa
+
+    root = str(tmp_path / "r")
+    sm.register_stream(spark, root, "s", record_schema([("a", "Int32"), ("xs", "Double", 2)]))
+    pdf = pd.DataFrame({"TimeStamp": [1.0, 2.0], "a": [1, 2], "xs": [[1.0, 2.0], [3.0, 4.0]]})
+    records = np.zeros(3, [("TimeStamp", "<f8"), ("a", "<i4"), ("xs", "<f8", (2,))])
+    records["a"] = [3, 4, 5]
+    assert sm.publish(pdf, root, "s") == 2
+    assert sm.publish(pa.Table.from_pandas(pdf.assign(a=[6, 7])), root, "s") == 2
+    assert sm.publish(records, root, "s") == 3
+    assert sorted(r["a"] for r in sm.read_table(spark, root, "s").collect()) == [1, 2, 3, 4, 5, 6, 7]
+    with pytest.raises(TypeError):
+        sm.publish(np.zeros(3), root, "s")
