@@ -10,6 +10,10 @@ from ..workspace import written
 BLANK = r"[\x20\x09-\x0D]+"
 
 
+#: Edges in one file of a round of :func:`components`.
+EDGES_PER_FILE = 50_000
+
+
 def packed(df: DataFrame, row: str = "row") -> DataFrame:
     """All columns of ``df`` inside one struct, so that names of working columns cannot clash with them."""
     return df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias(row))
@@ -44,27 +48,35 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     Large-star and small-star steps in turn (Kiveris and others, 2014): each ties a node's neighbours to the
     smallest of them, so depth shrinks with every round and a hub costs one row for each of its edges.  The
-    smallest neighbours are written before they are joined, so a join on a hub splits like any skewed join.
+    smallest neighbours are written before they are joined, so a join on a hub splits like any skewed join.  Tables go into
+    as many files as the number of edges asks for, since there are many rounds and often few edges.
     Nulls and loops tie nothing.  Only nodes that are not their own root are returned.
     """
     now = written(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges"
     )
+    most = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(most, -(-now.count() // EDGES_PER_FILE)) or 1
+
+    def put(df: DataFrame, label: str) -> DataFrame:
+        return written(df.coalesce(parts) if parts < most else df, label)
+
     for _ in range(rounds):
-        if _settled(now):
+        if _settled(now, parts):
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select("b", "a"))
-        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "stars")
-        large = written(
+        least = put(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "stars")
+        large = put(
             both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct(), "stars"
         )
-        least = written(large.groupBy("a").agg(F.min("b").alias("m")), "stars")
+        least = put(large.groupBy("a").agg(F.min("b").alias("m")), "stars")
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = written(small.union(least.select("a", "m")).distinct(), "edges")
+        now = put(small.union(least.select("a", "m")).distinct(), "edges")
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
-def _settled(edges: DataFrame) -> bool:
+def _settled(edges: DataFrame, parts: int) -> bool:
     """Whether every node hangs on one root that hangs on none."""
     ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("b", F.lit(0), F.lit(1)))
-    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1").isEmpty()
+    per = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return per.where("up > 1 or up = 1 and down = 1").coalesce(parts).count() == 0
