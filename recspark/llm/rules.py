@@ -57,7 +57,10 @@ def text_stats(df: DataFrame, text: Column) -> DataFrame:
         .drop("_w", "_h", "_s", "_p", "_l")
     )
     too_repeated = 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
-    return out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | too_repeated)
+    failed = (F.col("n_words") < MIN_WORDS) | too_repeated
+    # as a generated row, so that a filter on the outcome cannot pull copies of the expressions down to the scan
+    once = F.explode(F.array(F.struct(*RULES[:-1], failed.alias("base_failed"))))
+    return out.withColumn("_rules", once).drop(*RULES[:-1]).select("*", "_rules.*").drop("_rules")
 
 
 def host_rates(scored: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
@@ -105,9 +108,12 @@ RULES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 
 
 def keep_good(df: DataFrame, text: str = "text", host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """The rows of ``df`` that the rules and their host's verdict keep, all columns unchanged."""
+    """The rows of ``df`` that the rules and their host's verdict keep, all columns unchanged.
+
+    The rules run once for the hosts and once for the rows: that costs less than to keep a copy of all texts with the outcome.
+    """
     own = packed(df).select("row", F.col(f"row.`{text}`").alias("text"), F.col(f"row.`{host}`").alias("host"))
-    scored = written(text_stats(own, F.col("text")).select("row", "host", "base_failed"), "rules")
+    scored = text_stats(own, F.col("text")).select("row", "host", "base_failed")
     bad = _rejected(scored, max_rate)
     good = scored.where(~F.col("base_failed"))
     return unpacked(good.join(bad, F.col("host").eqNullSafe(F.col("bad_host")), "left_anti"))

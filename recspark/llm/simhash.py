@@ -229,9 +229,9 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, run: int = RUN) -> DataFr
     """
     if max_bits > MAX_BITS:
         raise ValueError(f"the keys find fingerprints up to {MAX_BITS} bits apart")
-    distinct = prints.select("fp").distinct()
-    keyed = distinct.mapInArrow(_key_rows, "key long, fp long")
     n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = prints.select("fp").distinct().repartition(n, "fp")  # few bytes, but each row becomes about 180
+    keyed = distinct.mapInArrow(_key_rows, "key long, fp long")
     keyed = keyed.repartitionByRange(n, "key", "fp").sortWithinPartitions("key", "fp")
     found = written(keyed.mapInArrow(_runs(max_bits, run), "kind int, a long, b long"), "links")
     inside = found.where("kind = 0").select("a", "b")
@@ -261,13 +261,18 @@ def groups(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def keep_one(df: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``df`` with the smallest id of their group, one for each group; columns unchanged.
 
-    Among rows of one id, whatever their texts, one stays.  Texts without words share the fingerprint zero, so one stays.
+    Of rows equal in id and text one stays; rows of one id and different groups are different documents.  Null ids come last.
+    Texts without words share the fingerprint zero, so one stays.
     """
-    rows = written(packed(df).withColumn("rid", F.monotonically_increasing_id()), "rows")
-    own = rows.select(F.col(f"row.`{text}`").alias("text"), F.struct(F.col(f"row.`{doc_id}`").isNull().alias("none"), F.col(f"row.`{doc_id}`").alias("doc"), "rid").alias("id"))
-    prints = written(fingerprints(own, shingle=shingle), "prints")
-    kept = groups(prints, max_bits).where(F.col("id") == F.col("component")).select("id.rid")
-    return rows.join(written(kept, "kept"), "rid", "left_semi").select("row.*")
+    doc, words = F.col(f"row.`{doc_id}`"), F.col(f"row.`{text}`")
+    rows = packed(df).withColumn("id", F.struct(doc.isNull().alias("none"), doc.alias("doc"), F.xxhash64(words).alias("text")))
+    prints = written(fingerprints(rows.select(words.alias("text"), "id"), shingle=shingle), "prints")
+    verdict = groups(prints, max_bits).groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.first(F.col("id") == F.col("component")).alias("stays"))
+    verdict = written(verdict, "verdict")
+    # what goes and what repeats is mostly little, so that the texts need not be shuffled
+    gone, repeated = verdict.where("not stays").select("id"), verdict.where("stays and n > 1").select("id")
+    single = rows.join(gone, "id", "left_anti").join(repeated, "id", "left_anti")
+    return single.union(rows.join(repeated, "id", "left_semi").dropDuplicates(["id"])).select("row.*")
 
 
 def op8_simhash(spark, sf_dir: str) -> DataFrame:
