@@ -183,6 +183,21 @@ def test_signatures_estimate_similarity():
     assert (long[0] == lines.signatures([LONG.lower() * 3])[0]).all() and long.shape == (3, lines.BANDS * lines.ROWS)
 
 
+def fives(line):
+    """The contract's shingles, whatever size the module has."""
+    line = " ".join(line.lower().split())
+    return {line[i : i + 5] for i in range(max(1, len(line) - 4))}
+
+
+def test_one_changed_letter_in_a_line_of_sixty_characters(spark):
+    a = "the harbour master wrote 17 short letters about broken cranes"
+    b = a.replace("short", "shert")
+    assert 0.8 <= len(fives(a) & fives(b)) / len(fives(a) | fives(b)) < 0.9
+    assert lines.similar_roots([a, b]).tolist() == [0, 0] and lines.shingles(a) == fives(a)
+    docs = spark.createDataFrame([(1, a), (2, b), (3, B)], "doc_id int, text string")
+    assert {r.doc_id for r in lines.dedup_lines(docs).collect()} == {1, 3}
+
+
 def test_meetings_over_batches():
     keys = np.repeat(np.arange(5), [1, 2, 3, 70_000, 4]).astype(np.int64)
     ids = np.arange(len(keys), dtype=np.int64)
