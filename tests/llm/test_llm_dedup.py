@@ -198,6 +198,45 @@ def test_one_changed_letter_in_a_line_of_sixty_characters(spark):
     assert {r.doc_id for r in lines.dedup_lines(docs).collect()} == {1, 3}
 
 
+@pytest.mark.parametrize("length", [13, 16, 25, 34, 47, 70, 150])
+def test_similar_lines_meet_whatever_their_length(length):
+    rng, a, b, wanted = random.Random(length), [], [], []
+    for _ in range(1500):
+        x = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(length))
+        end = (length - 4) // 9  # the most letters that may differ at the end at a similarity of 0.8
+        y = x[:-end] + "".join(rng.choice("0123456789") for _ in range(end))
+        similarity = len(fives(x) & fives(y)) / len(fives(x) | fives(y))
+        assert similarity >= 0.8
+        a.append(x)
+        b.append(y)
+        wanted.append(1 - (1 - similarity**5) ** 14)
+    met = (lines.band_keys(lines.signatures(a)) == lines.band_keys(lines.signatures(b))).any(1)
+    assert met.mean() >= np.mean(wanted) - 0.005
+
+
+def test_signatures_do_not_depend_on_blocks_or_neighbours(monkeypatch):
+    texts = ["ab", "", "short line", "a" * 3000, LONG.lower() * 3, "the bird sat on the wall"]
+    alone = np.concatenate([lines.signatures([t]) for t in texts])
+    assert (lines.signatures(texts) == alone).all()
+    monkeypatch.setattr(lines, "BLOCK", 64)
+    assert (lines.signatures(texts) == alone).all()
+
+
+def test_a_key_is_parted_into_lines_that_are_alike(monkeypatch):
+    alike = [lines.plain(x) for x in variants(" ".join(f"{w}{i}" for i, w in enumerate(A.split() * 5)), 2)]
+    texts = [LONG.lower()[:300], *alike, "z" * 9, alike[0]]
+    words = lines.sketches(lines.signatures(texts)).view(np.int64)
+    rows = np.array([(key, i if i < 4 else 1, *words[i]) for key in (7, 8, 9) for i in range(5)] + [(10, 0, *words[0]), (10, 3, *words[3]), (11, 2, *words[2])])
+
+    def parts(size):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c.copy()) for c in rows[i : i + size].T], names=list("abcd")) for i in range(0, len(rows), size)]
+        return {x for b in lines._meetings(lines._close(iter(batches))) for x in zip(*(c.to_pylist() for c in b.columns))}
+
+    assert all(parts(size) == {(1, 2)} for size in (1, 2, 3, 7, 100))
+    monkeypatch.setattr(lines, "KEY_ROWS", 3)  # a key of more rows than that ties them all
+    assert all({(0, 1), (0, 2), (0, 3)} <= parts(size) for size in (1, 2, 4))
+
+
 def test_meetings_over_batches():
     keys = np.repeat(np.arange(5), [1, 2, 3, 70_000, 4]).astype(np.int64)
     ids = np.arange(len(keys), dtype=np.int64)
