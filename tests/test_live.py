@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recspark.operators import ordering as od, stats as st
+from recspark.plans import suite
 from recspark.schema import record_schema
 from recspark.sources import exchange as ex, recordings as rec, streams as sm
 from recspark.streaming import live
@@ -215,3 +216,23 @@ def test_recordings_read_live(spark, tmp_path):
     got = spark.read.parquet(out)
     assert sorted(r["Val"] for r in got.collect()) == list(range(200))
     assert got.groupBy("_file").agg((F.max("_pos") + 1 - F.count("*")).alias("gap")).where("gap <> 0").count() == 0
+
+
+def test_rate_counts_all_events_of_files_in_reverse_order(spark, tmp_path, monkeypatch):
+    sf = str(tmp_path / "sf")
+    table = spark.range(400).select(
+        F.timestamp_seconds(F.col("id") * 1800).cast("timestamp_ntz").alias("ts"), F.col("id").alias("event_id"), F.lit(1).cast("long").alias("user_id"),
+        F.lit("a").alias("event_type"), F.col("id").cast("double").alias("value"),
+    )
+    table.write.parquet(f"{sf}/events.parquet")
+
+    def backwards(spark, sf):
+        root = str(tmp_path / "backwards")
+        sm.register_stream(spark, root, "events", suite.EVENT_RECORD)
+        for lo, hi in ((300, 400), (201, 300), (100, 201), (0, 100)):  # two files share the hour of events 200 and 201
+            sm.publish(suite.events(spark, sf).where(F.col("event_id").between(lo, hi - 1)).coalesce(1), root, "events")
+        return root
+
+    monkeypatch.setattr(suite, "_published", backwards)
+    got = {r["TimeStamp"]: r["count"] for r in suite.stream_rate(spark, sf).collect()}
+    assert got == {3600.0 * h: 2 for h in range(200)}
