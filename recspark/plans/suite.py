@@ -444,10 +444,17 @@ def record_producer(spark, sf):
 
 
 def whole_recording(spark, sf):
-    """A whole recording as an Arrow table and back."""
+    """A whole recording as Arrow batches, each validated in the task that decodes it."""
     path = work_dir(spark, "recording")
     rec.write_recordings(events(spark, sf), path, "Events")
-    return spark.createDataFrame(ex.to_arrow(path, None, ["TimeStamp", "event_id"], spark).select(["event_id", "value"]))
+
+    def whole(batches):
+        for batch in batches:
+            batch.validate(full=True)
+            yield batch
+
+    back = rec.read_recordings(spark, path).select("event_id", "value")
+    return back.mapInArrow(whole, back.schema)
 
 
 def snapshot_frame(spark, sf):

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from recspark.plans import suite
 from recspark.schema import record_schema
 from recspark.sources import exchange as ex, paths, recordings as rec, streams as sm
 
@@ -286,6 +287,26 @@ def test_a_whole_snapshot(spark):
         ex.to_frame(df)
 
 
+def test_a_whole_recording_stays_in_the_tasks(spark, tmp_path, monkeypatch):
+    sf, path = str(tmp_path / "sf"), str(tmp_path / "rec")
+    spark.range(500).select(
+        F.timestamp_seconds("id").cast("timestamp_ntz").alias("ts"), F.col("id").alias("event_id"), F.lit(1).cast("long").alias("user_id"),
+        F.lit("a").alias("event_type"), F.col("id").cast("double").alias("value"),
+    ).write.parquet(f"{sf}/events.parquet")
+    rec.write_recordings(suite.events(spark, sf), path, "Events")
+    for held in (ex.to_arrow(path, None, ["TimeStamp", "event_id"], spark).to_pandas(), ex.to_frame(path, None, ["TimeStamp", "event_id"], spark)):
+        assert held["event_id"].tolist() == list(range(500))  # the helpers hold a bounded recording
+
+    def refused(*args, **kwargs):
+        raise AssertionError("the driver holds the recording")
+
+    with monkeypatch.context() as m:
+        for name in ("toArrow", "toPandas", "collect"):
+            m.setattr(type(spark.range(1)), name, refused)
+        got = suite.whole_recording(spark, sf)
+    assert sorted((r.event_id, r.value) for r in got.collect()) == [(i, float(i)) for i in range(500)]
+
+
 def test_paths_mean_what_they_mean_to_spark(spark, tmp_path):
     for path in (str(tmp_path / "x"), f"file:{tmp_path}/x", f"file://{tmp_path}/x"):
         assert paths.open_fs(paths.readable(spark, path))[1] == f"{tmp_path}/x"
