@@ -14,12 +14,12 @@ from .common import sent
 
 #: Characters per n-gram, and the marks around a text.
 ORDER, BEGIN, FINISH = 4, "\x02", "\x03"
-#: A document is kept up to this quantile of the perplexities of trusted text in its language that the model has not seen.
-QUANTILE = 0.998
-#: A language with fewer such documents than this takes the quantile over all languages.
+#: A document is kept up to this quantile of the perplexities of trusted text in its language: one trusted document in twenty may go.
+QUANTILE = 0.95
+#: A language with fewer trusted documents than this takes the quantile over all languages.
 LEAST_TRUSTED = 50
-#: One in so many trusted documents is left out of training to find the quantiles.
-HELD_OUT = 10
+#: Documents are dealt to so many folds; those of a fold are scored by a model of the trusted text of the others.
+FOLDS = 2
 #: Log perplexities are counted in steps of this for the quantiles.
 STEP = 0.001
 #: Text (bytes) that one block scores together, and characters that are hashed at once.
@@ -201,7 +201,7 @@ def log_perplexities(docs: DataFrame, model: dict) -> DataFrame:
 
 
 def thresholds(scored: DataFrame, quantile: float = QUANTILE, least: int = LEAST_TRUSTED) -> DataFrame:
-    """``lang``, ``limit``: the quantile of ``log_ppl`` of the rows per language, to within one step, and over all as lang null, all true.
+    """``lang``, ``limit``, ``n``: the quantile of ``log_ppl`` of the ``n`` rows per language, to within one step, and over all as lang null, all true.
 
     Counts per step are exact whatever the order of rows, and a language has some thousands of steps at most.
     """
@@ -212,25 +212,31 @@ def thresholds(scored: DataFrame, quantile: float = QUANTILE, least: int = LEAST
     order = Window.partitionBy("lang", "every").orderBy("step")
     upto = both.withColumn("upto", F.sum("n").over(order)).withColumn("all", F.sum("n").over(Window.partitionBy("lang", "every")))
     found = upto.where(F.col("upto") >= F.ceil(F.col("all") * quantile)).groupBy("lang", "every").agg((F.min("step") * STEP).alias("limit"), F.first("all").alias("n"))
-    return found.where(F.col("every") | (F.col("n") >= least)).select("lang", "every", "limit")
+    return found.where(F.col("every") | (F.col("n") >= least)).select("lang", "every", "limit", "n")
 
 
 def judge(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang", order: int = ORDER, quantile: float = QUANTILE) -> DataFrame:
     """``doc_id``, ``lang``, ``perplexity``, ``threshold``, ``kept`` of every row of ``docs``.
 
-    The model is trained on the trusted text: documents whose every label in ``labels`` (``doc_id``, ``quality``) is 1.  A tenth
-    of them is left out and gives the threshold of each language, a quantile of its perplexities; a null language is one.
-    Without any text left out nothing has a threshold, and every text with a word is kept.  A null or empty text has no
+    Trusted text is that of documents whose every label in ``labels`` (``doc_id``, ``quality``) is 1.  Documents are dealt to
+    folds by their ids, and those of a fold, trusted or not, are scored by a model of the trusted text of the other folds.  So
+    no document is scored by a model that has seen it, and all trusted ones give the threshold of their language, a quantile of
+    their perplexities; a null language is one.
+    Without any trusted text nothing has a threshold, and every text with a word is kept.  A null or empty text has no
     perplexity and is not kept.  Repeated rows get the same result.
     """
     own = docs.select(docs[f"`{doc_id}`"].alias("doc_id"), docs[f"`{text}`"].alias("text"), docs[f"`{lang}`"].alias("lang"))
+    own = own.withColumn("fold", F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS, F.lit(0)))
     good = labels.groupBy("doc_id").agg(F.min("quality").alias("quality")).where("quality = 1 and doc_id is not null").select("doc_id")
-    good = written(good.withColumn("out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % HELD_OUT == 0), "trusted")
-    training = own.join(sent(good.where("not out").select("doc_id"), 16), "doc_id", "left_semi")
-    model = train(training, order)
-    packed = own.select(F.struct("doc_id", "lang").alias("id"), "text")
-    scored = written(log_perplexities(packed, model).select("id.doc_id", "id.lang", "log_ppl"), "scores")
-    limits = written(thresholds(scored.join(good.where("out"), "doc_id", "left_semi"), quantile), "limits")
+    good = written(good, "trusted")
+    trusted = own.join(sent(good, 16), "doc_id", "left_semi")
+    scored = None
+    for fold in range(FOLDS):
+        model = train(trusted.where(F.col("fold") != fold), order)
+        packed = own.where(F.col("fold") == fold).select(F.struct("doc_id", "lang").alias("id"), "text")
+        part = written(log_perplexities(packed, model).select("id.doc_id", "id.lang", "log_ppl"), "scores")
+        scored = part if scored is None else scored.union(part)
+    limits = written(thresholds(scored.join(sent(good, 16), "doc_id", "left_semi"), quantile), "limits")
     every = limits.where("every").first()
     ours = limits.where("not every").select(F.col("lang").alias("_lang"), "limit")
     out = scored.join(sent(ours, 64), F.col("lang").eqNullSafe(F.col("_lang")), "left")

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from cases import SF, A, B, by_id, documents, needs_tables, stored
 from oracle import differences, tables
+from pyspark.sql import functions as F
 
 from recspark.llm import perplexity, rules, suite, urls
 
@@ -176,6 +177,23 @@ def test_thresholds_are_quantiles_by_language(spark):
     assert got[(None, True)] == pytest.approx(sorted(x for _, x in rows)[134])
 
 
+def test_one_odd_trusted_document_does_not_set_the_limit(spark):
+    text = lambda i: " ".join(f"{w}{'s' * (i % 3)}" for w in (A.split() * 2)[i % 7 :])
+    rows = [(i, text(i), "en") for i in range(100)] + [(100, "q\u2603z#x|w&k%" * 9, "en")] + [(101 + i, f"%k|{i}#q~w^{i}z" * 12, "en") for i in range(20)]
+    labels = spark.createDataFrame([(i, 1) for i in range(101)] + [(101 + i, 0) for i in range(20)], "doc_id long, quality int")
+    got = by_id(perplexity.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string"), labels))
+    assert sum(got[i].kept for i in range(100)) >= 94 and not any(got[i].kept for i in range(100, 121))
+
+
+@needs_tables
+def test_verdicts_part_labelled_documents_on_both_sides(spark):
+    more = SF.replace("sf0.001", "sf0.01")  # 58 documents labelled bad
+    labels = spark.read.parquet(f"{more}/labels.parquet").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    rows = perplexity.op1_perplexity(spark, more).join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()
+    share = {r.quality: r.kept for r in rows}
+    assert share[1] > 0.93 and share[0] < 0.1
+
+
 @needs_tables
 def test_junk_is_harder_to_predict(spark):
     got = perplexity.op1_perplexity(spark, SF)
