@@ -16,8 +16,8 @@ from .common import sent
 ORDER, BEGIN, FINISH = 4, "\x02", "\x03"
 #: A document is kept up to this quantile of the perplexities of trusted text in its language: one trusted document in twenty may go.
 QUANTILE = 0.95
-#: A language with fewer trusted documents than this takes the quantile over all languages.
-LEAST_TRUSTED = 50
+#: The quantile over all languages weighs as much as this many documents of a language in its threshold.
+PRIOR = 10
 #: Documents are dealt to so many folds; those of a fold are scored by a model of the trusted text of the others.
 FOLDS = 2
 #: Log perplexities are counted in steps of this for the quantiles.
@@ -200,7 +200,7 @@ def log_perplexities(docs: DataFrame, model: dict) -> DataFrame:
     return out.withColumn("log_ppl", F.when(~F.isnan("log_ppl"), F.col("log_ppl")))
 
 
-def thresholds(scored: DataFrame, quantile: float = QUANTILE, least: int = LEAST_TRUSTED) -> DataFrame:
+def thresholds(scored: DataFrame, quantile: float = QUANTILE, least: int = 1) -> DataFrame:
     """``lang``, ``limit``, ``n``: the quantile of ``log_ppl`` of the ``n`` rows per language, to within one step, and over all as lang null, all true.
 
     Counts per step are exact whatever the order of rows, and a language has some thousands of steps at most.
@@ -215,13 +215,22 @@ def thresholds(scored: DataFrame, quantile: float = QUANTILE, least: int = LEAST
     return found.where(F.col("every") | (F.col("n") >= least)).select("lang", "every", "limit", "n")
 
 
+def shrunk(own: Column, n: Column, overall: float | None, prior: float = PRIOR) -> Column:
+    """The threshold of a language with ``n`` trusted documents: its own quantile, drawn to the overall one the more the fewer they are.
+
+    It has no jump: without any trusted text (null ``own``) it is the overall one, and each document moves it a little.
+    """
+    common = F.lit(overall).cast("double")
+    return F.coalesce((n * own + prior * common) / (n + prior), common)
+
+
 def judge(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang", order: int = ORDER, quantile: float = QUANTILE) -> DataFrame:
     """``doc_id``, ``lang``, ``perplexity``, ``threshold``, ``kept`` of every row of ``docs``.
 
     Trusted text is that of documents whose every label in ``labels`` (``doc_id``, ``quality``) is 1.  Documents are dealt to
     folds by their ids, and those of a fold, trusted or not, are scored by a model of the trusted text of the other folds.  So
     no document is scored by a model that has seen it, and all trusted ones give the threshold of their language, a quantile of
-    their perplexities; a null language is one.
+    their perplexities that is drawn to the quantile over all languages where they are few; a null language is one.
     Without any trusted text nothing has a threshold, and every text with a word is kept.  A null or empty text has no
     perplexity and is not kept.  Repeated rows get the same result.
     """
@@ -238,9 +247,9 @@ def judge(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
         scored = part if scored is None else scored.union(part)
     limits = written(thresholds(scored.join(sent(good, 16), "doc_id", "left_semi"), quantile), "limits")
     every = limits.where("every").first()
-    ours = limits.where("not every").select(F.col("lang").alias("_lang"), "limit")
+    ours = limits.where("not every").select(F.col("lang").alias("_lang"), "limit", "n")
     out = scored.join(sent(ours, 64), F.col("lang").eqNullSafe(F.col("_lang")), "left")
-    limit = F.coalesce("limit", F.lit(every["limit"] if every else None).cast("double"))
+    limit = shrunk(F.col("limit"), F.col("n"), every["limit"] if every else None)
     kept = F.col("log_ppl").isNotNull() & F.coalesce(F.col("log_ppl") <= limit, F.lit(True))
     return out.select("doc_id", "lang", F.exp("log_ppl").alias("perplexity"), F.exp(limit).alias("threshold"), kept.alias("kept"))
 

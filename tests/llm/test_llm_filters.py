@@ -185,6 +185,17 @@ def test_one_odd_trusted_document_does_not_set_the_limit(spark):
     assert sum(got[i].kept for i in range(100)) >= 94 and not any(got[i].kept for i in range(100, 121))
 
 
+def test_a_rare_language_has_a_threshold_of_its_own(spark):
+    limit = lambda own, n: spark.range(1).select(perplexity.shrunk(F.lit(own).cast("double"), F.lit(n), 2.0, 10)).first()[0]
+    assert limit(None, None) == 2.0 and limit(4.0, 10) == pytest.approx(3.0) and 2.0 < limit(4.0, 1) < limit(4.0, 49) < limit(4.0, 50) < 4.0
+    assert limit(4.0, 50) - limit(4.0, 49) < 0.01  # no jump at the fiftieth
+    words = {"en": A.split(), "xx": [w[::-1].upper() for w in B.split()]}
+    rows = [(i, " ".join(words[k][i % 5 :] + words[k][: i % 3]), k) for i, k in enumerate(["en"] * 60 + ["xx"] * 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = perplexity.judge(docs, docs.select("doc_id", F.lit(1).alias("quality")))
+    assert len({r.threshold for r in got.select("lang", "threshold").distinct().collect()}) == 2
+
+
 @needs_tables
 def test_verdicts_part_labelled_documents_on_both_sides(spark):
     more = SF.replace("sf0.001", "sf0.01")  # 58 documents labelled bad
