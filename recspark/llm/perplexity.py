@@ -170,7 +170,7 @@ def log_perplexities(docs: DataFrame, model: dict) -> DataFrame:
     order = model["order"]
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = max(n // 4, -(-size // BLOCK_BYTES), 1)
+    blocks = max(n // (4 * FOLDS), -(-size // BLOCK_BYTES), 1)  # of one fold
     dealt = docs.select("id", "text", F.pmod(F.xxhash64("id", F.length("text")), F.lit(blocks)).alias("block")).repartition(n, "block")
 
     def ask(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -192,7 +192,7 @@ def log_perplexities(docs: DataFrame, model: dict) -> DataFrame:
         counts = np.array([len(t) + 1 for t in texts])
         return pd.DataFrame({"id": pdf["id"], "n": counts, "log_ppl": np.where(counts > 1, -sums / counts, np.nan)})
 
-    asked = dealt.groupBy("block").applyInPandas(ask, "block long, gram string")
+    asked = written(dealt.groupBy("block").applyInPandas(ask, "block long, gram string"), "asked")  # each length reads it
     scored = log_probabilities(asked.select("gram").distinct(), model)
     answered = asked.join(scored, "gram").select("block", "gram", "logp")
     kind = docs.schema["id"].dataType.simpleString()
