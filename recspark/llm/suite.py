@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bpe, chat, lines, mixing, perplexity, rules, simhash, sketches, toxicity, urls
+from . import bpe, chat, language, lines, mixing, periodic, perplexity, rules, simhash, sketches, toxicity, urls, whitening
 
 QUERIES = {
     "op1_perplexity": perplexity.op1_perplexity,
@@ -17,6 +17,9 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_pareto_mix": mixing.op9_pareto_mix,
     "op10_host_rules": rules.op10_host_rules,
+    "op11_periodic_runs": periodic.op11_periodic_runs,
+    "op12_whitening": whitening.op12_whitening,
+    "op13_language_id": language.op13_language_id,
     "pipeline": corpus_pipeline.run,
 }
 
