@@ -371,6 +371,35 @@ def publish_roundtrip(spark, sf):
     return sm.read_table(spark, root, "events")
 
 
+def _hourly(spark, sf) -> str:
+    """``events`` with times cut to the hour, so that many are equal, published in four parts that each go through all hours; returns the root."""
+    root = work_dir(spark, "streams")
+    sm.register_stream(spark, root, "events", EVENT_RECORD)
+    rows = events(spark, sf).withColumn("TimeStamp", F.floor(F.col("TimeStamp") / 3600) * 3600.0)
+    for part in range(4):
+        sm.publish(rows.where(F.pmod("event_id", F.lit(4)) == part).orderBy("event_id"), root, "events")
+    return root
+
+
+def arrival_positions(spark, sf):
+    """Every record with the position at which it came into the stream."""
+    return sm.read_arrivals(spark, _hourly(spark, sf), "events").select("event_id", "TimeStamp", "position")
+
+
+def slice_published(spark, sf):
+    """A quarter of the records by arrival, from the first third on."""
+    root = _hourly(spark, sf)
+    end = sm.end_position(spark, root, "events")
+    return sm.slice_published(spark, root, "events", end // 3, end // 4).select("event_id", "value", "position")
+
+
+def published_between(spark, sf):
+    """The records of some days by time, equal times in the order of arrival."""
+    root = _hourly(spark, sf)
+    rows = sm.published_between(spark, root, "events", 1_704_300_000.0, 1_705_900_000.0)
+    return od.with_seq(rows, ["TimeStamp", "position"]).select("event_id", "TimeStamp", "position", "seq")
+
+
 def catalog_fields(spark, sf):
     """The registered streams' fields, with the number of records each stream holds."""
     root = _published(spark, sf)
@@ -588,7 +617,7 @@ QUERIES = {
         latest_split_stream, slice_records, read_after, read_after_per_stream, head_records, concat_records,
         select_fields, numeric_value, set_value, set_array_value, clear_records, named_bits, expand_bits, set_bit,
         array_element, explode_elements, channels, array_channels, range_filter,
-        catalog_fields, publish_roundtrip, binary_roundtrip, array_roundtrip, sections_inventory, csv_roundtrip,
+        catalog_fields, publish_roundtrip, arrival_positions, slice_published, published_between, binary_roundtrip, array_roundtrip, sections_inventory, csv_roundtrip,
         csv_text_roundtrip, array_csv_roundtrip, record_producer, whole_recording, snapshot_frame,
         stream_records, record_to_both, stream_recordings, stream_running_stats, stream_rate, stream_latest,
         stream_batch_stats, stream_each_record, stream_progress,

@@ -2,6 +2,8 @@
 
 E = "epoch_us(ts) / 1e6"
 WORD = "CAST(event_id & 255 AS SMALLINT)"
+HOUR = "floor(epoch_us(ts) / 1e6 / 3600) * 3600.0"
+ARRIVAL = "row_number() OVER (ORDER BY event_id % 4, event_id) - 1"
 POS = "row_number() OVER (ORDER BY ts, event_id) - 1"
 
 
@@ -163,6 +165,13 @@ FROM (VALUES ('events', 0, 'TimeStamp', 'Double', 1, 0), ('events', 1, 'event_id
 JOIN (SELECT 'events' AS stream, count(*) AS records FROM events
       UNION ALL SELECT 'vectors', count(*) FROM embeddings) USING (stream)""",
     "publish_roundtrip": f"SELECT {EVENT_COLUMNS} FROM events",
+    "arrival_positions": f'SELECT event_id, {HOUR} AS "TimeStamp", {ARRIVAL} AS position FROM events',
+    "slice_published": f"""
+SELECT event_id, value, position FROM (SELECT *, {ARRIVAL} AS position, count(*) OVER () AS n FROM events)
+WHERE position >= n // 3 AND position < n // 3 + n // 4""",
+    "published_between": f"""
+SELECT event_id, "TimeStamp", position, row_number() OVER (ORDER BY "TimeStamp", position) - 1 AS seq
+FROM (SELECT event_id, {HOUR} AS "TimeStamp", {ARRIVAL} AS position FROM events) WHERE "TimeStamp" BETWEEN 1704300000 AND 1705900000""",
     "binary_roundtrip": f"SELECT {EVENT_COLUMNS}, 'Events' AS alias FROM events",
     "array_roundtrip": f"SELECT vec_id, CAST(index AS INTEGER) AS index, y FROM ({ELEMENTS})",
     "sections_inventory": """

@@ -6,9 +6,11 @@ here, once, and tasks get the full URI, which pyarrow opens.
 
 from __future__ import annotations
 
+import os
 import uuid
 
 import pyarrow.fs as pafs
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 #: Hadoop's scheme -> pyarrow's, where they differ.
@@ -79,6 +81,57 @@ def write_once(spark: SparkSession, path: str, text: str) -> bool:
     return False
 
 
+def write_exclusive(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless its name is taken; of several at once exactly one gets the name, and nobody sees half a file.
+
+    On a local file system a hard link takes the name.  Elsewhere the file system's own rename does, which leaves an existing file alone
+    (as HDFS promises), or, on object stores, which write a file under its name when it is closed, a create that refuses to overwrite.
+    """
+    fs, hpath = _hadoop(spark, path)
+    fs.mkdirs(hpath.getParent())
+    uri = fs.makeQualified(hpath).toString()
+    if scheme_of(uri) == "file":
+        name = open_fs(uri)[1]
+        staged = f"{os.path.dirname(name)}/_{uuid.uuid4().hex}"
+        with open(staged, "w", encoding="utf-8") as f:
+            f.write(text)
+        try:
+            os.link(staged, name)
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(staged)
+        return True
+    if scheme_of(uri) in ("hdfs", "viewfs"):
+        return write_once(spark, path, text)
+    try:
+        out = fs.create(hpath, False)
+        out.write(bytearray(text.encode()))
+        out.close()
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as a whole."""
+    fs, hpath = _hadoop(spark, path)
+    source = fs.open(hpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def move(spark: SparkSession, path: str, to: str) -> bool:
+    """Rename a folder; False if it is gone or the new name is taken."""
+    fs, hpath = _hadoop(spark, path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)
+    return not fs.exists(target) and fs.exists(hpath) and fs.rename(hpath, target)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, hpath = _hadoop(spark, path)
     fs.delete(hpath, True)

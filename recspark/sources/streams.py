@@ -10,10 +10,11 @@ from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..plans.ranges import col
 from ..schema import TIME_FIELD, describe_fields, element_count, is_array, source_type, type_size
+from . import arrival
 from .paths import exists, write_once
 
 REGISTRY = "_registry"
@@ -141,8 +142,8 @@ def _arrow(values: np.ndarray) -> pa.Array:
 def publish(df, root: str, name: str, batch: int | None = None) -> int:
     """Append records to a registered stream; returns how many were committed.
 
-    Records come as a Spark or pandas frame, an Arrow table or a structured NumPy array.  With the id of a micro-batch,
-    publishing it again after a failure adds nothing.
+    Records come as a Spark or pandas frame, an Arrow table or a structured NumPy array.  They take the stream's next positions
+    (see ``arrival``), in the order of ``df``'s partitions and rows.  With the id of a micro-batch, publishing it again after a failure adds nothing.
     """
     if isinstance(df, np.ndarray):
         if df.dtype.names is None:
@@ -153,15 +154,7 @@ def publish(df, root: str, name: str, batch: int | None = None) -> int:
     schema = stream_schema(df.sparkSession, root, name)
     if schema is None:
         raise LookupError(f"stream {name!r} is not registered")
-    path = stream_path(root, name)
-    if batch is not None:
-        path = f"{path}/batch-{batch:012d}"
-        if exists(df.sparkSession, f"{path}/_SUCCESS"):
-            return 0
-    seen = Observation()
-    rows = conform(df, schema).observe(seen, F.count(F.lit(1)).alias("n"))
-    rows.write.mode("append" if batch is None else "overwrite").parquet(path)
-    return seen.get["n"]
+    return arrival.append(conform(df, schema), stream_path(root, name), schema, batch)
 
 
 def _known(spark: SparkSession, root: str, name: str) -> T.StructType:
@@ -180,6 +173,40 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return with_fields(table, schema)
 
 
+def read_arrivals(spark: SparkSession, root: str, name: str, position: str = "position") -> DataFrame:
+    """All records of a named stream with the positions in which they came, from 0."""
+    schema = _known(spark, root, name)
+    return with_fields(arrival.all_records(spark, stream_path(root, name), schema, position), schema)
+
+
+def slice_published(spark: SparkSession, root: str, name: str, offset: int, count: int | None = None, position: str = "position") -> DataFrame:
+    """Records at the arrival positions ``[offset, offset + count)``, or from ``offset`` on, in order.  Only files that hold some of them are opened.
+
+    A negative ``offset`` counts back from the end.
+    """
+    schema, path = _known(spark, root, name), stream_path(root, name)
+    end = arrival.end_position(spark, path)
+    lo = max(0, end + offset) if offset < 0 else offset
+    hi = end if count is None else min(end, lo + count)
+    hit = (F.col("first") < hi) & (F.col("first") + F.col("count") > lo)
+    out = arrival.some_records(spark, path, schema, hit, position).where((col(position) >= lo) & (col(position) < hi))
+    return with_fields(out, schema).orderBy(position)
+
+
+def published_between(spark: SparkSession, root: str, name: str, low: float, high: float, position: str = "position") -> DataFrame:
+    """Records with times in ``[low, high]``, by time and, where times are equal, arrival.  Only files whose time bounds allow some are opened."""
+    schema, path = _known(spark, root, name), stream_path(root, name)
+    hit = (F.col("low") <= high) & (F.col("high") >= low)
+    out = arrival.some_records(spark, path, schema, hit, position).where(col(TIME_FIELD).between(low, high))
+    return with_fields(out, schema).orderBy(TIME_FIELD, position)
+
+
+def end_position(spark: SparkSession, root: str, name: str) -> int:
+    """How many records a named stream has taken in: the position of the next one."""
+    _known(spark, root, name)
+    return arrival.end_position(spark, stream_path(root, name))
+
+
 def read_stream(spark: SparkSession, root: str, name: str, max_files: int = 1_000) -> DataFrame:
     """Live read of a named stream; ``max_files`` per micro-batch is the flow control."""
     schema = _known(spark, root, name)
