@@ -48,13 +48,18 @@ def range_counts(df: DataFrame, ranges: KeyRanges) -> list[int]:
     return counts
 
 
-def _positions_in_ranges(df: DataFrame, ranges: KeyRanges, starts: Sequence[int], seq: str) -> DataFrame:
-    """Range ``i`` is the ``i``-th partition, so partitions are as even as the ranges and come in order."""
+def _positions_in_ranges(df: DataFrame, ranges: KeyRanges, starts: Sequence[int], seq: str, first: int = 0, last: int | None = None) -> DataFrame:
+    """Rows of the ranges ``first`` to ``last`` with their positions.
+
+    Each range is one partition, in order, so partitions are as even as the ranges and rows come in order.
+    """
+    last = ranges.count - 1 if last is None else last
     w = Window.partitionBy(BUCKET).orderBy(*[col(c) for c in ranges.order_by])
-    start = F.get(literal_array(starts, "bigint"), F.col(BUCKET))
+    start = F.get(literal_array(starts[first : last + 1], "bigint"), F.col(BUCKET))
     return (
         add_range(df, ranges)
-        .repartitionById(ranges.count, F.col(BUCKET))
+        .withColumn(BUCKET, F.col(BUCKET) - first)
+        .repartitionById(max(2, last - first + 1), F.col(BUCKET))
         .withColumn(seq, F.row_number().over(w) - 1 + start)
         .drop(BUCKET)
     )
@@ -122,7 +127,7 @@ def positions_between(
     n_ranges: int | None = None,
     from_end: bool = False,
 ) -> DataFrame:
-    """Records at positions ``[lo, hi)`` of one stream, ordering only the ranges they lie in.
+    """Records at positions ``[lo, hi)`` of one stream, in order, ordering only the ranges they lie in.
 
     With ``from_end`` both bounds count back from the end of the stream.
     """
@@ -137,7 +142,7 @@ def positions_between(
     if not hit or lo >= hi:
         return df.where(F.lit(False)).withColumn(seq, F.lit(0).cast("long"))
     part = df.where(ranges.within(hit[0], hit[-1]))
-    return _positions_in_ranges(part, ranges, starts, seq).where(col(seq).between(lo, hi - 1))
+    return _positions_in_ranges(part, ranges, starts, seq, hit[0], hit[-1]).where(col(seq).between(lo, hi - 1))
 
 
 def batches(df: DataFrame, n: int, order_by=TIME_FIELD, by=None, **opts) -> DataFrame:
@@ -158,7 +163,7 @@ def latest(
     """The last ``n`` records of each stream with their position, oldest first."""
     order_by, by = as_list(order_by), as_list(by)
     if not by:
-        return positions_between(df, n, None, order_by, n_ranges=n_ranges, from_end=True).orderBy("seq")
+        return positions_between(df, n, None, order_by, n_ranges=n_ranges, from_end=True)
 
     slices = (n_ranges or default_ranges(df)) if stream_sizes(df, by)[0] > max_group_rows else 1
     totals = df.groupBy(stream_key(by).alias(STREAM)).agg(F.count(F.lit(1)).alias("__total"))
@@ -193,7 +198,7 @@ def slice_records(df: DataFrame, offset: int, count: int, order_by=TIME_FIELD, b
     """Records at positions ``[offset, offset + count)``, in order."""
     if by:
         return with_seq(df, order_by, by, **opts).where(F.col("seq").between(offset, offset + count - 1)).orderBy(*[col(b) for b in as_list(by)], "seq")
-    return positions_between(df, offset, offset + count, order_by, **opts).orderBy("seq")
+    return positions_between(df, offset, offset + count, order_by, **opts)
 
 
 def read_after(
@@ -205,7 +210,7 @@ def read_after(
         out = with_seq(df, order_by, by, **opts).where(F.col("seq") >= cursor)
         out = out if end is None else out.where(F.col("seq") < end)
         return out.orderBy(*[col(b) for b in as_list(by)], "seq")
-    return positions_between(df, cursor, end, order_by, **opts).orderBy("seq")
+    return positions_between(df, cursor, end, order_by, **opts)
 
 
 def head(df: DataFrame, n: int = 5, order_by=TIME_FIELD) -> DataFrame:

@@ -1,33 +1,31 @@
 """Ordered work on one huge stream, split by key range.
 
 Spark rows have no order, and a window without partitions pulls a whole stream into one
-task.  Here the order key is cut into ranges of about equal row counts:
+task.  Here the order key is cut into ranges of about equal row counts, as a sample sort does:
 
-1. a count and a pass over the key columns find the cut points (quantile sketches, over a sample
-   of a large stream so that what reaches the merging task stays small);
-2. the cuts become literals, so every later pass puts a row into the same range;
+1. evenly spaced rows of a sorted sample become the cuts: whole keys, of all order columns in their own types;
+2. the cuts become one literal, so every later pass puts a row into the same range;
 3. work inside a range is an ordinary partitioned window, and per-range totals of the
    earlier ranges supply the rest.
 
-A key value that alone fills several ranges is cut further by the next order column, so
-equal timestamps do not build one huge range.  Cut points only decide balance: any set of
-cuts gives the same answer.
+Keys are compared column by column as a sort compares them, so a value that fills several ranges is cut by the columns after it, and
+any type that can be sorted can be cut.  Cut points only decide balance: any set of cuts gives the same answer.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
-from itertools import groupby
-from math import isnan
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 BUCKET = "__range"
 MAX_RANGES = 20_000  # also bounds what is collected: one cut and one count per range
 RANGE_ROWS = 1_000_000  # rows that a range holds on average, up to so many ranges
-SAMPLE_ROWS = 2_000_000  # at most about this many rows feed a sketch, over all tasks
-HEAVY = 4  # a value found at this many neighbouring cut points is cut by the next column
+SAMPLE_ROWS = 2_000_000  # at most about this many rows feed a sketch or are sorted for the cuts, over all tasks
+CUT_ROWS = 100  # sampled rows per range, where the stream is not small
+SMALL_SAMPLE = 200_000  # a stream of up to so many rows is not sampled
 
 
 def col(name: str) -> Column:
@@ -42,28 +40,12 @@ def literal_array(values: Sequence, element: str) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{element}>")
 
 
-def _smallest(dtype: T.DataType) -> str:
-    """The least non-null value of a key type, as text."""
-    if isinstance(dtype, T.DecimalType):
-        return "-" + "9" * (dtype.precision - dtype.scale)
-    bits = {T.ByteType(): 8, T.ShortType(): 16, T.IntegerType(): 32}.get(dtype, 64)
-    return "-Infinity" if isinstance(dtype, (T.FloatType, T.DoubleType)) else str(-(2 ** (bits - 1)))
-
-
 def default_ranges(df: DataFrame, total: int | None = None) -> int:
     """Ranges for ``total`` rows: by their number, and at least one for each shuffle partition."""
     shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(1, min(MAX_RANGES, max(shuffles, -(-(total or 0) // RANGE_ROWS))))
 
 
-def _sortable(dtype: T.DataType) -> bool:
-    return isinstance(dtype, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, *COARSE))
-
-
-#: Types that are cut by a number in their order that some of their values share, so no later column can cut further.
-COARSE = (T.StringType, T.BinaryType, T.BooleanType)
-
-
 def local_seconds(c: Column) -> Column:
     """Seconds since 1970 of a timestamp without zone, as an exact decimal.
 
@@ -73,93 +55,61 @@ def local_seconds(c: Column) -> Column:
     return (c - F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")).cast("interval second").cast("decimal(18,6)")
 
 
-def _as_number(name: str, dtype: T.DataType) -> Column:
-    """A numeric column in the order of ``name``."""
-    c = col(name)
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c)
-    if isinstance(dtype, T.TimestampNTZType):
-        return (local_seconds(c) * 1_000_000).cast("bigint")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c)
-    if isinstance(dtype, T.BooleanType):
-        return c.cast("bigint")
-    if isinstance(dtype, (T.StringType, T.BinaryType)):  # the first seven bytes
-        return F.conv(F.rpad(F.substring(F.hex(c), 1, 14), 14, "0"), 16, 10).cast("bigint")
-    return c
-
-
-def _native_literal(value, dtype: T.DataType) -> Column:
-    """A cut value as a foldable literal of the column's own type, for filters that push down."""
-    if isinstance(dtype, T.TimestampType):
-        return F.timestamp_micros(F.lit(value))
-    if isinstance(dtype, T.TimestampNTZType):
-        return F.expr(f"timestampadd(MICROSECOND, {int(value)}L, TIMESTAMP_NTZ'1970-01-01 00:00:00')")
-    if isinstance(dtype, T.DateType):
-        return F.date_from_unix_date(F.lit(value))
-    return F.lit(value).cast(dtype)
+#: Cuts travel as JSON, times to the microsecond.  What a type may lose that way moves a cut and nothing else.
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def _key(order_by: Sequence[str]) -> Column:
+    """A row's whole key; such structs compare as the columns sort, nulls first."""
+    return F.struct(*[col(c).alias(f"k{i}") for i, c in enumerate(order_by)])
 
 
 @dataclass(frozen=True)
 class KeyRanges:
-    """Ascending cut points over the leading order columns."""
+    """Ascending cuts, each a key over all order columns."""
 
     order_by: tuple[str, ...]
-    keys: tuple[tuple[str, T.DataType], ...]
-    cuts: tuple[tuple, ...]
+    schema: T.StructType
+    cuts: tuple[str, ...]
 
     @property
     def count(self) -> int:
         return len(self.cuts) + 1
 
-    def _depth(self) -> int:
-        return max((len(c) for c in self.cuts), default=1)
-
-    def key_columns(self) -> list[Column]:
-        return [_as_number(n, t) for n, t in self.keys[: self._depth()]]
-
-    def points(self) -> list[Column]:
-        """The cuts as one constant array per key column; a shorter cut starts at the least value."""
-        return [
-            literal_array(
-                [c[i] if i < len(c) else _smallest(t) for c in self.cuts],
-                t.simpleString() if isinstance(t, T.NumericType) else "bigint",
-            )
-            for i, (_, t) in enumerate(self.keys[: self._depth()])
-        ]
-
-    def cut_is_at_or_below(self, i: Column, points: Sequence[Column], keys: Sequence[Column]) -> Column:
-        """Is cut ``i`` not above a row's key?  Column by column; null for a null key."""
-        held = None
-        for values, key in reversed(list(zip(points, keys))):
-            cut = F.get(values, i)
-            held = cut <= key if held is None else (cut < key) | ((cut == key) & held)
-        return held
+    def points(self) -> Column:
+        """The cuts as one constant array."""
+        text = F.lit("[" + ",".join(self.cuts) + "]")
+        return F.sort_array(F.from_json(text, T.ArrayType(self.schema), _JSON))
+
+    def key(self) -> Column:
+        return _key(self.order_by)
 
     def within(self, first: int, last: int) -> Column:
         """Rows of ranges ``first``..``last``; the leading column's bounds reach the scan."""
         cond = F.lit(True)
         if not self.cuts:
             return cond
-        name, dtype = self.keys[0]
-        coarse = isinstance(dtype, COARSE)  # no bound on the column itself
+        points, lead = self.points(), col(self.order_by[0])
+        bound = lambda i: F.get(points, F.lit(i))["k0"]
+        given = lambda i: json.loads(self.cuts[i]).get("k0") is not None
+        no_nulls = first > 0 and given(first - 1)
         if first > 0:
-            if not coarse:
-                cond = cond & (col(name) >= _native_literal(self.cuts[first - 1][0], dtype))
-            if self._depth() > 1 or coarse:
-                cond = cond & self.cut_is_at_or_below(F.lit(first - 1), self.points(), self.key_columns())
+            cond = cond & at_or_below(points, F.lit(first - 1), self.key())
+            if no_nulls:
+                cond = cond & (lead >= bound(first - 1))
         if last < len(self.cuts):
-            # a null key is in the first range: "above" is null for it
-            above = self.cut_is_at_or_below(F.lit(last), self.points(), self.key_columns())
-            cond = cond & ~F.coalesce(above, F.lit(False))
-            if not coarse:
-                upto = col(name) <= _native_literal(self.cuts[last][0], dtype)
-                cond = cond & (upto if first > 0 else upto | col(name).isNull())
-            if first > 0:
-                cond = cond & col(name).isNotNull()
+            cond = cond & ~at_or_below(points, F.lit(last), self.key())
+            if given(last):
+                upto = lead <= bound(last)
+                cond = cond & (upto if no_nulls else upto | lead.isNull())
         return cond
 
 
+def at_or_below(points: Column, i: Column, key: Column) -> Column:
+    """Is cut ``i`` not above a row's key?"""
+    return F.coalesce(F.get(points, i) <= key, F.lit(True))
+
+
 def add_range(df: DataFrame, ranges: KeyRanges, name: str = BUCKET) -> DataFrame:
     """Add the range number of each row: how many cuts are not above its key.
 
@@ -168,94 +118,38 @@ def add_range(df: DataFrame, ranges: KeyRanges, name: str = BUCKET) -> DataFrame
     """
     if not ranges.cuts:
         return df.withColumn(name, F.lit(0))
-    keys = [f"__key{i}" for i in range(len(ranges.key_columns()))]
-    out = df.select("*", F.lit(0).alias(name), *[c.alias(k) for c, k in zip(ranges.key_columns(), keys)])
+    out = df.select("*", F.lit(0).alias(name), ranges.key().alias("__key"))
     points, n, at = ranges.points(), len(ranges.cuts), F.col(name)
     step = 1 << n.bit_length() >> 1
     while step:
-        up = (at <= n - step) & ranges.cut_is_at_or_below(at + (step - 1), points, [F.col(k) for k in keys])
+        up = (at <= n - step) & at_or_below(points, at + (step - 1), F.col("__key"))
         out = out.withColumn(name, at + F.when(up, F.lit(step)).otherwise(F.lit(0)))
         step >>= 1
-    return out.drop(*keys)
+    return out.drop("__key")
 
 
-def sample_for_sketch(df: DataFrame, total: int, seed: int = 0) -> DataFrame:
+def sample_for_sketch(df: DataFrame, total: int, seed: int = 0, rows: int | None = None) -> DataFrame:
     """``df`` itself, or a random part of it if it is large.  For estimates only."""
-    return df if total <= SAMPLE_ROWS else df.sample(SAMPLE_ROWS / total, seed)
+    rows = SAMPLE_ROWS if rows is None else rows
+    return df if total <= rows else df.sample(rows / total, seed)
 
 
 def key_ranges(df: DataFrame, order_by: Sequence[str], n_ranges: int | None = None, total: int | None = None) -> KeyRanges:
     """Cut the order key of ``df`` (of ``total`` rows) into about ``n_ranges`` ranges of equal row counts.
 
-    Rows that are equal in all columns that can be cut stay together in one range, so an order over much data should end
-    with a column that tells rows apart.  Large inputs are sampled for the cuts; that moves the cuts and nothing else.
+    Rows that are equal in all order columns stay together in one range, so an order over much data should end
+    with a column that tells rows apart.  Large inputs are sampled, some rows for each range; that moves the cuts and nothing else.
     """
     total = df.count() if total is None else total
     n = min(MAX_RANGES, n_ranges or default_ranges(df, total))
-    keys = []
-    for name in order_by:
-        dtype = df.schema[name].dataType
-        if not _sortable(dtype):
-            break
-        keys.append((name, dtype))
-        if isinstance(dtype, COARSE):
-            break
-    if not keys:
-        raise ValueError(f"the first order column has no order that can be cut: {list(order_by)}")
-
-    df = sample_for_sketch(df, total)
-    cuts: set[tuple] = set()
-    heavy: list[tuple[tuple, int]] = [((), n)]  # key prefix, pieces wanted
-    for depth in range(len(keys)):
-        nxt = []
-        for prefix, values in _quantiles(df, keys[: depth + 1], heavy):
-            for value, run in groupby(v for v in values if v is not None and not _is_nan(v)):
-                cuts.add(prefix + (value,))
-                hits = len(list(run))
-                if hits >= HEAVY:
-                    nxt.append((prefix + (value,), hits + 1))
-        heavy = nxt
-        if not heavy:
-            break
-    return KeyRanges(tuple(order_by), tuple(keys), tuple(sorted(cuts)))
-
-
-def _sketch(value: Column, pieces: int) -> Column:
-    """The ``pieces - 1`` evenly spaced quantiles of a column, approximately."""
-    grid = literal_array([i / pieces for i in range(1, pieces)], "double")
-    return F.percentile_approx(value, grid, F.lit(max(1_000, 10 * pieces)))
-
-
-def _is_nan(value) -> bool:
-    return isinstance(value, float) and isnan(value)
-
-
-def _quantiles(df: DataFrame, keys, heavy):
-    """Evenly spaced values of the last key within each heavy prefix: [(prefix, values)]."""
-    target = _as_number(*keys[-1])
-    if len(keys) == 1:
-        pieces = heavy[0][1]
-        if pieces < 2:
-            return [((), [])]
-        return [((), df.agg(_sketch(target, pieces).alias("q")).first()["q"] or [])]
-
-    # Heavy prefixes are at most as many as the ranges, so this table is small by construction.
-    # Grids come in powers of two, hence a few sketches serve every prefix.
-    sizes = {prefix: 1 << (pieces - 1).bit_length() for prefix, pieces in heavy}
-    names = [f"__p{i}" for i in range(len(keys) - 1)]
-    types = [t if isinstance(t, T.NumericType) else T.LongType() for _, t in keys[:-1]]
-    schema = T.StructType([T.StructField(n, t) for n, t in zip(names, types)] + [T.StructField("__size", T.IntegerType())])
-    table = df.sparkSession.createDataFrame([(*p, s) for p, s in sizes.items()], schema)
-    on = [_as_number(*k) == F.col(n) for k, n in zip(keys, names)]
-    classes = sorted(set(sizes.values()))
-    rows = (
-        df.join(F.broadcast(table), on)
-        .groupBy(*names)
-        .agg(*[_sketch(F.when(F.col("__size") == s, target), s).alias(f"q{s}") for s in classes])
-        .collect()
-    )
-    out = []
-    for r in rows:
-        prefix = tuple(r[n] for n in names)
-        out.append((prefix, next((r[f"q{s}"] for s in classes if r[f"q{s}"] is not None), [])))
-    return out
+    key = _key(order_by)
+    schema = df.select(key.alias("k")).schema["k"].dataType
+    if n < 2 or total < 2:
+        return KeyRanges(tuple(order_by), schema, ())
+    rows = min(SAMPLE_ROWS, max(CUT_ROWS * n, SMALL_SAMPLE))
+    sample = sample_for_sketch(df, total, rows=rows).select(key.alias("k"), F.lit(0).alias("one"))
+    # one task sorts the sample, whose size is bounded, and cuts it into as many pieces
+    pieces = sample.select("k", F.ntile(n).over(Window.partitionBy("one").orderBy("k")).alias("piece"))
+    firsts = pieces.groupBy("piece").agg(F.min("k").alias("k")).where("piece > 1").select("k").distinct()
+    cuts = firsts.agg(F.sort_array(F.collect_list("k")).alias("cuts")).select(F.transform("cuts", lambda k: F.to_json(k, _JSON)).alias("cuts"))
+    return KeyRanges(tuple(order_by), schema, tuple(cuts.first()["cuts"]))

@@ -122,6 +122,12 @@ def split_stream_positions(spark, sf):
     return od.with_seq(df, ORDER, "event_type", max_group_rows=0).select("event_id", "event_type", "seq")
 
 
+def text_positions(spark, sf):
+    """Positions in the order of a text, which many events share, and then of the id."""
+    df = _table(spark, sf, "events").select("event_id", "props")
+    return od.with_seq(df, ["props", "event_id"], n_ranges=32)
+
+
 def record_batches(spark, sf):
     return od.batches(events(spark, sf).select("TimeStamp", "event_id"), 1000, ORDER).select("event_id", "batch")
 
@@ -613,7 +619,7 @@ QUERIES = {
         describe_value, running_stats, running_stats_one_stream, running_stats_split_stream, running_summary,
         rate_per_hour, rate_tenth, rate_per_stream, visible_range, visible_array_range, stream_status, consumer_lag, write_space,
         write_space_all_streams,
-        record_positions, stream_positions, split_stream_positions, record_batches, latest_global, latest_per_stream,
+        record_positions, text_positions, stream_positions, split_stream_positions, record_batches, latest_global, latest_per_stream,
         latest_split_stream, slice_records, read_after, read_after_per_stream, head_records, concat_records,
         select_fields, numeric_value, set_value, set_array_value, clear_records, named_bits, expand_bits, set_bit,
         array_element, explode_elements, channels, array_channels, range_filter,

@@ -125,6 +125,7 @@ SELECT event_id, {E} AS "TimeStamp", value, seq FROM (SELECT *, {POS} AS seq FRO
     "read_after_per_stream": """
 SELECT user_id, event_id, seq FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS seq FROM events) WHERE seq >= 5 AND seq < 25""",
+    "text_positions": "SELECT event_id, props, row_number() OVER (ORDER BY props NULLS FIRST, event_id) - 1 AS seq FROM events",
     "head_records": f'SELECT event_id, {E} AS "TimeStamp", value FROM events ORDER BY ts, event_id LIMIT 100',
     "concat_records": f"""
 SELECT {E} AS "TimeStamp", event_id AS id, value AS y FROM events

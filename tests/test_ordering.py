@@ -219,6 +219,42 @@ def test_text_and_flags_order_streams_of_any_size(spark, limit):
     assert [r["seq"] for r in od.slice_records(df, 100, 50, ["t", "id"], n_ranges=5).collect()] == list(range(100, 150))
 
 
+def test_texts_with_one_prefix_fill_even_ranges(spark):
+    urls = spark.range(20_000).select(F.format_string("https://a.very.long.host.example.org/one/path/%06d", F.col("id") * 7919 % 20_000).alias("url"), "id")
+    sizes = od.range_counts(urls, key_ranges(urls, ["url", "id"], 32))
+    assert len(sizes) == 32 and max(sizes) <= 1.5 * 20_000 / 32
+    same = urls.withColumn("url", F.lit("https://a.very.long.host.example.org/"))
+    assert max(od.range_counts(same, key_ranges(same, ["url", "id"], 32))) <= 1.5 * 20_000 / 32
+    assert od.with_seq(urls, ["url"], n_ranges=32).where(F.col("seq") != F.col("id") * 7919 % 20_000).count() == 0
+
+
+KEYS = {
+    "struct": "named_struct('a', cast(id div 50 as int), 'b', concat('x', lpad(id % 50, 2, '0')))",
+    "array": "case when id < 100 then array(cast(null as bigint), id) else array(id div 20, id) end",
+    "days": "make_dt_interval(cast(id div 24 as int), cast(id % 24 as int), 0, 0.000001)",
+    "months": "make_ym_interval(0, cast(id as int) - 50)",
+    "binary": "unhex(lpad(hex(id + 100), 4, '0'))",
+    "decimal": "cast(id as decimal(38,9)) / 1000",
+    "flag": "id >= 150",
+    "nan": "case when id >= 300 then double('NaN') when id >= 250 then double('Infinity') when id < 10 then null else cast(id as double) end",
+    "micros": "timestamp_micros(1700000000000000 + id)",
+    "early": "timestamp_ntz'0001-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * 0.000001)",
+}
+
+
+@pytest.mark.parametrize("limit", [0, 10**9])
+@pytest.mark.parametrize("kind", KEYS)
+def test_keys_of_any_sortable_type(spark, kind, limit):
+    df = spark.range(400).select(F.expr(KEYS[kind]).alias("k"), "id", (F.col("id") % 2).alias("s")).repartition(3)
+    got = od.with_seq(df, ["k", "id"], "s", max_group_rows=limit, n_ranges=9)
+    assert got.where("seq <> id div 2").count() == 0 and got.count() == 400
+    if not limit:
+        assert od.with_seq(df, ["k", "id"], n_ranges=9).where("seq <> id").count() == 0
+        assert key_ranges(df, ["k", "id"], 9).count == 9
+        assert [r["id"] for r in od.slice_records(df, 90, 120, ["k", "id"], n_ranges=9).select("id").collect()] == list(range(90, 210))
+        assert [r["id"] for r in od.latest(df, 30, ["k", "id"], n_ranges=9).select("id").collect()] == list(range(370, 400))
+
+
 @pytest.mark.skipif(not Path("/root/testdata/sf0.01").exists(), reason="no test tables here")
 @pytest.mark.parametrize("name", ["range_filter", "visible_range", "slice_records", "read_after", "latest_global"])
 def test_time_bounds_reach_the_scan(spark, name):
