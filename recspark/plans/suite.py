@@ -554,6 +554,45 @@ def stream_latest(spark, sf):
     return live.read_result(spark, out).select("user_id", "event_id", "value", "seq")
 
 
+def _in_turn(spark, sf, backwards: bool) -> str:
+    """``events`` published in four spans of time, the first or the last one first; returns the root."""
+    root = work_dir(spark, "streams")
+    sm.register_stream(spark, root, "events", EVENT_RECORD)
+    df = events(spark, sf)
+    lo, hi = df.agg(F.min("TimeStamp"), F.max("TimeStamp")).first()
+    step = (hi - lo) / 4
+    spans = F.least(F.floor((F.col("TimeStamp") - lo) / step), F.lit(3))
+    for i in sorted(range(4), reverse=backwards):
+        sm.publish(df.where(spans == i), root, "events")
+    if backwards:  # a record long after all others, which tells that no more come
+        end = df.limit(1).withColumns({"TimeStamp": F.lit(2 * hi - lo + 60), "user_id": F.lit(-1).cast("long")})
+        sm.publish(end, root, "events")
+    return root
+
+
+def stream_running_records(spark, sf):
+    """Every record with the statistics of its stream up to it, though the spans of time are read last one first."""
+    root, out, ckpt = _in_turn(spark, sf, True), work_dir(spark, "live"), work_dir(spark, "checkpoint")
+    lo, hi = events(spark, sf).agg(F.min("TimeStamp"), F.max("TimeStamp")).first()
+    sdf = sm.read_stream(spark, root, "events", max_files=4)
+    live.drain(live.running_stream(sdf, "value", out, ckpt, f"{int(hi - lo) + 1} seconds", "user_id", ORDER, available_now=True))
+    return _running(spark.read.parquet(f"{out}/*"))
+
+
+def stream_record_batches(spark, sf):
+    """Statistics of batches of exactly 1,000 records, the last one excepted, whatever the files hold."""
+    root, out, ckpt = _in_turn(spark, sf, False), work_dir(spark, "live"), work_dir(spark, "checkpoint")
+
+    def stats(batch: DataFrame) -> DataFrame:
+        return batch.groupBy("batch").agg(
+            F.count(F.lit(1)).alias("count"), (F.max("seq") + 1).alias("total"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std")
+        )
+
+    sdf = sm.read_stream(spark, root, "events", max_files=4)
+    live.drain(live.for_each_n(sdf, 1_000, live.store_by(out, "batch", stats), ckpt, ORDER, partial=True, available_now=True))
+    return live.read_result(spark, out).select("batch", "count", "total", _r("mean"), _r("std"))
+
+
 def stream_batch_stats(spark, sf):
     """Mean and deviation of each micro-batch; a batch here is one published file."""
     out, ckpt = work_dir(spark, "live"), work_dir(spark, "checkpoint")
@@ -626,6 +665,6 @@ QUERIES = {
         catalog_fields, publish_roundtrip, arrival_positions, slice_published, published_between, binary_roundtrip, array_roundtrip, sections_inventory, csv_roundtrip,
         csv_text_roundtrip, array_csv_roundtrip, record_producer, whole_recording, snapshot_frame,
         stream_records, record_to_both, stream_recordings, stream_running_stats, stream_rate, stream_latest,
-        stream_batch_stats, stream_each_record, stream_progress,
+        stream_running_records, stream_record_batches, stream_batch_stats, stream_each_record, stream_progress,
     )
 }

@@ -208,3 +208,5 @@ UNION ALL SELECT 'csv', event_id, round(value, 6), {WORD} FROM events""",
     "stream_each_record": "SELECT event_id, value FROM events",
     "stream_progress": "SELECT count(*) AS records FROM events",
 }
+ORACLES["stream_running_records"] = ORACLES["running_stats"]
+ORACLES["stream_record_batches"] = ORACLES["batch_stats"]

@@ -15,13 +15,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from ..operators.ordering import MAX_GROUP_ROWS, STREAM, as_list, newest, stream_key, stream_sizes
+from ..operators.ordering import as_list
 from ..operators.stats import interval_micros, micros
-from ..plans.ranges import col, default_ranges
+from ..plans.ranges import col
 from ..schema import TIME_FIELD
 from ..sources.exchange import write_csv
 from ..sources.paths import entries, exists, remove, write_once
 from ..sources.recordings import write_recordings
+from .keyed import latest_records, record_batches, running_records, state_settings
 
 log = logging.getLogger(__name__)
 
@@ -195,39 +196,45 @@ def latest_stream(
     checkpoint: str,
     by: str | Sequence[str] = "stream",
     order_by: str | Sequence[str] = TIME_FIELD,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    state_partitions: int | None = None,
     **trigger,
 ) -> StreamingQuery:
     """Keep the last ``n`` records of each stream, with their positions, at ``path``.
 
-    A micro-batch merges the streams that it has records of with what is kept of them, and writes those alone; late records
-    find their place by the order columns.
+    They are the query's state, by stream, so a micro-batch reads and writes those of the streams that it has records of and no other; late records
+    find their place by the order columns.  The number of state partitions is fixed when the checkpoint is new.
     """
-    by, order_by = as_list(by), as_list(order_by)
+    by = as_list(by)
+    with state_settings(sdf.sparkSession, state_partitions):
+        latest = latest_records(sdf, n, by, order_by)
+        return for_each_batch(latest, lambda df, i: _store_changes(df, path, i, by), checkpoint, mode="update", **trigger)
+
+
+def running_stream(
+    sdf: DataFrame, field: str, path: str, checkpoint: str, delay: str, by: str | Sequence[str] | None = None,
+    order_by: str | Sequence[str] = TIME_FIELD, state_partitions: int | None = None, **trigger,
+) -> StreamingQuery:
+    """Write every record with the statistics of ``field`` up to it (``keyed.running_records``) to Parquet folders under ``path``, one for each micro-batch."""
+    with state_settings(sdf.sparkSession, state_partitions):
+        out = running_records(sdf, field, delay, by, order_by)
+        return for_each_batch(out, lambda df, i: df.write.mode("overwrite").parquet(_version(path, i)), checkpoint, **trigger)
+
+
+def for_each_n(
+    sdf: DataFrame, n: int, fn: BatchFn, checkpoint: str, order_by: str | Sequence[str] = TIME_FIELD,
+    by: str | Sequence[str] | None = None, partial: bool = False, state_partitions: int | None = None, **trigger,
+) -> StreamingQuery:
+    """Run ``fn(records, id)`` on whole batches of exactly ``n`` records (columns ``seq`` and ``batch``, see ``keyed.record_batches``).
+
+    One call may bring several batches, or none; a retried one brings the same.
+    """
+    with state_settings(sdf.sparkSession, state_partitions):
+        return for_each_batch(record_batches(sdf, n, order_by, by, partial), fn, checkpoint, mode="update", **trigger)
 
-    def merge(batch: DataFrame, i: int) -> None:
-        spark = batch.sparkSession
-        batch.persist()
-        try:
-            slices = default_ranges(batch) if stream_sizes(batch, by)[0] > max_group_rows else 1
-            written = batch.groupBy(stream_key(by).alias(STREAM)).agg(F.count(F.lit(1)).alias("__total"))
-            kept, rows = _current(spark, path, i), batch
-            if kept is not None:
-                kept = kept.withColumn(STREAM, stream_key(by)).join(written.select(STREAM), STREAM, "left_semi")
-                before = kept.groupBy(STREAM).agg((F.max("seq") + 1).alias("__total"))
-                written = written.unionByName(before).groupBy(STREAM).agg(F.sum("__total").alias("__total"))
-                rows = batch.unionByName(kept.drop("seq", STREAM))
-            out = (
-                newest(rows, n, order_by, by, slices)
-                .join(written, STREAM)
-                .withColumn("seq", F.col("__total") - F.col("__rank"))
-                .drop(STREAM, "__rank", "__total")
-            )
-            _store_changes(out, path, i, by)
-        finally:
-            batch.unpersist()
 
-    return for_each_batch(sdf, merge, checkpoint, **trigger)
+def store_by(path: str, by: str | Sequence[str], change: Callable[[DataFrame], DataFrame] = lambda df: df) -> BatchFn:
+    """A sink that keeps ``change(batch)`` at ``path``: rows of the groups ``by`` replace what was kept of them.  ``read_result`` reads it."""
+    return lambda batch, i: _store_changes(change(batch), path, i, as_list(by))
 
 
 def live_rate(sdf: DataFrame, seconds: float, delay: str = "1 minute", by: str | Sequence[str] | None = None) -> DataFrame:

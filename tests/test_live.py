@@ -104,12 +104,11 @@ def test_a_batch_published_twice_counts_once(spark, root):
     assert sum(seen) == 15
 
 
-@pytest.mark.parametrize("limit", [0, 10**9])
-def test_latest_records_kept_live(spark, root, tmp_path, limit, monkeypatch):
+def test_latest_records_kept_live(spark, root, tmp_path, monkeypatch):
     monkeypatch.setattr(live, "COMPACT", 2)
     out = str(tmp_path / "out")
     sdf = sm.read_stream(spark, root, "s", 1)
-    live.drain(live.latest_stream(sdf, 7, out, str(tmp_path / "c"), "stream", ORDER, available_now=True, max_group_rows=limit))
+    live.drain(live.latest_stream(sdf, 7, out, str(tmp_path / "c"), "stream", ORDER, available_now=True))
     got = sorted(tuple(r) for r in live.read_result(spark, out).select("stream", "Val", "seq").collect())
     want = od.latest(rows(spark, 0, 300), 7, ORDER, "stream").select("stream", "Val", "seq")
     assert got == sorted(tuple(r) for r in want.collect())
