@@ -66,6 +66,21 @@ def _grouped(sdf: DataFrame, by: Sequence[str]):
     return sdf.groupBy(*[col(b) for b in by]) if by else sdf.withColumn(_ONE, F.lit(0)).groupBy(_ONE)
 
 
+def _with_nan(df: DataFrame) -> DataFrame:
+    """Records hold no nulls, but pandas hands NaN over as null: put it back."""
+
+    def restored(f: T.StructField):
+        nan = lambda x, t: F.coalesce(x, F.lit(float("nan")).cast(t))
+        floats = (T.FloatType, T.DoubleType)
+        if isinstance(f.dataType, floats):
+            return nan(col(f.name), f.dataType).alias(f.name)
+        if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, floats):
+            return F.transform(col(f.name), lambda x: nan(x, f.dataType.elementType)).alias(f.name)
+        return col(f.name)
+
+    return df.select(*[restored(f) for f in df.schema])
+
+
 def _with(schema: T.StructType, fields: str) -> T.StructType:
     return T.StructType([*[T.StructField(f.name, f.dataType) for f in schema], *T.StructType.fromDDL(fields).fields])
 
@@ -123,7 +138,7 @@ def latest_records(sdf: DataFrame, n: int, by: str | Sequence[str], order_by: st
     by, order_by = as_list(by), as_list(order_by)
     names = sdf.columns
     counted = sdf.mapInPandas(_tails(n, order_by, by), _with(sdf.schema, f"{_MORE} long"))
-    return _grouped(counted, by).transformWithStateInPandas(_Latest(n, order_by, names), _with(sdf.schema, "seq long"), "Update", "None")
+    return _with_nan(_grouped(counted, by).transformWithStateInPandas(_Latest(n, order_by, names), _with(sdf.schema, "seq long"), "Update", "None"))
 
 
 # ---- running statistics ------------------------------------------------------------------
@@ -192,7 +207,7 @@ def running_records(
     when = micros(col(TIME_FIELD))
     timed = sdf.withColumn(_WHEN, when).withColumn("__ts", F.timestamp_micros(_WHEN)).withWatermark("__ts", delay)
     schema = _with(sdf.schema, "count long, mean double, min double, max double")
-    return _grouped(timed, by).transformWithStateInPandas(_Running(field, order_by, sdf.columns), schema, "Append", "EventTime")
+    return _with_nan(_grouped(timed, by).transformWithStateInPandas(_Running(field, order_by, sdf.columns), schema, "Append", "EventTime"))
 
 
 # ---- batches of n ------------------------------------------------------------------------
@@ -234,4 +249,4 @@ def record_batches(
         raise ValueError("a batch holds at least one record")
     order_by, by = as_list(order_by), as_list(by)
     processor = _Batches(n, order_by, sdf.columns, partial)
-    return _grouped(sdf, by).transformWithStateInPandas(processor, _with(sdf.schema, "seq long, batch long"), "Update", "None")
+    return _with_nan(_grouped(sdf, by).transformWithStateInPandas(processor, _with(sdf.schema, "seq long, batch long"), "Update", "None"))

@@ -52,7 +52,8 @@ def test_latest_go_on_after_a_restart(spark, root, tmp_path):
         publish(spark, root, *spans)
         live.drain(live.latest_stream(sm.read_stream(spark, root, "s", 1), 8, out, ckpt, "stream", ORDER, state_partitions=2, available_now=True))
     want = od.latest(rows(spark, 0, 310), 8, ORDER, "stream")
-    assert values(live.read_result(spark, out), "stream", "Val", "seq", "a") == values(want, "stream", "Val", "seq", "a")
+    names = ("stream", "Val", "seq", "y", "a")
+    assert values(live.read_result(spark, out), *names) == values(want, *names)
 
 
 def test_only_touched_streams_are_written(spark, tmp_path):
