@@ -19,12 +19,15 @@ LONGEST = 5
 WORD_LETTERS = 32
 #: Characters after which a block of documents is closed, and its most documents.
 BLOCK_CHARS, BLOCK_DOCS = 24_000_000, 50_000
-#: Logarithms are kept as whole numbers of this size, so that sums are the same in any order.
-UNIT = 1_000_000
+#: Logarithms are kept as whole numbers of two bytes, this many to one, so that sums are the same in any order.
+UNIT = 1_000
+#: A token's step from the token before is a byte below this one; the bytes from it on stand for multiples of it that come before.
+STEP = 200
 #: Words of at least this share of all questions of blocks are spread over several keys; so there are at most as many.
 HOT = 10_000
 
-_BLOCKS = "block long, place int, row {row}, letters boolean, word string, gaps binary, counts map<int,long>"
+#: Rows of a block: the places of its tokens (kind 0), its documents (1) and, with ``place`` as their number, its distinct words (2).
+_BLOCKS = "block long, kind int, place int, row {row}, word string, data binary, counts map<int,long>"
 
 
 # ---- blocks ------------------------------------------------------------------------------
@@ -33,7 +36,7 @@ _BLOCKS = "block long, place int, row {row}, letters boolean, word string, gaps
 def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The words of all texts, lower case, and the place of the text that each is of."""
     lists = pc.split_pattern_regex(pc.utf8_lower(pc.utf8_normalize(texts, "NFC")), r"[^\pL]+")
-    place = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+    place = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
     words = lists.flatten()
     held = pc.not_equal(words, "")
     words, place = words.filter(held), place[held.to_numpy(zero_copy_only=False)]
@@ -41,62 +44,92 @@ def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     if long.any():
         cut = [(w[i : i + WORD_LETTERS], p) for w, p in zip(words.filter(pa.array(long)).to_pylist(), place[long]) for i in range(0, len(w), WORD_LETTERS)]
         words = pa.concat_arrays([words.filter(pa.array(~long)), pa.array([w for w, _ in cut], words.type)])
-        place = np.append(place[~long], [p for _, p in cut])
+        place = np.append(place[~long], np.array([p for _, p in cut], np.int32))
     return words, place
 
 
 def _gaps(word: np.ndarray, place: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """The places of each word's tokens, one byte for each: the step from the token before; 255 steps on without a token.
+    """The places of each word's tokens: for each its step from the token before, as up to two bytes where it is not very long.
 
-    ``word`` and ``place`` are sorted.  Also returned: the end of each word's bytes.
+    ``word`` and ``place`` are sorted.  Also returned: how many bytes each word has.
     """
-    step = np.diff(place, prepend=0)
+    step = np.diff(place, prepend=np.zeros(1, place.dtype))
     first = np.append(True, word[1:] != word[:-1]) if len(word) else np.array([], bool)
     step[first] = place[first]
-    more = step // 255
-    ends = np.cumsum(more + 1)
+    far, rest = np.divmod(step // STEP, 256 - STEP)
+    sizes = far + (rest > 0) + 1
+    ends = np.cumsum(sizes)
     out = np.full(int(ends[-1]) if len(ends) else 0, 255, np.uint8)
-    out[ends - 1] = step % 255
-    return out, np.cumsum(np.bincount(word, more + 1, n_words).astype(np.int64))
+    out[ends - 1] = step % STEP
+    some = rest > 0
+    out[ends[some] - 2] = STEP - 1 + rest[some]
+    return out, np.bincount(word, sizes, n_words).astype(np.int64)
 
 
 def _places(gaps: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The inverse: the row that each token is of and its place."""
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    upto = np.cumsum(gaps, dtype=np.int64)
-    before = np.where(starts > 0, upto[np.maximum(starts, 1) - 1], 0) if len(upto) else np.zeros(len(starts), np.int64)
-    hit = gaps != 255
-    return row[hit], (upto - before[row])[hit]
+    """The inverse: the word, of those whose bytes lie at ``starts``, that each token is of, and its place."""
+    ends = np.cumsum(sizes)
+    word = np.repeat(np.arange(len(sizes)), sizes)
+    gaps = gaps[np.repeat(starts - (ends - sizes), sizes) + np.arange(len(word))]
+    hit = gaps < STEP
+    upto = np.cumsum(np.where(hit, gaps, (gaps.astype(np.int64) - (STEP - 1)) * STEP), dtype=np.int64)
+    before = np.append(0, upto)[ends - sizes]
+    return word[hit], (upto - before[word])[hit]
+
+
+def _shut(gaps: np.ndarray, sizes: np.ndarray) -> bytes:
+    """All words' bytes as one value, compressed."""
+    data = b"".join([np.int64(len(sizes)).tobytes(), sizes.astype(np.int32).tobytes(), gaps.tobytes()])
+    return np.int64(len(data)).tobytes() + pa.compress(data, "zstd", asbytes=True)
+
+
+def _opened(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    data = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+    m = int.from_bytes(data[:8], "little")
+    return np.frombuffer(data, np.uint8)[8 + 4 * m :], np.frombuffer(data, np.int32, m, 8).astype(np.int64)
 
 
 def _block_rows(number: int, rows: pa.Array, texts: pa.Array, codes: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """A block as a row per document and a row per distinct word."""
+    """A block as a row per document, whose ``data`` says whether it has letters, one of all tokens' places, and a row per distinct word."""
+
+    def out(n: int, **columns: pa.Array) -> pa.RecordBatch:
+        columns["block"] = pa.array(np.full(n, number))
+        return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
+
     n = len(texts)
     words, place = _words(texts)
-    has = np.bincount(place, minlength=n) > 0
-    empty = lambda size, at: pa.nulls(size, schema.field(at).type)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, number)), pa.array(np.arange(n, dtype=np.int32)), rows, pa.array(has), *(empty(n, i) for i in (4, 5, 6))], schema=schema
-    )
+    letters = np.bincount(place, minlength=n) > 0
+    yield out(n, kind=pa.array(np.full(n, 1, np.int32)), place=pa.array(np.arange(n, dtype=np.int32)), row=rows, data=pa.array([b"\1" if x else b"\0" for x in letters], pa.binary()))
     coded = words.dictionary_encode()
-    w = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    m = len(coded.dictionary)
+    del words
+    names = coded.dictionary
+    m = len(names)
     if not m:
         return
-    key = np.sort(w * n + place)
-    w, place = key // n, key % n
-    gaps, ends = _gaps(w, place, m)
+    order = pc.sort_indices(names).to_numpy()
+    rank = np.empty(m, np.int64)
+    rank[order] = np.arange(m)
+    key = rank[coded.indices.to_numpy(zero_copy_only=False)]
+    del coded
+    key *= n
+    key += place
+    key.sort()
+    w, place = (key // n).astype(np.int32), (key % n).astype(np.int32)
+    del key
+    yield out(1, kind=pa.array([0], pa.int32()), data=pa.array([_shut(*_gaps(w, place, m))], pa.binary()))
     code = codes[place]
-    learned, counts = np.unique(w[code >= 0] * (1 << 31) + code[code >= 0], return_counts=True)
-    own = np.searchsorted(learned, np.arange(m + 1) * (1 << 31))
+    learned = w[code >= 0].astype(np.int64)
+    learned <<= 31
+    learned += code[code >= 0]
+    del w, place, code
+    learned, counts = np.unique(learned, return_counts=True)
+    own = np.searchsorted(learned, np.arange(m + 1) << 31)
     maps = pa.MapArray.from_arrays(pa.array(own.astype(np.int32)), pa.array((learned % (1 << 31)).astype(np.int32)), pa.array(counts.astype(np.int64)))
-    offsets = pa.py_buffer(np.append(0, ends).astype(np.int32).tobytes())
-    bytes_ = pa.Array.from_buffers(pa.binary(), m, [None, offsets, pa.py_buffer(gaps.tobytes())])
-    out = pa.RecordBatch.from_arrays(
-        [pa.array(np.full(m, number)), empty(m, 1), empty(m, 2), empty(m, 3), coded.dictionary, bytes_, maps.cast(schema.field(6).type)], schema=schema
+    found = out(
+        m, kind=pa.array(np.full(m, 2, np.int32)), place=pa.array(np.arange(m, dtype=np.int32)), word=names.take(pa.array(order)), counts=maps.cast(schema.field("counts").type)
     )
     for at in range(0, m, 50_000):
-        yield out.slice(at, 50_000)
+        yield found.slice(at, 50_000)
 
 
 def _index(block_chars: int):
@@ -124,8 +157,8 @@ def _index(block_chars: int):
 
 def _block_of(number: int, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows, texts, codes = (pa.chunked_array([h.column(i) for h in held]).combine_chunks() for i in range(3))
-    types = [pa.int64(), pa.int32(), rows.type, pa.bool_(), pa.string(), pa.binary(), pa.map_(pa.int32(), pa.int64())]
-    names = ["block", "place", "row", "letters", "word", "gaps", "counts"]
+    types = [pa.int64(), pa.int32(), pa.int32(), rows.type, pa.string(), pa.binary(), pa.map_(pa.int32(), pa.int64())]
+    names = ["block", "kind", "place", "row", "word", "data", "counts"]
     return _block_rows(number, rows, texts, codes.to_numpy(zero_copy_only=False), pa.schema(list(zip(names, types))))
 
 
@@ -136,7 +169,12 @@ def _logs(counts: Column, totals: list[int]) -> Column:
     """Log frequencies by language; a language without the item has half a count in the largest."""
     none = F.lit(0.5 / max(totals))
     each = [F.when(F.get(counts, i) > 0, F.get(counts, i) / F.lit(float(max(1, t)))).otherwise(none) for i, t in enumerate(totals)]
-    return F.array(*[F.round(F.log(x) * UNIT).cast("int") for x in each])
+    return F.array(*[F.greatest(F.round(F.log(x) * UNIT), F.lit(-32767.0)).cast("int") for x in each])
+
+
+def _bytes(logs: Column, n: int) -> Column:
+    """Two bytes for each of ``n`` whole numbers from 0 down."""
+    return F.unhex(F.concat(*[F.lpad(F.hex(-F.get(logs, i)), 4, "0") for i in range(n)]))
 
 
 def _totals(df: DataFrame, n: int, by: str | None = None) -> dict:
@@ -186,12 +224,10 @@ def _word_vectors(words: DataFrame, n: int, longest: int) -> tuple[DataFrame, li
 
 
 def _scored(n: int, order: list[int], langs: list[str]):
-    """Over the rows of blocks, documents first: each document with its language and how sure that is."""
+    """Over the rows of blocks by kind, words with their logarithms: each document with its language and how sure that is."""
 
-    def finish(rows: list[pa.RecordBatch], scores: np.ndarray | None, tokens: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-        if scores is None:  # a block without a word that the model knows
-            scores, tokens = np.zeros((sum(b.num_rows for b in rows), n), np.int64), np.zeros(1, np.int64)
-        letters = np.concatenate([b.column("letters").to_numpy(zero_copy_only=False) for b in rows]).astype(bool)
+    def finish(rows: list[pa.RecordBatch], scores: np.ndarray, tokens: np.ndarray) -> Iterator[pa.RecordBatch]:
+        letters = [x == b"\1" for b in rows for x in b.column("data").to_pylist()]
         mean = scores[:, order] / UNIT / np.sqrt(np.maximum(tokens, 1))[:, None]
         best = mean.argmax(1)
         sure = 1 / np.exp(mean - mean.max(1, keepdims=True)).sum(1)
@@ -202,37 +238,39 @@ def _scored(n: int, order: list[int], langs: list[str]):
         for at in range(0, out.num_rows, 10_000):
             yield out.slice(at, 10_000)
 
+    def add(words: pa.RecordBatch, gaps: np.ndarray, starts: np.ndarray, sizes: np.ndarray, scores: np.ndarray, tokens: np.ndarray) -> None:
+        at = words.column("place").to_numpy(zero_copy_only=False).astype(np.int64)
+        logs = -np.frombuffer(b"".join(words.column("data").to_pylist()), ">u2").astype(np.int64).reshape(-1, n)
+        ends = np.cumsum(sizes[at])
+        cuts = [0, *(np.flatnonzero(np.diff(ends // (1 << 20))) + 1).tolist(), len(at)]  # about a million tokens at once
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            word, place = _places(gaps, starts[at[a:b]], sizes[at[a:b]])
+            tokens += np.bincount(place, minlength=len(tokens))
+            for i in range(n):
+                scores[:, i] += np.bincount(place, logs[a:b][word, i], len(tokens)).astype(np.int64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, rows, scores, tokens = None, [], None, None
+        block, rows, gaps, scores, tokens = None, [], None, None, None
         for batch in batches:
-            numbers = batch.column("block").to_numpy()
-            cuts = [0, *(np.flatnonzero(numbers[1:] != numbers[:-1]) + 1).tolist(), len(numbers)]
-            for a, b in zip(cuts[:-1], cuts[1:]):
+            numbers, kinds = batch.column("block").to_numpy(), batch.column("kind").to_numpy()
+            cuts = np.flatnonzero((numbers[1:] != numbers[:-1]) | (kinds[1:] != kinds[:-1])) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(numbers)]):
                 if a == b:
                     continue
                 if numbers[a] != block:
                     if rows:
                         yield from finish(rows, scores, tokens)
-                    block, rows, scores = numbers[a], [], None
+                    block, rows, gaps = numbers[a], [], None
                 part = batch.slice(a, b - a)
-                is_doc = part.column("place").is_valid()
-                docs = part.filter(is_doc)
-                if docs.num_rows:
-                    rows.append(docs)
-                part = part.filter(pc.invert(is_doc))
-                if not part.num_rows:
-                    continue
-                if scores is None:
+                if kinds[a] == 0:
+                    gaps, sizes = _opened(part.column("data")[0].as_py())
+                    starts = np.cumsum(sizes) - sizes
+                elif kinds[a] == 1:
+                    rows.append(part)
                     size = sum(r.num_rows for r in rows)
                     scores, tokens = np.zeros((size, n), np.int64), np.zeros(size, np.int64)
-                gaps = part.column("gaps")
-                ends = np.frombuffer(gaps.buffers()[1], np.int32)[gaps.offset : gaps.offset + len(gaps) + 1].astype(np.int64)
-                flat = np.frombuffer(gaps.buffers()[2], np.uint8)[ends[0] : ends[-1]]
-                row, place = _places(flat, ends[:-1] - ends[0], np.diff(ends))
-                logs = part.column("logs").flatten().to_numpy(zero_copy_only=False).reshape(-1, n)
-                tokens += np.bincount(place, minlength=len(tokens))
-                for i in range(n):
-                    scores[:, i] += np.bincount(place, logs[row, i], len(tokens)).astype(np.int64)
+                else:
+                    add(part, gaps, starts, sizes, scores, tokens)
         if rows:
             yield from finish(rows, scores, tokens)
 
@@ -270,24 +308,24 @@ def identify(
     source = df.select(row, F.coalesce(df[f"`{text}`"], F.lit("")).alias("text"), code.alias("code"))
     kind = source.schema["row"].dataType
     blocks = written(source.mapInArrow(_index(block_chars), _BLOCKS.format(row=kind.simpleString())), "blocks")
-    asked = blocks.where("place is null").select("block", "word", "gaps", "counts")
+    asked = blocks.where("kind = 2").select("block", "place", "word", "counts")
 
     sums = [F.coalesce(F.sum(F.try_element_at("counts", F.lit(i))), F.lit(0).cast("long")) for i in range(n)]
     words = written(asked.groupBy("word").agg(F.array(*sums).alias("counts"), F.count(F.lit(1)).alias("asked")), "words")
     vectors, totals = _word_vectors(words, n, longest)
+    vectors = vectors.select("word", _bytes(F.col("logs"), n).alias("logs"))
     share = (words.agg(F.sum("asked")).first()[0] or 0) / HOT
     hot = words.where(F.col("asked") > max(share, 1)).select("word", F.ceil(F.col("asked") / max(share, 1)).cast("int").alias("keys"))
     hot = written(hot, "hot")  # at most HOT words of WORD_LETTERS letters
     spread = lambda d, part: d.join(F.broadcast(hot), "word", "left").withColumn("part", part)
     answers = spread(vectors, F.explode(F.sequence(F.lit(0), F.coalesce("keys", F.lit(1)) - 1))).select("word", "part", "logs")
     asking = spread(asked.drop("counts"), F.coalesce(F.pmod(F.xxhash64("block"), F.col("keys")).cast("int"), F.lit(0)))
-    met = asking.join(answers, ["word", "part"]).select("block", F.lit(None).cast("int").alias("place"), "gaps", "logs")
-    docs = blocks.where("place is not null").select("block", "place", "row", "letters")
-    both = docs.unionByName(met, allowMissingColumns=True)
+    met = asking.join(answers, ["word", "part"]).select("block", F.lit(2).alias("kind"), "place", F.col("logs").alias("data"))
+    both = blocks.where("kind < 2").select("block", "kind", "place", "row", "data").unionByName(met, allowMissingColumns=True)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = sorted(range(n), key=lambda i: (-totals[i], i))
     schema = T.StructType([T.StructField("row", kind), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    sorted_ = both.repartition(parts, "block").sortWithinPartitions("block", F.col("place").asc_nulls_last())
+    sorted_ = both.repartition(parts, "block").sortWithinPartitions("block", "kind", "place")
     return sorted_.mapInArrow(_scored(n, order, langs), schema).select("row.*", "lang_pred", "score")
 
 

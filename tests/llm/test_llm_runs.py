@@ -226,7 +226,7 @@ def plain_language(docs, learn, longest=5):
                     if g != " ":
                         grams[s][x][g] += k
     sums = {s: {x: sum(c.values()) for x, c in per.items()} for s, per in grams.items()}
-    log = lambda per, all_, key: [round(math.log(per[x][key] / all_[x] if per[x][key] else 0.5 / max(all_.values())) * 1e6) for x in langs]
+    log = lambda per, all_, key: [round(math.log(per[x][key] / all_[x] if per[x][key] else 0.5 / max(all_.values())) * language.UNIT) for x in langs]
 
     def vector(w):
         if any(w in c for c in words.values()):
@@ -245,7 +245,7 @@ def plain_language(docs, learn, longest=5):
         if not own or not langs:
             out[i] = ("und", 0.0)
             continue
-        sums_ = [sum(v[k] for v in known) / 1e6 / math.sqrt(max(1, len(known))) for k in order]
+        sums_ = [sum(v[k] for v in known) / language.UNIT / math.sqrt(max(1, len(known))) for k in order]
         top = max(range(len(order)), key=lambda k: (sums_[k], -k))
         out[i] = (langs[order[top]], 1 / sum(math.exp(s - sums_[top]) for s in sums_))
     return out
@@ -286,14 +286,17 @@ def test_odd_documents_have_a_language_or_none(spark):
 
 
 @settings(max_examples=100, deadline=None)
-@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 2000)), max_size=60))
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 30000)), max_size=60))
 def test_places_read_back_from_gaps(pairs):
     pairs = sorted(pairs)
     word, place = (np.array([p[i] for p in pairs], np.int64) for i in (0, 1))
-    gaps, ends = language._gaps(word, place, 6)
-    sizes = np.diff(np.append(0, ends))
-    row, back = language._places(gaps, ends - sizes, sizes)
+    gaps, sizes = language._opened(language._shut(*language._gaps(word, place, 6)))
+    starts = np.cumsum(sizes) - sizes
+    row, back = language._places(gaps, starts, sizes)
     assert list(zip(row.tolist(), back.tolist())) == pairs
+    some = np.array([4, 1])
+    row, back = language._places(gaps, starts[some], sizes[some])
+    assert list(zip(some[row].tolist(), back.tolist())) == [p for w in some for p in pairs if p[0] == w]
 
 
 @needs_tables
