@@ -13,7 +13,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, functions as F, types as T
 from sentencepiece import sentencepiece_model_pb2 as pb
 
-#: Distinct pre-tokens whose ids a worker remembers; the memory is emptied when full.
+#: Distinct pre-tokens whose ids a worker remembers at most, beside those of the text at hand.
 REMEMBERED = 200_000
 #: Texts are handed on in groups of about this many ids.
 GROUP_IDS = 1 << 20
@@ -72,31 +72,37 @@ class Codec:
         self.split = regex.compile(pattern).findall
         self.known: dict[str, bytes] = {}
 
-    def _learn(self, parts: list[str]) -> None:
-        """Ids of pre-tokens not met so far; one that is a token as a whole is that token."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = []
+    def _coded(self, parts: list[str]) -> dict[str, bytes]:
+        """The ids of pre-tokens; one that is a token as a whole is that token."""
+        out, rest = {}, []
         for p in parts:
             ids = self.whole.get(p.encode())
             if ids is not None:
-                self.known[p] = ids
+                out[p] = ids
             else:
-                new.append(p)
-        coded = self.model.encode([p.encode().decode("latin-1").translate(self.table) for p in new], num_threads=1)
-        for p, ids in zip(new, coded):
-            self.known[p] = (np.asarray(ids, np.int32) - 1).tobytes()
+                rest.append(p)
+        coded = self.model.encode([p.encode().decode("latin-1").translate(self.table) for p in rest], num_threads=1)
+        out.update((p, (np.asarray(ids, np.int32) - 1).tobytes()) for p, ids in zip(rest, coded))
+        return out
 
     def encode(self, text: str) -> bytes:
-        """The ids of a text as 32-bit integers."""
+        """The ids of a text as 32-bit integers.
+
+        New pre-tokens are remembered while there is room.  Where there is none, the text is coded with what is known and its own
+        new ones, and the memory starts again with those, unless they alone are too many.
+        """
         parts = self.split(text)
-        missing = set(parts).difference(self.known)
+        distinct = set(parts)
+        missing = distinct.difference(self.known)
+        ids = self.known
         if missing:
-            self._learn(list(missing))
-            missing = set(parts).difference(self.known)
-            if missing:  # forgotten just now
-                self._learn(list(missing))
-        return b"".join(map(self.known.__getitem__, parts))
+            new = self._coded(list(missing))
+            if len(self.known) + len(new) <= REMEMBERED:
+                self.known.update(new)
+            else:
+                ids = new | {p: self.known[p] for p in distinct.difference(missing)}
+                self.known = new if len(new) <= REMEMBERED else {}
+        return b"".join(map(ids.__getitem__, parts))
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
@@ -120,8 +126,8 @@ def _lists(parts: list[bytes]) -> pa.Array:
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with the column ``ids``, array<int>: the token ids of the whole text, without special tokens.
 
-    ``pattern`` cuts the text into pre-tokens, each of which is merged separately.  A null or empty text has no ids.
-    A column that is already called ``ids`` is replaced.
+    ``pattern`` cuts the text into pre-tokens, each of which is merged separately.  A null or empty text has no ids, a very long one
+    is coded whole, and repeated rows stay, each with its ids.  A column that is already called ``ids`` is replaced.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

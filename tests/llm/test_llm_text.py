@@ -103,6 +103,23 @@ def test_codes_of_odd_documents(spark, reference):
     assert bpe.encode(docs.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_memory_of_pre_tokens_may_be_too_small_for_a_text(monkeypatch, reference):
+    texts = [" ".join(f"word{i}" for i in range(at, at + size)) for at, size in ((0, 3), (2, 4), (0, 40), (20, 60), (70, 3), (0, 90))]
+    for room in (0, 5, 30, 1000):
+        monkeypatch.setattr(bpe, "REMEMBERED", room)
+        codec = bpe.Codec(RANKS, public_tokenizers.PATTERN)
+        for t in texts:
+            assert np.frombuffer(codec.encode(t), np.int32).tolist() == reference.encode_ordinary(t)
+            assert len(codec.known) <= room
+
+
+def test_two_long_texts_of_more_pre_tokens_than_are_remembered(spark, reference):
+    size = bpe.REMEMBERED + 10_000
+    texts = [(i, " ".join(f"{x:x}" for x in range(i * 5_000, i * 5_000 + size))) for i in range(2)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    check_codes(bpe.decode(bpe.encode(df, RANKS, public_tokenizers.PATTERN), RANKS).collect(), reference)
+
+
 @needs_tables
 def test_codes_match_the_library(spark, reference):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
