@@ -41,4 +41,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, without lineage, safe from lost executors."""
     path = work_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._written_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove what ``written`` wrote, once nothing reads it any more."""
+    for table in tables:
+        _drop(table.sparkSession, table._written_at)
