@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..workspace import written
+from ..workspace import discard, written
 
 #: White space of the contracts: blank and the five control characters from tab to carriage return.
 BLANK = r"[\x20\x09-\x0D]+"
@@ -69,9 +69,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         large = put(
             both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct(), "stars"
         )
+        discard(now, least)
         least = put(large.groupBy("a").agg(F.min("b").alias("m")), "stars")
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = put(small.union(least.select("a", "m")).distinct(), "edges")
+        discard(large, least)
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
