@@ -2,7 +2,8 @@ from types import SimpleNamespace
 
 import pytest
 
-from recspark.workspace import work_dir, written
+from recspark.sources.paths import exists
+from recspark.workspace import discard, work_dir, written
 
 
 def session(conf, master, checkpoint=None):
@@ -31,3 +32,9 @@ def test_a_written_table_reads_back(spark):
     df = spark.createDataFrame([(1, "a"), (None, None)], "n int, t string")
     assert sorted(map(str, written(df, "t").collect())) == sorted(map(str, df.collect()))
     assert written(df.limit(0), "t").schema == df.schema
+
+
+def test_a_discarded_table_is_gone(spark):
+    a, b = written(spark.range(3), "t"), written(spark.range(4), "t")
+    discard(a)
+    assert not exists(spark, a._written_at) and b.count() == 4
