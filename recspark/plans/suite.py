@@ -447,6 +447,14 @@ def sections_inventory(spark, sf):
     )
 
 
+def recording_range(spark, sf):
+    """The records of some days from a recording in order of time; blocks of other days are passed over."""
+    path = work_dir(spark, "recording")
+    rec.write_recordings(events(spark, sf).repartitionByRange(8, "TimeStamp").sortWithinPartitions(*ORDER), path, "Events")
+    back = rec.read_recordings(spark, path)
+    return fn.in_range(back, 1_704_300_000.0, 1_705_900_000.0).select("event_id", "TimeStamp", "value")
+
+
 def csv_roundtrip(spark, sf):
     path = work_dir(spark, "csv")
     ex.write_csv(events(spark, sf), path)
@@ -662,7 +670,7 @@ QUERIES = {
         latest_split_stream, slice_records, read_after, read_after_per_stream, head_records, concat_records,
         select_fields, numeric_value, set_value, set_array_value, clear_records, named_bits, expand_bits, set_bit,
         array_element, explode_elements, channels, array_channels, range_filter,
-        catalog_fields, publish_roundtrip, arrival_positions, slice_published, published_between, binary_roundtrip, array_roundtrip, sections_inventory, csv_roundtrip,
+        catalog_fields, publish_roundtrip, arrival_positions, slice_published, published_between, binary_roundtrip, array_roundtrip, sections_inventory, recording_range, csv_roundtrip,
         csv_text_roundtrip, array_csv_roundtrip, record_producer, whole_recording, snapshot_frame,
         stream_records, record_to_both, stream_recordings, stream_running_stats, stream_rate, stream_latest,
         stream_running_records, stream_record_batches, stream_batch_stats, stream_each_record, stream_progress,

@@ -2,8 +2,9 @@
 
 A file is a run of sections.  Each starts with a 24-byte little-endian frame (marker u16,
 type u16, body length u64, alias char[12]).  A Header section's body is the record schema as
-JSON; a Data section's body is packed records of the last header's schema.  This layout is
-this package's own and reads no other tool's files.
+JSON; a Data section's body is packed records of the last header's schema.  A file may end with an
+Index section: the time bounds of each block of records, and its own place, by which it is found from the
+end of the file.  This layout is this package's own and reads no other tool's files.
 
 These helpers run inside tasks, one byte range or Arrow batch at a time.
 """
@@ -23,11 +24,17 @@ from pyspark.sql import types as T
 from ..schema import NUMPY_CODES, TIME_FIELD, element_count, is_array, record_dtype, source_type
 
 MARKER = 0x5243
-HEADER, DATA = 1, 2
-TYPE_NAMES = {HEADER: "Header", DATA: "Data"}
+HEADER, DATA, INDEX = 1, 2, 3
+TYPE_NAMES = {HEADER: "Header", DATA: "Data", INDEX: "Index"}
 FRAME = "<HHQ12s"
 FRAME_BYTES = struct.calcsize(FRAME)
 MAX_ALIAS_BYTES = 12
+#: One block in an index: its section, its records ``[at, at + n)`` in it, and their least and greatest time.
+BLOCK = np.dtype([("section", "<i8"), ("at", "<i8"), ("n", "<i8"), ("low", "<f8"), ("high", "<f8")])
+#: An index ends with the byte at which its section starts, and these letters.
+TAIL = "<Q8s"
+TAIL_BYTES = struct.calcsize(TAIL)
+TAIL_MARK = b"recindex"
 
 
 @dataclass(frozen=True)
@@ -91,6 +98,37 @@ def walk(f, size: int, name: str) -> Iterator[Section]:
         at, idx = start + length, idx + 1
 
 
+def time_bounds(block: bytes, dtype: np.dtype) -> tuple[float, float]:
+    """Least and greatest time of a block of records; NaN counts as greater than any time, as in Spark."""
+    times = np.frombuffer(block, dtype)[TIME_FIELD]
+    if times.dtype != np.dtype("<f8"):
+        return -np.inf, np.nan  # no bounds
+    numbers = times[~np.isnan(times)]
+    low = numbers.min() if len(numbers) else np.nan
+    return float(low), float(numbers.max()) if len(numbers) == len(times) else np.nan
+
+
+def index_section(blocks: list[tuple], alias: str, at: int) -> bytes:
+    """The index of a file whose other sections end at byte ``at``."""
+    body = np.array(blocks, BLOCK).tobytes() + struct.pack(TAIL, at, TAIL_MARK)
+    return frame(INDEX, alias, len(body)) + body
+
+
+def read_index(f, size: int) -> np.ndarray | None:
+    """The blocks of an open file; None if it has no index of the whole file, such as files put one after the other."""
+    if size < FRAME_BYTES + TAIL_BYTES:
+        return None
+    f.seek(size - TAIL_BYTES)
+    at, mark = struct.unpack(TAIL, f.read(TAIL_BYTES))
+    if mark != TAIL_MARK or at > size - FRAME_BYTES - TAIL_BYTES:
+        return None
+    f.seek(at)
+    marker, kind, length, _ = struct.unpack(FRAME, f.read(FRAME_BYTES))
+    if marker != MARKER or kind != INDEX or at + FRAME_BYTES + length != size or (length - TAIL_BYTES) % BLOCK.itemsize:
+        return None
+    return np.frombuffer(f.read(length - TAIL_BYTES), BLOCK)
+
+
 def spark_array(column: np.ndarray, f: T.StructField) -> pa.Array:
     """One field of a block of records as an Arrow array of the field's Spark type."""
     if source_type(f) == "Char":

@@ -6,7 +6,8 @@
 
 A scan is planned from the file listing alone.  Each task takes one byte range, walks the
 section frames of its file and decodes the records that start in its range, so large files
-split and the driver opens one file only (for the schema).
+split and the driver opens one file only (for the schema).  Conditions on ``TimeStamp`` reach the
+scan: a task then looks up the index of its file and passes over blocks without such times.
 """
 
 from __future__ import annotations
@@ -20,10 +21,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
-
-from ..schema import record_dtype
-from .frame import DATA, HEADER, TYPE_NAMES, check_writable, decode, encode, frame, header_section, walk
+from pyspark.sql.datasource import (
+    DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan,
+    LessThanOrEqual, WriterCommitMessage,
+)
+
+from ..schema import TIME_FIELD, record_dtype
+from .frame import (
+    DATA, HEADER, INDEX, TYPE_NAMES, Section, check_writable, decode, encode, frame, header_section, index_section, read_index, time_bounds, walk,
+)
 from .paths import open_fs, readable
 
 SUFFIX = ".rec"
@@ -76,10 +82,51 @@ def byte_ranges(size: int, split: int) -> list[tuple[int, int]]:
     return [(lo, min(lo + split, size)) for lo in range(0, size, split)]
 
 
-def read_range(fs, rng: ByteRange, schema: T.StructType, out: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Records of one file that start in a byte range, in blocks."""
+def may_hold(blocks: np.ndarray, conditions: list[Filter]) -> np.ndarray:
+    """Which blocks of an index may hold records that meet conditions on the time."""
+    low, high, out = blocks["low"], blocks["high"], np.ones(len(blocks), bool)
+    for c in conditions:
+        if isinstance(c, (GreaterThan, GreaterThanOrEqual)):
+            out &= ~(high <= c.value if isinstance(c, GreaterThan) else high < c.value)
+        elif isinstance(c, (LessThan, LessThanOrEqual)):
+            out &= low < c.value if isinstance(c, LessThan) else low <= c.value
+        else:
+            values = c.value if isinstance(c, In) else (c.value,)
+            out &= np.any([(low <= v) & ~(high < v) for v in values], axis=0)
+    return out
+
+
+def _on_time(c: Filter) -> bool:
+    """Whether an index can tell which blocks meet a condition: one that compares the time with plain numbers."""
+    if not isinstance(c, (EqualTo, In, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual)) or c.attribute != (TIME_FIELD,):
+        return False
+    values = c.value if isinstance(c, In) else (c.value,)
+    return len(values) > 0 and all(isinstance(v, float) and v == v for v in values)
+
+
+def _runs(s: Section, first: int, last: int, blocks: np.ndarray | None) -> Iterator[tuple[int, int]]:
+    """The records ``[first, last)`` of a section that its ``blocks`` cover, a block of them at a time; all of them without an index."""
+    runs = [[first, last]]
+    if blocks is not None:
+        runs = []
+        for b in blocks[blocks["section"] == s.idx]:
+            lo, hi = max(first, int(b["at"])), min(last, int(b["at"] + b["n"]))
+            if lo < hi and runs and runs[-1][1] == lo:
+                runs[-1][1] = hi
+            elif lo < hi:
+                runs.append([lo, hi])
+    for lo, hi in runs:
+        for at in range(lo, hi, BLOCK_ROWS):
+            yield at, min(BLOCK_ROWS, hi - at)
+
+
+def read_range(fs, rng: ByteRange, schema: T.StructType, out: pa.Schema, conditions: list[Filter] = ()) -> Iterator[pa.RecordBatch]:
+    """Records of one file that start in a byte range, in blocks.  Blocks in which no time meets the conditions are not read."""
     wanted = T.StructType([f for f in schema if f.name not in ("_alias", "_file", "_pos")])
     with fs.open_input_file(rng.path) as f:
+        blocks = read_index(f, rng.size) if conditions else None
+        if blocks is not None:
+            blocks = blocks[may_hold(blocks, conditions)]
         for s in walk(f, rng.size, rng.path):
             if s.start >= rng.hi:
                 break
@@ -91,8 +138,7 @@ def read_range(fs, rng: ByteRange, schema: T.StructType, out: pa.Schema) -> Iter
             width = s.dtype.itemsize
             first = max(0, -(-(rng.lo - s.start) // width))
             last = min(s.records, max(0, -(-(rng.hi - s.start) // width)))
-            for at in range(first, last, BLOCK_ROWS):
-                n = min(BLOCK_ROWS, last - at)
+            for at, n in _runs(s, first, last, blocks):
                 f.seek(s.start + at * width)
                 columns = dict(zip(wanted.names, decode(f.read(n * width), s, wanted)))
                 start = s.first_record + at
@@ -108,6 +154,7 @@ def read_range(fs, rng: ByteRange, schema: T.StructType, out: pa.Schema) -> Iter
 class RecordReader(DataSourceReader):
     def __init__(self, path: str, schema: T.StructType, split: int):
         self.path, self.schema, self.split = path, schema, split
+        self.conditions: list[Filter] = []
 
     def partitions(self):
         parts = [ByteRange(f.path, f.size, lo, hi) for f in list_files(self.path) for lo, hi in byte_ranges(f.size, self.split)]
@@ -118,7 +165,15 @@ class RecordReader(DataSourceReader):
 
         if partition.path:
             fs, _ = open_fs(self.path)
-            yield from read_range(fs, partition, self.schema, to_arrow_schema(self.schema))
+            yield from read_range(fs, partition, self.schema, to_arrow_schema(self.schema), self.conditions)
+
+
+class IndexedReader(RecordReader):
+    """A reader that takes conditions on the time; Spark still applies all of them to the records that come."""
+
+    def pushFilters(self, filters):
+        self.conditions = [c for c in filters if _on_time(c)]
+        return filters
 
 
 @dataclass
@@ -147,15 +202,20 @@ class RecordWriter(DataSourceArrowWriter):
         dtype = record_dtype(self.schema, self.align)
         with fs.open_output_stream(f"{self._staged(root)}/{name}") as out:
             out.write(header_section(self.schema, self.align, self.alias))
-            held, size, sections = [], 0, 0
+            held, size, sections, blocks = [], 0, 0, []
             for batch in iterator:
+                if not batch.num_rows:
+                    continue
                 held.append(encode(batch, self.schema, dtype))
+                blocks.append((sections + 1, size // dtype.itemsize, batch.num_rows, *time_bounds(held[-1], dtype)))
                 size += len(held[-1])
                 if size >= SECTION_BYTES:
                     self._data(out, held, size)
                     held, size, sections = [], 0, sections + 1
             if size or not sections:
                 self._data(out, held, size)
+            if blocks:
+                out.write(index_section(blocks, self.alias, out.tell()))
         return Written(name)
 
     def _data(self, out, held: list[bytes], size: int) -> None:
@@ -183,7 +243,10 @@ class RecordWriter(DataSourceArrowWriter):
 
 
 class RecordSource(DataSource):
-    """Options: ``path``; read: ``fields`` (comma-separated), ``splitBytes``; write: ``alias``, ``align``."""
+    """Options: ``path``; read: ``fields`` (comma-separated), ``splitBytes``, ``pushdown``; write: ``alias``, ``align``.
+
+    With ``pushdown`` conditions on the time reach the scan, for which the session must allow it, as ``read_recordings`` sees to.
+    """
 
     @classmethod
     def name(cls):
@@ -203,7 +266,8 @@ class RecordSource(DataSource):
         return T.StructType([*schema.fields, *FILE_COLUMNS])
 
     def reader(self, schema):
-        return RecordReader(self._path(), schema, int(self.options.get("splitBytes", SPLIT_BYTES)))
+        kind = IndexedReader if self.options.get("pushdown", "false").lower() == "true" else RecordReader
+        return kind(self._path(), schema, int(self.options.get("splitBytes", SPLIT_BYTES)))
 
     def writer(self, schema, overwrite):
         align = self.options.get("align", "false").lower() == "true"
@@ -236,7 +300,7 @@ def _found_files(reader, path: str) -> DataFrame:
 
 
 def sections(spark: SparkSession, path: str) -> DataFrame:
-    """Section inventory of recordings, one row per section, without reading data bodies."""
+    """Section inventory of recordings, one row per section, without reading data bodies.  A file's index is no section of the recording."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     out = to_arrow_schema(SECTIONS)
@@ -259,6 +323,7 @@ def sections(spark: SparkSession, path: str) -> DataFrame:
                             "n_records": s.records,
                         }
                         for s in walk(f, size, file)
+                        if s.kind != INDEX
                     ]
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=out)
@@ -271,8 +336,10 @@ def register(spark: SparkSession) -> None:
 
 
 def read_recordings(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Recordings as a table.  Conditions on ``TimeStamp`` reach the scan, so a time range reads the blocks that may hold it."""
     register(spark)
-    return spark.read.format("records").options(**options).load(readable(spark, path))
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    return spark.read.format("records").options(**{"pushdown": "true", **options}).load(readable(spark, path))
 
 
 def write_recordings(df: DataFrame, path: str, alias: str = "", align: bool = False, mode: str = "append") -> None:

@@ -349,3 +349,70 @@ def test_publish_takes_frames_tables_and_arrays(spark, tmp_path):
     assert sorted(r["a"] for r in sm.read_table(spark, root, "s").collect()) == [1, 2, 3, 4, 5, 6, 7]
     with pytest.raises(TypeError):
         sm.publish(np.zeros(3), root, "s")
+
+
+def timed(spark, path, times, per_block=50):
+    schema = record_schema([("Counter", "Int32")])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", per_block)
+    try:
+        df = spark.createDataFrame([(t, i) for i, t in enumerate(times)], schema)
+        rec.write_recordings(df.coalesce(1), path, "Timed")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    return df
+
+
+def test_a_time_range_decodes_only_its_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(rec, "SECTION_BYTES", 1_500)
+    monkeypatch.setattr(rec, "BLOCK_ROWS", 20)
+    path = str(tmp_path / "rec")
+    timed(spark, path, [float(i) for i in range(1_000)])
+    assert rec.sections(spark, path).where("type = 'Data'").count() > 5
+    decoded = []
+    plain = rec.decode
+    monkeypatch.setattr(rec, "decode", lambda block, s, wanted: decoded.append(len(block) // s.dtype.itemsize) or plain(block, s, wanted))
+    file = next((tmp_path / "rec").glob("*.rec"))
+    schema = record_schema([("Counter", "Int32")])
+    arrow = rec.pa.schema([("TimeStamp", rec.pa.float64()), ("Counter", rec.pa.int32())])
+    whole = rec.ByteRange(str(file), file.stat().st_size, 0, file.stat().st_size)
+
+    def read(*conditions):
+        decoded.clear()
+        batches = rec.read_range(rec.pafs.LocalFileSystem(), whole, schema, arrow, list(conditions))
+        return {x for b in batches for x in b.column(1).to_pylist()}, sum(decoded)
+
+    time = ("TimeStamp",)
+    assert read() == (set(range(1_000)), 1_000)
+    got, n = read(rec.GreaterThanOrEqual(time, 420.0), rec.LessThanOrEqual(time, 460.0))
+    assert n == 100 and set(range(420, 461)) <= got
+    assert read(rec.GreaterThan(time, 999.0)) == (set(), 0) and read(rec.LessThan(time, 0.0)) == (set(), 0)
+    assert read(rec.EqualTo(time, 50.0)) == (set(range(50, 100)), 50)
+    assert read(rec.In(time, (3.0, 777.0)))[1] == 100
+
+
+@pytest.mark.parametrize("split", [97, 1 << 20])
+def test_conditions_on_time_give_the_same_records(spark, tmp_path, split):
+    times = [float(i % 313) for i in range(600)] + [float("nan")] * 3 + [float("inf"), -0.0, float("-inf")] + [float("nan")] * 60
+    path = str(tmp_path / "rec")
+    df = timed(spark, path, times)
+    back = rec.read_recordings(spark, path, splitBytes=split).select(df.columns)
+    ways = (
+        "TimeStamp between 100 and 120", "TimeStamp > 311", "TimeStamp >= double('inf')", "TimeStamp < 0", "TimeStamp <= 0", "TimeStamp = 0", "TimeStamp > double('inf')",
+        "TimeStamp = double('nan')", "TimeStamp in (7, 9, 5000)", "TimeStamp <=> 7", "not TimeStamp < 300", "TimeStamp > 300 and Counter < 320", "120 > TimeStamp",
+    )
+    for way in ways:
+        assert same(back.where(way), df.where(way)), way
+    assert rec.read_recordings(spark, path, fields="Counter").where("Counter < 5").count() == 5
+
+
+def test_files_without_a_whole_index_are_read_whole(spark, tmp_path):
+    path = tmp_path / "rec"
+    df = timed(spark, str(path), [float(i) for i in range(200)])
+    file = next(path.glob("*.rec"))
+    whole = file.read_bytes()
+    for data, n in ((whole + whole, 22), (whole[: whole.rindex(b"\x43\x52\x03\x00")], 11), (whole, 11)):
+        file.write_bytes(data)
+        assert rec.read_recordings(spark, str(path)).where("TimeStamp between 60 and 70").count() == n
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+    assert spark.read.format("records").load(f"file://{path}").where("TimeStamp < 10").count() == 10
+    assert df.count() == 200
