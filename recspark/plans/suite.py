@@ -16,7 +16,7 @@ from ..operators import ordering as od, stats as st, status as sx
 from ..schema import field, record_schema
 from ..sources import exchange as ex, recordings as rec, streams as sm
 from ..sources.paths import open_fs, readable
-from ..streaming import live
+from ..streaming import consumers, live
 from ..workspace import work_dir
 from .ranges import local_seconds
 
@@ -512,6 +512,32 @@ def _live(spark, sf) -> DataFrame:
     return sm.read_stream(spark, _published(spark, sf), "events", max_files=1)
 
 
+def live_consumer_lag(spark, sf):
+    """How far three consumers are behind: one that took the first half, one that took all, one that only looks on.
+
+    What the first two took they published into streams of their own, which are counted beside their cursors; -1 stands for null.
+    """
+    root = work_dir(spark, "streams")
+    for name in ("events", "slow", "quick"):
+        sm.register_stream(spark, root, name, EVENT_RECORD)
+    checkpoints = {n: work_dir(spark, "checkpoint") for n in ("slow", "quick")}
+
+    def take(name: str) -> None:
+        copy = lambda rows, i: sm.publish(rows.drop("position"), root, name, batch=i)
+        live.drain(consumers.consume(spark, root, "events", name, copy, checkpoints[name], max_publishes=1, available_now=True))
+
+    consumers.watch(spark, root, "events", "onlooker")
+    for part in range(4):
+        sm.publish(events(spark, sf).where(F.pmod("event_id", F.lit(4)) == part), root, "events")
+        if part == 1:
+            take("slow")
+            take("quick")
+    take("quick")
+    copies = consumers.ends(spark, root).select(F.col("stream").alias("consumer"), F.col("total_written").alias("copied"))
+    rows = consumers.live_lag(spark, root).join(copies, "consumer", "left")
+    return rows.select("stream", "consumer", *[F.coalesce(c, F.lit(-1).cast("long")).alias(c) for c in ("cursor", "lag", "copied")])
+
+
 def stream_records(spark, sf):
     """A live read, published into a second stream batch by batch."""
     out, ckpt = work_dir(spark, "live"), work_dir(spark, "checkpoint")
@@ -672,7 +698,7 @@ QUERIES = {
         array_element, explode_elements, channels, array_channels, range_filter,
         catalog_fields, publish_roundtrip, arrival_positions, slice_published, published_between, binary_roundtrip, array_roundtrip, sections_inventory, recording_range, csv_roundtrip,
         csv_text_roundtrip, array_csv_roundtrip, record_producer, whole_recording, snapshot_frame,
-        stream_records, record_to_both, stream_recordings, stream_running_stats, stream_rate, stream_latest,
+        live_consumer_lag, stream_records, record_to_both, stream_recordings, stream_running_stats, stream_rate, stream_latest,
         stream_running_records, stream_record_batches, stream_batch_stats, stream_each_record, stream_progress,
     )
 }

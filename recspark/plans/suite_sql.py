@@ -196,6 +196,11 @@ UNION ALL SELECT 'silent', 0, 1500""",
     "record_producer": """
 SELECT CAST(event_id AS DOUBLE) AS "TimeStamp", event_id, event_id / 2.0::DOUBLE AS half FROM events WHERE event_id % 3 <> 0""",
     "snapshot_frame": "SELECT event_id, value FROM events ORDER BY ts DESC, event_id DESC LIMIT 2000",
+    "live_consumer_lag": """
+WITH n AS (SELECT count(*) AS a, count(*) FILTER (event_id % 4 < 2) AS h FROM events)
+SELECT 'events' AS stream, 'slow' AS consumer, h AS cursor, a - h AS lag, h AS copied FROM n
+UNION ALL SELECT 'events', 'quick', a, 0, a FROM n
+UNION ALL SELECT 'events', 'onlooker', -1, -1, -1""",
     "stream_records": f"SELECT {EVENT_COLUMNS} FROM events",
     "record_to_both": f"""
 SELECT 'binary' AS sink, event_id, value, {WORD} AS status FROM events

@@ -137,8 +137,8 @@ def _records(spark: SparkSession, schema: T.StructType, *paths: str) -> DataFram
     return spark.read.schema(with_at).option("recursiveFileLookup", True).parquet(*paths)
 
 
-def _listed(spark: SparkSession, path: str) -> DataFrame:
-    return log(spark, path).select("folder", F.explode("files").alias("f")).select("folder", "f.*")
+def _listed(publishes: DataFrame) -> DataFrame:
+    return publishes.select("folder", F.explode("files").alias("f")).select("folder", "f.*")
 
 
 def end_position(spark: SparkSession, path: str) -> int:
@@ -155,14 +155,26 @@ def all_records(spark: SparkSession, path: str, schema: T.StructType, position:
     settle(spark, path)
     if not end_position(spark, path):
         return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(position, T.LongType())]))
-    return _placed(_records(spark, schema, path), _listed(spark, path), position)
+    return _placed(_records(spark, schema, path), _listed(log(spark, path)), position)
 
 
 def some_records(spark: SparkSession, path: str, schema: T.StructType, hit, position: str = "position") -> DataFrame:
     """The records of the files for which ``hit`` (a condition on ``first``, ``count``, ``low``, ``high``) holds; no other is opened."""
+    return records_of(log(spark, path), path, schema, position, hit)
+
+
+def records_of(publishes: DataFrame, path: str, schema: T.StructType, position: str = "position", hit=None) -> DataFrame:
+    """The records of some entries of the log, of all their files or those for which ``hit`` holds."""
+    spark = publishes.sparkSession
     settle(spark, path)
-    files = _listed(spark, path).where(hit)
+    files = _listed(publishes) if hit is None else _listed(publishes).where(hit)
     paths = [f"{path}/{r['folder']}/{r['file']}" for r in files.select("folder", "file").collect()]
     if not paths:
-        return all_records(spark, path, schema, position).where(F.lit(False))
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(position, T.LongType())]))
     return _placed(_records(spark, schema, *paths), files, position)
+
+
+def live_log(spark: SparkSession, path: str, max_publishes: int) -> DataFrame:
+    """The entries of the log as they come."""
+    files = spark.readStream.schema(_ENTRY).option("maxFilesPerTrigger", max_publishes).option("pathGlobFilter", "[0-9]*.json")
+    return files.json(f"{path}/{LOG}")

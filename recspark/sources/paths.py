@@ -115,6 +115,11 @@ def write_exclusive(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hpath = _hadoop(spark, path)
+    fs.mkdirs(hpath)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small file as a whole."""
     fs, hpath = _hadoop(spark, path)

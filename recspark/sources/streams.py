@@ -157,7 +157,8 @@ def publish(df, root: str, name: str, batch: int | None = None) -> int:
     return arrival.append(conform(df, schema), stream_path(root, name), schema, batch)
 
 
-def _known(spark: SparkSession, root: str, name: str) -> T.StructType:
+def known_schema(spark: SparkSession, root: str, name: str) -> T.StructType:
+    """The schema of a named stream; an error if there is none of that name."""
     schema = stream_schema(spark, root, name)
     if schema is None:
         raise ConnectionError(f"no stream named {name!r}")
@@ -166,7 +167,7 @@ def _known(spark: SparkSession, root: str, name: str) -> T.StructType:
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """All records of a named stream so far."""
-    schema = _known(spark, root, name)
+    schema = known_schema(spark, root, name)
     if not exists(spark, stream_path(root, name)):
         return spark.createDataFrame([], schema)
     table = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(stream_path(root, name))
@@ -175,7 +176,7 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def read_arrivals(spark: SparkSession, root: str, name: str, position: str = "position") -> DataFrame:
     """All records of a named stream with the positions in which they came, from 0."""
-    schema = _known(spark, root, name)
+    schema = known_schema(spark, root, name)
     return with_fields(arrival.all_records(spark, stream_path(root, name), schema, position), schema)
 
 
@@ -184,7 +185,7 @@ def slice_published(spark: SparkSession, root: str, name: str, offset: int, coun
 
     A negative ``offset`` counts back from the end.
     """
-    schema, path = _known(spark, root, name), stream_path(root, name)
+    schema, path = known_schema(spark, root, name), stream_path(root, name)
     end = arrival.end_position(spark, path)
     lo = max(0, end + offset) if offset < 0 else offset
     hi = end if count is None else min(end, lo + count)
@@ -195,7 +196,7 @@ def slice_published(spark: SparkSession, root: str, name: str, offset: int, coun
 
 def published_between(spark: SparkSession, root: str, name: str, low: float, high: float, position: str = "position") -> DataFrame:
     """Records with times in ``[low, high]``, by time and, where times are equal, arrival.  Only files whose time bounds allow some are opened."""
-    schema, path = _known(spark, root, name), stream_path(root, name)
+    schema, path = known_schema(spark, root, name), stream_path(root, name)
     hit = (F.col("low") <= high) & (F.col("high") >= low)
     out = arrival.some_records(spark, path, schema, hit, position).where(col(TIME_FIELD).between(low, high))
     return with_fields(out, schema).orderBy(TIME_FIELD, position)
@@ -203,13 +204,13 @@ def published_between(spark: SparkSession, root: str, name: str, low: float, hig
 
 def end_position(spark: SparkSession, root: str, name: str) -> int:
     """How many records a named stream has taken in: the position of the next one."""
-    _known(spark, root, name)
+    known_schema(spark, root, name)
     return arrival.end_position(spark, stream_path(root, name))
 
 
 def read_stream(spark: SparkSession, root: str, name: str, max_files: int = 1_000) -> DataFrame:
     """Live read of a named stream; ``max_files`` per micro-batch is the flow control."""
-    schema = _known(spark, root, name)
+    schema = known_schema(spark, root, name)
     path = stream_path(root, name)
     if not exists(spark, path):
         spark.createDataFrame([], schema).write.mode("append").parquet(path)

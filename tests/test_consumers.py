@@ -1,0 +1,75 @@
+"""Consumers with cursors that outlive them."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from recspark.schema import record_schema
+from recspark.sources import streams as sm
+from recspark.streaming import consumers, live
+
+SCHEMA = record_schema([("v", "Int64")])
+
+
+@pytest.fixture
+def root(spark, tmp_path):
+    sm.register_stream(spark, str(tmp_path / "root"), "a b", SCHEMA)
+    return str(tmp_path / "root")
+
+
+def publish(spark, root, lo, hi):
+    sm.publish(spark.range(lo, hi, 1, 2).select(F.lit(1.0).alias("TimeStamp"), F.col("id").alias("v")), root, "a b")
+
+
+def take(spark, root, checkpoint, fn, consumer="c/1"):
+    live.drain(consumers.consume(spark, root, "a b", consumer, fn, str(checkpoint), max_publishes=1, available_now=True))
+
+
+def lag(spark, root):
+    return {r.consumer: (r.cursor, r.lag) for r in consumers.live_lag(spark, root).collect()}
+
+
+def test_a_consumer_goes_on_behind_its_last_batch(spark, root, tmp_path, monkeypatch):
+    monkeypatch.setattr(consumers, "KEPT", 2)
+    assert lag(spark, root) == {}
+    seen = []
+    note = lambda rows, i: seen.extend((r.position, r.v) for r in rows.collect())
+    take(spark, root, tmp_path / "ckpt", note)
+    assert lag(spark, root) == {"c/1": (0, 0)} and not seen
+    consumers.watch(spark, root, "a b", "onlooker")
+    for lo in (0, 10, 20):
+        publish(spark, root, lo, lo + 10)
+    assert lag(spark, root) == {"c/1": (0, 30), "onlooker": (None, None)}
+
+    def fails(rows, i):
+        if i == 1:
+            raise RuntimeError("killed")
+        note(rows, i)
+
+    with pytest.raises(Exception, match="killed"):
+        take(spark, root, tmp_path / "ckpt", fails)
+    assert lag(spark, root)["c/1"] == (10, 20)
+    publish(spark, root, 30, 40)
+    take(spark, root, tmp_path / "ckpt", note)
+    assert sorted(seen) == [(i, i) for i in range(40)] and lag(spark, root)["c/1"] == (40, 0)
+    take(spark, root, tmp_path / "other", note)  # a new checkpoint starts over
+    assert len(seen) == 80 and lag(spark, root)["c/1"] == (40, 0)
+
+
+def test_a_batch_that_spark_repeats_is_not_handed_over_again(spark, root, tmp_path):
+    publish(spark, root, 0, 10)
+    ids = []
+    take(spark, root, tmp_path / "ckpt", lambda rows, i: ids.append(i))
+    commit = tmp_path / "ckpt" / "commits" / "0"  # as if the driver had gone before Spark noted the batch
+    commit.unlink()
+    for check in (tmp_path / "ckpt" / "commits").glob(".0.crc"):
+        check.unlink()
+    publish(spark, root, 10, 20)
+    take(spark, root, tmp_path / "ckpt", lambda rows, i: ids.append(i))
+    assert ids == [0, 1] and lag(spark, root)["c/1"] == (20, 0)
+
+
+def test_consumers_need_a_stream(spark, root, tmp_path):
+    for call in (lambda: consumers.watch(spark, root, "x", "c"), lambda: consumers.consume(spark, root, "x", "c", print, str(tmp_path / "k"))):
+        with pytest.raises(ConnectionError):
+            call()
+    assert [(r.stream, r.total_written) for r in consumers.ends(spark, root).collect()] == [("a b", 0)]
