@@ -251,6 +251,33 @@ def test_mix_of_odd_documents(spark):
     assert mixing.plan_mix(docs.where("text is null")).first().taken == 0
 
 
+def test_mix_takes_documents_by_their_shares(spark):
+    sizes = {i: (4, 25, 100)[i % 3] for i in range(6_000)}
+    rows = [(i, "w " * n, "en", "abc"[i // 2_000]) for i, n in sizes.items()]
+    plan = by_id(mixing.plan_mix(documents(spark, rows)))
+    per = sum(n for i, n in sizes.items() if i < 2_000)
+    for at, source in enumerate("abc"):
+        own = {i: r for i, r in plan.items() if i // 2_000 == at}
+        target = next(iter(own.values())).target
+        total = sum(r["size"] for r in own.values())
+        assert abs(total - per) < 200
+        low, high = 0.0, 3.0  # expected copies are min(3, x * root of the size): find x
+        for _ in range(60):
+            x = (low + high) / 2
+            low, high = (x, high) if sum(min(3, x * sizes[i] ** 0.5) * sizes[i] for i in own) < target else (low, x)
+        for n in (4, 25, 100):
+            copies = [r.copies for i, r in own.items() if sizes[i] == n]
+            expected = min(3, x * n**0.5)
+            assert set(copies) <= {int(expected + 1e-9), int(expected + 1e-9) + 1}
+            assert abs(sum(copies) / len(copies) - expected) < 0.08  # about four standard deviations
+
+
+def test_mix_of_rows_without_ids(spark):
+    rows = [(None, f"w{i} b", "en", "a") for i in range(400)] + [(None, "c d e", "en", "b")] * 50
+    got = mixing.plan_mix(documents(spark, rows)).where("source_size = 800").collect()
+    assert len(got) == 400 and abs(sum(r.taken for r in got) - got[0].target) <= 1
+
+
 # ---- the pipeline
 
 
