@@ -556,6 +556,18 @@ def record_to_both(spark, sf):
     return od.concat([binary, csv])
 
 
+def stream_to_recording(spark, sf):
+    """A live stream recorded micro-batch by micro-batch, stopped and started again half way."""
+    path, ckpt = work_dir(spark, "recording"), work_dir(spark, "checkpoint")
+    root = work_dir(spark, "streams")
+    sm.register_stream(spark, root, "events", EVENT_RECORD)
+    for half in range(2):
+        sm.publish(events(spark, sf).where(F.pmod("event_id", F.lit(2)) == half).repartition(2), root, "events")
+        sdf = sm.read_stream(spark, root, "events", max_files=1)
+        live.drain(rec.write_recordings_live(sdf, path, ckpt, "Events", available_now=True))
+    return rec.read_recordings(spark, path).drop("_file", "_pos").withColumnRenamed("_alias", "alias")
+
+
 def stream_recordings(spark, sf):
     """Recordings read live, in small byte ranges."""
     path, out, ckpt = work_dir(spark, "recording"), work_dir(spark, "live"), work_dir(spark, "checkpoint")
@@ -698,7 +710,7 @@ QUERIES = {
         array_element, explode_elements, channels, array_channels, range_filter,
         catalog_fields, publish_roundtrip, arrival_positions, slice_published, published_between, binary_roundtrip, array_roundtrip, sections_inventory, recording_range, csv_roundtrip,
         csv_text_roundtrip, array_csv_roundtrip, record_producer, whole_recording, snapshot_frame,
-        live_consumer_lag, stream_records, record_to_both, stream_recordings, stream_running_stats, stream_rate, stream_latest,
+        live_consumer_lag, stream_records, record_to_both, stream_to_recording, stream_recordings, stream_running_stats, stream_rate, stream_latest,
         stream_running_records, stream_record_batches, stream_batch_stats, stream_each_record, stream_progress,
     )
 }

@@ -214,5 +214,6 @@ UNION ALL SELECT 'csv', event_id, round(value, 6), {WORD} FROM events""",
     "stream_progress": "SELECT count(*) AS records FROM events",
 }
 ORACLES["stream_running_records"] = ORACLES["running_stats"]
+ORACLES["stream_to_recording"] = ORACLES["binary_roundtrip"]
 ORACLES["recording_range"] = ORACLES["range_filter"]
 ORACLES["stream_record_batches"] = ORACLES["batch_stats"]

@@ -12,6 +12,7 @@ scan: a task then looks up the index of its file and passes over blocks without
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -22,9 +23,10 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.datasource import (
-    DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan,
-    LessThanOrEqual, WriterCommitMessage,
+    DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamArrowWriter, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In,
+    InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage,
 )
+from pyspark.sql.streaming import StreamingQuery
 
 from ..schema import TIME_FIELD, record_dtype
 from .frame import (
@@ -181,12 +183,12 @@ class Written(WriterCommitMessage):
     name: str
 
 
-class RecordWriter(DataSourceArrowWriter):
+class StagedFiles:
     """Each task writes one uniquely named file out of sight; the commit moves those that count."""
 
-    def __init__(self, path: str, schema: T.StructType, align: bool, alias: str, overwrite: bool):
+    def __init__(self, path: str, schema: T.StructType, align: bool, alias: str):
         check_writable(schema)
-        self.path, self.schema, self.align, self.alias, self.overwrite = path, schema, align, alias, overwrite
+        self.path, self.schema, self.align, self.alias = path, schema, align, alias
         self.job = uuid.uuid4().hex
 
     def _staged(self, root: str) -> str:
@@ -223,25 +225,53 @@ class RecordWriter(DataSourceArrowWriter):
         for block in held:
             out.write(block)
 
-    def commit(self, messages):
+    def _publish(self, messages, prefix: str, old: list[str]) -> None:
+        """Put the files of ``messages`` where readers see them, and take away ``old`` ones."""
         fs, root = open_fs(self.path)
-        fs.create_dir(root, recursive=True)
-        old = [f.path for f in list_files(self.path)] if self.overwrite else []
         with ThreadPoolExecutor(16) as pool:
             names = [m.name for m in messages if m is not None]
-            list(pool.map(lambda n: fs.move(f"{self._staged(root)}/{n}", f"{root}/{n}"), names))
+            list(pool.map(lambda n: fs.move(f"{self._staged(root)}/{n}", f"{root}/{prefix}{n}"), names))
             list(pool.map(fs.delete_file, old))
-        self._clean(fs, root)
+        self._clean()
 
-    def abort(self, messages):
+    def _clean(self) -> None:
         fs, root = open_fs(self.path)
-        self._clean(fs, root)
-
-    def _clean(self, fs, root: str) -> None:
         if fs.get_file_info(self._staged(root)).type != pafs.FileType.NotFound:
             fs.delete_dir(self._staged(root))
 
 
+class RecordWriter(StagedFiles, DataSourceArrowWriter):
+    def __init__(self, path: str, schema: T.StructType, align: bool, alias: str, overwrite: bool):
+        super().__init__(path, schema, align, alias)
+        self.overwrite = overwrite
+
+    def commit(self, messages):
+        fs, root = open_fs(self.path)
+        fs.create_dir(root, recursive=True)
+        self._publish(messages, "", [f.path for f in list_files(self.path)] if self.overwrite else [])
+
+    def abort(self, messages):
+        self._clean()
+
+
+class RecordStreamWriter(StagedFiles, DataSourceStreamArrowWriter):
+    """Files carry the name of their query and the number of their micro-batch, so a micro-batch that is repeated replaces what it left before."""
+
+    def __init__(self, path: str, schema: T.StructType, align: bool, alias: str, query: str):
+        super().__init__(path, schema, align, alias)
+        self.query = self.job = query  # Spark makes a writer for the tasks and another for the commit
+
+    def commit(self, messages, batchId):
+        fs, root = open_fs(self.path)
+        fs.create_dir(root, recursive=True)
+        prefix = f"{self.query}-{batchId:012d}-"
+        here = fs.get_file_info(pafs.FileSelector(root))
+        self._publish(messages, prefix, [f.path for f in here if f.base_name.startswith(prefix)])
+
+    def abort(self, messages, batchId):
+        self._clean()
+
+
 class RecordSource(DataSource):
     """Options: ``path``; read: ``fields`` (comma-separated), ``splitBytes``, ``pushdown``; write: ``alias``, ``align``.
 
@@ -273,6 +303,11 @@ class RecordSource(DataSource):
         align = self.options.get("align", "false").lower() == "true"
         return RecordWriter(self._path(), schema, align, self.options.get("alias", ""), overwrite)
 
+    def streamWriter(self, schema, overwrite):
+        align = self.options.get("align", "false").lower() == "true"
+        query = hashlib.md5(self.options.get("checkpointLocation", "").encode()).hexdigest()[:12]
+        return RecordStreamWriter(self._path(), schema, align, self.options.get("alias", ""), query)
+
 
 SECTIONS = T.StructType(
     [
@@ -347,6 +382,15 @@ def write_recordings(df: DataFrame, path: str, alias: str = "", align: bool = Fa
     df.write.format("records").options(alias=alias, align=str(align).lower()).mode(mode).save(readable(df.sparkSession, path))
 
 
+def write_recordings_live(df: DataFrame, path: str, checkpoint: str, alias: str = "", align: bool = False, available_now: bool = False) -> StreamingQuery:
+    """Record a live stream as it comes: each micro-batch adds files to the recording, once, also if it is repeated after a failure."""
+    register(df.sparkSession)
+    writer = df.writeStream.format("records").option("checkpointLocation", checkpoint).options(alias=alias, align=str(align).lower())
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start(readable(df.sparkSession, path))
+
+
 def stream_recordings(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES, max_files: int = 1_000) -> DataFrame:
     """Live read of recordings as they arrive: the file source lists, tasks decode byte ranges.
 

@@ -416,3 +416,30 @@ def test_files_without_a_whole_index_are_read_whole(spark, tmp_path):
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
     assert spark.read.format("records").load(f"file://{path}").where("TimeStamp < 10").count() == 10
     assert df.count() == 200
+
+
+def test_a_repeated_micro_batch_is_recorded_once(spark, tmp_path):
+    schema = record_schema([("v", "Int64")])
+    sm.register_stream(spark, str(tmp_path / "root"), "s", schema)
+
+    def publish(lo, hi):
+        sm.publish(spark.range(lo, hi, 1, 2).select(F.lit(1.0).alias("TimeStamp"), F.col("id").alias("v")), str(tmp_path / "root"), "s")
+
+    def record(name="ckpt"):
+        sdf = sm.read_stream(spark, str(tmp_path / "root"), "s", max_files=1)
+        query = rec.write_recordings_live(sdf, str(tmp_path / "rec"), str(tmp_path / name), "S", available_now=True)
+        query.awaitTermination()
+
+    publish(0, 10)
+    record()
+    last = max(int(p.name) for p in (tmp_path / "ckpt" / "commits").iterdir() if p.name.isdigit())
+    for gone in (f"{last}", f".{last}.crc"):  # as if the driver had gone before Spark noted the micro-batch
+        (tmp_path / "ckpt" / "commits" / gone).unlink(missing_ok=True)
+    publish(10, 20)
+    record()
+    back = lambda: sorted(r.v for r in rec.read_recordings(spark, str(tmp_path / "rec")).collect())
+    assert back() == list(range(20))
+    assert all(p.name.endswith(".rec") for p in (tmp_path / "rec").iterdir())
+    record("other")  # another query adds its own files
+    assert back() == sorted([*range(20)] * 2)
+    assert rec.read_recordings(spark, str(tmp_path / "rec")).where("TimeStamp > 1").count() == 0
