@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ..operators.ordering import as_list, latest
 from ..plans.ranges import col
 from ..schema import TIME_FIELD, element_count, is_array
+from ..workspace import drop, work_dir
 from .recordings import read_recordings
 
 
@@ -138,6 +139,27 @@ def to_arrow(src: DataFrame | str, n: int | None, order_by=TIME_FIELD, spark: Sp
     return _snapshot(src, n, order_by, spark).toArrow()
 
 
+def arrow_batches(src: DataFrame | str, order_by=TIME_FIELD, spark: SparkSession | None = None) -> Iterator[pa.RecordBatch]:
+    """All records, oldest first, as Arrow batches for code on the driver, which holds one range of them at a time.
+
+    The records are sorted once into ranges in the shared folder, one partition each; then range after range is fetched.  A
+    range is one partition of Spark's sort, so it has about the size that Spark gives partitions after a shuffle.
+    Rows equal in ``order_by`` come in any order.
+    """
+    rows = _snapshot(src, None, order_by, spark)
+    order = [col(c) for c in as_list(order_by)]
+    session, names = rows.sparkSession, rows.columns
+    ranged = rows.select(F.struct(*[col(c) for c in names]).alias("row"), F.spark_partition_id().alias("part"))
+    path = work_dir(session, "handover")
+    ranged.write.partitionBy("part").parquet(path)
+    table = session.read.schema(ranged.schema).parquet(path)
+    try:
+        for (part,) in sorted(table.select("part").distinct().collect()):
+            yield from table.where(F.col("part") == part).select("row.*").orderBy(*order).toArrow().to_batches()
+    finally:
+        drop(session, path)
+
+
 def _snapshot(src: DataFrame | str, n: int | None, order_by, spark: SparkSession | None) -> DataFrame:
     if isinstance(src, str):
         src = read_recordings(spark or SparkSession.active(), src)

@@ -25,11 +25,11 @@ def work_dir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local") and _local_only(base):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = f"{base.rstrip('/')}/recspark/{label}-{uuid.uuid4().hex}"
-    atexit.register(_drop, spark, path)
+    atexit.register(drop, spark, path)
     return path
 
 
-def _drop(spark: SparkSession, path: str) -> None:
+def drop(spark: SparkSession, path: str) -> None:
     sc = spark.sparkContext
     if getattr(sc, "_jsc", None) is None or sc._jsc.sc().isStopped():
         return
@@ -49,4 +49,4 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Remove what ``written`` wrote, once nothing reads it any more."""
     for table in tables:
-        _drop(table.sparkSession, table._written_at)
+        drop(table.sparkSession, table._written_at)

@@ -1,4 +1,7 @@
+import os
 import struct
+import subprocess
+import sys
 from decimal import Decimal
 
 import numpy as np
@@ -443,3 +446,36 @@ def test_a_repeated_micro_batch_is_recorded_once(spark, tmp_path):
     record("other")  # another query adds its own files
     assert back() == sorted([*range(20)] * 2)
     assert rec.read_recordings(spark, str(tmp_path / "rec")).where("TimeStamp > 1").count() == 0
+
+
+HANDOVER = """
+import sys
+from pyspark.sql import SparkSession, functions as F
+from recspark.sources import exchange as ex
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.driver.maxResultSize", "1m")
+    .config("spark.sql.shuffle.partitions", "40").config("spark.sql.adaptive.coalescePartitions.enabled", "false").config("spark.checkpoint.dir", sys.argv[1]).getOrCreate())
+df = spark.range(400_000).select((F.col("id") * 7919 % 400_000).cast("double").alias("TimeStamp"), F.col("id").alias("part"), F.rand(1).alias("row"))
+try:
+    ex.to_arrow(df, None)
+    print("no limit")
+except Exception as e:
+    print("maxResultSize" in str(e))
+times, most = [], 0
+for b in ex.arrow_batches(df):
+    assert b.schema.names == ["TimeStamp", "part", "row"]
+    times += b.column(0).to_pylist()
+    most = max(most, b.num_rows)
+print(times == [float(i) for i in range(400_000)], most < 40_000)
+"""
+
+
+def test_a_recording_larger_than_the_driver_takes_at_once(tmp_path):
+    root = str(paths.__file__).rsplit("/", 3)[0]
+    ran = subprocess.run([sys.executable, "-c", HANDOVER, str(tmp_path)], cwd=root, env={**os.environ, "PYTHONPATH": root}, capture_output=True, text=True, timeout=300)
+    assert ran.stdout.split() == ["True", "True", "True"], ran.stdout + ran.stderr[-2000:]
+
+
+def test_arrow_batches_of_little(spark):
+    df = spark.createDataFrame([(2.0, 1, 5.0), (1.0, 2, 6.0)], ENGINE)
+    assert [r["SensorValue"] for b in ex.arrow_batches(df) for r in b.to_pylist()] == [2, 1]
+    assert list(ex.arrow_batches(df.where("SensorValue > 9"))) == []
