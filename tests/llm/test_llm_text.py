@@ -202,6 +202,22 @@ def test_toxicity_without_examples(spark):
     assert toxicity.fit(docs.limit(0), spark.createDataFrame([(1, 1, 1), (2, 1, 0)], none.schema)) is None
 
 
+def test_tables_of_turns_by_their_field_paths(spark):
+    said = [(1, 0, "user", "a"), (1, 1, "assistant", None), (None, None, None, "b")]
+    for m in chat.ROW_MAPPINGS:
+        df = spark.createDataFrame(said, f"`{m.conv}` long, `{m.turn}` int, `{m.role}` string, `{m.text}` string")
+        wide = df.withColumns({"a.b": F.lit(1), "role_": F.struct(F.lit(1).alias("text")), "list": F.array(F.lit(1))})
+        for table in (df, wide, wide.select(*[f"`{c}`" for c in reversed(wide.columns)])):
+            got = chat.as_rows(table)
+            assert got.columns == ["conv_id", "turn", "role", "text"] and [tuple(r) for r in got.collect()] == said
+        assert chat.as_rows(df.limit(0)).count() == 0
+        nested = df.withColumn(m.text, F.struct(F.lit("x").alias("content")))
+        for other in (df.drop(m.role), df.withColumnRenamed(m.conv, "c"), nested):
+            with pytest.raises(ValueError, match="no mapping"):
+                chat.as_rows(other)
+    assert len({m.fingerprint for m in (*chat.ROW_MAPPINGS, *chat.MAPPINGS)}) == len(chat.ROW_MAPPINGS) + len(chat.MAPPINGS)
+
+
 # ---- operator 9
 
 
