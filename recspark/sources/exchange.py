@@ -27,51 +27,116 @@ def _csv_number(c: Column) -> Column:
     )
 
 
-def csv_columns(df: DataFrame) -> list[Column]:
-    """CSV text of each field; an array field gives one column per element."""
-    out = []
-    for f in sorted(df.schema, key=lambda f: f.name != TIME_FIELD):
-        base = f.dataType.elementType if is_array(f) else f.dataType
-        text = _csv_number if isinstance(base, (T.FloatType, T.DoubleType)) else (lambda c: c)
+#: A quoted or plain value of a CSV line, after the line's start or a comma.
+_CSV_VALUE = r'(?:^|,)("(?:[^"\\]++|\\.)*+"|[^,]*+)'
+#: How lines that are put together already pass through the CSV writer: no value holds this separator, and nothing is quoted again.
+_WHOLE_LINES = {"sep": "\u0001", "quote": "", "emptyValue": ""}
+_KEEP_BLANKS = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def _time_first(schema: T.StructType) -> list[T.StructField]:
+    return sorted(schema, key=lambda f: f.name != TIME_FIELD)
+
+
+def _csv_value(base: T.DataType) -> Callable[[Column], Column]:
+    """The text of a value, before any quoting."""
+    return _csv_number if isinstance(base, (T.FloatType, T.DoubleType)) else lambda c: c
+
+
+def _quoted(text: Column) -> Column:
+    """Text in quotes if a CSV line needs them: it is empty or holds a comma, a quote, a backslash or a line end."""
+    inside = F.regexp_replace(text, r'(["\\])', r"\\$1")
+    return F.when((text == "") | text.rlike(r'[",\\\r\n]'), F.concat(F.lit('"'), inside, F.lit('"'))).otherwise(text)
+
+
+def csv_header(schema: T.StructType) -> str:
+    """The header line of a CSV file; an array field has a column for each element."""
+    names = []
+    for f in _time_first(schema):
+        names += [f"{f.name}[{i}]" for i in range(element_count(f))] if is_array(f) else [f.name]
+    quoted = lambda n: '"' + n.replace("\\", "\\\\").replace('"', '\\"') + '"' if set(n) & set('",\\\r\n') else n
+    return ",".join(map(quoted, names))
+
+
+def _elements_line(f: T.StructField) -> Column:
+    """The values of an array field, as many as it declares, one after the other."""
+    text = _csv_value(f.dataType.elementType)
+    places = F.sequence(F.lit(0), F.lit(element_count(f) - 1))
+    return F.array_join(F.transform(places, lambda i: F.coalesce(text(F.get(col(f.name), i)).cast("string"), F.lit(""))), ",")
+
+
+def csv_line(df: DataFrame) -> Column:
+    """A record as one CSV line.  An array is one expression however long it is."""
+    parts = []
+    for f in _time_first(df.schema):
         if is_array(f):
-            out += [text(F.get(col(f.name), F.lit(i))).alias(f"{f.name}[{i}]") for i in range(element_count(f))]
+            part = _elements_line(f)
+        elif isinstance(f.dataType, T.StringType):
+            part = _quoted(col(f.name))
         else:
-            out.append(text(col(f.name)).alias(f.name))
-    return out
+            part = _csv_value(f.dataType)(col(f.name)).cast("string")
+        parts.append(F.coalesce(part, F.lit("")))
+    return F.concat_ws(",", *parts)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Write records as CSV: ``TimeStamp`` first, floats with six decimals.
+    """Write records as CSV: ``TimeStamp`` first, floats with six decimals, a column per array element.
 
     Every part file starts with its header line, and an empty input still writes one; reading
     the folder as one CSV table gives each record once.
     """
-    whole = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.select(*csv_columns(df)).write.mode(mode).options(**whole).csv(path)
+    if any(is_array(f) for f in df.schema):
+        df.select(csv_line(df).alias(csv_header(df.schema))).write.mode(mode).options(**_KEEP_BLANKS, **_WHOLE_LINES).csv(path)
+        return
+    columns = [_csv_value(f.dataType)(col(f.name)).alias(f.name) for f in _time_first(df.schema)]
+    df.select(*columns).write.mode(mode).options(**_KEEP_BLANKS).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Records that :func:`write_csv` wrote: array fields put together again, text and values that are not finite as they were."""
-    flat = []
-    for f in sorted(schema, key=lambda f: f.name != TIME_FIELD):
-        if is_array(f):
-            flat += [T.StructField(f"{f.name}[{i}]", f.dataType.elementType) for i in range(element_count(f))]
-        else:
-            flat.append(T.StructField(f.name, f.dataType))
-    options = {
-        "header": True, "nanValue": "nan", "positiveInf": "inf", "negativeInf": "-inf", "emptyValue": "",
-        "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
-    }
-    rows = spark.read.schema(T.StructType(flat)).options(**options).csv(path)
+    if any(is_array(f) for f in schema):
+        return _read_lines(spark, path, schema)
+    flat = T.StructType([T.StructField(f.name, f.dataType) for f in _time_first(schema)])
+    options = {"nanValue": "nan", "positiveInf": "inf", "negativeInf": "-inf", "emptyValue": ""}
+    rows = spark.read.schema(flat).options(**_KEEP_BLANKS, **options).csv(path)
 
     def value(f: T.StructField) -> Column:
-        if is_array(f):
-            return F.array(*[col(f"{f.name}[{i}]") for i in range(element_count(f))])
         return F.coalesce(col(f.name), F.lit("")) if isinstance(f.dataType, T.StringType) else col(f.name)  # records hold no nulls
 
     return rows.select(*[value(f).alias(f.name, metadata=f.metadata) for f in schema])
 
 
+def _read_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """CSV lines cut into values once; a field takes its values by their places, an array a slice of them.
+
+    A value that does not fit its type is null, as with Spark's own reader.  The header lines of the files are left out.
+    """
+    line, values = F.col("value"), F.col("values")
+    first = line.startswith(f"{TIME_FIELD},")  # no time looks like this
+    if any(isinstance(f.dataType, T.StringType) for f in schema):
+        cut = F.regexp_extract_all(line, F.lit(_CSV_VALUE), 1)
+    else:
+        cut = F.split(line, ",", -1)
+    # as a generated row, so that the line is cut once and not once for each field
+    rows = spark.read.text(path).where(~first & (line != "")).select(F.explode(F.array(cut)).alias("values"))
+    places, at = {}, 0
+    for f in _time_first(schema):
+        places[f.name] = at
+        at += element_count(f) if is_array(f) else 1
+
+    def typed(f: T.StructField) -> Column:
+        here = F.get(values, F.lit(places[f.name]))
+        if is_array(f):
+            kind = f.dataType.elementType
+            return F.transform(F.slice(values, places[f.name] + 1, element_count(f)), lambda x: x.try_cast(kind))
+        if not isinstance(f.dataType, T.StringType):
+            return here.try_cast(f.dataType)
+        plain = F.regexp_replace(F.substring(here, F.lit(2), F.length(here) - 2), r"\\(.)", r"$1")
+        return F.coalesce(F.when(here.startswith('"'), plain).otherwise(here), F.lit(""))
+
+    return rows.select(*[typed(f).alias(f.name, metadata=f.metadata) for f in schema])
+
+
 Produce = Callable[[np.ndarray], pd.DataFrame | Mapping]
 
 

@@ -2,6 +2,7 @@ import os
 import struct
 import subprocess
 import sys
+import time
 from decimal import Decimal
 
 import numpy as np
@@ -277,6 +278,29 @@ def test_csv_gives_text_and_odd_numbers_back(spark, tmp_path):
     assert sorted((r[0], r[1], r[2]) for r in back.collect()) == rows and back.schema["xs"].metadata == schema["xs"].metadata
 
 
+def test_csv_of_long_arrays(spark, tmp_path):
+    schema = record_schema([("c", "Char", 20), ("xs", "Float", 2_000), ("n", "Int16", 2)])
+    rows = [(float(i), f'{i}\\ "q", é', [i + 0.25] * 1_999 + [float("nan")], [i, -i]) for i in range(200)]
+    start = time.perf_counter()
+    ex.write_csv(spark.createDataFrame(rows, schema).repartition(3), str(tmp_path / "c"))
+    back = ex.read_csv(spark, str(tmp_path / "c"), schema).orderBy("TimeStamp").collect()
+    assert time.perf_counter() - start < 10  # seconds; an expression per element took a minute
+    assert [(r[0], r[1], r[2][:-1], r[3]) for r in back] == [(t, c, xs[:-1], n) for t, c, xs, n in rows]
+    assert all(r[2][-1] != r[2][-1] for r in back)
+    lines = csv_lines(tmp_path / "c")
+    assert sum(map(len, lines)) == 203 and all(x[0].split(",")[:3] == ["TimeStamp", "c", "xs[0]"] for x in lines)
+    other = spark.read.option("header", True).csv(str(tmp_path / "c"))  # as any reader of CSV sees it
+    assert len(other.columns) == 2_004 and sorted(r[0] for r in other.select("c").collect()) == sorted(r[1] for r in rows)
+    ex.write_csv(spark.createDataFrame([], schema).coalesce(1), str(tmp_path / "e"))
+    assert len(csv_lines(tmp_path / "e")[0]) == 1 and ex.read_csv(spark, str(tmp_path / "e"), schema).count() == 0
+
+
+def test_csv_values_that_do_not_fit_are_null(spark, tmp_path):
+    schema = record_schema([("xs", "Int8", 2), ("c", "Char", 3)])
+    (tmp_path / "a.csv").write_text("TimeStamp,xs[0],xs[1],c\n1.5,x,3,\n2.5,4\n")
+    assert [tuple(r) for r in ex.read_csv(spark, str(tmp_path), schema).orderBy("TimeStamp").collect()] == [(1.5, [None, 3], ""), (2.5, [4], "")]
+
+
 def test_blocks_without_records(spark):
     schema = record_schema([("a", "Int64")])
     out = ex.from_producer(spark, schema, ex.each_record(lambda i: None), 10)
