@@ -578,6 +578,16 @@ def stream_recordings(spark, sf):
     return spark.read.parquet(out).drop("batch")
 
 
+def stream_followed(spark, sf):
+    """A recording that is followed while it is written, by a reader that is stopped and started again after each part."""
+    path, out, ckpt = work_dir(spark, "recording"), work_dir(spark, "live"), work_dir(spark, "checkpoint")
+    for part in range(3):
+        rec.write_recordings(events(spark, sf).where(F.pmod("event_id", F.lit(3)) == part).repartition(2), path, "Events")
+        sdf = rec.follow_recordings(spark, path, splitBytes=100_000).drop("_file", "_pos", "_alias")
+        live.drain(live.for_each_batch(sdf, lambda b, i: b.write.mode("overwrite").parquet(f"{out}/batch={i}"), ckpt, available_now=True))
+    return spark.read.parquet(out).withColumnRenamed("batch", "part")
+
+
 def stream_running_stats(spark, sf):
     out, ckpt = work_dir(spark, "live"), work_dir(spark, "checkpoint")
     summary = st.running_summary(_live(spark, sf), "value", "event_type")
@@ -710,7 +720,7 @@ QUERIES = {
         array_element, explode_elements, channels, array_channels, range_filter,
         catalog_fields, publish_roundtrip, arrival_positions, slice_published, published_between, binary_roundtrip, array_roundtrip, sections_inventory, recording_range, csv_roundtrip,
         csv_text_roundtrip, array_csv_roundtrip, record_producer, whole_recording, snapshot_frame,
-        live_consumer_lag, stream_records, record_to_both, stream_to_recording, stream_recordings, stream_running_stats, stream_rate, stream_latest,
+        live_consumer_lag, stream_records, record_to_both, stream_to_recording, stream_recordings, stream_followed, stream_running_stats, stream_rate, stream_latest,
         stream_running_records, stream_record_batches, stream_batch_stats, stream_each_record, stream_progress,
     )
 }

@@ -206,6 +206,7 @@ UNION ALL SELECT 'events', 'onlooker', -1, -1, -1""",
 SELECT 'binary' AS sink, event_id, value, {WORD} AS status FROM events
 UNION ALL SELECT 'csv', event_id, round(value, 6), {WORD} FROM events""",
     "stream_recordings": f"SELECT {EVENT_COLUMNS} FROM events",
+    "stream_followed": f"SELECT {EVENT_COLUMNS}, CAST(event_id % 3 AS INT) AS part FROM events",
     "stream_running_stats": RUNNING_SUMMARY,
     "stream_rate": HOURLY,
     "stream_latest": LATEST.format(cols="user_id, event_id, value", by="user_id", n=10),

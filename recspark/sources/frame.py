@@ -68,20 +68,32 @@ def header_section(schema: T.StructType, align: bool, alias: str) -> bytes:
     return frame(HEADER, alias, len(body)) + body
 
 
-def walk(f, size: int, name: str) -> Iterator[Section]:
-    """Sections of an open file, in order.  Only frames and headers are read."""
+def walk(f, size: int, name: str, growing: bool = False) -> Iterator[Section]:
+    """Sections of the first ``size`` bytes of an open file, in order.  Only frames and headers are read.
+
+    A section that is cut off is an error, or, in a file that is still ``growing``, the last one: of a data section the whole
+    records that are there, of any other nothing.
+    """
     at, idx, seen = 0, 0, 0
     schema = dtype = None
     align = False
     while at < size:
         f.seek(at)
         raw = f.read(FRAME_BYTES)
-        if len(raw) < FRAME_BYTES:
+        if len(raw) < FRAME_BYTES or growing and at + FRAME_BYTES > size:
+            if growing:
+                return
             raise ValueError(f"{name}: cut off in the frame at byte {at}")
         marker, kind, length, alias = struct.unpack(FRAME, raw)
         if marker != MARKER:
             raise ValueError(f"{name}: no section at byte {at}")
         start = at + FRAME_BYTES
+        if start + length > size and growing:
+            if kind != DATA or dtype is None:
+                return
+            length = (size - start) // dtype.itemsize * dtype.itemsize
+            yield Section(idx, kind, alias.rstrip(b"\0").decode(), start, length, schema, align, dtype, seen)
+            return
         if start + length > size:
             raise ValueError(f"{name}: the section at byte {at} is cut off")
         if kind == HEADER:

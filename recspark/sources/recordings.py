@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.datasource import (
-    DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamArrowWriter, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In,
+    DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamArrowWriter, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In,
     InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage,
 )
 from pyspark.sql.streaming import StreamingQuery
@@ -39,6 +39,7 @@ SPLIT_BYTES = 128 << 20
 BLOCK_ROWS = 65_536
 SECTION_BYTES = 64 << 20  # a writer holds at most about one section of this size
 STAGING = "_staging"
+OPEN_SECONDS = 7 * 24 * 3_600  # a file that has not changed for so long grows no more
 
 FILE_COLUMNS = [
     T.StructField("_alias", T.StringType(), False),
@@ -74,10 +75,13 @@ def first_schema(path: str) -> tuple[T.StructType, bool]:
 
 @dataclass
 class ByteRange(InputPartition):
+    """Bytes of a file: the records that start there, or, in a file that is still ``growing``, those that end there."""
+
     path: str
     size: int
     lo: int
     hi: int
+    growing: bool = False
 
 
 def byte_ranges(size: int, split: int) -> list[tuple[int, int]]:
@@ -129,7 +133,7 @@ def read_range(fs, rng: ByteRange, schema: T.StructType, out: pa.Schema, conditi
         blocks = read_index(f, rng.size) if conditions else None
         if blocks is not None:
             blocks = blocks[may_hold(blocks, conditions)]
-        for s in walk(f, rng.size, rng.path):
+        for s in walk(f, rng.size, rng.path, rng.growing):
             if s.start >= rng.hi:
                 break
             if s.kind != DATA:
@@ -138,8 +142,9 @@ def read_range(fs, rng: ByteRange, schema: T.StructType, out: pa.Schema, conditi
             if any(here.get(f.name) != f.dataType for f in wanted):
                 raise ValueError(f"{rng.path}: its schema differs from the one read: {s.schema.simpleString()}")
             width = s.dtype.itemsize
-            first = max(0, -(-(rng.lo - s.start) // width))
-            last = min(s.records, max(0, -(-(rng.hi - s.start) // width)))
+            up = 0 if rng.growing else width - 1
+            first = max(0, (rng.lo - s.start + up) // width)
+            last = min(s.records, max(0, (rng.hi - s.start + up) // width))
             for at, n in _runs(s, first, last, blocks):
                 f.seek(s.start + at * width)
                 columns = dict(zip(wanted.names, decode(f.read(n * width), s, wanted)))
@@ -178,6 +183,50 @@ class IndexedReader(RecordReader):
         return filters
 
 
+class RecordStreamReader(DataSourceStreamReader):
+    """New files of a folder, and what is added to those that are there, as of each listing.
+
+    An offset holds how many bytes of each file have been taken, for files that have changed within ``open_seconds`` of the
+    newest one; older files are closed and need no entry, so offsets do not grow with the recording.  A record is taken
+    once its last byte is there.  Files are only ever appended to, and closed ones not any more; a file that
+    comes with a time of change older than that is passed over, as Spark's file source does.
+    """
+
+    def __init__(self, path: str, schema: T.StructType, split: int, open_seconds: int):
+        self.path, self.schema, self.split, self.open_seconds = path, schema, split, open_seconds
+
+    def _listed(self) -> list[tuple[str, int, int]]:
+        """Path, size and time of change (in milliseconds) of each file."""
+        return [(f.path, f.size, f.mtime_ns // 1_000_000) for f in list_files(self.path)]
+
+    def initialOffset(self):
+        return {"since": 0, "files": {}}
+
+    def latestOffset(self):
+        files = self._listed()
+        since = max(0, max((at for _, _, at in files), default=0) - 1_000 * self.open_seconds)
+        return {"since": since, "files": {path: size for path, size, at in files if at >= since}}
+
+    def partitions(self, start, end):
+        if start == end:
+            return []
+        upto = dict(end["files"])
+        if start["since"] < end["since"]:  # files that have been closed in between
+            upto |= {path: size for path, size, at in self._listed() if start["since"] <= at < end["since"] and path not in upto}
+        taken = start["files"]
+        return [
+            ByteRange(path, size, lo, min(lo + self.split, size), growing=True)
+            for path, size in sorted(upto.items())
+            for lo in range(taken.get(path, 0), size, self.split)
+        ]
+
+    def read(self, partition):
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        fs, _ = open_fs(self.path)
+        yield from read_range(fs, partition, self.schema, to_arrow_schema(self.schema))
+
+
 @dataclass
 class Written(WriterCommitMessage):
     name: str
@@ -273,7 +322,7 @@ class RecordStreamWriter(StagedFiles, DataSourceStreamArrowWriter):
 
 
 class RecordSource(DataSource):
-    """Options: ``path``; read: ``fields`` (comma-separated), ``splitBytes``, ``pushdown``; write: ``alias``, ``align``.
+    """Options: ``path``; read: ``fields`` (comma-separated), ``splitBytes``, ``pushdown``; live read: also ``openSeconds``; write: ``alias``, ``align``.
 
     With ``pushdown`` conditions on the time reach the scan, for which the session must allow it, as ``read_recordings`` sees to.
     """
@@ -299,6 +348,10 @@ class RecordSource(DataSource):
         kind = IndexedReader if self.options.get("pushdown", "false").lower() == "true" else RecordReader
         return kind(self._path(), schema, int(self.options.get("splitBytes", SPLIT_BYTES)))
 
+    def streamReader(self, schema):
+        options = self.options
+        return RecordStreamReader(self._path(), schema, int(options.get("splitBytes", SPLIT_BYTES)), int(options.get("openSeconds", OPEN_SECONDS)))
+
     def writer(self, schema, overwrite):
         align = self.options.get("align", "false").lower() == "true"
         return RecordWriter(self._path(), schema, align, self.options.get("alias", ""), overwrite)
@@ -391,6 +444,16 @@ def write_recordings_live(df: DataFrame, path: str, checkpoint: str, alias: str
     return writer.start(readable(df.sparkSession, path))
 
 
+def follow_recordings(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Live read of recordings while they are written: new files, and what is added to a file, each record once.
+
+    A micro-batch takes all that is there when it starts; :func:`stream_recordings` takes whole files, a number at a time.
+    The folder must hold a header already, for the schema.
+    """
+    register(spark)
+    return spark.readStream.format("records").options(**options).load(readable(spark, path))
+
+
 def stream_recordings(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES, max_files: int = 1_000) -> DataFrame:
     """Live read of recordings as they arrive: the file source lists, tasks decode byte ranges.
 

@@ -1,5 +1,6 @@
 import json
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -217,6 +218,47 @@ def test_recordings_read_live(spark, tmp_path):
     assert got.groupBy("_file").agg((F.max("_pos") + 1 - F.count("*")).alias("gap")).where("gap <> 0").count() == 0
 
 
+def test_a_growing_file_is_followed(spark, tmp_path):
+    """Parts end inside a record, a frame and a header; a second file comes late; small byte ranges; a restart after each part."""
+    rec.write_recordings(sm.conform(rows(spark, 0, 200), SCHEMA).coalesce(1), (tmp_path / "a").as_uri(), "Live")
+    rec.write_recordings(sm.conform(rows(spark, 200, 230), SCHEMA).coalesce(1), (tmp_path / "b").as_uri(), "Live")
+    whole, other = ((next((tmp_path / d).glob("*.rec"))).read_bytes() for d in "ab")
+    path, out = tmp_path / "rec", str(tmp_path / "out")
+    path.mkdir()
+    grown = whole + other  # a second header and a second data section after the index of the first
+    seen, steps = 0, [len(whole) - 2_500, len(whole) - 900, len(whole) + 10, len(whole) + 60, len(grown) - 300, len(grown)]
+    for n, upto in enumerate(steps):
+        (path / "x.rec").write_bytes(grown[:upto])
+        if n == 2:
+            (path / "y.rec").write_bytes(other)
+        sdf = rec.follow_recordings(spark, path.as_uri(), splitBytes=500)
+        live.drain(live.for_each_batch(sdf, lambda b, i: b.write.mode("overwrite").parquet(f"{out}/b={i}"), str(tmp_path / "c"), available_now=True))
+        now = spark.read.parquet(out).count()
+        assert now >= seen
+        seen = now
+        assert n != 0 or 0 < now < 200
+    got = spark.read.parquet(out)
+    x, y = got.where(F.col("_file").endswith("x.rec")), got.where(F.col("_file").endswith("y.rec"))
+    assert sorted(r["Val"] for r in x.collect()) == list(range(230)) and sorted(r["_pos"] for r in x.collect()) == list(range(230))
+    assert sorted(r["Val"] for r in y.collect()) == list(range(200, 230))
+
+
+def test_offsets_of_followed_recordings_do_not_grow(spark, tmp_path):
+    """Closed files leave the offset, and a first offset still takes all of them."""
+    for i in range(4):
+        rec.write_recordings(sm.conform(rows(spark, i, i + 1), SCHEMA).coalesce(1), (tmp_path / "r").as_uri(), "Live")
+    files = sorted((tmp_path / "r").glob("*.rec"))
+    for i, f in enumerate(files):
+        os.utime(f, (1_000 * (i + 1), 1_000 * (i + 1)))
+    reader = rec.RecordStreamReader((tmp_path / "r").as_uri(), SCHEMA, 1 << 20, open_seconds=1_500)
+    start, end = reader.initialOffset(), reader.latestOffset()
+    assert sorted(end["files"]) == [str(f) for f in files[2:]]
+    assert sorted(p.path for p in reader.partitions(start, end)) == [str(f) for f in files]
+    os.utime(files[3], (9_000, 9_000))
+    later = reader.latestOffset()
+    assert list(later["files"]) == [str(files[3])] and reader.partitions(end, later) == [] and reader.partitions(later, later) == []
+
+
 def test_rate_counts_all_events_of_files_in_reverse_order(spark, tmp_path, monkeypatch):
     sf = str(tmp_path / "sf")
     table = spark.range(400).select(
