@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..workspace import discard, written
 
@@ -19,9 +19,11 @@ def packed(df: DataFrame, row: str = "row") -> DataFrame:
     return df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias(row))
 
 
-def kept(df: DataFrame, keep: tuple[str, ...] | None, row: str = "row") -> Column:
-    """The columns ``keep`` of ``df``, or all of them, as one struct."""
-    return F.struct(*[df[f"`{c}`"] for c in (df.columns if keep is None else keep)]).alias(row)
+def kept(df: DataFrame, keep: tuple[str, ...] | None, row: str = "row", replaced: tuple[str, ...] = ()) -> Column:
+    """The columns ``keep`` of ``df``, or all of them, as one struct; without those that new columns of these names replace."""
+    gone = {c.lower() for c in replaced}
+    names = [c for c in (df.columns if keep is None else keep) if c.lower() not in gone]
+    return F.struct(*[df[f"`{c}`"] for c in names]).alias(row)
 
 
 def unpacked(df: DataFrame, row: str = "row") -> DataFrame:
@@ -34,8 +36,10 @@ def words_of(text: Column) -> Column:
 
 
 def small_enough(df: DataFrame, row_bytes: int, limit: int = 64 << 20) -> bool:
-    """Whether a written table may be sent to every executor: its rows are counted first."""
-    return df.count() * row_bytes <= limit
+    """Whether a written table may be sent to every executor: its rows are counted first, and the bytes of its texts."""
+    texts = [F.sum(F.octet_length(F.col(f"`{f.name}`"))) for f in df.schema if isinstance(f.dataType, T.StringType)]
+    rows, *lengths = df.agg(F.count(F.lit(1)), *texts).first()
+    return rows * row_bytes + sum(n or 0 for n in lengths) <= limit
 
 
 def sent(df: DataFrame, row_bytes: int) -> DataFrame:

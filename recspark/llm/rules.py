@@ -95,9 +95,9 @@ def judge(df: DataFrame, text: str = "text", host: str = "source", keep: tuple[s
     """The columns ``keep`` of ``df`` (all by default), its rule columns, and ``kept``.
 
     ``kept`` is false if the document itself fails, else what its host gets.  An empty table gives an empty one;
-    repeated rows are judged alike.
+    repeated rows are judged alike.  Columns of ``df`` with the names of the new ones are replaced.
     """
-    own = df.select(kept_columns(df, keep), df[f"`{text}`"].alias("text"), df[f"`{host}`"].alias("host"))
+    own = df.select(kept_columns(df, keep, replaced=(*RULES, "kept")), df[f"`{text}`"].alias("text"), df[f"`{host}`"].alias("host"))
     scored = written(text_stats(own, F.col("text")).drop("text"), "rules")
     out = scored.join(_rejected(scored, max_rate), F.col("host").eqNullSafe(F.col("bad_host")), "left")
     kept = ~F.col("base_failed") & F.col("bad").isNull()

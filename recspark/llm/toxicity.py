@@ -377,11 +377,12 @@ def _scored(df: DataFrame, model: Model, out: str) -> DataFrame:
 def score(df: DataFrame, model: Model | None, keep: tuple[str, ...] | None = None, text: str = "text", out: str = "score") -> DataFrame:
     """The columns ``keep`` of ``df`` (all by default) with ``score``, the probability from 0 to 1 that the text is toxic.
 
-    A null or empty text has the score of a text without any word near an insult.  Without a model all scores are 0.
+    A null or empty text has the score of a text without any word near an insult.  Without a model all scores are 0.  Texts are
+    read whole however long they are, repeated rows get the same score, and a column of ``df`` named ``out`` is replaced.
     """
     if model is None:
-        return df.select(kept(df, keep)).select("row.*", F.lit(0.0).alias(out))
-    raw = _scored(df.select(df[f"`{text}`"], kept(df, keep)), model, "s")
+        return df.select(kept(df, keep, replaced=(out,))).select("row.*", F.lit(0.0).alias(out))
+    raw = _scored(df.select(df[f"`{text}`"], kept(df, keep, replaced=(out,))), model, "s")
     logit = F.col("s") * model.slope + model.offset
     return raw.select("row.*", (1 / (1 + F.exp(-logit))).alias(out))
 

@@ -100,9 +100,10 @@ def judge(df: DataFrame, edges: DataFrame | None = None, rules=RULES, url: str =
     A URL with a rule has the rule's verdict.  Any other takes what its aliases say: URLs tied by redirects (``edges``: full
     URLs ``a``, ``b``; nulls tie nothing), canonical links or refreshes in the pages' ``html``.  If an alias is explicitly
     allowed the URL is allowed; else if one is blocked it is blocked; else it is allowed.  URLs that only edges name take part
-    with their rules.  A null URL, or one without ``://``, has no host, path or alias and is allowed.
+    with their rules.  A null URL, or one without ``://``, has no host, path or alias and is allowed.  Columns of ``df`` with the
+    names of the new ones are replaced; repeated rows are judged alike.
     """
-    own = df.select(kept(df, keep), df[f"`{url}`"].alias("url"))
+    own = df.select(kept(df, keep, replaced=("host", "path", "rule", "verdict")), df[f"`{url}`"].alias("url"))
     own = own.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     parts = []
     if html is not None:

@@ -1,6 +1,7 @@
 """Quality rules, URL filter and perplexity."""
 
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -9,7 +10,8 @@ from cases import SF, A, B, by_id, documents, needs_tables, stored
 from oracle import differences, tables
 from pyspark.sql import functions as F
 
-from recspark.llm import perplexity, rules, suite, urls
+from recspark.llm import common, perplexity, rules, suite, toxicity, urls
+from recspark.workspace import written
 
 BLANK = r"[^\x20\x09-\x0D]+"
 
@@ -55,6 +57,25 @@ def test_a_bad_host_takes_its_good_documents_along(spark):
     assert rates["bad"].rate > 0.9 and rates["good"].rate < 0.05 and 0.05 < rates["small"].rate < 0.6
 
 
+def test_new_columns_replace_those_of_their_names(spark):
+    docs = documents(spark).selectExpr("*", "'mine' as n_words", "'mine' as KEPT", "5 as score")
+    found = written(rules.judge(docs), "rules")
+    assert found.columns == [*[c for c in docs.columns if c not in ("n_words", "KEPT")], *rules.RULES, "kept"]
+    assert dict(found.dtypes)["n_words"] == "bigint" and found.count() == docs.count()
+    pages = spark.createDataFrame([(1, "http://a.net/x", "<p>", "mine", "mine", 3)], "page_id int, url string, html string, host string, Verdict string, rule int")
+    found = written(urls.judge(pages), "pages")
+    assert found.columns == ["page_id", "url", "html", "host", "path", "rule", "verdict"]
+    assert tuple(found.first()) == (1, "http://a.net/x", "<p>", "a.net", "/x", "net/", "block")
+    found = written(toxicity.score(docs, None), "scores")
+    assert found.columns == [*[c for c in docs.columns if c != "score"], "score"] and found.where("score <> 0").count() == 0
+
+
+def test_long_texts_count_before_a_table_is_sent(spark):
+    short = written(spark.createDataFrame([("a", 1)] * 3 + [(None, 2)], "s string, n int"), "short")
+    assert common.small_enough(short, 10, limit=43) and not common.small_enough(short, 10, limit=42)
+    assert common.small_enough(short.limit(0), 10, limit=0)
+
+
 # ---- operator 3
 
 
@@ -107,6 +128,47 @@ def test_redirect_chains_and_hubs(spark):
     assert judged(spark, [], edges) == {}
 
 
+def test_planted_links_match_union_find(spark):
+    """Thousands of redirects and canonical links, chains, stars and loops, against a union-find; own rules go first, then an allow, then a block."""
+    rnd = random.Random(7)
+    hosts = ["a.net", "example.net", "x.com", "example.com", "b.org", "c.edu", "d.edu", "e.edu"]
+    paths = ["/en/", "/de/", "/fr/", "/"]
+    names = [f"{rnd.choice(hosts) if rnd.random() < 0.2 else rnd.choice(hosts[5:])}{rnd.choice(paths)}{i}" for i in range(4_000)]
+    ties = [(i, i + 1) for i in range(0, 300)] + [(400, i) for i in range(401, 900)] + [(rnd.randrange(1_000, 4_000), rnd.randrange(1_000, 4_000)) for _ in range(1_200)]
+    edges, html = [], {}
+    for a, b in ties:
+        if rnd.random() < 0.5:
+            edges.append((f"http://{names[a]}", f"https://{names[b]}#top"))
+        else:
+            html[a] = html.get(a, "") + f'<link rel="canonical" href="http://{names[b]}">'
+    up = list(range(len(names)))
+
+    def root(i):
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    for a, b in ties:
+        up[root(a)] = root(b)
+
+    def own(name):
+        host, _, path = name.partition("/")
+        fits = [(len(h + p), kind) for kind, h, p in urls.RULES if (host == h or host.endswith("." + h)) and ("/" + path).startswith(p)]
+        return max(fits)[1] if fits else None
+
+    said = defaultdict(set)
+    for i, name in enumerate(names):
+        said[root(i)].add(own(name))
+    want = {i: own(n) or ("allow" if "allow" in said[root(i)] else "block" if "block" in said[root(i)] else "allow") for i, n in enumerate(names)}
+    pages = spark.createDataFrame([(i, f"http://{n}", html.get(i, "")) for i, n in enumerate(names)], "page_id int, url string, html string")
+    links = spark.createDataFrame(edges + [(None, "http://c.edu/"), ("nothing", "http://a.net/")], "a string, b string")
+    got = {r.page_id: r.verdict for r in urls.judge(pages, links, keep=("page_id",)).collect()}
+    assert got == want
+    through = [i for i, n in enumerate(names) if own(n) is None and want[i] == "block"]
+    assert len(through) > 100 and any(own(names[i]) is None and {"allow", "block"} <= said[root(i)] for i in want)
+
+
 # ---- operator 1
 
 
