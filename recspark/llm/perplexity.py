@@ -171,7 +171,7 @@ def log_perplexities(docs: DataFrame, model: dict) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = max(n // (4 * FOLDS), -(-size // BLOCK_BYTES), 1)  # of one fold
-    dealt = docs.select("id", "text", F.pmod(F.xxhash64("id", F.length("text")), F.lit(blocks)).alias("block")).repartition(n, "block")
+    dealt = docs.select("id", "text", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).alias("block")).repartition(n, "block")
 
     def ask(pdf: pd.DataFrame) -> pd.DataFrame:
         grams, _ = _counted([plain(t) for t in pdf["text"]], order)
