@@ -10,6 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from ..plans.ranges import BUCKET, add_range, key_ranges, sample_for_sketch
 from ..workspace import written
 from .common import components, packed
 
@@ -21,6 +22,8 @@ SEGMENTS = (22, 21, 21)
 GENERATOR = 0xC75
 #: Rows of one key that a task compares with each other at once; longer runs get the distributed comparison as well.
 RUN = 1024
+#: Keys of a fingerprint, about, and the fingerprints whose keys place the cuts between ranges of keys.  They decide balance, never the result.
+KEYS, CUT_PRINTS = 180, 20_000
 
 
 # ---- fingerprints ----------------------------------------------------------------------
@@ -223,16 +226,20 @@ def _across(rows: DataFrame, labels: DataFrame, max_bits: int) -> DataFrame:
 def links(prints: DataFrame, max_bits: int = MAX_BITS, run: int = RUN) -> DataFrame:
     """``node``, ``root`` of the distinct fingerprints in ``prints`` (``fp``) that reach another: exact, no link is lost.
 
-    Keys are sorted by range with the fingerprint as second order, so a key that many share is split over tasks.  A task
+    Keys are cut into ranges by those of some fingerprints, and sorted with the fingerprint as second order, so a key that many share is split over tasks.  A task
     compares the rows of each key, up to ``run`` at a time, and passes on one link per row to the smallest it reaches.  Keys
     longer than that or cut by a range's end are finished by comparing components, not rows, across the cluster.
     """
     if max_bits > MAX_BITS:
         raise ValueError(f"the keys find fingerprints up to {MAX_BITS} bits apart")
     n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    distinct = prints.select("fp").distinct().repartition(n, "fp")  # few bytes, but each row becomes about 180
-    keyed = distinct.mapInArrow(_key_rows, "key long, fp long")
-    keyed = keyed.repartitionByRange(n, "key", "fp").sortWithinPartitions("key", "fp")
+    distinct = written(prints.select("fp").distinct(), "distinct")
+    total = distinct.count()
+    # the keys of some fingerprints say where to cut; then the keys of all are made once, in n tasks: few bytes, but each row becomes about 180
+    some = sample_for_sketch(distinct, total, rows=CUT_PRINTS).mapInArrow(_key_rows, "key long, fp long")
+    ranges = key_ranges(some, ["key", "fp"], n, KEYS * min(total, CUT_PRINTS))
+    keyed = distinct.repartition(n, F.xxhash64("fp")).mapInArrow(_key_rows, "key long, fp long")
+    keyed = add_range(keyed, ranges).repartitionById(n, F.col(BUCKET)).select("key", "fp").sortWithinPartitions("key", "fp")
     found = written(keyed.mapInArrow(_runs(max_bits, run), "kind int, a long, b long"), "links")
     inside = found.where("kind = 0").select("a", "b")
     open_rows = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("fp")).distinct()
