@@ -2,6 +2,9 @@
 
 State lies in RocksDB, keyed by stream, so a micro-batch reads and writes that of the streams it has records of and no other.  It is
 committed with the micro-batch's offsets: a query that is killed and started again neither skips nor repeats a record.
+
+Streams may be many and have few records each.  So the latest records and running statistics are worked out for a bucket of streams
+at a time, in columns, while state is a map from stream to its own.
 """
 
 from __future__ import annotations
@@ -22,7 +25,11 @@ from ..plans.ranges import col
 from ..schema import TIME_FIELD
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_MORE, _ONE, _WHEN = "__more", "__one", "__when"
+_MORE, _ONE, _WHEN, _KEY, _BUCKET = "__more", "__one", "__when", "__key", "__bucket"
+#: Streams are dealt to so many buckets by a hash; their number is fixed while a checkpoint lasts.
+BUCKETS = 512
+#: Records that wait in one piece of state.
+PIECE = 10_000
 
 
 @contextmanager
@@ -41,16 +48,26 @@ def state_settings(spark: SparkSession, partitions: int | None = None):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def _packed_parts(pdf: pd.DataFrame, ends: Sequence[int]) -> Iterator[bytes]:
+    """The rows up to each of ``ends`` from the one before, each part by itself."""
+    table = pa.Table.from_pandas(pdf, preserve_index=False).replace_schema_metadata(None)
+    start = 0
+    for end in ends:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as out:
+            out.write_table(table.slice(start, end - start))
+        yield sink.getvalue().to_pybytes()
+        start = end
+
+
 def _packed(pdf: pd.DataFrame) -> bytes:
-    sink = pa.BufferOutputStream()
-    table = pa.Table.from_pandas(pdf, preserve_index=False)
-    with pa.ipc.new_stream(sink, table.schema) as out:
-        out.write_table(table)
-    return sink.getvalue().to_pybytes()
+    (data,) = _packed_parts(pdf, [len(pdf)])
+    return data
 
 
-def _unpacked(data: bytes) -> pd.DataFrame:
-    return pa.ipc.open_stream(data).read_pandas()
+def _unpacked(*data: bytes) -> pd.DataFrame:
+    tables = [pa.ipc.open_stream(d).read_all() for d in data]
+    return pa.concat_tables(tables, promote_options="permissive").to_pandas()
 
 
 def _in_order(pdf: pd.DataFrame, order_by: Sequence[str]) -> pd.DataFrame:
@@ -66,6 +83,25 @@ def _grouped(sdf: DataFrame, by: Sequence[str]):
     return sdf.groupBy(*[col(b) for b in by]) if by else sdf.withColumn(_ONE, F.lit(0)).groupBy(_ONE)
 
 
+def _bucketed(sdf: DataFrame, by: Sequence[str]):
+    """Grouped by bucket, with the names of streams as text; as in any grouping, 0.0 and -0.0 are one."""
+
+    def text(name: str):
+        c = col(name)
+        return (c + F.lit(0.0) if isinstance(sdf.schema[name].dataType, (T.FloatType, T.DoubleType)) else c).cast("string")
+
+    key = F.to_json(F.array(*[text(b) for b in by])) if by else F.lit("")
+    return sdf.withColumn(_KEY, key).withColumn(_BUCKET, F.pmod(F.xxhash64(_KEY), F.lit(BUCKETS)).cast("int")).groupBy(_BUCKET)
+
+
+def _by_key(pdf: pd.DataFrame, order_by: Sequence[str]) -> tuple[pd.DataFrame, list[str], np.ndarray]:
+    """The rows stream by stream, each in order; the streams, and where the rows of each end."""
+    pdf = _in_order(pdf, order_by)
+    codes, keys = pd.factorize(pdf[_KEY])
+    pdf = pdf.iloc[np.argsort(codes, kind="stable")].reset_index(drop=True)
+    return pdf, list(keys), np.cumsum(np.bincount(codes, minlength=len(keys)))
+
+
 def _with_nan(df: DataFrame) -> DataFrame:
     """Records hold no nulls, but pandas hands NaN over as null: put it back."""
 
@@ -93,19 +129,35 @@ class _Latest(StatefulProcessor):
         self.n, self.order_by, self.names = n, order_by, names
 
     def init(self, handle) -> None:
-        self.kept = handle.getValueState("kept", "rows binary, total long")
+        self.kept = handle.getMapState("kept", "key string", "rows binary, total long")
+
+    def _last(self, pdf: pd.DataFrame) -> tuple[pd.DataFrame, list[str], np.ndarray]:
+        pdf, keys, ends = _by_key(pdf, self.order_by)
+        sizes = np.diff(ends, prepend=0)
+        pdf = pdf[np.repeat(ends, sizes) - np.arange(len(pdf)) <= self.n]
+        return pdf, keys, np.cumsum(np.minimum(sizes, self.n))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        held, total = None, 0
-        if self.kept.exists():
-            data, total = self.kept.get()
-            held = _unpacked(data)
+        new, totals = None, {}
         for pdf in rows:
-            pdf = _named(pdf, [*self.names, _MORE])
-            total += len(pdf) + int(pdf.pop(_MORE).sum())
-            held = _in_order(pdf if held is None else pd.concat([held, pdf], ignore_index=True), self.order_by).tail(self.n)
-        self.kept.update((_packed(held), total))
-        yield held.assign(seq=np.arange(total - len(held), total))
+            pdf = _named(pdf, [*self.names, _MORE, _KEY])
+            more = pdf.pop(_MORE) + 1
+            for k, count in more.groupby(pdf[_KEY], sort=False).sum().items():
+                totals[k] = totals.get(k, 0) + int(count)
+            new = self._last(pdf if new is None else pd.concat([new, pdf], ignore_index=True))[0]
+        held = []
+        for k in totals:
+            before = self.kept.getValue((k,))
+            if before is not None:
+                held.append(bytes(before[0]))
+                totals[k] += before[1]
+        if held:  # what was kept comes first, so that it stays first among equals
+            new = pd.concat([_unpacked(*held), new], ignore_index=True)
+        new, keys, ends = self._last(new)
+        for k, data in zip(keys, _packed_parts(new, ends)):
+            self.kept.updateValue((k,), (data, totals[k]))
+        total = np.repeat([totals[k] for k in keys], np.diff(ends, prepend=0))
+        yield new.drop(columns=_KEY).assign(seq=total - (np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(len(new))))
 
     def close(self) -> None:
         pass
@@ -138,7 +190,7 @@ def latest_records(sdf: DataFrame, n: int, by: str | Sequence[str], order_by: st
     by, order_by = as_list(by), as_list(order_by)
     names = sdf.columns
     counted = sdf.mapInPandas(_tails(n, order_by, by), _with(sdf.schema, f"{_MORE} long"))
-    return _with_nan(_grouped(counted, by).transformWithStateInPandas(_Latest(n, order_by, names), _with(sdf.schema, "seq long"), "Update", "None"))
+    return _with_nan(_bucketed(counted, by).transformWithStateInPandas(_Latest(n, order_by, names), _with(sdf.schema, "seq long"), "Update", "None"))
 
 
 # ---- running statistics ------------------------------------------------------------------
@@ -150,45 +202,67 @@ class _Running(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", "rows binary")
-        self.so_far = handle.getValueState("so_far", "n long, s double, lo double, hi double")
+        self.pieces = handle.getValueState("pieces", "starts binary, next long")
+        self.pending = handle.getMapState("pending", "piece long", "rows binary")
+        self.so_far = handle.getMapState("so_far", "key string", "n long, s double, lo double, hi double")
+
+    def _pieces(self) -> tuple[np.ndarray, int]:
+        """The least time and the number of each piece of waiting records; the next number."""
+        data, number = self.pieces.get() if self.pieces.exists() else (b"", 0)
+        return np.frombuffer(bytes(data), np.int64).reshape(-1, 2), number
+
+    def _wait(self, pdf: pd.DataFrame, pieces: np.ndarray, number: int) -> None:
+        """Keep records in pieces of a span of time each, so that those far from ready are not read to find those that are."""
+        pdf = pdf.sort_values(_WHEN, kind="stable", ignore_index=True)
+        starts = np.arange(0, len(pdf), PIECE)
+        added = np.stack([pdf[_WHEN].to_numpy(np.int64)[starts], number + np.arange(len(starts))], 1)
+        for (least, i), data in zip(added.tolist(), _packed_parts(pdf, [*starts[1:], len(pdf)])):
+            self.pending.updateValue((i,), (data,))
+            self.handle.registerTimer(max(1, -(-least // 1000)))
+        self.pieces.update((np.concatenate([pieces, added]).tobytes(), number + len(added)))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for pdf in rows:
-            pdf = _named(pdf, [*self.names, _WHEN])
-            self.pending.appendValue((_packed(pdf),))
-            self.handle.registerTimer(self._ready(int(pdf[_WHEN].min())))
+        new = pd.concat([_named(pdf, [*self.names, _WHEN, _KEY]) for pdf in rows], ignore_index=True)
+        self._wait(new, *self._pieces())
         return iter(())
 
-    @staticmethod
-    def _ready(when: int) -> int:
-        return max(1, -(-when // 1000))
-
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         upto = timerValues.getCurrentWatermarkInMs() * 1000
-        held = [_unpacked(data) for (data,) in self.pending.get()] if self.pending.exists() else []
-        if not held:
+        pieces, number = self._pieces()
+        due = pieces[:, 0] <= upto
+        if not due.any():  # another timer of this micro-batch has seen to them
             return
-        held = pd.concat(held, ignore_index=True)
+        read = np.sort(pieces[due, 1]).tolist()  # in the order they came
+        held = _unpacked(*[bytes(self.pending.getValue((i,))[0]) for i in read])
+        for i in read:
+            self.pending.removeKey((i,))
         ready = held[_WHEN] <= upto
-        if not ready.any():
-            return
-        rest = held[~ready]
+        self._wait_or_end(held[~ready], pieces[~due], number)
+        yield self._counted(held[ready].drop(columns=_WHEN))
+
+    def _wait_or_end(self, rest: pd.DataFrame, pieces: np.ndarray, number: int) -> None:
         if len(rest):
-            self.pending.put([(_packed(rest),)])
-            self.handle.registerTimer(self._ready(int(rest[_WHEN].min())))
+            self._wait(rest, pieces, number)
+        elif len(pieces):
+            self.pieces.update((pieces.tobytes(), number))
         else:
-            self.pending.clear()
-        yield self._counted(_in_order(held[ready], self.order_by)[self.names])
+            self.pieces.clear()
 
     def _counted(self, pdf: pd.DataFrame) -> pd.DataFrame:
-        n, s, lo, hi = self.so_far.get() if self.so_far.exists() else (0, 0.0, math.inf, -math.inf)
+        pdf, keys, ends = _by_key(pdf, self.order_by)
         x = pdf[self.field].to_numpy(np.float64)
-        sums = np.cumsum(np.append(s, x))[1:]
-        least, most = np.fmin.accumulate(np.append(lo, x))[1:], np.fmax.accumulate(np.append(hi, x))[1:]
-        counts = n + np.arange(1, len(x) + 1)
-        self.so_far.update((int(counts[-1]), float(sums[-1]), float(least[-1]), float(most[-1])))
-        return pdf.assign(count=counts, mean=sums / counts, min=least, max=most)
+        counts = np.empty(len(x), np.int64)
+        sums, least, most = np.empty_like(x), np.empty_like(x), np.empty_like(x)
+        start = 0
+        for k, end in zip(keys, ends.tolist()):
+            n, s, lo, hi = self.so_far.getValue((k,)) or (0, 0.0, math.inf, -math.inf)
+            own = slice(start, end)
+            counts[own] = n + np.arange(1, end - start + 1)
+            sums[own] = np.cumsum(np.append(s, x[own]))[1:]
+            least[own], most[own] = np.fmin.accumulate(np.append(lo, x[own]))[1:], np.fmax.accumulate(np.append(hi, x[own]))[1:]
+            self.so_far.updateValue((k,), (int(counts[end - 1]), float(sums[end - 1]), float(least[end - 1]), float(most[end - 1])))
+            start = end
+        return pdf.drop(columns=_KEY).assign(count=counts, mean=sums / counts, min=least, max=most)
 
     def close(self) -> None:
         pass
@@ -207,7 +281,7 @@ def running_records(
     when = micros(col(TIME_FIELD))
     timed = sdf.withColumn(_WHEN, when).withColumn("__ts", F.timestamp_micros(_WHEN)).withWatermark("__ts", delay)
     schema = _with(sdf.schema, "count long, mean double, min double, max double")
-    return _with_nan(_grouped(timed, by).transformWithStateInPandas(_Running(field, order_by, sdf.columns), schema, "Append", "EventTime"))
+    return _with_nan(_bucketed(timed, by).transformWithStateInPandas(_Running(field, order_by, sdf.columns), schema, "Append", "EventTime"))
 
 
 # ---- batches of n ------------------------------------------------------------------------
