@@ -4,7 +4,8 @@ State lies in RocksDB, keyed by stream, so a micro-batch reads and writes that o
 committed with the micro-batch's offsets: a query that is killed and started again neither skips nor repeats a record.
 
 Streams may be many and have few records each.  So the latest records and running statistics are worked out for a bucket of streams
-at a time, in columns, while state is a map from stream to its own.
+at a time, in columns, and the streams of a bucket that a hash deals to the same part share one entry of state: a micro-batch costs
+as many reads and writes as there are parts, however many streams it touches, and one that touches few reads the parts they are in.
 """
 
 from __future__ import annotations
@@ -25,9 +26,11 @@ from ..plans.ranges import col
 from ..schema import TIME_FIELD
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_MORE, _ONE, _WHEN, _KEY, _BUCKET = "__more", "__one", "__when", "__key", "__bucket"
+_MORE, _ONE, _WHEN, _KEY, _PART, _BUCKET = "__more", "__one", "__when", "__key", "__part", "__bucket"
 #: Streams are dealt to so many buckets by a hash; their number is fixed while a checkpoint lasts.
 BUCKETS = 512
+#: Parts of a bucket's streams that share an entry of state; a stream that keeps more records than FEW has one of its own.
+PARTS, FEW = 4, 100
 #: Records that wait in one piece of state.
 PIECE = 10_000
 
@@ -35,7 +38,8 @@ PIECE = 10_000
 @contextmanager
 def state_settings(spark: SparkSession, partitions: int | None = None):
     """What a query with keyed state has to find when it starts."""
-    want = {"spark.sql.streaming.stateStore.providerClass": _ROCKSDB}
+    # a commit then writes what changed and not the whole store
+    want = {"spark.sql.streaming.stateStore.providerClass": _ROCKSDB, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
     if partitions:
         want["spark.sql.shuffle.partitions"] = str(partitions)
     before = {k: spark.conf.get(k, None) for k in want}
@@ -83,15 +87,22 @@ def _grouped(sdf: DataFrame, by: Sequence[str]):
     return sdf.groupBy(*[col(b) for b in by]) if by else sdf.withColumn(_ONE, F.lit(0)).groupBy(_ONE)
 
 
-def _bucketed(sdf: DataFrame, by: Sequence[str]):
-    """Grouped by bucket, with the names of streams as text; as in any grouping, 0.0 and -0.0 are one."""
+def _bucketed(sdf: DataFrame, by: Sequence[str], names: Sequence[str], alone: bool = False):
+    """Grouped by bucket: the columns ``names``, the names of streams as text and the parts they share; as in any grouping, 0.0 and -0.0 are one.
+
+    Columns are told apart by their places later on, so others, such as that of the watermark, come behind.
+    """
 
     def text(name: str):
         c = col(name)
         return (c + F.lit(0.0) if isinstance(sdf.schema[name].dataType, (T.FloatType, T.DoubleType)) else c).cast("string")
 
     key = F.to_json(F.array(*[text(b) for b in by])) if by else F.lit("")
-    return sdf.withColumn(_KEY, key).withColumn(_BUCKET, F.pmod(F.xxhash64(_KEY), F.lit(BUCKETS)).cast("int")).groupBy(_BUCKET)
+    hashed = F.xxhash64(_KEY)
+    part = F.col(_KEY) if alone else F.pmod(F.shiftright(hashed, 32), F.lit(PARTS)).cast("string")
+    out = sdf.withColumn(_KEY, key).withColumns({_PART: part, _BUCKET: F.pmod(hashed, F.lit(BUCKETS)).cast("int")})
+    first = [*names, _KEY, _PART]
+    return out.select(*[col(c) for c in [*first, *[c for c in out.columns if c not in first]]]).groupBy(_BUCKET)
 
 
 def _by_key(pdf: pd.DataFrame, order_by: Sequence[str]) -> tuple[pd.DataFrame, list[str], np.ndarray]:
@@ -102,6 +113,13 @@ def _by_key(pdf: pd.DataFrame, order_by: Sequence[str]) -> tuple[pd.DataFrame, l
     return pdf, list(keys), np.cumsum(np.bincount(codes, minlength=len(keys)))
 
 
+def _by_part(pdf: pd.DataFrame, parts: Sequence[str]) -> Iterator[tuple[str, bytes]]:
+    """The rows of each part, packed; ``parts`` has that of each row."""
+    codes, names = pd.factorize(np.asarray(parts, object))
+    pdf = pdf.iloc[np.argsort(codes, kind="stable")]
+    return zip(names, _packed_parts(pdf, np.cumsum(np.bincount(codes, minlength=len(names)))))
+
+
 def _with_nan(df: DataFrame) -> DataFrame:
     """Records hold no nulls, but pandas hands NaN over as null: put it back."""
 
@@ -129,7 +147,7 @@ class _Latest(StatefulProcessor):
         self.n, self.order_by, self.names = n, order_by, names
 
     def init(self, handle) -> None:
-        self.kept = handle.getMapState("kept", "key string", "rows binary, total long")
+        self.kept = handle.getMapState("kept", "part string", "rows binary, totals binary")
 
     def _last(self, pdf: pd.DataFrame) -> tuple[pd.DataFrame, list[str], np.ndarray]:
         pdf, keys, ends = _by_key(pdf, self.order_by)
@@ -138,26 +156,28 @@ class _Latest(StatefulProcessor):
         return pdf, keys, np.cumsum(np.minimum(sizes, self.n))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new, totals = None, {}
+        new, came = None, {}
         for pdf in rows:
-            pdf = _named(pdf, [*self.names, _MORE, _KEY])
+            pdf = _named(pdf, [*self.names, _MORE, _KEY, _PART])
             more = pdf.pop(_MORE) + 1
             for k, count in more.groupby(pdf[_KEY], sort=False).sum().items():
-                totals[k] = totals.get(k, 0) + int(count)
+                came[k] = came.get(k, 0) + int(count)
             new = self._last(pdf if new is None else pd.concat([new, pdf], ignore_index=True))[0]
-        held = []
-        for k in totals:
-            before = self.kept.getValue((k,))
-            if before is not None:
-                held.append(bytes(before[0]))
-                totals[k] += before[1]
-        if held:  # what was kept comes first, so that it stays first among equals
-            new = pd.concat([_unpacked(*held), new], ignore_index=True)
+        totals = dict(came)
+        before = [v for p in new[_PART].unique() if (v := self.kept.getValue((p,))) is not None]
+        if before:  # what was kept comes first, so that it stays first among equals
+            new = pd.concat([_unpacked(*[bytes(v[0]) for v in before]), new], ignore_index=True)
+            for k, total in _unpacked(*[bytes(v[1]) for v in before]).itertuples(index=False):
+                totals[k] = total + came.get(k, 0)
         new, keys, ends = self._last(new)
-        for k, data in zip(keys, _packed_parts(new, ends)):
-            self.kept.updateValue((k,), (data, totals[k]))
-        total = np.repeat([totals[k] for k in keys], np.diff(ends, prepend=0))
-        yield new.drop(columns=_KEY).assign(seq=total - (np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(len(new))))
+        sizes = np.diff(ends, prepend=0)
+        held = pd.DataFrame({"key": keys, "total": [totals[k] for k in keys]})
+        parts = new[_PART].to_numpy()
+        for (part, data), (_, counted) in zip(_by_part(new, parts), _by_part(held, parts[ends - 1])):
+            self.kept.updateValue((part,), (data, counted))
+        seq = np.repeat(held["total"].to_numpy() - ends, sizes) + np.arange(len(new))
+        own = np.repeat([k in came for k in keys], sizes)  # others only share a part
+        yield new.drop(columns=[_KEY, _PART]).assign(seq=seq)[own]
 
     def close(self) -> None:
         pass
@@ -190,7 +210,8 @@ def latest_records(sdf: DataFrame, n: int, by: str | Sequence[str], order_by: st
     by, order_by = as_list(by), as_list(order_by)
     names = sdf.columns
     counted = sdf.mapInPandas(_tails(n, order_by, by), _with(sdf.schema, f"{_MORE} long"))
-    return _with_nan(_bucketed(counted, by).transformWithStateInPandas(_Latest(n, order_by, names), _with(sdf.schema, "seq long"), "Update", "None"))
+    grouped = _bucketed(counted, by, [*names, _MORE], n > FEW)
+    return _with_nan(grouped.transformWithStateInPandas(_Latest(n, order_by, names), _with(sdf.schema, "seq long"), "Update", "None"))
 
 
 # ---- running statistics ------------------------------------------------------------------
@@ -204,7 +225,7 @@ class _Running(StatefulProcessor):
         self.handle = handle
         self.pieces = handle.getValueState("pieces", "starts binary, next long")
         self.pending = handle.getMapState("pending", "piece long", "rows binary")
-        self.so_far = handle.getMapState("so_far", "key string", "n long, s double, lo double, hi double")
+        self.so_far = handle.getMapState("so_far", "part string", "sums binary")
 
     def _pieces(self) -> tuple[np.ndarray, int]:
         """The least time and the number of each piece of waiting records; the next number."""
@@ -222,7 +243,7 @@ class _Running(StatefulProcessor):
         self.pieces.update((np.concatenate([pieces, added]).tobytes(), number + len(added)))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat([_named(pdf, [*self.names, _WHEN, _KEY]) for pdf in rows], ignore_index=True)
+        new = pd.concat([_named(pdf, [*self.names, _WHEN, _KEY, _PART]) for pdf in rows], ignore_index=True)
         self._wait(new, *self._pieces())
         return iter(())
 
@@ -250,19 +271,30 @@ class _Running(StatefulProcessor):
 
     def _counted(self, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf, keys, ends = _by_key(pdf, self.order_by)
+        part_of = dict(zip(keys, pdf[_PART].to_numpy()[ends - 1]))
+        totals = {}
+        for part in dict.fromkeys(part_of.values()):
+            before = self.so_far.getValue((part,))
+            if before is not None:
+                for k, *held in _unpacked(bytes(before[0])).itertuples(index=False):
+                    totals[k] = held
+                    part_of[k] = part
         x = pdf[self.field].to_numpy(np.float64)
         counts = np.empty(len(x), np.int64)
         sums, least, most = np.empty_like(x), np.empty_like(x), np.empty_like(x)
         start = 0
         for k, end in zip(keys, ends.tolist()):
-            n, s, lo, hi = self.so_far.getValue((k,)) or (0, 0.0, math.inf, -math.inf)
+            n, s, lo, hi = totals.get(k, (0, 0.0, math.inf, -math.inf))
             own = slice(start, end)
             counts[own] = n + np.arange(1, end - start + 1)
             sums[own] = np.cumsum(np.append(s, x[own]))[1:]
             least[own], most[own] = np.fmin.accumulate(np.append(lo, x[own]))[1:], np.fmax.accumulate(np.append(hi, x[own]))[1:]
-            self.so_far.updateValue((k,), (int(counts[end - 1]), float(sums[end - 1]), float(least[end - 1]), float(most[end - 1])))
+            totals[k] = int(counts[end - 1]), float(sums[end - 1]), float(least[end - 1]), float(most[end - 1])
             start = end
-        return pdf.drop(columns=_KEY).assign(count=counts, mean=sums / counts, min=least, max=most)
+        held = pd.DataFrame([(k, *t) for k, t in totals.items()], columns=["key", "n", "s", "lo", "hi"])
+        for part, data in _by_part(held, [part_of[k] for k in totals]):
+            self.so_far.updateValue((part,), (data,))
+        return pdf.drop(columns=[_KEY, _PART]).assign(count=counts, mean=sums / counts, min=least, max=most)
 
     def close(self) -> None:
         pass
@@ -275,13 +307,13 @@ def running_records(
 
     A record waits until the watermark, ``delay`` behind the latest time, has passed it, so that records leave in order whatever order they came in;
     those later than that are dropped, and so are times before 1970, where watermarks start.  State per stream is four numbers and the
-    records that wait.
+    records that wait; a micro-batch reads and writes the numbers of all streams of a part at once.
     """
     by, order_by = as_list(by), as_list(order_by)
     when = micros(col(TIME_FIELD))
     timed = sdf.withColumn(_WHEN, when).withColumn("__ts", F.timestamp_micros(_WHEN)).withWatermark("__ts", delay)
     schema = _with(sdf.schema, "count long, mean double, min double, max double")
-    return _with_nan(_bucketed(timed, by).transformWithStateInPandas(_Running(field, order_by, sdf.columns), schema, "Append", "EventTime"))
+    return _with_nan(_bucketed(timed, by, [*sdf.columns, _WHEN]).transformWithStateInPandas(_Running(field, order_by, sdf.columns), schema, "Append", "EventTime"))
 
 
 # ---- batches of n ------------------------------------------------------------------------

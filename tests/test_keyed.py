@@ -73,6 +73,42 @@ def test_only_touched_streams_are_written(spark, tmp_path):
     assert max(seen) <= 1 and live.read_result(spark, out).count() == 3000
 
 
+def state_rows(spark, run):
+    """The most entries of state that a query had after a micro-batch."""
+    seen = []
+    off = live.on_progress(spark, lambda p: seen.append(sum(o.numRowsTotal for o in p.stateOperators)))
+    run()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    off()
+    return max(seen)
+
+
+def test_streams_of_a_part_share_an_entry_and_keep_their_own_records(spark, tmp_path):
+    root, out, ckpt = (str(tmp_path / x) for x in "roc")
+    sm.register_stream(spark, root, "s", SCHEMA)
+    run = lambda: live.drain(live.latest_stream(sm.read_stream(spark, root, "s"), 3, out, ckpt, "stream", ORDER, state_partitions=2, available_now=True))
+    for lo, hi in ((0, 9000), (9000, 9100), (9100, 15000)):  # all streams, a few of them, nearly all
+        sm.publish(rows(spark, lo, hi, streams=6000), root, "s")
+        assert state_rows(spark, run) <= keyed.BUCKETS * keyed.PARTS < 6000
+    names = ("stream", "Val", "seq", "y", "a")
+    assert values(live.read_result(spark, out), *names) == values(od.latest(rows(spark, 0, 15000, streams=6000), 3, ORDER, "stream"), *names)
+
+
+def test_running_records_of_many_streams_share_entries(spark, tmp_path):
+    root, out, ckpt = (str(tmp_path / x) for x in "roc")
+    sm.register_stream(spark, root, "s", SCHEMA)
+    run = lambda: live.drain(
+        live.running_stream(sm.read_stream(spark, root, "s"), "y", out, ckpt, "1 second", "stream", ORDER, state_partitions=2, available_now=True)
+    )
+    for lo, hi in ((0, 9000), (9000, 9100), (9100, 12000), (100_000, 100_001)):
+        sm.publish(rows(spark, lo, hi, streams=6000), root, "s")
+        # waiting records have an entry for numbers, pieces, and timers (two) in each bucket besides
+        assert state_rows(spark, run) <= keyed.BUCKETS * (keyed.PARTS + 4) + 8
+    names = ["stream", "Val", "count", F.round("mean", 9), F.round("min", 9), F.round("max", 9)]
+    got, want = spark.read.parquet(f"{out}/*"), st.running_stats(rows(spark, 0, 12000, streams=6000), "y", ORDER, "stream")
+    assert values(got.where("Val < 12000"), *names) == values(want, *names)
+
+
 @pytest.mark.parametrize("by", ["stream", None])
 def test_running_records_come_in_order_whatever_the_files_do(spark, root, tmp_path, by):
     out, ckpt = str(tmp_path / "o"), str(tmp_path / "c")
