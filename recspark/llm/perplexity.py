@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -23,7 +23,7 @@ FOLDS = 2
 #: Log perplexities are counted in steps of this for the quantiles.
 STEP = 0.001
 #: Text (bytes) that one block scores together, and characters that are hashed at once.
-BLOCK_BYTES, BLOCK = 48 << 20, 1 << 20
+BLOCK_BYTES, BLOCK = 16 << 20, 1 << 20
 
 
 # ---- n-grams -----------------------------------------------------------------------------
@@ -46,7 +46,7 @@ def _digests(codes: np.ndarray, order: int) -> np.ndarray:
     return h
 
 
-def _pieces(texts: list[str], order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _pieces(texts: Iterable[str], order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Digests of the n-grams of texts and the text that each is of, about ``BLOCK`` at a time; a long text comes in parts."""
     held, owners, total = [], [], 0
     for i, t in enumerate(texts):
@@ -63,26 +63,34 @@ def _pieces(texts: list[str], order: int) -> Iterator[tuple[np.ndarray, np.ndarr
         yield held, np.concatenate(owners)
 
 
-def _counted(texts: list[str], order: int) -> tuple[list[str], np.ndarray]:
-    """The distinct n-grams of texts and how often each occurs."""
-    grams: list[np.ndarray] = []
-    found, counts = [], []
-    for held, _ in _pieces(texts, order):
-        digests = np.concatenate([h for _, h in held])
+def _merged(windows: list[np.ndarray], digests: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct n-grams in the order in which they first come, their digests and counts."""
+    codes, unique = pd.factorize(np.concatenate(digests))
+    first = np.empty(len(unique), np.int64)
+    first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+    return np.concatenate(windows)[first], unique, np.bincount(codes, np.concatenate(counts)).astype(np.int64)
+
+
+def _counted(texts: Iterable[str], order: int) -> tuple[list[str], np.ndarray]:
+    """The distinct n-grams of texts and how often each occurs.  Texts are taken one after the other, and what is held grows with the distinct n-grams alone."""
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    held, most = 0, BLOCK // 4
+    for parts, _ in _pieces(texts, order):
+        digests = np.concatenate([h for _, h in parts])
         codes, unique = pd.factorize(digests)
         first = np.empty(len(unique), np.int64)
         first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-        windows = np.concatenate([np.lib.stride_tricks.sliding_window_view(c, order) for c, _ in held])
-        grams.append(windows[first])
-        found.append(unique)
-        counts.append(np.bincount(codes, minlength=len(unique)))
+        windows = np.concatenate([np.lib.stride_tricks.sliding_window_view(c, order) for c, _ in parts])
+        found.append((windows[first], unique, np.bincount(codes, minlength=len(unique))))
+        held += len(unique)
+        if held >= most:
+            found = [_merged(*map(list, zip(*found)))]
+            held = len(found[0][1])
+            most = max(BLOCK // 4, 2 * held)
     if not found:
         return [], np.array([], np.int64)
-    codes, unique = pd.factorize(np.concatenate(found))
-    first = np.empty(len(unique), np.int64)
-    first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-    letters = np.concatenate(grams)[first].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
-    totals = np.bincount(codes, np.concatenate(counts).astype(float)).astype(np.int64)
+    windows, _, totals = _merged(*map(list, zip(*found)))
+    letters = windows.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
     return [letters[i : i + order] for i in range(0, len(letters), order)], totals
 
 
@@ -110,7 +118,7 @@ def train(texts: DataFrame, order: int = ORDER) -> dict:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grams, n = _counted([plain(t.as_py()) for t in batch.column(0)], order)
+            grams, n = _counted((plain(t.as_py()) for t in batch.column(0)), order)
             yield pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array(n, pa.int64())], names=["gram", "n"])
 
     rows = texts.select("text").mapInArrow(count, "gram string, n long")
@@ -174,22 +182,21 @@ def log_perplexities(docs: DataFrame, model: dict) -> DataFrame:
     dealt = docs.select("id", "text", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).alias("block")).repartition(n, "block")
 
     def ask(pdf: pd.DataFrame) -> pd.DataFrame:
-        grams, _ = _counted([plain(t) for t in pdf["text"]], order)
+        grams, _ = _counted(map(plain, pdf["text"]), order)
         return pd.DataFrame({"block": np.full(len(grams), pdf["block"].iloc[0]), "gram": grams})
 
     def answer(pdf: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        texts = [plain(t) for t in pdf["text"]]
         letters = np.frombuffer("".join(answers["gram"]).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, order)
         digests = np.zeros(len(letters), np.uint64)
         for i in range(order):
             digests = digests * np.uint64(0x9E3779B97F4A7C15) + letters[:, i]
         by = np.argsort(digests)
         digests, logp = digests[by], answers["logp"].to_numpy()[by]
-        sums = np.zeros(len(texts))
-        for held, owners in _pieces(texts, order):
+        sums, counts = np.zeros(len(pdf)), np.zeros(len(pdf), np.int64)
+        for held, owners in _pieces(map(plain, pdf["text"]), order):
             codes, unique = pd.factorize(np.concatenate([h for _, h in held]))
-            sums += np.bincount(owners, logp[np.searchsorted(digests, unique)][codes], minlength=len(texts))
-        counts = np.array([len(t) + 1 for t in texts])
+            sums += np.bincount(owners, logp[np.searchsorted(digests, unique)][codes], minlength=len(pdf))
+            counts += np.bincount(owners, minlength=len(pdf))  # a text has as many n-grams as characters and its end
         return pd.DataFrame({"id": pdf["id"], "n": counts, "log_ppl": np.where(counts > 1, -sums / counts, np.nan)})
 
     asked = written(dealt.groupBy("block").applyInPandas(ask, "block long, gram string"), "asked")  # each length reads it

@@ -3,8 +3,10 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from cases import SF, A, B, by_id, documents, needs_tables, stored
 from oracle import differences, tables
@@ -221,6 +223,19 @@ def test_log_probabilities_match_the_textbook(spark, order):
     assert sum(p(("e" * order)[: order - 1] + c) for c in known) == pytest.approx(1, abs=1e-9)
 
 
+def test_counting_holds_distinct_grams_and_not_those_of_every_piece():
+    rng = np.random.default_rng(5)
+    texts = ["".join(map(chr, rng.integers(97, 117, 1 << 20))) for _ in range(24)]
+    tracemalloc.start()
+    grams, n = perplexity._counted(iter(texts), 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n.sum() == sum(len(t) + 1 for t in texts) and len(set(grams)) == len(grams)
+    assert dict(zip(grams, n.tolist()))["abcd"] == sum(len(re.findall("(?=abcd)", t)) for t in texts)
+    assert peak < 160 << 20  # 24 pieces have 3.4 million distinct n-grams together, of which 170,000 are different
+    assert grams[:3] == [perplexity.BEGIN * 3 + texts[0][0], perplexity.BEGIN * 2 + texts[0][:2], perplexity.BEGIN + texts[0][:3]]
+
+
 def test_perplexity_on_odd_documents(spark, tmp_path):
     docs = documents(spark)
     labels = spark.createDataFrame([(i, 1, 0) for i in (1, 2, 3, 4, 9, 11, 13)] + [(10, 0, 0), (10, 1, 0), (None, 1, 1), (12, None, None)], "doc_id long, quality int, toxic int")
