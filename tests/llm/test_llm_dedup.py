@@ -246,6 +246,52 @@ def test_meetings_over_batches():
     assert out == {(first[int(k)], int(i)) for k, i in zip(keys, ids) if first[int(k)] != i}
 
 
+def test_keys_are_shuffled_in_buckets():
+    rng = random.Random(3)
+    texts = ["\n".join(" ".join(rng.choices(LONG.split(), k=6)) for _ in range(4000)) for _ in range(3)]
+    packed = list(lines._band_rows(iter([pa.RecordBatch.from_arrays([pa.array([*texts, None, ""])], names=["text"])])))
+    rows = np.concatenate([np.frombuffer(x, np.int64).reshape(-1, 4) for b in packed for x in b.column(1).to_pylist()])
+    found = list(dict.fromkeys(x for t in texts for x in t.split("\n")))
+    assert len(rows) == len(found) * lines.BANDS > 10 * sum(map(len, packed))  # Spark moves a row for many keys
+    ids = [xxhash.xxh64_intdigest(x.encode(), 42) for x in found]
+    keys = lines.band_keys(lines.signatures([lines.plain(x) for x in found]))
+    assert sorted(map(tuple, rows[:, :2].tolist())) == sorted((k, np.uint64(i).astype(np.int64)) for i, own in zip(ids, keys.tolist()) for k in own)
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 1000])
+def test_buckets_give_the_keys_that_several_lines_have(size, monkeypatch):
+    monkeypatch.setattr(lines, "CHUNK", 3)
+    rng = np.random.default_rng(size)
+    rows = np.column_stack([rng.integers(-40, 40, 500) << 55, rng.integers(0, 30, 500), np.zeros((500, 2), np.int64)])
+    rows = np.concatenate([rows, np.column_stack([np.full(900, 7 << 55), np.arange(900), np.zeros((900, 2), np.int64)])])  # one hot key
+    table = pa.Table.from_batches([lines._dealt(x) for x in np.array_split(rng.permutation(rows), 3)]).sort_by("bucket")
+    held = {}
+    for k, i in rows[:, :2].tolist():
+        held.setdefault(k, set()).add(i)
+
+    def ties(batches):
+        found = [(a, b) for b in lines._meetings(lines._close(batches)) for a, b in zip(*(c.to_pylist() for c in b.columns))]
+        return roots(range(900), found)
+
+    out = [r for b in lines._shared(iter(table.to_batches(size))) for r in zip(*(c.to_pylist() for c in b.columns[:2]))]
+    assert len(out) == len(set(out)) and {x for x in out if len(held[x[0]]) > 1} == {(k, i) for k, ids in held.items() if len(ids) > 1 for i in ids}
+    monkeypatch.setattr(lines, "BUCKET_ROWS", 50)
+    monkeypatch.setattr(lines, "KEY_ROWS", 20)
+    rows[:, 2] = np.arange(len(rows)) * 0x9E3779B97F4A7C1  # no sketches agree, so that only long keys tie
+    table = pa.Table.from_batches([lines._dealt(x) for x in np.array_split(rng.permutation(rows), 3)]).sort_by("bucket")
+    assert set(ties(lines._shared(iter(table.to_batches(size)))).values()) == {0}
+
+
+def test_short_lines_and_large_alphabets_are_compared_exactly():
+    rng = random.Random(5)
+    found = ["ab", "a", "abcd", "ab\0", "\0ab", "abcde", "Ab "] + ["".join(rng.choices("ab\U0001f600", k=rng.randrange(1, 12))) for _ in range(80)]
+    wide = ["".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(300)) for _ in range(30)]
+    for some in (found, found[:2], [wide[0], wide[0][:-9]], wide + [x[:-9] + "ab" for x in wide]):
+        sets = [lines.shingles(x) for x in some]
+        links = [(i, j) for j in range(len(sets)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+        assert lines.similar_roots(some).tolist() == list(roots(range(len(some)), links).values())
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_roots_match_all_pairs(seed):
     rng = random.Random(seed)
