@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -282,6 +283,31 @@ def test_buckets_give_the_keys_that_several_lines_have(size, monkeypatch):
     assert set(ties(lines._shared(iter(table.to_batches(size)))).values()) == {0}
 
 
+def test_what_a_task_holds_of_a_bucket_stays_small():
+    rng = np.random.default_rng(1)
+    keys = rng.integers(0, 1 << 20, 3 << 18)  # one bucket: 24 MB of rows, and most of them copies
+    rows = np.column_stack([keys % 5000, keys % 5000 * 7, np.zeros((len(keys), 2), np.int64)])
+    batches = lines._dealt(rows)
+    for some in (batches, batches.slice(3, 100), batches.slice(5, 0)):
+        assert (lines._unpacked(some.column(1)) == np.frombuffer(b"".join(some.column(1).to_pylist()), np.int64).reshape(-1, 4)).all()
+    tracemalloc.start()
+    for _ in lines._shared(batches.slice(i, 500) for i in range(0, len(batches), 500)):
+        pass
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 2 * rows.nbytes
+
+
+def test_links_are_written_once(spark, monkeypatch):
+    put = []
+    for module in (lines, common):
+        monkeypatch.setattr(module, "written", lambda df, label, old=module.written: (put.append(label), old(df, label))[1])
+    a, b = A, A.replace("lazy", "lacy")
+    got = spark.createDataFrame([(1, a, len(a)), (2, f"{b}\nnew", 0)], "doc_id long, text string, n_chars int").transform(lines.dedup_lines)
+    assert sorted(map(tuple, got.collect())) == [(1, a, len(a)), (2, "new", 3)]
+    assert not {"meetings", "links", "firsts", "kept"} & set(put) and "lost" in put
+
+
 def test_short_lines_and_large_alphabets_are_compared_exactly():
     rng = random.Random(5)
     found = ["ab", "a", "abcd", "ab\0", "\0ab", "abcde", "Ab "] + ["".join(rng.choices("ab\U0001f600", k=rng.randrange(1, 12))) for _ in range(80)]
