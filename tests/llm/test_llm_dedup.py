@@ -328,6 +328,52 @@ def test_roots_match_all_pairs(seed):
     assert lines.similar_roots(found).tolist() == list(roots(range(len(found)), links).values())
 
 
+def test_bitmaps_let_all_similar_lines_through_and_few_others(monkeypatch):
+    rng, found = random.Random(7), []
+    for k, words in enumerate((2, 5, 12, 25, 40, 40, 60, 300)):
+        base = [rng.choice(LONG.split()) + str(rng.randrange(100)) for _ in range(words)]
+        for _ in range(60):  # a letter or two in up to a quarter of the words
+            some = [w[:-1] + rng.choice("xyz") if rng.random() < rng.choice((0.02, 0.1, 0.25)) else w for w in base]
+            found.append(" ".join(some))
+    rng.shuffle(found)
+    sets = [lines.shingles(x) for x in found]
+    similar = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    links = [(i, j) for j in range(len(sets)) for i in range(j) if similar(sets[i], sets[j])]
+    numbers = lines._numbered(found)
+    near = lines._near(np.concatenate(numbers), np.array([len(x) for x in numbers]), 0.8)
+    through = [set(near(i).tolist()) for i in range(len(found))]
+    assert all(j in through[i] and i in through[j] for i, j in links)
+    assert sum(map(len, through)) < 2 * (2 * len(links) + len(found)) < len(found) ** 2 / 8
+    compared, old = 0, lines._overlaps
+
+    def counted(*args):
+        common = old(*args)
+
+        def count(i, *some):
+            nonlocal compared
+            compared += len(some[0]) if some else len(found)
+            return common(i, *some)
+
+        return count
+
+    monkeypatch.setattr(lines, "_overlaps", counted)
+    assert lines.similar_roots(found).tolist() == list(roots(range(len(found)), links).values())
+    assert compared < 10 * len(found)  # not every line with every other
+
+
+def test_parts_hold_few_characters(spark, monkeypatch):
+    monkeypatch.setattr(lines, "GROUP_CHARS", 4_000, raising=False)
+    rows = [(g, 100 * g + i, str(i) * (100 if g else 5)) for g in (0, 1) for i in range(100)]
+    parts = lines._blocks(spark.createDataFrame(rows, "group long, id long, line string"))
+    held = {}
+    for r in parts.collect():
+        held.setdefault(r.part, {})[r.id] = len(r.line)
+    assert held.pop(0) == {i: 5 * len(str(i)) for i in range(100)}
+    assert max(sum(x.values()) for x in held.values()) <= 8_000
+    together = {(a, b) for x in held.values() for a in x for b in x}
+    assert together == {(100 + a, 100 + b) for a in range(100) for b in range(100)}
+
+
 # ---- operator 8
 
 
